@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trailforge.llm import chat, rules, sharding
+from trailforge.llm import bpe, chat, common, rules, sharding, topk, warc
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -13,6 +13,36 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record for every page, written to archives in the shared folder, read back and resolved."""
+    return warc.deduplicate(_table(spark, sf_dir, "pages"), common.scratch_path(spark, "warc"))
+
+
+_OP1_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+o AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
+FROM o
+"""
+
+
+def op2_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all embeddings for every hundredth vec_id."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors.where("vec_id % 100 = 0"), vectors, 10)
+
+
+_OP2_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def op3_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 7 by jump consistent hashing of doc_id."""
     return sharding.shards(_table(spark, sf_dir, "documents"), 8)
@@ -77,9 +107,17 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM placed GROUP BY conv_id
 """
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded."""
+    return bpe.digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_warc_revisits": op1_warc_revisits,
+    "op2_impact_topk": op2_impact_topk,
     "op3_jump_sharding": op3_jump_sharding,
     "op7_rule_ledger": op7_rule_ledger,
     "op9_chat_format": op9_chat_format,
+    "op10_bpe": op10_bpe,
 }
-ORACLES = {"op7_rule_ledger": _OP7_SQL, "op9_chat_format": _OP9_SQL}
+ORACLES = {"op1_warc_revisits": _OP1_SQL, "op2_impact_topk": _OP2_SQL, "op7_rule_ledger": _OP7_SQL, "op9_chat_format": _OP9_SQL}
