@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trailforge.llm import bpe, chat, common, rules, sharding, topk, warc
+from trailforge.llm import bpe, chat, common, mixing, quality, rules, sharding, topk, warc
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -48,6 +48,58 @@ def op3_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(_table(spark, sf_dir, "documents"), 8)
 
 
+def op4_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every visit of every document in a mixture that repeats no source more than twice and leaves none out."""
+    return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
+
+
+def _hash60(*parts: str) -> str:
+    return f"('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 15))::BIGINT"
+
+
+_OP4_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, coalesce(source, '') AS s, coalesce(doc_id::VARCHAR, '') AS i,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS tokens FROM documents),
+b AS (SELECT *, ({_hash60("'mix'", "'block'", "i")} % {mixing.BLOCKS})::INT AS block FROM d),
+n AS (SELECT s, sum(tokens)::BIGINT AS n FROM b GROUP BY s),
+t AS (SELECT sum(n)::DOUBLE AS total, max(n)::DOUBLE AS most, min(n)::DOUBLE AS least FROM n WHERE n > 0),
+bisect AS (
+  SELECT 0 AS step, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi
+  UNION ALL SELECT step + 1, CASE WHEN pow(least / most, (lo + hi) / 2 - 1) <= {mixing.REPEATS} THEN lo ELSE (lo + hi) / 2 END,
+    CASE WHEN pow(least / most, (lo + hi) / 2 - 1) <= {mixing.REPEATS} THEN (lo + hi) / 2 ELSE hi END
+  FROM bisect, t WHERE step < {mixing.STEPS}),
+a AS (SELECT hi AS alpha FROM bisect WHERE step = {mixing.STEPS}),
+z AS (SELECT sum(pow(n / total, alpha)) AS z FROM n, t, a WHERE n > 0),
+g AS (SELECT ceil(most / (pow(most / total, alpha) / z)) AS goal FROM t, a, z),
+w AS (SELECT s, n, CASE WHEN n > 0 THEN greatest(floor(pow(n / total, alpha) / z * goal + 0.5)::BIGINT, n) ELSE 0 END AS budget FROM n, t, a, z, g),
+p AS (SELECT s, n, budget, CASE WHEN n > 0 THEN budget // n ELSE 1 END AS passes FROM w),
+r AS (SELECT *, budget - passes * n AS rest FROM p),
+o AS (
+  SELECT s, block, sum(tokens) AS size, any_value(passes) AS passes, any_value(rest) AS rest, {_hash60("'mix'", "s", "any_value(passes)", "block")} AS edge
+  FROM b JOIN r USING (s) WHERE rest > 0 GROUP BY s, block),
+c AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY s ORDER BY edge, block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM o),
+e AS (SELECT s, block, passes, edge, rest - before AS free FROM c WHERE before <= rest AND rest < before + size),
+u AS (
+  SELECT s, ord, free, sum(tokens) OVER (PARTITION BY s ORDER BY ord RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS used
+  FROM (SELECT b.s, tokens, free, {_hash60("'mix'", "'doc'", "passes", "i")} AS ord FROM b JOIN e USING (s, block))),
+k AS (SELECT s, max(ord) AS cut FROM u WHERE used <= free GROUP BY s),
+v AS (
+  SELECT b.*, n, budget, r.passes, r.passes + CASE WHEN tokens > 0 AND edge IS NOT NULL AND ({_hash60("'mix'", "b.s", "r.passes", "b.block")} < edge
+    OR ({_hash60("'mix'", "b.s", "r.passes", "b.block")} = edge AND {_hash60("'mix'", "'doc'", "r.passes", "i")} <= coalesce(cut, -1))) THEN 1 ELSE 0 END AS visits
+  FROM b JOIN r USING (s) LEFT JOIN (SELECT s, edge FROM e) e USING (s) LEFT JOIN k USING (s)),
+x AS (SELECT *, unnest(range(visits)) AS epoch FROM v)
+SELECT doc_id, source, tokens, epoch, block, {_hash60("'mix'", "'doc'", "epoch", "i")} AS doc_order,
+  (epoch + {_hash60("'mix'", "s", "epoch", "block")} / {mixing._HASH_RANGE:.1f}::DOUBLE) / CASE WHEN n > 0 THEN budget / n ELSE 1.0::DOUBLE END AS progress
+FROM x
+"""
+
+
+def op6_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a classifier learned from the labels that are not held out."""
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of every document with the verdict of the standard policy."""
     entries = rules.ledger(_table(spark, sf_dir, "documents"))
@@ -116,8 +168,10 @@ QUERIES = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_impact_topk": op2_impact_topk,
     "op3_jump_sharding": op3_jump_sharding,
+    "op4_temperature_mix": op4_temperature_mix,
+    "op6_attention_quality": op6_attention_quality,
     "op7_rule_ledger": op7_rule_ledger,
     "op9_chat_format": op9_chat_format,
     "op10_bpe": op10_bpe,
 }
-ORACLES = {"op1_warc_revisits": _OP1_SQL, "op2_impact_topk": _OP2_SQL, "op7_rule_ledger": _OP7_SQL, "op9_chat_format": _OP9_SQL}
+ORACLES = {"op1_warc_revisits": _OP1_SQL, "op2_impact_topk": _OP2_SQL, "op4_temperature_mix": _OP4_SQL, "op7_rule_ledger": _OP7_SQL, "op9_chat_format": _OP9_SQL}
