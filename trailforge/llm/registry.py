@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trailforge.llm import bpe, chat, common, mixing, quality, rules, sharding, topk, warc
+from trailforge.llm import bpe, chat, common, linededup, mixing, neardup, quality, rules, sharding, topk, warc
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -95,6 +95,11 @@ FROM x
 """
 
 
+def op5_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that stay elsewhere, and how many it lost."""
+    return linededup.deduplicate(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by a classifier learned from the labels that are not held out."""
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -134,6 +139,11 @@ FROM b
 """
 
 
+def op8_weighted_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document, its size, and whether the document is the one that stays."""
+    return neardup.classes(_table(spark, sf_dir, "documents"))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -7, whose texts look like another template's control strings, formatted and read back."""
     talks = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -169,8 +179,10 @@ QUERIES = {
     "op2_impact_topk": op2_impact_topk,
     "op3_jump_sharding": op3_jump_sharding,
     "op4_temperature_mix": op4_temperature_mix,
+    "op5_fuzzy_lines": op5_fuzzy_lines,
     "op6_attention_quality": op6_attention_quality,
     "op7_rule_ledger": op7_rule_ledger,
+    "op8_weighted_neardup": op8_weighted_neardup,
     "op9_chat_format": op9_chat_format,
     "op10_bpe": op10_bpe,
 }
