@@ -59,26 +59,56 @@ def _gamma_two() -> np.ndarray:
     return high
 
 
-_R = _gamma_two()
-_LOG_C, _R = np.log(_R).astype(np.float32), _R.astype(np.float32)
-_BETA = ((np.arange(_STEPS) + 0.5) / _STEPS).astype(np.float32)
+def _shuffled(values: np.ndarray, seed: int) -> np.ndarray:
+    return values[np.argsort(kernel.stream(np.arange(_STEPS), seed))]
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Different shingles in the order of texts with the text and count of each; and two hashes of each text's words (0 without words)."""
+def _atoms() -> tuple[np.ndarray, ...]:
+    """_STEPS draws of (r, beta, c), each a quantile of its law, and what the sampling formula makes of them.
+
+    With level = floor(ln w / r + beta), the logarithm to be least is ln c - r * (level - beta) - r.
+    """
+    r, c = _shuffled(_gamma_two(), 41), _shuffled(_gamma_two(), 42)
+    beta = _shuffled((np.arange(_STEPS) + 0.5) / _STEPS, 43)
+    return tuple(x.astype(np.float32) for x in (r, 1 / r, beta, np.log(c) + r * beta - r))
+
+
+_R, _INVERSE_R, _BETA, _SHIFT = _atoms()
+_MULTIPLIERS = kernel.stream(np.arange(1 << 16), 44) | np.uint64(1)
+
+
+def occurrences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every shingle in the order of texts, the text of each, and which texts have words."""
+    words, word_at = _words(data, offsets)
+    return (*_grams(words, word_at), np.diff(word_at) > 0)
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     begin, end, word_at = kernel.words(data, offsets)
-    words = kernel.span_hashes(data, begin, end)
+    return kernel.span_hashes(data, begin, end), word_at
+
+
+def _grams(words: np.ndarray, word_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = np.diff(word_at)
     grams, of, _ = kernel.windows(words, word_at, SHINGLE)
-    whole = np.flatnonzero(n > 0)
-    high, low = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
-    high[whole] = kernel.sequence_hashes(words, word_at[:-1][whole], 31)
-    low[whole] = kernel.sequence_hashes(words, word_at[:-1][whole], 32)
     short = np.flatnonzero((n > 0) & (n < SHINGLE))
     if len(short):
-        grams, of = np.concatenate([grams, high[short]]), np.concatenate([of, short])
+        own = np.repeat(word_at[:-1][short], n[short]) + np.arange(n[short].sum()) - np.repeat(np.cumsum(n[short]) - n[short], n[short])
+        whole = kernel.sequence_hashes(words[own], np.cumsum(n[short]) - n[short], 33)
+        grams, of = np.concatenate([grams, whole]), np.concatenate([of, short])
         order = np.argsort(of, kind="stable")
         grams, of = grams[order], of[order]
+    return grams, of
+
+
+def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Different shingles in the order of texts with the text and count of each; and two hashes of each text's words (0 without words)."""
+    words, word_at = _words(data, offsets)
+    whole = np.flatnonzero(np.diff(word_at) > 0)
+    high, low = np.zeros(len(offsets) - 1, np.uint64), np.zeros(len(offsets) - 1, np.uint64)
+    high[whole] = kernel.sequence_hashes(words, word_at[:-1][whole], 31)
+    low[whole] = kernel.sequence_hashes(words, word_at[:-1][whole], 32)
+    grams, of = _grams(words, word_at)
     _, first, count = np.unique(kernel.mix(grams + kernel.stream(of, 3)), return_index=True, return_counts=True)
     order = np.argsort(first)
     first, count = first[order], count[order]
@@ -89,10 +119,10 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, documents = np.zeros(FEATURES, np.int64), 0
     for batch in batches:
         for _, _, data, offsets in kernel.texts(pc.utf8_lower(batch.column(0)), _PIECE):
-            grams, of, *_ = shingles(data, offsets)
+            grams, of, wordy = occurrences(data, offsets)
             pairs = np.unique(of * FEATURES + (grams & np.uint64(FEATURES - 1)).astype(np.int64))
-            total += np.bincount(pairs % FEATURES, minlength=FEATURES)
-            documents += len(np.unique(of))
+            total += np.bincount(pairs & (FEATURES - 1), minlength=FEATURES)
+            documents += int(wordy.sum())
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1)), pa.array(np.append(total[seen], documents))], names=["feature", "n"])
 
@@ -118,15 +148,20 @@ def samples(grams: np.ndarray, of: np.ndarray, weight: np.ndarray, k: int = BAND
     bag = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(of))))
     log_weight = np.log(weight)
     out = np.empty((len(first), k), np.uint64)
-    mask = np.uint64(_STEPS - 1)
     for i in range(k):
-        draw = kernel.mix(grams ^ np.uint64((i + 1) * 0xD6E8FEB86659FD93 % 2**64))
-        r = _R[draw & mask]
-        beta = _BETA[(draw >> np.uint64(16)) & mask]
-        level = np.floor(log_weight / r + beta)
-        value = _LOG_C[(draw >> np.uint64(32)) & mask] - r * (level - beta) - r
-        hit = np.flatnonzero(value == np.minimum.reduceat(value, first)[bag])
-        hit = hit[np.flatnonzero(np.diff(bag[hit], prepend=-1))]
+        # Shingle hashes are mixed already: a product's top bits are as good a draw as another mixing.
+        atom = ((grams * _MULTIPLIERS[i]) >> np.uint64(48)).view(np.int64)
+        level = _INVERSE_R.take(atom)
+        level *= log_weight
+        level += _BETA.take(atom)
+        np.floor(level, out=level)
+        value = _SHIFT.take(atom)
+        value -= _R.take(atom) * level
+        hit = np.flatnonzero(value == np.minimum.reduceat(value, first).take(bag))
+        if len(hit) > len(first):
+            # Of equal values the one of the least hash, whatever its place in the text.
+            hit = hit[np.lexsort((grams[hit], bag[hit]))]
+            hit = hit[np.flatnonzero(np.diff(bag[hit], prepend=-1))]
         out[:, i] = kernel.mix(grams[hit] + level[hit].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return out
 
