@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trailforge.functions.ship import shipped
 from trailforge.llm import bpe, common, linededup, mixing, neardup, quality
 
 
@@ -15,12 +16,14 @@ def _as(df: DataFrame, docs: DataFrame) -> DataFrame:
     return df.select(*[f"`{c}`" for c in docs.columns])
 
 
+@shipped
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the labels that are not held out, scores at 0.3 or more."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return _as(quality.score(docs, model).where(f"score >= {quality.KEEP}"), docs)
 
 
+@shipped
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that stay elsewhere; those left without a word go. n_chars follows the text."""
     left = linededup.deduplicate(docs, drop_emptied=True)
@@ -32,16 +35,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return _as(left, docs)
 
 
+@shipped
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least doc_id of each class."""
     return neardup.deduplicate(docs)
 
 
+@shipped
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once or twice, so that no source is repeated more than twice and sources are as even as that allows."""
     return _as(mixing.mix(docs), docs)
 
 
+@shipped
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document's ids and of their text."""
     return bpe.digests(docs)

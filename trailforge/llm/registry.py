@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trailforge.functions.ship import shipped
 from trailforge.llm import bpe, chat, common, linededup, mixing, neardup, quality, rules, sharding, topk, warc
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -130,9 +131,9 @@ m AS (
     coalesce(covered.n, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0)::BIGINT AS n_lines
   FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN lines USING (doc_id)),
 b AS (
-  SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > word_chars)::INT
+  SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
     + 8 * (2 * n_dup_lines > n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT + 32 * (word_chars > 25 * n_words)::INT
-    + 64 * (50 * n_symbols > word_chars)::INT)::BIGINT AS fail_bits FROM m)
+    + 64 * (100 * n_symbols > n_words)::INT)::BIGINT AS fail_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, (fail_bits & 63) = 0 AS kept,
   fail_bits, 'standard-1' AS policy
 FROM b
@@ -169,21 +170,25 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM placed GROUP BY conv_id
 """
 
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded."""
     return bpe.digests(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
-    "op1_warc_revisits": op1_warc_revisits,
-    "op2_impact_topk": op2_impact_topk,
-    "op3_jump_sharding": op3_jump_sharding,
-    "op4_temperature_mix": op4_temperature_mix,
-    "op5_fuzzy_lines": op5_fuzzy_lines,
-    "op6_attention_quality": op6_attention_quality,
-    "op7_rule_ledger": op7_rule_ledger,
-    "op8_weighted_neardup": op8_weighted_neardup,
-    "op9_chat_format": op9_chat_format,
-    "op10_bpe": op10_bpe,
+    f.__name__: shipped(f)
+    for f in (
+        op1_warc_revisits,
+        op2_impact_topk,
+        op3_jump_sharding,
+        op4_temperature_mix,
+        op5_fuzzy_lines,
+        op6_attention_quality,
+        op7_rule_ledger,
+        op8_weighted_neardup,
+        op9_chat_format,
+        op10_bpe,
+    )
 }
 ORACLES = {"op1_warc_revisits": _OP1_SQL, "op2_impact_topk": _OP2_SQL, "op4_temperature_mix": _OP4_SQL, "op7_rule_ledger": _OP7_SQL, "op9_chat_format": _OP9_SQL}

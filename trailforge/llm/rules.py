@@ -45,11 +45,11 @@ class Policy:
 RULES = (
     Rule(0, "few_words", "n_words < 50"),
     Rule(1, "repeated_windows", "100 * n_repeat_words > 50 * n_words"),
-    Rule(2, "symbols", "10 * n_symbols > word_chars"),
+    Rule(2, "symbols", "10 * n_symbols > n_words"),
     Rule(3, "repeated_lines", "2 * n_dup_lines > n_lines"),
     Rule(4, "short_words", "word_chars < 2 * n_words"),
     Rule(5, "long_words", "word_chars > 25 * n_words"),
-    Rule(6, "some_symbols", "50 * n_symbols > word_chars"),
+    Rule(6, "some_symbols", "100 * n_symbols > n_words"),
 )
 BASE = Policy("base", ("few_words", "repeated_windows"))
 STANDARD = Policy("standard-1", ("few_words", "repeated_windows", "symbols", "repeated_lines", "short_words", "long_words"))
