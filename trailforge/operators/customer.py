@@ -172,3 +172,9 @@ def retention(cycles: DataFrame, unit: str = "month") -> DataFrame:
     names = ["year", "month", "day"][: ["year", "month", "day"].index(unit) + 1]
     counted = bounds.groupBy(*[parts[n].alias(n) for n in names]).agg(F.count_if(F.col("kind") == 0).alias("acquired"), F.count_if(F.col("kind") == 1).alias("lost"))
     return counted.withColumn("net", F.col("acquired") - F.col("lost"))
+
+
+def short_histories(df: DataFrame, c: Transactions = TRANSACTIONS) -> DataFrame:
+    """One row: how many ids `rfm` leaves out because they have fewer than two gaps."""
+    known = df.where(F.col(c.id).isNotNull() & F.col(c.ts).isNotNull())
+    return known.groupBy(c.id).agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") < 3).alias("ids"))

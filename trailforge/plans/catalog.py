@@ -269,6 +269,11 @@ def rfm(spark, sf_dir):
     return _rfm(spark, sf_dir)
 
 
+@query("SELECT count(*)::BIGINT AS ids FROM (SELECT o_custkey FROM orders GROUP BY o_custkey HAVING count(*) < 3)")
+def short_histories(spark, sf_dir):
+    return customer.short_histories(table(spark, sf_dir, "orders"), ORDERS)
+
+
 @query(f"WITH {RFM} SELECT * FROM stats")
 def rfm_stats(spark, sf_dir):
     return customer.rfm_stats(_rfm(spark, sf_dir))
