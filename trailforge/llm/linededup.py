@@ -1,7 +1,7 @@
 """Fuzzy line deduplication over the whole corpus.
 
 Lines are lower-cased and their white space collapsed; equal lines are one class, known by a
-128-bit hash. Each class has a 64-bit SimHash of its words. Two classes are linked if their
+128-bit hash. Each class has a 64-bit SimHash of its pairs of neighbouring words. Two classes are linked if their
 SimHashes differ in at most RADIUS bits and their edit similarity is at least SIMILARITY.
 By the pigeonhole principle, such SimHashes agree on all but RADIUS of the blocks that the 64
 bits are cut into, so classes meet on the bits of every choice of the other blocks; the number
@@ -65,11 +65,22 @@ def signatures(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     of = np.repeat(np.arange(len(offsets) - 1), np.diff(line_at))[full]
     place = full - line_at[of]
     words = kernel.span_hashes(data, begin, end)
-    return of, place, kernel.sequence_hashes(words, first, 21), kernel.sequence_hashes(words, first, 22), simhash(words, first)
+    return of, place, kernel.sequence_hashes(words, first, 21), kernel.sequence_hashes(words, first, 22), simhash(pairs(words, first), first)
+
+
+def pairs(words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A hash of each word and the next one of its run, the first one following the last.
+
+    Single words will not do: a few common ones outvote the rest, and all long lines of a language look alike.
+    """
+    after = np.arange(1, len(words) + 1)
+    if len(first):
+        after[np.append(first[1:], len(words)) - 1] = first
+    return kernel.mix(words + words[after] * np.uint64(0x9E3779B97F4A7C15))
 
 
 def simhash(words: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Bit by bit, what most words of each run have in their hashes (a draw counts as 1)."""
+    """Bit by bit, what most hashes of each run have (a draw counts as 1)."""
     if not len(first):
         return np.zeros(0, np.uint64)
     size = np.diff(np.append(first, len(words)))
