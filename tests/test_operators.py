@@ -276,6 +276,10 @@ def test_parsers_and_files(spark, tmp_path):
     assert [tuple(r) for r in got] == [("s2", "u2", 1, 3, "http://r")]
     with pytest.raises(ValueError):
         L.parse_log(df, "CSV", [], "sid")
+    own = lambda line, session, user: F.struct(line.alias("sessionId"), F.length(line).cast("long").alias("dateTimeEpoch"))
+    assert L.parse_log(df, own, ["sessionId"], "sid").count() == 3
+    text = spark.createDataFrame([("7", "8", "x"), ("y", "9", "z")], "timeTaken string, dateTimeEpoch string, url string")
+    assert [tuple(r) for r in L.typed(text).collect()] == [(7, 8, "x"), (None, 9, "z")]
     stats = spark.createDataFrame([(1.5, 2.5)], "a double, b double")
     L.write_stats(stats, str(tmp_path / "stats"))
     assert tuple(L.read_stats(spark, str(tmp_path / "stats"), ["a", "b"]).first()) == (1.5, 2.5)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -96,6 +98,11 @@ def parse_w3c(line: Column, session_name: str, user_name: str | None = None) ->
     )
 
 
+def typed(rows: DataFrame) -> DataFrame:
+    """Columns named like log fields, cast from text to the types that the fields have; others stay text."""
+    return rows.select(*[F.col(c).try_cast(FIELD_TYPES.get(c, "string")).alias(c) for c in rows.columns])
+
+
 def _cookie(cookie: Column, name: str | None) -> Column:
     """The value of the cookie of exactly this name; names are split off at the first =."""
     if name is None:
@@ -105,11 +112,16 @@ def _cookie(cookie: Column, name: str | None) -> Column:
     return F.when(F.locate("=", last) > 0, F.substr(last, F.locate("=", last) + 1))
 
 
-def parse_log(lines: DataFrame, fmt: str, fields: list[str], session_name: str, user_name: str | None = None, value: str = "value") -> DataFrame:
-    """The chosen fields of each line that has a session id and a time."""
-    if fmt not in (NCSA, W3C):
-        raise ValueError(f"log format {fmt!r} is neither {NCSA} nor {W3C}")
-    parsed = lines.select((parse_ncsa if fmt == NCSA else parse_w3c)(F.col(value), session_name, user_name).alias("r"))
+Parser = Callable[[Column, str, str | None], Column]
+PARSERS: dict[str, Parser] = {NCSA: parse_ncsa, W3C: parse_w3c}
+
+
+def parse_log(lines: DataFrame, fmt: str | Parser, fields: list[str], session_name: str, user_name: str | None = None, value: str = "value") -> DataFrame:
+    """The chosen fields of each line that has a session id and a time; the format is known by name, or a parser of one's own."""
+    parser = fmt if callable(fmt) else PARSERS.get(fmt)
+    if parser is None:
+        raise ValueError(f"log format {fmt!r} is none of {sorted(PARSERS)}")
+    parsed = lines.select(parser(F.col(value), session_name, user_name).alias("r"))
     return parsed.where("r.sessionId is not null and r.dateTimeEpoch is not null").select(*[F.col(f"r.{f}").alias(f) for f in fields])
 
 
