@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +64,46 @@ def hot_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, ho
     return met.unionByName(rest)
 
 
+def per_run(df: DataFrame, keys: list[str], each: Callable[[tuple, dict[str, list]], list[tuple[int, int]]]) -> DataFrame:
+    """u, v from `each` (key, columns as lists) over the rows of every key: a group is all that is held.
+
+    Groups are runs of sorted Arrow batches, which costs far less for many small groups than a data
+    frame for each. The number of partitions is the session's, since work does not follow bytes.
+    """
+    names = df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, rows in _runs(batches, names, keys):
+            if found := each(key, rows):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["u", "v"])
+
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(run, "u long, v long")
+
+
+def _runs(batches: Iterator[pa.RecordBatch], names: list[str], keys: list[str]) -> Iterator[tuple[tuple, dict[str, list]]]:
+    key, held = None, None
+    for batch in batches:
+        columns = {name: batch.column(i).to_pylist() for i, name in enumerate(names)}
+        found = list(zip(*(columns[k] for k in keys)))
+        at = 0
+        while at < len(found):
+            end = at + 1
+            while end < len(found) and found[end] == found[at]:
+                end += 1
+            part = {name: values[at:end] for name, values in columns.items()}
+            if held is not None and key == found[at]:
+                for name in names:
+                    held[name] += part[name]
+            else:
+                if held is not None:
+                    yield key, held
+                key, held = found[at], part
+            at = end
+    if held is not None:
+        yield key, held
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of `edges` (u long, v long): one row (node, root) for each node of an edge, root the least node.
 

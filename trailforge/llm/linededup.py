@@ -26,7 +26,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -41,9 +40,9 @@ _OCCURRENCE = "key_id long, key_text long, place int, high long, low long, sim l
 
 
 def block_bits(classes: int) -> list[int]:
-    """Widths of the blocks: as many that chance meetings in a table stay under about one for each class."""
+    """Widths of the blocks: as many that a place of a table holds about 32 classes by chance at most."""
     for n in range(RADIUS + 1, 12):
-        if n == RADIUS + 1 + 6 or (64 // n) * (n - RADIUS) >= np.log2(max(classes, 2)) + 1:
+        if n == RADIUS + 1 + 6 or (64 // n) * (n - RADIUS) >= np.log2(max(classes, 2)) - 5:
             return [64 // n + (i < 64 % n) for i in range(n)]
     raise AssertionError
 
@@ -142,24 +141,19 @@ def _pairs_near(sim: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """Which of the SimHashes, all different in a place, are within RADIUS of another one between the same edges."""
     size = np.diff(edges)
     near = np.zeros(int(edges[-1]), bool)
-    # Neighbours at every distance inside small places at once; one place at a time for large ones.
-    for gap in range(1, int(min(size.max(initial=0), 33))):
-        left = np.arange(len(near) - gap)
-        of = np.repeat(np.arange(len(size)), size)
-        left = left[(of[left] == of[left + gap]) & (size[of[left]] <= 33)]
-        hit = np.bitwise_count(sim[left] ^ sim[left + gap]) <= RADIUS
-        near[left[hit]] = near[left[hit] + gap] = True
-    for k in np.flatnonzero(size > 33):
-        once = sim[edges[k] : edges[k + 1]]
-        found = np.zeros(len(once), bool)
-        for i in range(len(once)):
-            if not found[i]:
-                close = np.bitwise_count(once ^ once[i]) <= RADIUS
-                close[i] = False
-                if close.any():
-                    found |= close
-                    found[i] = True
-        near[edges[k] : edges[k + 1]] = found
+    # Neighbours at every distance inside small places at once; larger places one by one.
+    small = np.repeat(size <= 8, size)
+    place = np.repeat(np.arange(len(size)), size)
+    for gap in range(1, int(size[size <= 8].max(initial=1))):
+        left = np.flatnonzero(small[:-gap] & (place[:-gap] == place[gap:]))
+        hit = left[np.bitwise_count(sim[left] ^ sim[left + gap]) <= RADIUS]
+        near[hit] = near[hit + gap] = True
+    for k in np.flatnonzero(size > 8):
+        some = sim[edges[k] : edges[k + 1]]
+        for at in range(0, len(some), 1024):
+            # Every SimHash is close to itself.
+            close = np.bitwise_count(some[at : at + 1024, None] ^ some[None, :]) <= RADIUS
+            near[edges[k] + at : edges[k] + at + len(close)] = close.sum(axis=1) > 1
     return near
 
 
@@ -219,18 +213,17 @@ class Forest:
 
 
 def _verify(masks: list[int]):
-    signed = [_signed(m) for m in masks]
+    order = [_signed(m) for m in masks]
 
-    def verify(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def verify(key: tuple, rows: dict[str, list]) -> list[tuple[int, int]]:
         """Edges between the classes of a tile: enough of them to connect whatever its links connect.
 
         A pair is compared under the first mask on which it agrees, and nowhere else.
         """
-        rows = rows.sort_values("id", ignore_index=True)
-        sims = rows["sim"].to_numpy(np.int64).view(np.uint64)
-        texts, parts, ids, out = rows["line"].tolist(), rows["part"].to_numpy(), rows["id"].to_numpy(), []
-        forest, earlier = Forest(len(rows)), [np.uint64(m) for m in masks[: signed.index(int(key[0]))]]
-        for i in range(1, len(rows)):
+        sims = np.array(rows["sim"], np.int64).view(np.uint64)
+        texts, parts, ids, out = rows["line"], np.array(rows["part"]), rows["id"], []
+        forest, earlier = Forest(len(ids)), [np.uint64(m) for m in masks[: order.index(key[0])]]
+        for i in range(1, len(ids)):
             apart = sims[:i] ^ sims[i]
             close = np.bitwise_count(apart) <= RADIUS
             if key[2] != key[3]:
@@ -241,7 +234,7 @@ def _verify(masks: list[int]):
                 if forest.root(i) != forest.root(j) and similar(texts[i], texts[j]):
                     forest.join(i, j)
                     out.append((ids[j], ids[i]))
-        return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
+        return out
 
     return verify
 
@@ -275,7 +268,7 @@ def links(classes: DataFrame, documents: DataFrame, key: str, text: str) -> Data
     tiled = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "id", "sim", "mask", "bits", "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b")
     )
-    return common.stored(tiled.join(lines, "id").groupBy("mask", "bits", "a", "b").applyInPandas(_verify(masks), "u long, v long"), "links")
+    return common.stored(common.per_run(tiled.join(lines, "id"), ["mask", "bits", "a", "b"], _verify(masks)), "links")
 
 
 def _signed(mask: int) -> int:
