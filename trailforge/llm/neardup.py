@@ -30,7 +30,6 @@ import itertools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -242,13 +241,12 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def _verify(idf: np.ndarray):
-    def verify(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def verify(key: tuple, rows: dict[str, list]) -> list[tuple[int, int]]:
         """Edges between the members of a tile: enough of them to connect whatever its similar pairs connect."""
-        rows = rows.sort_values("id", ignore_index=True)
-        bands, band = np.stack(rows["bands"].to_numpy()), int(key[0])
-        texts, parts, ids, out = rows["text"].tolist(), rows["part"].to_numpy(), rows["id"].to_numpy(), []
-        forest, sets = Forest(len(rows)), {}
-        for i in range(1, len(rows)):
+        bands, band = np.array(rows["bands"], np.int64), key[0]
+        texts, parts, ids, out = rows["text"], np.array(rows["part"]), rows["id"], []
+        forest, sets = Forest(len(ids)), {}
+        for i in range(1, len(ids)):
             close = ~(bands[:i, :band] == bands[i, :band]).any(axis=1)
             if key[2] != key[3]:
                 close &= parts[:i] != parts[i]
@@ -261,7 +259,7 @@ def _verify(idf: np.ndarray):
                 if similarity(sets[i], sets[j]) >= SIMILARITY:
                     forest.join(i, j)
                     out.append((ids[j], ids[i]))
-        return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
+        return out
 
     return verify
 
@@ -279,7 +277,7 @@ def _links(members: DataFrame, documents: DataFrame, idf: np.ndarray, key: str,
     tiled = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "id", "bands", "band", "key", "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b")
     )
-    return common.stored(tiled.join(texts, "id").groupBy("band", "key", "a", "b").applyInPandas(_verify(idf), "u long, v long"), "links")
+    return common.stored(common.per_run(tiled.join(texts, "id"), ["band", "key", "a", "b"], _verify(idf)), "links")
 
 
 def _classed(documents: DataFrame, key: str, text: str) -> DataFrame:
