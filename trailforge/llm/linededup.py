@@ -279,7 +279,8 @@ def _lines_of(wanted: DataFrame, documents: DataFrame, key: str, text: str) -> D
     """id and normalised text of one line of each wanted class."""
     asked = wanted.groupBy("key_id", "key_text").agg(F.collect_list(F.struct("place", "id")).alias("asked"))
     held = documents.select(*common.row_key(key, text), F.col(text).cast("string").alias("text"))
-    met = asked.join(held, ["key_id", "key_text"]).select("asked", "text")
+    # By merge at any size: what is small in a test is not small on a cluster.
+    met = held.join(asked.hint("merge"), ["key_id", "key_text"]).select("asked", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -331,7 +332,7 @@ def deduplicate(documents: DataFrame, key: str = "doc_id", text: str = "text", d
     places = common.stored(dropped(documents, key, text), "dropped")
     met = (
         documents.withColumns({f"__{c}": e for c, e in zip(("key_id", "key_text"), common.row_key(key, text))})
-        .join(places.select(F.col("key_id").alias("__key_id"), F.col("key_text").alias("__key_text"), F.col("places").alias("__places")), ["__key_id", "__key_text"], "left")
+        .join(places.select(F.col("key_id").alias("__key_id"), F.col("key_text").alias("__key_text"), F.col("places").alias("__places")).hint("merge"), ["__key_id", "__key_text"], "left")
         .select(*[F.col(f"`{c}`") for c in rest], "__places")
     )
     at = rest.index(text)
