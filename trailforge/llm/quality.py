@@ -143,8 +143,11 @@ class Model:
         return self.forward((x - self.mean) / self.scale, bag, n)["p"]
 
 
-def fit(x: np.ndarray, at: np.ndarray, y: np.ndarray, seed: int = 7, epochs: int = 40, hidden: int = 32, gate: int = 16, rate: float = 3e-3, decay: float = 1e-4) -> Model:
-    """Learns a model from bags (passages x, first passages at) and their labels, by Adam over mini-batches."""
+def fit(x: np.ndarray, at: np.ndarray, y: np.ndarray, seed: int = 7, steps: int = 1500, hidden: int = 32, gate: int = 16, rate: float = 3e-3, decay: float = 1e-3) -> Model:
+    """Learns a model from bags (passages x, first passages at) and their labels, by about `steps` mini-batches with Adam.
+
+    The steps do not hang on the number of labels: few labels are gone through more often.
+    """
     if not len(y) or y.min() == y.max():
         return Model(prior=float(y.mean()) if len(y) else 0.5)
     x, bag = filled(x, at)
@@ -156,8 +159,9 @@ def fit(x: np.ndarray, at: np.ndarray, y: np.ndarray, seed: int = 7, epochs: int
     model.w = {"enc": draw(x.shape[1], hidden), "enc0": np.zeros(hidden), "v": draw(hidden, gate), "u": draw(hidden, gate), "att": draw(gate), "out": draw(hidden), "out0": np.zeros(1)}
     m, v, t = {k: 0.0 for k in model.w}, {k: 0.0 for k in model.w}, 0
     first = np.searchsorted(bag, np.arange(len(y) + 1))
-    for _ in range(epochs):
-        for some in np.array_split(rng.permutation(len(y)), max(1, len(y) // 128)):
+    batches = max(1, len(y) // 128)
+    for _ in range(-(-steps // batches)):
+        for some in np.array_split(rng.permutation(len(y)), batches):
             rows = np.concatenate([np.arange(first[i], first[i + 1]) for i in some])
             sizes = first[some + 1] - first[some]
             t += 1
