@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import heapq
 import json
+import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,8 +30,12 @@ from pyspark.sql import functions as F
 
 #: Longest word, in parts, that the array is scanned for.
 SHORT = 256
-#: Entries after which a worker's cache starts anew, and the longest run that it keeps.
-CACHED, CACHED_CHARS = 300_000, 64
+#: Entries after which the younger half of a worker's cache becomes the older one, and the longest run that it keeps.
+CACHED, CACHED_CHARS = 150_000, 64
+#: Text, in characters, of the rows that are handed back together.
+PIECE = 4 << 20
+if sys.byteorder != "little" or array("I").itemsize != 4:
+    raise ImportError("ids are kept in the machine's own 32-bit words, which must be little-endian")
 _MINUS = "\x1c\x1d\x1e\x1f"
 _NONE = 1 << 60
 
@@ -68,6 +74,7 @@ class Bpe:
         self.piece = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.at_control = regex.compile("(" + "|".join(regex.escape(c) for c in sorted(self.control, key=len, reverse=True)) + ")")
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def word(self, piece: str) -> list[int]:
         """The ids of one word."""
@@ -113,9 +120,18 @@ class Bpe:
         return [parts[i] for i in range(n) if not gone[i]]
 
     def _run(self, run: str) -> bytes:
-        ids = np.array([i for piece in self.piece.findall(run) for i in self.word(piece)], "<u4").tobytes()
+        """The ids of a run without white space: kept from before, or those of its pieces one after another."""
+        ids = self.old.get(run)
+        if ids is None:
+            pieces = [run] if run.isalpha() else self.piece.findall(run)
+            if len(pieces) == 1:
+                ids = array("I", self.word(pieces[0])).tobytes()
+            else:
+                ids = b"".join([self.cache.get(p) or self._run(p) for p in pieces])
         if len(run) <= CACHED_CHARS:
             if len(self.cache) >= CACHED:
+                # What has not been met since the last change goes.
+                self.old = dict(self.cache)
                 self.cache.clear()
             self.cache[run] = ids
         return ids
@@ -147,35 +163,57 @@ def load(path: str) -> Bpe:
 
 
 def encode(df: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
-    """`df` with `ids`: binary, little-endian unsigned 32-bit integers. `path` is read where the rows are."""
+    """`df` with `ids` for its text: binary, little-endian unsigned 32-bit integers. `path` is read where the rows are."""
     path = path or default_path()
-    return _mapped(df, text, "ids", "binary", pa.binary(), lambda: load(path).encode)
+    return _mapped(df, text, {"ids": ("binary", pa.binary())}, lambda: lambda x: (load(path).encode(x),))
 
 
 def decode(df: DataFrame, ids: str = "ids", path: str | None = None) -> DataFrame:
-    """`df` with `decoded`: the text of its ids."""
+    """`df` with `decoded` for its ids: their text."""
     path = path or default_path()
-    return _mapped(df, ids, "decoded", "string", pa.string(), lambda: load(path).decode)
+    return _mapped(df, ids, {"decoded": ("string", pa.string())}, lambda: lambda x: (load(path).decode(x),))
 
 
-def _mapped(df: DataFrame, source: str, target: str, kind: str, arrow, of) -> DataFrame:
-    """`df` without `source` and with `target`, its values mapped one by one (null as empty)."""
-    rest = [c for c in df.columns if c not in (source, target)]
-    binary = df.schema[source].dataType.typeName() == "binary"
+def round_trip(df: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
+    """`df` with `ids` and `decoded` for its text: `encode`, then `decode` of what it gave, in one pass of one worker."""
+    path = path or default_path()
+
+    def both():
+        bpe = load(path)
+        return lambda x: ((ids := bpe.encode(x)), bpe.decode(ids))
+
+    return _mapped(df, text, {"ids": ("binary", pa.binary()), "decoded": ("string", pa.string())}, both)
+
+
+def _mapped(df: DataFrame, source: str, made: dict[str, tuple[str, pa.DataType]], of) -> DataFrame:
+    """`df` without `source` and with the columns `made` from its values one by one (null as empty), a few MB at a time."""
+    rest = [c for c in df.columns if c != source and c.lower() not in made]
+    nothing = b"" if df.schema[source].dataType.typeName() == "binary" else ""
+    kinds = [arrow for _, arrow in made.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, nothing = of(), b"" if binary else ""
+        one = of()
         for batch in batches:
-            made = pa.array([one(x.as_py() or nothing) for x in batch.column(0)], arrow)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], made], names=[*rest, target])
-
-    schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in rest), f"{target} {kind}"])
+            at, held, out = 0, 0, [[] for _ in kinds]
+            for i, value in enumerate(batch.column(0)):
+                value = value.as_py() or nothing
+                for column, x in zip(out, one(value)):
+                    column.append(x)
+                held += len(value)
+                if held > PIECE or i + 1 == len(batch):
+                    kept = [c.slice(at, i + 1 - at) for c in batch.columns[1:]]
+                    yield pa.RecordBatch.from_arrays([*kept, *map(pa.array, out, kinds)], names=[*rest, *made])
+                    at, held, out = i + 1, 0, [[] for _ in kinds]
+
+    schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in rest), *(f"{name} {kind}" for name, (kind, _) in made.items())])
     return df.select(source, *rest).mapInArrow(run, schema)
 
 
 def digests(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
-    """key, n_tokens, ids_sha256, decoded_sha256 of every row, from what `encode` and `decode` give."""
-    coded = encode(df.select(key, text), text, path).select(
-        key, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids"
+    """key, n_tokens, ids_sha256, decoded_sha256 of every row, from the ids and texts of `round_trip`."""
+    return round_trip(df.select(key, text), text, path).select(
+        key,
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
-    return decode(coded, "ids", path).select(key, "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
