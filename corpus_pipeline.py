@@ -26,7 +26,7 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 @shipped
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that stay elsewhere; those left without a word go. n_chars follows the text."""
-    left = linededup.deduplicate(docs, drop_emptied=True)
+    left = linededup.deduplicate(docs, drop_emptied=True, radius=None)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType.simpleString()
         left = left.selectExpr(

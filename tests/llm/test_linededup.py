@@ -99,3 +99,57 @@ def test_kernel_lines():
     data, offsets = np.frombuffer(b"a\n\nbc\n", np.uint8), np.array([0, 2, 2, 6])
     begin, end, at = kernel.lines(data, offsets)
     assert [bytes(data[b:e]) for b, e in zip(begin, end)] == [b"a", b"", b"", b"", b"bc", b""] and at.tolist() == [0, 2, 3, 6]
+
+
+def edited(line, share, rng, words):
+    line = line.split()
+    for at in rng.sample(range(len(line)), max(1, round(share * len(line)))):
+        line[at] = rng.choice(words)
+    return " ".join(line)
+
+
+def test_edited_copies_meet_by_edit_similarity_alone(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(2000)]
+    rows = []
+    for size in (10, 20, 30, 50, 80, 120):
+        for _ in range(12):
+            line = " ".join(rng.choice(words) for _ in range(size))
+            rows += [line, edited(line, 0, rng, words), edited(line, 0.05, rng, words)]
+    forest = ld.Forest(len(rows))
+    for i in range(len(rows)):
+        for j in range(i):
+            if ld.similar(rows[i], rows[j]):
+                forest.join(i, j)
+    want = {i for i in range(len(rows)) if forest.root(i) == i}
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"] for r in ld.deduplicate(df, radius=None).collect() if r["text"]}
+    narrow = {r["doc_id"] for r in ld.deduplicate(df).collect() if r["text"]}
+    assert want <= got and len(got - want) <= 1 and len(narrow) > 1.5 * len(want)
+
+
+def test_short_lines_and_slices_by_edit_similarity(spark, monkeypatch):
+    monkeypatch.setattr(ld, "SLICE", 4)
+    monkeypatch.setattr(ld, "LISTED", 6)
+    rows = ["abcdefghijklmnopqrst", "abcdefghijKlmnopqrsu", "something else here", "ab", "ac"]
+    rows += [" ".join([*[f"w{i}" for i in range(50)], f"edit{k}"]) for k in range(20)] + ["ab", None, "  "]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in ld.deduplicate(df, radius=None).collect()}
+    assert [k for k, t in sorted(got.items()) if t and t.strip()] == [0, 2, 3, 4, 5] and got[26] is None and got[27] == "  "
+
+
+def test_edit_distance_stops_past_a_bound():
+    rng = random.Random(3)
+    for _ in range(1000):
+        a, b = ("".join(rng.choice("ab ") for _ in range(rng.randrange(24))) for _ in range(2))
+        most = rng.randrange(12)
+        assert (ld.edit_distance(a, b, most) <= most) == (levenshtein(a, b) <= most)
+
+
+def test_similar_is_the_edit_distance_under_its_bound():
+    rng = random.Random(5)
+    for _ in range(2000):
+        a = [rng.choice(["la", "casa", "b", "perro"]) for _ in range(rng.randrange(1, 12))]
+        b = [w for w in a if rng.random() < 0.9] + ["b"] * rng.randrange(2)
+        a, b = " ".join(a), " ".join(b)
+        assert ld.similar(a, b) == (levenshtein(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9)

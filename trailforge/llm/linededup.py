@@ -1,15 +1,21 @@
 """Fuzzy line deduplication over the whole corpus.
 
 Lines are lower-cased and their white space collapsed; equal lines are one class, known by a
-128-bit hash. Each class has a 64-bit SimHash of its pairs of neighbouring words. Two classes are linked if their
-SimHashes differ in at most RADIUS bits and their edit similarity is at least SIMILARITY.
+128-bit hash. Two classes are linked if their edit similarity is at least SIMILARITY. With
+`radius=None`, as the registered queries have it, classes meet on bands of least hashes over
+their character n-grams, a pair that meets is compared if enough nibbles of its other least
+hashes agree (`alike`), each pair of a small place once, and nothing else keeps a pair apart; the README has the recall.
+
+With `radius=RADIUS`, the narrow form, a pair also has to be near by SimHash: each class has a
+64-bit SimHash of its pairs of neighbouring words, and pairs that differ in more than RADIUS
+bits are not linked, which leaves out most edited copies.
 By the pigeonhole principle, such SimHashes agree on all but RADIUS of the blocks that the 64
 bits are cut into, so classes meet on the bits of every choice of the other blocks; the number
 of blocks grows with the number of classes, so that chance meetings stay few. Linked classes
 are joined to connected groups and the first line of each group, by doc_id and place, stays.
 
-Only hashes are shuffled. Texts of classes are fetched for those alone that have a class
-within RADIUS. Within a meeting place, pairs already known to be connected are not
+Only hashes are shuffled. Texts of classes are fetched for those alone that have a partner
+by their hashes. Within a meeting place, pairs already known to be connected are not
 compared again; large places are cut into tiles of pairs of slices.
 
 Defined cases: lines without a word are no lines to this operator and stay; a null text
@@ -36,6 +42,18 @@ from trailforge.llm import common, kernel
 RADIUS, SIMILARITY = 3, 0.8
 #: Members of a meeting place that one task compares; a larger place is cut into slices of this size.
 SLICE = 512
+#: Least hashes: BANDS places of ROWS hashes each, and NIBBLES further hashes that say which pairs are compared.
+BANDS, ROWS, NIBBLES = 16, 3, 14
+#: Bytes of an n-gram; lines of up to SHORT bytes meet on n-grams of both lengths, since an edit spoils more of a short line.
+GRAM, SHORT_GRAM, SHORT = 6, 3, 64
+#: Nibbles that a pair has in common if it is compared, for n-grams of either length: short ones agree by chance more often.
+AGREE, SHORT_AGREE = 5, 7
+#: Members of a place whose pairs are listed one by one; the texts of more of them meet in tiles.
+LISTED = 16
+#: A place of more members is not thinned out before its tiles are compared.
+DENSE = 16_384
+_FACTORS = (kernel.stream(np.arange(BANDS * ROWS + NIBBLES), 51) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_LENGTH_STEP, _LENGTH_APART = 1.08, 3
 _OCCURRENCE = "key_id long, key_text long, place int, high long, low long, sim long"
 
 
@@ -112,6 +130,143 @@ def occurrences(documents: DataFrame, key: str, text: str) -> DataFrame:
     return documents.select(*common.row_key(key, text), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).mapInArrow(_occurrences, _OCCURRENCE)
 
 
+def _spaced(data: np.ndarray, begin: np.ndarray, end: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all words with a space after each, and the first byte of each line in them."""
+    size = end - begin + 1
+    at = np.cumsum(size) - size
+    out = data[np.minimum(np.arange(int(size.sum())) + np.repeat(begin - at, size), len(data) - 1)]
+    out[at + size - 1] = 32
+    return out, at[first]
+
+
+def _least(data: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
+    """For each line the least of each hash over its n-grams, whose bytes past the end of the line are 0."""
+    end = np.repeat(np.append(first[1:], len(data)), np.diff(np.append(first, len(data))))
+    place, gram = np.arange(len(data)), np.zeros(len(data), np.uint64)
+    for k in range(n):
+        gram <<= np.uint64(8)
+        gram[: len(data) - k] |= np.where(place[k:] < end[: len(data) - k], data[k:], 0).astype(np.uint64)
+    gram = (kernel.mix(gram) >> np.uint64(32)).astype(np.uint32)
+    return np.stack([np.minimum.reduceat(gram * factor, first) for factor in _FACTORS], axis=1)
+
+
+def _meetings(least: np.ndarray, chars: np.ndarray, short: int) -> tuple[np.ndarray, np.ndarray]:
+    """The BANDS places of each line (the last bit tells n-grams of short lines) and its gate: length and nibbles."""
+    places = np.zeros((len(least), BANDS), np.uint64)
+    for i in range(ROWS):
+        places = kernel.mix(places * np.uint64(0xFF51AFD7ED558CCD) + least[:, i : BANDS * ROWS : ROWS] + np.arange(BANDS, dtype=np.uint64))
+    places = (places >> np.uint64(32)).astype(np.uint32) & np.uint32(0xFFFFFFFE) | np.uint32(short)
+    gate = np.minimum(np.log(np.maximum(chars, 1)) / np.log(_LENGTH_STEP), 255).astype(np.uint64)
+    for i in range(NIBBLES):
+        gate = gate << np.uint64(4) | kernel.mix(least[:, BANDS * ROWS + i].astype(np.uint64)) & np.uint64(15)
+    return places.view(np.int32), gate.view(np.int64)
+
+
+def alike(a: np.ndarray, b: np.ndarray, agree: np.ndarray | int = AGREE) -> np.ndarray:
+    """Which pairs of gates have lengths that allow the similarity, and `agree` nibbles in common."""
+    apart = a ^ b
+    apart |= apart >> np.uint64(1)
+    apart |= apart >> np.uint64(2)
+    same = NIBBLES - np.bitwise_count(apart & np.uint64(0x0011111111111111)).astype(np.int64)
+    length = (a >> np.uint64(56)).astype(np.int64) - (b >> np.uint64(56)).astype(np.int64)
+    return (same >= agree) & (np.abs(length) <= _LENGTH_APART)
+
+
+def meetings(data: np.ndarray, offsets: np.ndarray, seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """key, id and gate for every place of every class; `data` is in lower case already.
+
+    `seen` remembers classes of earlier calls, as many as it is long, so that frequent lines are not repeated.
+    """
+    begin, end, _ = kernel.words(data, offsets)
+    line_begin, line_end, _ = kernel.lines(data, offsets)
+    first = np.searchsorted(begin, line_begin)
+    first = first[np.searchsorted(begin, line_end) > first]
+    if not len(first):
+        return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ids = kernel.sequence_hashes(kernel.span_hashes(data, begin, end), first, 21)
+    new = np.zeros(len(ids), bool)
+    new[np.unique(ids, return_index=True)[1]] = True
+    if seen is not None:
+        slot = (ids & np.uint64(len(seen) - 1)).astype(np.int64)
+        new &= seen[slot] != ids
+        seen[slot] = ids
+    text, at = _spaced(data, begin, end, first)
+    size = np.diff(np.append(at, len(text)))
+    chars = np.add.reduceat((text & 0xC0) != 0x80, at, dtype=np.int64) - 1
+    found = []
+    for n, some in ((GRAM, new), (SHORT_GRAM, new & (size <= SHORT))):
+        some = np.flatnonzero(some)
+        if len(some):
+            of = np.repeat(at[some] - np.cumsum(size[some]) + size[some], size[some])
+            least = _least(text[of + np.arange(len(of))], np.cumsum(size[some]) - size[some], n)
+            places, gate = _meetings(least, chars[some], int(n == SHORT_GRAM))
+            found.append((places.ravel(), np.repeat(ids[some].view(np.int64), BANDS), np.repeat(gate, BANDS)))
+    return tuple(np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen = np.zeros(1 << 16, np.uint64)
+    for batch in batches:
+        for _, _, data, offsets in kernel.texts(pc.utf8_lower(batch.column(0)), 256 << 10):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in meetings(data, offsets, seen)], names=["key", "id", "gate"])
+
+
+def _agree(key: np.ndarray) -> np.ndarray:
+    return np.where(key & 1, SHORT_AGREE, AGREE)
+
+
+def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key, those whose gate is like that of another class there: all pairs of few, or a row (key, id, gate) of each of many."""
+    held: pa.Table | None = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None and not len(batch):
+            continue
+        rows = pa.Table.from_batches([batch]) if batch is not None else None
+        if held is not None:
+            rows = pa.concat_tables([held, rows]) if rows is not None else held
+        if rows is None:
+            return
+        key, ids, gate = (rows.column(c).to_numpy() for c in ("key", "id", "gate"))
+        new = np.flatnonzero(key[1:] != key[:-1]) + 1
+        cut = (int(new[-1]) if len(new) else 0) if batch is not None else len(rows)
+        held = rows.slice(cut) if batch is not None else None
+        if not cut:
+            continue
+        pairs, many = _pairs_alike(key[:cut], ids[:cut], gate[:cut].view(np.uint64), np.concatenate([[0], new[new < cut], [cut]]))
+        null = pa.nulls(len(pairs), pa.int32())
+        yield pa.RecordBatch.from_arrays([null, pa.array(pairs.min(axis=1)), pa.array(pairs.max(axis=1))], names=["key", "u", "v"])
+        yield pa.RecordBatch.from_arrays([pa.array(key[many]), pa.array(ids[many]), pa.array(gate[many])], names=["key", "u", "v"])
+
+
+def _pairs_alike(key: np.ndarray, ids: np.ndarray, gate: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ids with like gates between the same edges, and the rows of the places that have too many to be listed."""
+    size = np.diff(edges)
+    pairs, many = [np.zeros((0, 2), np.int64)], [np.zeros(0, np.int64)]
+    small = np.repeat(size <= 8, size)
+    place = np.repeat(np.arange(len(size)), size)
+    for gap in range(1, int(size[size <= 8].max(initial=1))):
+        left = np.flatnonzero(small[:-gap] & (place[:-gap] == place[gap:]))
+        left = left[alike(gate[left], gate[left + gap], _agree(key[left])) & (ids[left] != ids[left + gap])]
+        pairs.append(np.stack([ids[left], ids[left + gap]], axis=1))
+    for k in np.flatnonzero(size > 8):
+        lo, hi = edges[k], edges[k + 1]
+        if hi - lo > DENSE:
+            many.append(np.arange(lo, hi))
+            continue
+        near = np.zeros(hi - lo, bool)
+        for at in range(lo, hi, 256):
+            to = min(at + 256, hi)
+            close = alike(gate[at:to, None], gate[None, lo:hi], int(_agree(key[lo])))
+            near[at - lo : to - lo] = (close & (ids[at:to, None] != ids[None, lo:hi])).any(axis=1)
+        near = lo + np.flatnonzero(near)
+        if len(near) > LISTED:
+            many.append(near)
+        else:
+            i, j = np.nonzero(np.triu(alike(gate[near, None], gate[None, near], int(_agree(key[lo]))) & (ids[near, None] != ids[None, near])))
+            pairs.append(np.stack([ids[near[i]], ids[near[j]]], axis=1))
+    return np.concatenate(pairs), np.concatenate(many)
+
+
 def _near(whole: int):
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of SimHashes sorted by meeting place (mask, bits), those within RADIUS of another there; shared ones at the first mask too."""
@@ -157,8 +312,8 @@ def _pairs_near(sim: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return near
 
 
-def edit_distance(a: str, b: str) -> int:
-    """Levenshtein distance by bit-parallel columns (Myers; Hyyro) on integers of any length."""
+def edit_distance(a: str, b: str, most: float = float("inf")) -> int:
+    """Levenshtein distance by bit-parallel columns (Myers; Hyyro) on integers of any length; past `most`, any number past it."""
     at = 0
     while at < min(len(a), len(b)) and a[at] == b[at]:
         at += 1
@@ -174,12 +329,15 @@ def edit_distance(a: str, b: str) -> int:
         where[c] = where.get(c, 0) | 1 << i
     full, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
     up, down, distance = full, 0, len(a)
-    for c in b:
+    for left, c in zip(range(len(b) - 1, -1, -1), b):
         match = where.get(c, 0)
         diagonal = (((match & up) + up) ^ up) | match | down
         rise = down | (full & ~(diagonal | up))
         fall = diagonal & up
         distance += bool(rise & last) - bool(fall & last)
+        # Each column that is left takes off one at most.
+        if distance - left > most:
+            return distance - left
         rise = (rise << 1 | 1) & full
         fall = (fall << 1) & full
         up = fall | (full & ~(diagonal | rise))
@@ -187,12 +345,40 @@ def edit_distance(a: str, b: str) -> int:
     return distance
 
 
+def _bound(a: list[str], b: list[str], most: float) -> bool:
+    """Whether an alignment of equal words, found in one walk, shows that at most `most` edits do; if not, more may or may not."""
+    i = j = 0
+    cost = 0
+    while i < len(a) and j < len(b):
+        if a[i] == b[j]:
+            i, j = i + 1, j + 1
+            continue
+        # The nearest equal words ahead; without any, four words are exchanged.
+        to = (min(i + 4, len(a)), min(j + 4, len(b)))
+        for x, y in _AHEAD:
+            if i + x < len(a) and j + y < len(b) and a[i + x] == b[j + y]:
+                to = (i + x, j + y)
+                break
+        cost += max(sum(map(len, a[i : to[0]])) + to[0] - i, sum(map(len, b[j : to[1]])) + to[1] - j)
+        if cost > most:
+            return False
+        i, j = to
+    return cost + max(sum(map(len, a[i:])) + len(a) - i, sum(map(len, b[j:])) + len(b) - j) <= most
+
+
+_AHEAD = sorted(((x, y) for x in range(6) for y in range(6) if x + y), key=lambda p: (p[0] + p[1], abs(p[0] - p[1])))
+
+
 def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
     longest = max(len(a), len(b))
     if not longest:
         return True
-    most = (1 - least) * longest
-    return abs(len(a) - len(b)) <= most and edit_distance(a, b) <= most + 1e-9
+    most = (1 - least) * longest + 1e-9
+    if abs(len(a) - len(b)) > most:
+        return False
+    if _bound(a.split(" "), b.split(" "), most):
+        return True
+    return edit_distance(a, b, most) <= most
 
 
 class Forest:
@@ -239,6 +425,28 @@ def _verify(masks: list[int]):
     return verify
 
 
+def _verify_alike(key: tuple, rows: dict[str, list]) -> list[tuple[int, int]]:
+    """Edges between the classes of a tile, as in `_verify`."""
+    gates = np.array(rows["gate"], np.int64).view(np.uint64)
+    texts, parts, ids, out = rows["line"], np.array(rows["part"]), rows["id"], []
+    forest, agree = Forest(len(ids)), int(_agree(np.int64(key[0])))
+    for i in range(1, len(ids)):
+        close = alike(gates[:i], gates[i], agree)
+        if key[1] != key[2]:
+            close &= parts[:i] != parts[i]
+        for j in np.flatnonzero(close).tolist():
+            if forest.root(i) != forest.root(j) and similar(texts[i], texts[j]):
+                forest.join(i, j)
+                out.append((ids[j], ids[i]))
+    return out
+
+
+def _verify_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = [similar(a, b) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -271,6 +479,25 @@ def links(classes: DataFrame, documents: DataFrame, key: str, text: str) -> Data
     return common.stored(common.per_run(tiled.join(lines, "id"), ["mask", "bits", "a", "b"], _verify(masks)), "links")
 
 
+def links_alike(classes: DataFrame, documents: DataFrame, key: str, text: str) -> DataFrame:
+    """As `links`, by edit similarity alone. `classes` has id (the first hash of the class) and first."""
+    meet = documents.select(F.col(text).cast("string").alias("text")).mapInArrow(_meet, "key int, id long, gate long").repartition("key").sortWithinPartitions("key")
+    met = common.stored(meet.mapInArrow(_partners, "key int, u long, v long"), "met")
+    pairs = common.stored(met.where("key is null").select("u", "v").distinct(), "pairs")
+    near = common.stored(met.where("key is not null").select("key", F.col("u").alias("id"), F.col("v").alias("gate")).dropDuplicates(["key", "id"]), "near")
+    asked = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).union(near.select("id")).distinct()
+    members = classes.select("id", "first").join(asked, "id").select("id", "first.*")
+    lines = common.stored(_lines_of(members, documents, key, text), "lines")
+    texts = pairs.join(lines.toDF("u", "one"), "u").join(lines.toDF("v", "other"), "v").select("u", "v", "one", "other")
+    listed = texts.mapInArrow(_verify_pairs, "u long, v long")
+    sizes = near.groupBy("key").agg(F.count(F.lit(1)).alias("size")).withColumn("parts", F.ceil(F.col("size") / SLICE).cast("int"))
+    placed = common.hot_join(near, sizes, ["key"], "size").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    tiled = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "id", "gate", "key", "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b")
+    )
+    return common.stored(listed.union(common.per_run(tiled.join(lines, "id"), ["key", "a", "b"], _verify_alike)), "links")
+
+
 def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >= 1 << 63 else mask
 
@@ -295,18 +522,20 @@ def _lines_of(wanted: DataFrame, documents: DataFrame, key: str, text: str) -> D
     return met.mapInArrow(run, "id long, line string").dropDuplicates(["id"])
 
 
-def groups(documents: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+def groups(documents: DataFrame, key: str = "doc_id", text: str = "text", radius: int | None = RADIUS) -> tuple[DataFrame, DataFrame]:
     """Every line with a word (key_id, key_text, place, high, low), and for each class that is not alone the place that stays.
 
     The second has high, low, copies, and the keeper's kept_id, kept_text, kept_place.
     """
+    if radius not in (None, RADIUS):
+        raise ValueError(f"radius is {RADIUS} or None")
     seen = common.stored(occurrences(documents, key, text), "occurrences")
     where = F.struct("key_id", "key_text", "place")
     classes = common.stored(
-        seen.groupBy("high", "low").agg(F.min(where).alias("first"), F.first("sim").alias("sim"), F.count(F.lit(1)).alias("copies")).withColumn("id", F.xxhash64("high", "low")),
+        seen.groupBy("high", "low").agg(F.min(where).alias("first"), F.first("sim").alias("sim"), F.count(F.lit(1)).alias("copies")).withColumn("id", F.col("high") if radius is None else F.xxhash64("high", "low")),
         "classes",
     )
-    joined = common.components(links(classes, documents, key, text))
+    joined = common.components((links_alike if radius is None else links)(classes, documents, key, text))
     named = common.stored(classes.join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("group", F.coalesce("root", "id")), "named")
     linked = named.where("root is not null")
     keepers = common.stored(linked.groupBy("group").agg(F.min("first").alias("kept"), F.count(F.lit(1)).alias("n")), "keepers")
@@ -318,18 +547,21 @@ def groups(documents: DataFrame, key: str = "doc_id", text: str = "text") -> tup
     return seen, common.stored(kept, "kept")
 
 
-def dropped(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dropped(documents: DataFrame, key: str = "doc_id", text: str = "text", radius: int | None = RADIUS) -> DataFrame:
     """key_id, key_text, places: the places of the lines that each document loses."""
-    seen, kept = groups(documents, key, text)
+    seen, kept = groups(documents, key, text, radius)
     met = common.hot_join(seen, kept, ["high", "low"], "copies")
     gone = met.where("not (key_id = kept_id and key_text = kept_text and place = kept_place)")
     return gone.groupBy("key_id", "key_text").agg(F.collect_set("place").alias("places"))
 
 
-def deduplicate(documents: DataFrame, key: str = "doc_id", text: str = "text", drop_emptied: bool = False) -> DataFrame:
-    """`documents` without the lines that are copies, with n_dropped; documents that lose all their lines go if `drop_emptied`."""
+def deduplicate(documents: DataFrame, key: str = "doc_id", text: str = "text", drop_emptied: bool = False, radius: int | None = RADIUS) -> DataFrame:
+    """`documents` without the lines that are copies, with n_dropped; documents that lose all their lines go if `drop_emptied`.
+
+    `radius=None` links lines on their edit similarity alone.
+    """
     rest = [c for c in documents.columns if c.lower() != "n_dropped"]
-    places = common.stored(dropped(documents, key, text), "dropped")
+    places = common.stored(dropped(documents, key, text, radius), "dropped")
     met = (
         documents.withColumns({f"__{c}": e for c, e in zip(("key_id", "key_text"), common.row_key(key, text))})
         .join(places.select(F.col("key_id").alias("__key_id"), F.col("key_text").alias("__key_text"), F.col("places").alias("__places")).hint("merge"), ["__key_id", "__key_text"], "left")

@@ -98,7 +98,7 @@ FROM x
 
 def op5_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that stay elsewhere, and how many it lost."""
-    return linededup.deduplicate(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return linededup.deduplicate(_table(spark, sf_dir, "documents").select("doc_id", "text"), radius=None)
 
 
 def op6_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
