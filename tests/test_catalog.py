@@ -61,3 +61,9 @@ def test_sketches_are_near_the_exact_counts(spark):
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(catalog.QUERIES) <= set(__spark_entry__.queries()) and set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_every_line_is_tokenised(spark, db):
+    found = catalog.QUERIES["log_tokens_all"](spark, SF)
+    want = db.execute("SELECT count(*) + count(*) FILTER (event_type = 'error') FROM events").fetchone()[0]
+    assert found.count() == want and found.where("file = 'error_log' and tokens like '%001:caused%'").count() > 0

@@ -244,10 +244,19 @@ def log_partition_entity(spark, sf_dir):
 SELECT file, byte_offset, rpad(file[1:8], 8, 'x') || ':' || lpad(byte_offset::VARCHAR, 12, '0') || ' '
   || array_to_string(list_transform(ts, lambda t, i: lpad((i - 1)::VARCHAR, 3, '0') || ':' || t), ' ') AS tokens FROM l""")
 def log_tokens(spark, sf_dir):
+    """Lines of the files without errors; `log_tokens_all` has every line."""
     lines = log_lines(spark, sf_dir).where("file <> 'error_log'").withColumn("byte_offset", F.col("line_no") * 5)
     return logs.tokenize(lines)
 
 
+@query(f"""WITH l AS (SELECT event_type || '_log' AS file, event_id * 10 AS byte_offset, string_split({FIRST_LINE}, ' ') AS ts FROM events
+  UNION ALL SELECT 'error_log', event_id * 10 + 5, ['', 'caused', 'by', 'event', event_id::VARCHAR] FROM events WHERE event_type = 'error')
+SELECT file, byte_offset, rpad(file[1:8], 8, 'x') || ':' || lpad(byte_offset::VARCHAR, 12, '0') || ' '
+  || array_to_string(list_transform(ts, lambda t, i: lpad((i - 1)::VARCHAR, 3, '0') || ':' || t), ' ') AS tokens FROM l""")
+def log_tokens_all(spark, sf_dir):
+    return logs.tokenize(log_lines(spark, sf_dir).withColumn("byte_offset", F.col("line_no") * 5))
+
+
 RFM = f"""o AS (
   SELECT o_custkey AS id, epoch_ms(o_orderdate) AS ms, o_totalprice AS value, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS back,
     count(*) OVER (PARTITION BY o_custkey) AS n, (ms - lag(ms) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)) // 86400000 AS gap FROM orders),
