@@ -67,3 +67,9 @@ def test_every_line_is_tokenised(spark, db):
     found = catalog.QUERIES["log_tokens_all"](spark, SF)
     want = db.execute("SELECT count(*) + count(*) FILTER (event_type = 'error') FROM events").fetchone()[0]
     assert found.count() == want and found.where("file = 'error_log' and tokens like '%001:caused%'").count() > 0
+
+
+@pytest.mark.parametrize("by", ["hour", "day", "entity"])
+def test_every_event_is_partitioned(spark, db, by):
+    want = db.execute("SELECT count(*) FROM events").fetchone()[0]
+    assert catalog.QUERIES[f"log_partition_{by}_all"](spark, SF).count() == want

@@ -240,6 +240,25 @@ def log_partition_entity(spark, sf_dir):
     return _partitioned(spark, sf_dir, entity_regex=r"user=(\d+)")
 
 
+ALL_PART_SQL = "SELECT {part} AS partition, date_trunc('second', ts) AS ts, {line} AS line FROM events"
+
+
+@query(ALL_PART_SQL.format(part="lpad((epoch_us(ts) // 1000 // 3600000)::VARCHAR, 12, '0')", line=FIRST_LINE))
+def log_partition_hour_all(spark, sf_dir):
+    """Every line with a time; the variants without `_all` show the open time interval."""
+    return logs.partition_lines(log_lines(spark, sf_dir), TIME, FORMAT, unit="hour")
+
+
+@query(ALL_PART_SQL.format(part="lpad((epoch_us(ts) // 1000 // 86400000)::VARCHAR, 12, '0')", line=FIRST_LINE))
+def log_partition_day_all(spark, sf_dir):
+    return logs.partition_lines(log_lines(spark, sf_dir), TIME, FORMAT, unit="day")
+
+
+@query(ALL_PART_SQL.format(part="user_id::VARCHAR", line=FIRST_LINE))
+def log_partition_entity_all(spark, sf_dir):
+    return logs.partition_lines(log_lines(spark, sf_dir), TIME, FORMAT, entity_regex=r"user=(\d+)")
+
+
 @query(f"""WITH l AS (SELECT event_type || '_log' AS file, event_id * 10 AS byte_offset, string_split({FIRST_LINE}, ' ') AS ts FROM events WHERE event_type <> 'error')
 SELECT file, byte_offset, rpad(file[1:8], 8, 'x') || ':' || lpad(byte_offset::VARCHAR, 12, '0') || ' '
   || array_to_string(list_transform(ts, lambda t, i: lpad((i - 1)::VARCHAR, 3, '0') || ':' || t), ' ') AS tokens FROM l""")
