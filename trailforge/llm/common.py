@@ -10,18 +10,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of the hot side table that `hot_join` broadcasts: the heaviest keys, and never more of them.
-HOT_KEYS = 1000
+#: The most rows of the side table that `hot_join` broadcasts, and rows that no key is hot with.
+HOT_KEYS, HOT_ROWS = 10_000, 200
 
 _LEAST_LONG = -(2**63)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share; a temporary one where the session names none and is one process."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpus-"))
         named = spark.sparkContext.getCheckpointDir()
     return named.rstrip("/")
@@ -38,12 +40,24 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def forget(df: DataFrame) -> None:
-    """Deletes what `stored` wrote for `df`."""
-    jvm = df.sparkSession._jvm
-    for path in {p.rpartition("/")[0] for p in df.inputFiles()}:
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+def forget(*tables: DataFrame) -> None:
+    """Deletes what `stored` wrote for tables that nothing reads any more."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        for path in {p.rpartition("/")[0] for p in df.inputFiles()}:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of `df` has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out
 
 
 def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
@@ -54,13 +68,16 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
 def hot_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, how: str = "inner") -> DataFrame:
     """`left` joined to `right`, which has one row a key; `weight` in `right` says how many rows of `left` have the key.
 
-    The HOT_KEYS heaviest keys are broadcast, so no key that takes part in the shuffle join
-    has more than 1/HOT_KEYS of the weight. `left` is read twice: pass a stored table.
+    Keys with over a HOT_KEYS-th of the weight, HOT_KEYS of them at most, are broadcast, so that no
+    key in the shuffle join has more rows than one of HOT_KEYS equal partitions. Both sides are read again: pass stored tables.
     """
-    hot = right.orderBy(F.desc(weight), *keys).limit(HOT_KEYS)
-    marks = F.broadcast(hot.select(*keys))
+    total, most = right.agg(F.sum(weight), F.max(weight)).first()
+    limit = max((total or 0) // HOT_KEYS, HOT_ROWS)
+    if (most or 0) <= limit:
+        return left.join(right, keys, how)
+    hot = right.where(F.col(weight) > limit)
     met = left.join(F.broadcast(hot), keys, "inner")
-    rest = left.join(marks, keys, "left_anti").join(right, keys, how)
+    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(right.where(F.col(weight) <= limit), keys, how)
     return met.unionByName(rest)
 
 
@@ -114,19 +131,17 @@ def components(edges: DataFrame) -> DataFrame:
         edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges"
     )
     mark = _mark(now)
-    while True:
+    while mark[0]:
         both = stored(now.union(now.select("v", "u")), "both")
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
-        large = hot_join(both, least, ["u"], "n").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large, "large")
-        small = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n")), "least")
+        large = stored(hot_join(both, least, ["u"], "n").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        small = stored(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), "small")
         linked = hot_join(large, small, ["u"], "n")
         after = stored(
             linked.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).distinct(),
             "edges",
         )
-        for spent in (now, both, large):
-            forget(spent)
+        forget(now, both, least, large, small)
         now, before, mark = after, mark, _mark(after)
         if mark == before:
             break

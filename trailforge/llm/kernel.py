@@ -60,6 +60,11 @@ def texts(column: pa.Array | pa.ChunkedArray, most: int = 2 << 20) -> Iterator[t
         at = end
 
 
+def release() -> None:
+    """Hands the memory of batches that are done back to the system: a worker lives on, and so would its pool."""
+    pa.default_memory_pool().release_unused()
+
+
 def _starts(size: int, offsets: np.ndarray) -> np.ndarray:
     first = np.zeros(size + 1, bool)
     first[offsets] = True

@@ -34,10 +34,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailforge.llm import common, kernel
+from trailforge.llm import common, kernel, meeting
 
 RADIUS, SIMILARITY = 3, 0.8
 #: Members of a meeting place that one task compares; a larger place is cut into slices of this size.
@@ -48,10 +48,13 @@ BANDS, ROWS, NIBBLES = 16, 3, 14
 GRAM, SHORT_GRAM, SHORT = 6, 3, 64
 #: Nibbles that a pair has in common if it is compared, for n-grams of either length: short ones agree by chance more often.
 AGREE, SHORT_AGREE = 5, 7
-#: Members of a place whose pairs are listed one by one; the texts of more of them meet in tiles.
+#: Members of a place whose pairs are listed one by one; more of them are connected by `meeting`.
 LISTED = 16
-#: A place of more members is not thinned out before its tiles are compared.
+#: A place of more members is not thinned out before it is compared.
 DENSE = 16_384
+#: Rows of one place in one task of the first pass after which the next part of the place begins.
+OFTEN = 64
+_MORE = -1
 _FACTORS = (kernel.stream(np.arange(BANDS * ROWS + NIBBLES), 51) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _LENGTH_STEP, _LENGTH_APART = 1.08, 3
 _OCCURRENCE = "key_id long, key_text long, place int, high long, low long, sim long"
@@ -72,8 +75,8 @@ def tables(bits: list[int]) -> list[int]:
     return [sum(masks[i] for i in some) for some in itertools.combinations(range(len(bits)), len(bits) - RADIUS)]
 
 
-def signatures(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Text, place, two class hashes and SimHash of each line with a word; `data` is in lower case already."""
+def signatures(data: np.ndarray, offsets: np.ndarray, simhashed: bool = True) -> tuple[np.ndarray, ...]:
+    """Text, place, two class hashes and SimHash (0 if not asked for) of each line with a word; `data` is in lower case already."""
     begin, end, _ = kernel.words(data, offsets)
     line_begin, line_end, line_at = kernel.lines(data, offsets)
     first = np.searchsorted(begin, line_begin)
@@ -82,7 +85,8 @@ def signatures(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     of = np.repeat(np.arange(len(offsets) - 1), np.diff(line_at))[full]
     place = full - line_at[of]
     words = kernel.span_hashes(data, begin, end)
-    return of, place, kernel.sequence_hashes(words, first, 21), kernel.sequence_hashes(words, first, 22), simhash(pairs(words, first), first)
+    sim = simhash(pairs(words, first), first) if simhashed else np.zeros(len(first), np.uint64)
+    return of, place, kernel.sequence_hashes(words, first, 21), kernel.sequence_hashes(words, first, 22), sim
 
 
 def pairs(words: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -114,20 +118,21 @@ def simhash(words: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        for lo, _, data, offsets in kernel.texts(pc.utf8_lower(batch.column(2))):
-            of, place, high, low, sim = signatures(data, offsets)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[lo + of]), pa.array(keys[lo + of]), pa.array(place.astype(np.int32)), *(pa.array(x.view(np.int64)) for x in (high, low, sim))],
-                names=["key_id", "key_text", "place", "high", "low", "sim"],
-            )
+def occurrences(documents: DataFrame, key: str, text: str, simhashed: bool = True) -> DataFrame:
+    """One row for each line with a word: its document, place, class and SimHash (0 if not asked for)."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            for lo, _, data, offsets in kernel.texts(pc.utf8_lower(batch.column(2))):
+                of, place, *hashes = signatures(data, offsets, simhashed)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[lo + of]), pa.array(keys[lo + of]), pa.array(place.astype(np.int32)), *(pa.array(x.view(np.int64)) for x in hashes)],
+                    names=["key_id", "key_text", "place", "high", "low", "sim"],
+                )
+            kernel.release()
 
-def occurrences(documents: DataFrame, key: str, text: str) -> DataFrame:
-    """One row for each line with a word: its document, place, class and SimHash."""
-    return documents.select(*common.row_key(key, text), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).mapInArrow(_occurrences, _OCCURRENCE)
+    return documents.select(*common.row_key(key, text), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).mapInArrow(run, _OCCURRENCE)
 
 
 def _spaced(data: np.ndarray, begin: np.ndarray, end: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -204,20 +209,62 @@ def meetings(data: np.ndarray, offsets: np.ndarray, seen: np.ndarray | None = No
     return tuple(np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
+def salted(key: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A part for each row: 0 for the first OFTEN rows of a key in a task, then 1, 2 ...; and which rows are the first past OFTEN.
+
+    `met` counts the rows of earlier calls by the last bits of the key.
+    """
+    slot = key.view(np.uint32) & np.uint32(len(met) - 1)
+    order = np.argsort(slot, kind="stable")
+    sorted_ = slot[order]
+    first = np.flatnonzero(np.diff(sorted_, prepend=-1))
+    size = np.diff(np.append(first, len(sorted_)))
+    at = np.empty(len(key), np.int64)
+    at[order] = np.arange(len(key)) - np.repeat(first, size) + met[sorted_]
+    met[sorted_[first]] += size
+    return np.minimum(at // OFTEN, 0x7FFF).astype(np.int16), at == OFTEN
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen = np.zeros(1 << 16, np.uint64)
+    seen, met = np.zeros(1 << 16, np.uint64), np.zeros(1 << 20, np.int64)
     for batch in batches:
         for _, _, data, offsets in kernel.texts(pc.utf8_lower(batch.column(0)), 256 << 10):
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in meetings(data, offsets, seen)], names=["key", "id", "gate"])
+            key, ids, gate = meetings(data, offsets, seen)
+            part, full = salted(key, met)
+            if full.any():
+                # The place's other part must not be taken for the whole.
+                key, ids, gate = np.append(key, key[full]), np.append(ids, ids[full]), np.append(gate, np.full(full.sum(), _MORE))
+                part = np.append(part, np.zeros(full.sum(), np.int16))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key, part, ids, gate)], names=["key", "part", "id", "gate"])
+        kernel.release()
 
 
 def _agree(key: np.ndarray) -> np.ndarray:
     return np.where(key & 1, SHORT_AGREE, AGREE)
 
 
+def _alike(a: Column, b: Column) -> Column:
+    """`alike` in Spark, for gates of the place in column `key`."""
+    apart = a.bitwiseXOR(b)
+    apart = apart.bitwiseOR(F.shiftrightunsigned(apart, 1))
+    apart = apart.bitwiseOR(F.shiftrightunsigned(apart, 2))
+    same = NIBBLES - F.bit_count(apart.bitwiseAND(F.lit(0x0011111111111111)))
+    length = F.shiftrightunsigned(a, 56) - F.shiftrightunsigned(b, 56)
+    return (same >= F.when(F.col("key").bitwiseAND(1) == 1, SHORT_AGREE).otherwise(AGREE)) & (F.abs(length) <= _LENGTH_APART)
+
+
+def _near_before(key: tuple, gates: np.ndarray, i: int) -> np.ndarray:
+    gates = gates.view(np.uint64)
+    return alike(gates[:i], gates[i], int(_agree(np.int64(key[0]))))
+
+
 def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key, those whose gate is like that of another class there: all pairs of few, or a row (key, id, gate) of each of many."""
+    """Of rows sorted by key and part, the pairs (null, u, v) of small places and rows (key, id, gate) of the members of others.
+
+    A place in parts, or of more than DENSE rows, is not thinned out, and never held.
+    """
     held: pa.Table | None = None
+    passing = None
     for batch in itertools.chain(batches, [None]):
         if batch is not None and not len(batch):
             continue
@@ -226,33 +273,41 @@ def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = pa.concat_tables([held, rows]) if rows is not None else held
         if rows is None:
             return
-        key, ids, gate = (rows.column(c).to_numpy() for c in ("key", "id", "gate"))
-        new = np.flatnonzero(key[1:] != key[:-1]) + 1
-        cut = (int(new[-1]) if len(new) else 0) if batch is not None else len(rows)
-        held = rows.slice(cut) if batch is not None else None
-        if not cut:
+        key, part, ids, gate = (rows.column(c).to_numpy() for c in ("key", "part", "id", "gate"))
+        edges = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1, [len(rows)]])
+        size = np.diff(edges)
+        whole = part[edges[:-1]] == 0
+        if passing == (key[0], part[0]):
+            whole[0] = False
+        passing = (key[-1], part[-1]) if not whole[-1] or size[-1] > DENSE else None
+        if batch is not None and passing is None:
+            # The last place may go on.
+            held, edges, size, whole = rows.slice(edges[-2]), edges[:-1], size[:-1], whole[:-1]
+        else:
+            held = None
+        if not len(size):
             continue
-        pairs, many = _pairs_alike(key[:cut], ids[:cut], gate[:cut].view(np.uint64), np.concatenate([[0], new[new < cut], [cut]]))
-        null = pa.nulls(len(pairs), pa.int32())
-        yield pa.RecordBatch.from_arrays([null, pa.array(pairs.min(axis=1)), pa.array(pairs.max(axis=1))], names=["key", "u", "v"])
+        n = edges[-1]
+        whole &= (size <= DENSE) & (np.add.reduceat(gate[:n] == _MORE, edges[:-1]) == 0)
+        pairs, many = _pairs_alike(key[:n], ids[:n], gate[:n].view(np.uint64), edges, whole)
+        many = many[gate[many] != _MORE]
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(pairs), pa.int32()), pa.array(pairs.min(axis=1)), pa.array(pairs.max(axis=1))], names=["key", "u", "v"])
         yield pa.RecordBatch.from_arrays([pa.array(key[many]), pa.array(ids[many]), pa.array(gate[many])], names=["key", "u", "v"])
 
 
-def _pairs_alike(key: np.ndarray, ids: np.ndarray, gate: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of ids with like gates between the same edges, and the rows of the places that have too many to be listed."""
+def _pairs_alike(key: np.ndarray, ids: np.ndarray, gate: np.ndarray, edges: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ids with like gates between the same edges, and the rows of the places that have too many to be listed or are not `whole`."""
     size = np.diff(edges)
-    pairs, many = [np.zeros((0, 2), np.int64)], [np.zeros(0, np.int64)]
-    small = np.repeat(size <= 8, size)
-    place = np.repeat(np.arange(len(size)), size)
+    pairs, many = [np.zeros((0, 2), np.int64)], [np.flatnonzero(np.repeat(~whole, size))]
+    size = np.where(whole, size, 0)
+    small = np.repeat((size <= 8) & whole, np.diff(edges))
+    place = np.repeat(np.arange(len(size)), np.diff(edges))
     for gap in range(1, int(size[size <= 8].max(initial=1))):
         left = np.flatnonzero(small[:-gap] & (place[:-gap] == place[gap:]))
         left = left[alike(gate[left], gate[left + gap], _agree(key[left])) & (ids[left] != ids[left + gap])]
         pairs.append(np.stack([ids[left], ids[left + gap]], axis=1))
     for k in np.flatnonzero(size > 8):
         lo, hi = edges[k], edges[k + 1]
-        if hi - lo > DENSE:
-            many.append(np.arange(lo, hi))
-            continue
         near = np.zeros(hi - lo, bool)
         for at in range(lo, hi, 256):
             to = min(at + 256, hi)
@@ -425,22 +480,6 @@ def _verify(masks: list[int]):
     return verify
 
 
-def _verify_alike(key: tuple, rows: dict[str, list]) -> list[tuple[int, int]]:
-    """Edges between the classes of a tile, as in `_verify`."""
-    gates = np.array(rows["gate"], np.int64).view(np.uint64)
-    texts, parts, ids, out = rows["line"], np.array(rows["part"]), rows["id"], []
-    forest, agree = Forest(len(ids)), int(_agree(np.int64(key[0])))
-    for i in range(1, len(ids)):
-        close = alike(gates[:i], gates[i], agree)
-        if key[1] != key[2]:
-            close &= parts[:i] != parts[i]
-        for j in np.flatnonzero(close).tolist():
-            if forest.root(i) != forest.root(j) and similar(texts[i], texts[j]):
-                forest.join(i, j)
-                out.append((ids[j], ids[i]))
-    return out
-
-
 def _verify_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = [similar(a, b) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
@@ -466,8 +505,8 @@ def links(classes: DataFrame, documents: DataFrame, key: str, text: str) -> Data
     )
     near = common.stored(meet.mapInArrow(_near(_signed(masks[0])), "sim long, n long, mask long, bits long"), "near")
     some = near.groupBy("sim").agg(F.first("n").alias("n"))
-    members = common.stored(common.hot_join(classes.select("id", "sim", "first"), some, ["sim"], "n"), "members")
-    lines = common.stored(_lines_of(members.select("id", "first.*"), documents, key, text), "lines")
+    members = common.stored(common.hot_join(classes.select("id", "low", "sim", "first"), some, ["sim"], "n"), "members")
+    lines = common.stored(_lines_of(members.select("id", "low", "first.*"), documents, key, text), "lines").select("id", "line")
     sizes = near.groupBy("mask", "bits").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("sims"))
     parts = F.ceil(F.col("size") / SLICE).cast("int")
     places = common.hot_join(near, sizes, ["mask", "bits"], "sims").select("sim", "mask", "bits", parts.alias("parts"))
@@ -479,23 +518,23 @@ def links(classes: DataFrame, documents: DataFrame, key: str, text: str) -> Data
     return common.stored(common.per_run(tiled.join(lines, "id"), ["mask", "bits", "a", "b"], _verify(masks)), "links")
 
 
-def links_alike(classes: DataFrame, documents: DataFrame, key: str, text: str) -> DataFrame:
-    """As `links`, by edit similarity alone. `classes` has id (the first hash of the class) and first."""
-    meet = documents.select(F.col(text).cast("string").alias("text")).mapInArrow(_meet, "key int, id long, gate long").repartition("key").sortWithinPartitions("key")
-    met = common.stored(meet.mapInArrow(_partners, "key int, u long, v long"), "met")
+def links_alike(classes: DataFrame, documents: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """node, root of the classes that are linked by edit similarity alone; and id, low of each of them.
+
+    `classes` has id (the first hash of the class), low and first.
+    """
+    meet = documents.select(F.col(text).cast("string").alias("text")).mapInArrow(_meet, "key int, part short, id long, gate long")
+    met = common.stored(meet.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(_partners, "key int, u long, v long"), "met")
     pairs = common.stored(met.where("key is null").select("u", "v").distinct(), "pairs")
-    near = common.stored(met.where("key is not null").select("key", F.col("u").alias("id"), F.col("v").alias("gate")).dropDuplicates(["key", "id"]), "near")
+    near = common.stored(met.where("key is not null").select("key", F.col("u").alias("id"), F.col("v").alias("tag")).dropDuplicates(["key", "id"]), "near")
     asked = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).union(near.select("id")).distinct()
-    members = classes.select("id", "first").join(asked, "id").select("id", "first.*")
+    members = classes.select("id", "low", "first").join(asked, "id").select("id", "low", "first.*")
     lines = common.stored(_lines_of(members, documents, key, text), "lines")
-    texts = pairs.join(lines.toDF("u", "one"), "u").join(lines.toDF("v", "other"), "v").select("u", "v", "one", "other")
-    listed = texts.mapInArrow(_verify_pairs, "u long, v long")
-    sizes = near.groupBy("key").agg(F.count(F.lit(1)).alias("size")).withColumn("parts", F.ceil(F.col("size") / SLICE).cast("int"))
-    placed = common.hot_join(near, sizes, ["key"], "size").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    tiled = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "id", "gate", "key", "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b")
-    )
-    return common.stored(listed.union(common.per_run(tiled.join(lines, "id"), ["key", "a", "b"], _verify_alike)), "links")
+    texts = pairs.join(lines.select(F.col("id").alias("u"), F.col("line").alias("one")), "u").join(lines.select(F.col("id").alias("v"), F.col("line").alias("other")), "v")
+    listed = common.stored(texts.select("u", "v", "one", "other").mapInArrow(_verify_pairs, "u long, v long"), "links")
+    joined = common.stored(meeting.connect(near, ["key"], lines.select("id", "line"), str, similar, _alike, _near_before, listed), "joined")
+    lows = joined.select(F.col("node").alias("id")).join(lines.select("id", "low"), "id")
+    return joined, lows
 
 
 def _signed(mask: int) -> int:
@@ -503,23 +542,24 @@ def _signed(mask: int) -> int:
 
 
 def _lines_of(wanted: DataFrame, documents: DataFrame, key: str, text: str) -> DataFrame:
-    """id and normalised text of one line of each wanted class."""
-    asked = wanted.groupBy("key_id", "key_text").agg(F.collect_list(F.struct("place", "id")).alias("asked"))
+    """id, low and normalised text of one line of each wanted id; of classes that share an id by chance, one stands for it."""
+    asked = wanted.groupBy("key_id", "key_text").agg(F.collect_list(F.struct("place", "id", "low")).alias("asked"))
     held = documents.select(*common.row_key(key, text), F.col(text).cast("string").alias("text"))
     # By merge at any size: what is small in a test is not small on a cluster.
     met = held.join(asked.hint("merge"), ["key_id", "key_text"]).select("asked", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, lines = [], []
+            ids, lows, lines = [], [], []
             for asked, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 parts = text.split("\n")
                 for one in asked:
                     ids.append(one["id"])
+                    lows.append(one["low"])
                     lines.append(_normal(parts[one["place"]]))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lines, pa.string())], names=["id", "line"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lows, pa.int64()), pa.array(lines, pa.string())], names=["id", "low", "line"])
 
-    return met.mapInArrow(run, "id long, line string").dropDuplicates(["id"])
+    return met.mapInArrow(run, "id long, low long, line string").dropDuplicates(["id"])
 
 
 def groups(documents: DataFrame, key: str = "doc_id", text: str = "text", radius: int | None = RADIUS) -> tuple[DataFrame, DataFrame]:
@@ -529,14 +569,21 @@ def groups(documents: DataFrame, key: str = "doc_id", text: str = "text", radius
     """
     if radius not in (None, RADIUS):
         raise ValueError(f"radius is {RADIUS} or None")
-    seen = common.stored(occurrences(documents, key, text), "occurrences")
+    seen = common.stored(occurrences(documents, key, text, radius is not None), "occurrences")
     where = F.struct("key_id", "key_text", "place")
     classes = common.stored(
         seen.groupBy("high", "low").agg(F.min(where).alias("first"), F.first("sim").alias("sim"), F.count(F.lit(1)).alias("copies")).withColumn("id", F.col("high") if radius is None else F.xxhash64("high", "low")),
         "classes",
     )
-    joined = common.components((links_alike if radius is None else links)(classes, documents, key, text))
-    named = common.stored(classes.join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("group", F.coalesce("root", "id")), "named")
+    if radius is None:
+        joined, lows = links_alike(classes, documents, key, text)
+        # By both hashes, so that classes that share the first by chance stay apart.
+        joined = joined.join(lows, joined["node"] == lows["id"]).select("id", "low", "root")
+        named = classes.join(joined, ["id", "low"], "left")
+    else:
+        joined = common.components(links(classes, documents, key, text))
+        named = classes.join(joined.withColumnRenamed("node", "id"), "id", "left")
+    named = common.stored(named.withColumn("group", F.coalesce("root", "id")), "named")
     linked = named.where("root is not null")
     keepers = common.stored(linked.groupBy("group").agg(F.min("first").alias("kept"), F.count(F.lit(1)).alias("n")), "keepers")
     met = common.hot_join(linked, keepers, ["group"], "n").select("high", "low", "copies", "kept")
@@ -555,33 +602,33 @@ def dropped(documents: DataFrame, key: str = "doc_id", text: str = "text", radiu
     return gone.groupBy("key_id", "key_text").agg(F.collect_set("place").alias("places"))
 
 
-def deduplicate(documents: DataFrame, key: str = "doc_id", text: str = "text", drop_emptied: bool = False, radius: int | None = RADIUS) -> DataFrame:
-    """`documents` without the lines that are copies, with n_dropped; documents that lose all their lines go if `drop_emptied`.
+def _without(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for texts, gone in batches:
+        out = texts.to_pylist()
+        for i, places in enumerate(gone.to_pylist()):
+            if places and out[i] is not None:
+                places = set(places)
+                out[i] = "\n".join(line for k, line in enumerate(out[i].split("\n")) if k not in places)
+        yield pa.array(out, pa.string())
+
+
+def deduplicate(documents: DataFrame, key: str = "doc_id", text: str = "text", drop_emptied: bool = False, radius: int | None = RADIUS, count: str = "n_dropped") -> DataFrame:
+    """`documents` without the lines that are copies, with their number as `count`; documents that lose all their lines go if `drop_emptied`.
 
-    `radius=None` links lines on their edit similarity alone.
+    `radius=None` links lines on their edit similarity alone. A column of the name `count` gives way to it.
     """
-    rest = [c for c in documents.columns if c.lower() != "n_dropped"]
     places = common.stored(dropped(documents, key, text, radius), "dropped")
+    names = common.free(documents, "key_id", "key_text", "places", "left", "touched")
+    key_id, key_text, gone, left, touched = names
     met = (
-        documents.withColumns({f"__{c}": e for c, e in zip(("key_id", "key_text"), common.row_key(key, text))})
-        .join(places.select(F.col("key_id").alias("__key_id"), F.col("key_text").alias("__key_text"), F.col("places").alias("__places")).hint("merge"), ["__key_id", "__key_text"], "left")
-        .select(*[F.col(f"`{c}`") for c in rest], "__places")
+        documents.withColumns(dict(zip((key_id, key_text), common.row_key(key, text))))
+        .join(places.toDF(key_id, key_text, gone).hint("merge"), [key_id, key_text], "left")
+        .withColumn(touched, F.col(gone).isNotNull())
     )
-    at = rest.index(text)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = batch.columns
-            texts, gone = columns[at].to_pylist(), columns[-1].to_pylist()
-            sizes, keep = [], []
-            for i, places in enumerate(gone):
-                sizes.append(len(places or ()))
-                if places:
-                    out = set(places)
-                    texts[i] = "\n".join(line for k, line in enumerate(texts[i].split("\n")) if k not in out)
-                keep.append(not (drop_emptied and places and not texts[i].strip(" \t\n\r\x0b\x0c")))
-            columns[at] = pa.array(texts, columns[at].type)
-            yield pa.RecordBatch.from_arrays([*columns[:-1], pa.array(sizes, pa.int32())], names=[*rest, "n_dropped"]).filter(pa.array(keep, pa.bool_()))
-
-    schema = ", ".join([*(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in rest), "n_dropped int"])
-    return met.mapInArrow(run, schema)
+    # Only texts that lose lines go to Python, and nothing else of their rows.
+    cut = F.arrow_udf(_without, "string").asNondeterministic()
+    made = met.withColumn(left, cut(F.when(F.col(touched), F.col(text).cast("string")), F.col(gone)))
+    if drop_emptied:
+        made = made.where(~F.col(touched) | F.coalesce(F.col(left), F.lit("")).rlike("[^\\x20\\x09-\\x0D]"))
+    kept = [F.when(F.col(touched), F.col(left)).otherwise(F.col(text)).alias(text) if c == text else F.col(f"`{c}`") for c in documents.columns if c.lower() != count.lower()]
+    return made.select(*kept, F.coalesce(F.size(gone), F.lit(0)).alias(count))

@@ -168,13 +168,16 @@ def _met(left: DataFrame, sources: DataFrame, keys: list[str] | None = None) ->
     return common.hot_join(left, sources.join(weights, keys), keys, "__n").drop("__n")
 
 
-def mix(df: DataFrame, repeats: float | None = REPEATS, entropy: float | None = None, budget: int | None = None, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """The rows of `df`, each as often as it is visited, with tokens, epoch, block, doc_order and progress.
+def mix(
+    df: DataFrame, repeats: float | None = REPEATS, entropy: float | None = None, budget: int | None = None, key: str = "doc_id", source: str = "source", text: str = "text", prefix: str = ""
+) -> DataFrame:
+    """The rows of `df`, each as often as it is visited, with tokens, epoch, block, doc_order and progress, their names after `prefix`.
 
     Rows in the order of progress, epoch, block and doc_order are the mixture: progress is the
     share of its source's budget that was used before the row's block.
     """
-    named = _named(df, key, source, text)
+    # Columns of `df` go by number on the way, so that none is taken for one of the steps below.
+    named = _named(df.select(*[F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(df.columns)]), *[f"__{df.columns.index(c)}" for c in (key, source, text)])
     chosen = plan(named, repeats, entropy, budget).select(
         "__source", *[F.col(c).alias(f"__{c}") for c in ("passes", "edge", "cut", "budget")], F.col("tokens").alias("__all")
     )
@@ -193,5 +196,6 @@ def mix(df: DataFrame, repeats: float | None = REPEATS, entropy: float | None =
         "doc_order": _doc_order(epoch),
         "progress": (epoch + _block_order(epoch, _block()) / F.lit(_HASH_RANGE)) / passes,
     }
-    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in made]
+    made = {prefix + name: value for name, value in made.items()}
+    kept = [F.col(f"__{i}").alias(c) for i, c in enumerate(df.columns) if c.lower() not in made]
     return drawn.select(*kept, *[value.alias(name) for name, value in made.items()])

@@ -3,7 +3,8 @@
 A document is a bag of passages of PASSAGE words. Every passage is encoded; gated attention
 weighs the passages, with nothing but document labels to learn from; the weighted sum of the
 encodings is scored. Training runs in numpy on a bounded sample of labelled documents
-(TRAIN_DOCS); scoring is one narrow stage over whole texts.
+(TRAIN_DOCS) and of the passages of each (BAG, evenly spaced), 50 MB of features at most;
+scoring is one narrow stage over whole texts.
 
 Features of a passage: shares of its bytes by class, word length, distinct words, words of
 windows that repeat in the document, repeated lines, and signed sums of hashed words. The
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 
 from trailforge.llm import kernel
 
-#: Words of a passage; the most labelled documents that are learned from.
-PASSAGE, TRAIN_DOCS = 100, 4000
+#: Words of a passage; the most labelled documents that are learned from, and the most passages of each (about 12 KB).
+PASSAGE, TRAIN_DOCS, BAG = 100, 4000, 64
 #: A document whose score is under this is predicted to be of label 0.
 KEEP = 0.3
 _HASHED = 32
@@ -177,12 +178,9 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo, hi, data, offsets in kernel.texts(batch.column(1)):
-            x, at = passages(data, offsets)
-            bags = [x[at[i] : at[i + 1]].tobytes() for i in range(hi - lo)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(bags, pa.binary())], names=["label", "bag"])
+def _thinned(x: np.ndarray) -> np.ndarray:
+    """At most BAG passages, evenly spaced over the whole text."""
+    return x if len(x) <= BAG else x[np.linspace(0, len(x) - 1, BAG).astype(np.int64)]
 
 
 def train(documents: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, key: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
@@ -195,38 +193,41 @@ def train(documents: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, key:
         .limit(most)
     )
     rows = documents.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).join(F.broadcast(known), "id")
-    # Repeated rows of a labelled document count once.
-    bags = rows.select("label", "text", "id").mapInArrow(_with_id, "id string, label int, bag binary").dropDuplicates(["id", "label"]).orderBy("id").collect()
+    # Of several texts of one id, the one of the least features counts, wherever it stands.
+    bags = rows.select(F.col("id").cast("string").alias("id"), "label", "text").mapInArrow(_featurise, "id string, label int, bag binary").groupBy("id", "label").agg(F.min("bag").alias("bag")).orderBy("id").collect()
     x = [np.frombuffer(r["bag"], np.float32).reshape(-1, WIDTH) for r in bags]
     at = np.concatenate([[0], np.cumsum([len(b) for b in x])]).astype(np.int64)
     return fit(np.concatenate(x) if x else np.zeros((0, WIDTH), np.float32), at, np.array([r["label"] for r in bags], np.float64))
 
 
-def _with_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = pa.array([str(i) for i in batch.column(2).to_pylist()])
-        at = 0
-        for made in _featurise([batch]):
-            yield pa.RecordBatch.from_arrays([ids.slice(at, len(made)), made.column(0), made.column(1)], names=["id", "label", "bag"])
-            at += len(made)
+        for lo, hi, data, offsets in kernel.texts(batch.column(2)):
+            x, at = passages(data, offsets)
+            bags = [_thinned(x[at[i] : at[i + 1]]).tobytes() for i in range(hi - lo)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(bags, pa.binary())], names=["id", "label", "bag"])
 
 
-def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """`documents` with `score`; one narrow stage."""
-    rest = [c for c in documents.columns if c.lower() != "score"]
+def scored(model: Model, text: Column) -> Column:
+    """The score of each text. Texts alone go to Python and numbers alone come back; a row's other columns stay where they are."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in batches:
+            found = [model.score(*passages(data, offsets)) for _, _, data, offsets in kernel.texts(column)]
+            yield pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
+            kernel.release()
+
+    # Marked so that a filter on the score does not have it computed twice.
+    return F.arrow_udf(run, "double").asNondeterministic()(text.cast("string"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi, data, offsets in kernel.texts(batch.column(0)):
-                made = pa.array(model.score(*passages(data, offsets)), pa.float64())
-                yield pa.RecordBatch.from_arrays([c.slice(lo, hi - lo) for c in batch.columns[1:]] + [made], names=[*rest, "score"])
 
-    schema = ", ".join([*(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in rest), "score double"])
-    return documents.select(F.col(text).cast("string").alias("__text"), *rest).mapInArrow(run, schema)
+def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """`documents` with `score`; one narrow stage."""
+    rest = [F.col(f"`{c}`") for c in documents.columns if c.lower() != "score"]
+    return documents.select(*rest, scored(model, F.col(text)).alias("score"))
 
 
 def classify(documents: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, held_out, score, predicted of every document."""
     model = train(documents, labels, most, key, text)
-    scored = score(documents.select(key, text), model, text).select(key, "score")
-    return scored.select(key, held_out(F.col(key)).alias("held_out"), "score", (F.col("score") >= KEEP).cast("int").alias("predicted"))
+    return score(documents.select(key, text), model, text).select(key, held_out(F.col(key)).alias("held_out"), "score", (F.col("score") >= KEEP).cast("int").alias("predicted"))
