@@ -17,11 +17,14 @@ def test_components_against_union_find(spark):
 
 
 def test_hot_join_is_a_join(spark, monkeypatch):
-    monkeypatch.setattr(common, "HOT_KEYS", 2)
+    monkeypatch.setattr(common, "HOT_KEYS", 3)
+    monkeypatch.setattr(common, "HOT_ROWS", 20)
     left = spark.createDataFrame([(k % 7, k) for k in range(50)] + [(3, k) for k in range(90, 120)] + [(99, 1), (None, 2)], "k int, x int")
     right = spark.createDataFrame([(k, 10 * k, 7 if k != 3 else 37) for k in range(7)], "k int, y int, n int")
+    weighed = common.weighed(right, "right", "n")
+    assert weighed[1] == 26
     for how in ("inner", "left"):
-        got = common.hot_join(left, right, ["k"], "n", how).select("k", "x", "y")
+        got = common.hot_join(left, weighed, ["k"], "n", how).select("k", "x", "y")
         assert sorted(map(str, got.collect())) == sorted(map(str, left.join(right, "k", how).select("k", "x", "y").collect()))
 
 

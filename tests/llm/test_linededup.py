@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from trailforge.llm import kernel, linededup as ld
+from trailforge.llm import kernel, linededup as ld, meeting
 
 
 def levenshtein(a, b):
@@ -129,7 +129,8 @@ def test_edited_copies_meet_by_edit_similarity_alone(spark):
 
 
 def test_short_lines_and_slices_by_edit_similarity(spark, monkeypatch):
-    monkeypatch.setattr(ld, "SLICE", 4)
+    monkeypatch.setattr(meeting, "SLICE", 4)
+    monkeypatch.setattr(ld, "OFTEN", 7)
     monkeypatch.setattr(ld, "LISTED", 6)
     rows = ["abcdefghijklmnopqrst", "abcdefghijKlmnopqrsu", "something else here", "ab", "ac"]
     rows += [" ".join([*[f"w{i}" for i in range(50)], f"edit{k}"]) for k in range(20)] + ["ab", None, "  "]

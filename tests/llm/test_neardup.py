@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from trailforge.llm import neardup as nd
+from trailforge.llm import meeting, neardup as nd
 
 
 def as_texts(texts):
@@ -44,7 +44,7 @@ def test_samples_agree_as_often_as_weighted_jaccard():
 
 
 def brute(rows, idf):
-    sets = [nd.weighted_set(t or "", idf) for _, t in rows]
+    sets = [nd.weighted_sets(*as_texts([(t or "").lower()]), idf)[:2] for _, t in rows]
     up = list(range(len(rows)))
 
     def root(i):
@@ -59,7 +59,7 @@ def brute(rows, idf):
 
 @pytest.mark.parametrize("size", [512, 4])
 def test_classes_against_brute_force(spark, monkeypatch, size):
-    monkeypatch.setattr(nd, "SLICE", size)
+    monkeypatch.setattr(meeting, "SLICE", size)
     rng = random.Random(6)
     words = ["w%d" % i for i in range(400)]
     base = [[rng.choice(words) for _ in range(rng.randrange(3, 200))] for _ in range(12)]

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: The most rows of the side table that `hot_join` broadcasts, and rows that no key is hot with.
@@ -40,6 +40,20 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame, what: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """`stored`, and aggregates of the rows that are taken while they are written."""
+    seen = Observation()
+    kept = stored(df.observe(seen, *[value.alias(name) for name, value in measures.items()]), what)
+    return kept, seen.get
+
+
+def weighed(df: DataFrame, what: str, weight: str) -> tuple[DataFrame, int]:
+    """`stored`, and the weight from which a key is hot: over a HOT_KEYS-th of all, which HOT_KEYS keys at most can have. None is hot if it is 0."""
+    kept, seen = measured(df, what, total=F.sum(weight), most=F.max(weight))
+    limit = max((seen["total"] or 0) // HOT_KEYS, HOT_ROWS)
+    return kept, limit if (seen["most"] or 0) > limit else 0
+
+
 def forget(*tables: DataFrame) -> None:
     """Deletes what `stored` wrote for tables that nothing reads any more."""
     for df in tables:
@@ -65,19 +79,18 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     return [F.coalesce(F.col(doc_id).cast("long"), F.lit(_LEAST_LONG)).alias("key_id"), F.xxhash64(text).alias("key_text")]
 
 
-def hot_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, how: str = "inner") -> DataFrame:
-    """`left` joined to `right`, which has one row a key; `weight` in `right` says how many rows of `left` have the key.
+def hot_join(left: DataFrame, right: tuple[DataFrame, int], keys: list[str], weight: str, how: str = "inner") -> DataFrame:
+    """`left` joined to `right` of `weighed`, which has one row a key; its `weight` says how many rows of `left` have the key.
 
-    Keys with over a HOT_KEYS-th of the weight, HOT_KEYS of them at most, are broadcast, so that no
-    key in the shuffle join has more rows than one of HOT_KEYS equal partitions. Both sides are read again: pass stored tables.
+    Hot keys, HOT_KEYS of them at most, are broadcast, so that no key in the shuffle join has
+    more rows than one of HOT_KEYS equal partitions. `left` is read again for them: pass a stored table.
     """
-    total, most = right.agg(F.sum(weight), F.max(weight)).first()
-    limit = max((total or 0) // HOT_KEYS, HOT_ROWS)
-    if (most or 0) <= limit:
-        return left.join(right, keys, how)
-    hot = right.where(F.col(weight) > limit)
+    table, limit = right
+    if not limit:
+        return left.join(table, keys, how)
+    hot = table.where(F.col(weight) > limit)
     met = left.join(F.broadcast(hot), keys, "inner")
-    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(right.where(F.col(weight) <= limit), keys, how)
+    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(table.where(F.col(weight) <= limit), keys, how)
     return met.unionByName(rest)
 
 
@@ -124,29 +137,20 @@ def _runs(batches: Iterator[pa.RecordBatch], names: list[str], keys: list[str])
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of `edges` (u long, v long): one row (node, root) for each node of an edge, root the least node.
 
-    Large-star and small-star steps in turn, each a partial minimum and a join, until
-    the edges stand still; nothing but two checksums reaches the driver.
+    Large-star and small-star steps in turn, each a partial minimum and a join whose skewed
+    partitions Spark splits, until the edges stand still; nothing but two checksums reaches the driver.
     """
-    now = stored(
-        edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges"
-    )
-    mark = _mark(now)
-    while mark[0]:
-        both = stored(now.union(now.select("v", "u")), "both")
-        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n")), "least")
-        large = stored(hot_join(both, least, ["u"], "n").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
-        small = stored(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), "small")
-        linked = hot_join(large, small, ["u"], "n")
-        after = stored(
-            linked.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).distinct(),
-            "edges",
-        )
-        forget(now, both, least, large, small)
-        now, before, mark = after, mark, _mark(after)
+    checks = {"n": F.count(F.lit(1)), "sum": F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))}
+    now, mark = measured(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges", **checks)
+    while mark["n"]:
+        both = now.union(now.select("v", "u"))
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+        large = stored(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        linked = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
+        # The least neighbour's own row, v = m, stands for the node itself.
+        after, then = measured(linked.select(F.when(F.col("v") != F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v")).distinct(), "edges", **checks)
+        forget(now, least, large)
+        now, mark, before = after, then, mark
         if mark == before:
             break
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select("v", "v").distinct())
-
-
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())

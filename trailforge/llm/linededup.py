@@ -146,25 +146,35 @@ def _spaced(data: np.ndarray, begin: np.ndarray, end: np.ndarray, first: np.ndar
 
 def _least(data: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
     """For each line the least of each hash over its n-grams, whose bytes past the end of the line are 0."""
-    end = np.repeat(np.append(first[1:], len(data)), np.diff(np.append(first, len(data))))
-    place, gram = np.arange(len(data)), np.zeros(len(data), np.uint64)
-    for k in range(n):
-        gram <<= np.uint64(8)
-        gram[: len(data) - k] |= np.where(place[k:] < end[: len(data) - k], data[k:], 0).astype(np.uint64)
-    gram = (kernel.mix(gram) >> np.uint64(32)).astype(np.uint32)
-    return np.stack([np.minimum.reduceat(gram * factor, first) for factor in _FACTORS], axis=1)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    # Every place's next eight bytes as one number, of which n stay.
+    gram = np.ndarray(len(data), "<u8", padded, strides=(1,)) & np.uint64((1 << 8 * n) - 1)
+    end = np.append(first[1:], len(data))
+    for k in range(1, n):
+        last = end - k
+        last = last[last >= first]
+        gram[last] &= np.uint64((1 << 8 * k) - 1)
+    gram *= np.uint64(0x9E3779B97F4A7C15)
+    gram ^= gram >> np.uint64(32)
+    gram *= np.uint64(0xBF58476D1CE4E5B9)
+    gram = (gram >> np.uint64(32)).astype(np.uint32)
+    out, scratch = np.empty((len(_FACTORS), len(first)), np.uint32), np.empty_like(gram)
+    for i, factor in enumerate(_FACTORS):
+        np.multiply(gram, factor, out=scratch)
+        np.minimum.reduceat(scratch, first, out=out[i])
+    return out
 
 
 def _meetings(least: np.ndarray, chars: np.ndarray, short: int) -> tuple[np.ndarray, np.ndarray]:
-    """The BANDS places of each line (the last bit tells n-grams of short lines) and its gate: length and nibbles."""
-    places = np.zeros((len(least), BANDS), np.uint64)
+    """The BANDS places of each line (the last bit tells n-grams of short lines) and its gate: length and nibbles. `least` has a row for each hash."""
+    places = np.zeros((BANDS, least.shape[1]), np.uint64)
     for i in range(ROWS):
-        places = kernel.mix(places * np.uint64(0xFF51AFD7ED558CCD) + least[:, i : BANDS * ROWS : ROWS] + np.arange(BANDS, dtype=np.uint64))
+        places = kernel.mix(places * np.uint64(0xFF51AFD7ED558CCD) + least[i : BANDS * ROWS : ROWS] + np.arange(BANDS, dtype=np.uint64)[:, None])
     places = (places >> np.uint64(32)).astype(np.uint32) & np.uint32(0xFFFFFFFE) | np.uint32(short)
     gate = np.minimum(np.log(np.maximum(chars, 1)) / np.log(_LENGTH_STEP), 255).astype(np.uint64)
     for i in range(NIBBLES):
-        gate = gate << np.uint64(4) | kernel.mix(least[:, BANDS * ROWS + i].astype(np.uint64)) & np.uint64(15)
-    return places.view(np.int32), gate.view(np.int64)
+        gate = gate << np.uint64(4) | kernel.mix(least[BANDS * ROWS + i].astype(np.uint64)) & np.uint64(15)
+    return np.ascontiguousarray(places.T).view(np.int32), gate.view(np.int64)
 
 
 def alike(a: np.ndarray, b: np.ndarray, agree: np.ndarray | int = AGREE) -> np.ndarray:
@@ -504,10 +514,10 @@ def links(classes: DataFrame, documents: DataFrame, key: str, text: str) -> Data
         .sortWithinPartitions("mask", "bits")
     )
     near = common.stored(meet.mapInArrow(_near(_signed(masks[0])), "sim long, n long, mask long, bits long"), "near")
-    some = near.groupBy("sim").agg(F.first("n").alias("n"))
+    some = common.weighed(near.groupBy("sim").agg(F.first("n").alias("n")), "some", "n")
     members = common.stored(common.hot_join(classes.select("id", "low", "sim", "first"), some, ["sim"], "n"), "members")
     lines = common.stored(_lines_of(members.select("id", "low", "first.*"), documents, key, text), "lines").select("id", "line")
-    sizes = near.groupBy("mask", "bits").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("sims"))
+    sizes = common.weighed(near.groupBy("mask", "bits").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("sims")), "sizes", "sims")
     parts = F.ceil(F.col("size") / SLICE).cast("int")
     places = common.hot_join(near, sizes, ["mask", "bits"], "sims").select("sim", "mask", "bits", parts.alias("parts"))
     placed = places.join(members.select("id", "sim"), "sim").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
@@ -527,12 +537,14 @@ def links_alike(classes: DataFrame, documents: DataFrame, key: str, text: str) -
     met = common.stored(meet.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(_partners, "key int, u long, v long"), "met")
     pairs = common.stored(met.where("key is null").select("u", "v").distinct(), "pairs")
     near = common.stored(met.where("key is not null").select("key", F.col("u").alias("id"), F.col("v").alias("tag")).dropDuplicates(["key", "id"]), "near")
+    placed = meeting.pivoted(near, ["key"])
     asked = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).union(near.select("id")).distinct()
     members = classes.select("id", "low", "first").join(asked, "id").select("id", "low", "first.*")
     lines = common.stored(_lines_of(members, documents, key, text), "lines")
     texts = pairs.join(lines.select(F.col("id").alias("u"), F.col("line").alias("one")), "u").join(lines.select(F.col("id").alias("v"), F.col("line").alias("other")), "v")
     listed = common.stored(texts.select("u", "v", "one", "other").mapInArrow(_verify_pairs, "u long, v long"), "links")
-    joined = common.stored(meeting.connect(near, ["key"], lines.select("id", "line"), str, similar, _alike, _near_before, listed), "joined")
+    joined = common.stored(meeting.connect(placed, ["key"], lines.select("id", "line"), str, similar, _near_before, _alike(F.col("tag"), F.col("pivot.tag")), listed), "joined")
+    common.forget(met, pairs, near, placed, listed)
     lows = joined.select(F.col("node").alias("id")).join(lines.select("id", "low"), "id")
     return joined, lows
 
@@ -562,10 +574,10 @@ def _lines_of(wanted: DataFrame, documents: DataFrame, key: str, text: str) -> D
     return met.mapInArrow(run, "id long, low long, line string").dropDuplicates(["id"])
 
 
-def groups(documents: DataFrame, key: str = "doc_id", text: str = "text", radius: int | None = RADIUS) -> tuple[DataFrame, DataFrame]:
+def groups(documents: DataFrame, key: str = "doc_id", text: str = "text", radius: int | None = RADIUS) -> tuple[DataFrame, tuple[DataFrame, int]]:
     """Every line with a word (key_id, key_text, place, high, low), and for each class that is not alone the place that stays.
 
-    The second has high, low, copies, and the keeper's kept_id, kept_text, kept_place.
+    The second, for `common.hot_join`, has high, low, copies, and the keeper's kept_id, kept_text, kept_place.
     """
     if radius not in (None, RADIUS):
         raise ValueError(f"radius is {RADIUS} or None")
@@ -585,13 +597,13 @@ def groups(documents: DataFrame, key: str = "doc_id", text: str = "text", radius
         named = classes.join(joined.withColumnRenamed("node", "id"), "id", "left")
     named = common.stored(named.withColumn("group", F.coalesce("root", "id")), "named")
     linked = named.where("root is not null")
-    keepers = common.stored(linked.groupBy("group").agg(F.min("first").alias("kept"), F.count(F.lit(1)).alias("n")), "keepers")
+    keepers = common.weighed(linked.groupBy("group").agg(F.min("first").alias("kept"), F.count(F.lit(1)).alias("n")), "keepers", "n")
     met = common.hot_join(linked, keepers, ["group"], "n").select("high", "low", "copies", "kept")
     alone = named.where("root is null and copies > 1").select("high", "low", "copies", F.col("first").alias("kept"))
     kept = met.unionByName(alone).select(
         "high", "low", "copies", F.col("kept.key_id").alias("kept_id"), F.col("kept.key_text").alias("kept_text"), F.col("kept.place").alias("kept_place")
     )
-    return seen, common.stored(kept, "kept")
+    return seen, common.weighed(kept, "kept", "copies")
 
 
 def dropped(documents: DataFrame, key: str = "doc_id", text: str = "text", radius: int | None = RADIUS) -> DataFrame:

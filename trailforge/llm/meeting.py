@@ -21,17 +21,15 @@ from trailforge.llm import common
 
 #: Members that a pivot, or another slice, is compared with in one group of rows.
 SLICE = 512
-#: The first round has compared all pairs of two members.
-ROUNDS = 2
 
 
 def stars(pairs: DataFrame, things: DataFrame, ready: Callable, same: Callable) -> DataFrame:
     """The pairs (u, v), where many may have one v, whose things are `same`; `things` has id and what `ready` takes."""
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sizes = common.stored(pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    sizes = common.weighed(pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "sizes", "n")
     parts = F.ceil(F.col("n") / SLICE).cast("int")
     placed = common.hot_join(pairs, sizes, ["v"], "n").select(F.col("u").alias("id"), "v", F.pmod(F.xxhash64("u"), parts).cast("int").alias("part"), F.lit(1).alias("turn"))
-    heads = sizes.select(F.col("v").alias("id"), "v", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("turn"))
+    heads = sizes[0].select(F.col("v").alias("id"), "v", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("turn"))
     rows = heads.unionByName(placed).join(things, "id").select("id", "v", "turn", "part", *things.columns[1:])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,7 +54,7 @@ def tiles(rows: DataFrame, keys: list[str], things: DataFrame, ready: Callable,
     """
     counted = rows.groupBy(*keys, "root").agg(F.count(F.lit(1)).alias("n"))
     most = F.max(F.struct("n", "root"))
-    open_ = common.stored(counted.groupBy(*keys).agg(F.sum("n").alias("size"), most["n"].alias("large"), most["root"].alias("main")).where("size > large and size > 2"), "unsettled")
+    open_ = common.weighed(counted.groupBy(*keys).agg(F.sum("n").alias("size"), most["n"].alias("large"), most["root"].alias("main")).where("size > large and size > 2"), "unsettled", "size")
     rest, whole = F.ceil((F.col("size") - F.col("large")) / SLICE).cast("int"), F.ceil(F.col("large") / SLICE).cast("int")
     outside = F.col("root") != F.col("main")
     part = F.when(outside, F.pmod(F.xxhash64("id"), rest)).otherwise(rest + F.pmod(F.xxhash64("id"), whole)).cast("int")
@@ -90,30 +88,31 @@ def tiles(rows: DataFrame, keys: list[str], things: DataFrame, ready: Callable,
     return common.per_run(tiled.join(things, "id"), [*keys, "a", "b"], compare)
 
 
-def connect(met: DataFrame, keys: list[str], things: DataFrame, ready: Callable, same: Callable, alike: Callable[[Column, Column], Column], near: Callable, links: DataFrame | None = None) -> DataFrame:
-    """node, root of all members that are linked to another: those of `links`, and those in a common place of `met` (keys, id, tag) that are `same`.
+def pivoted(members: DataFrame, keys: list[str]) -> DataFrame:
+    """`members` (keys, id and perhaps tag) of places with more than one, with the place's pivot and its size n."""
+    pivot = F.min(F.struct(F.xxhash64("id").alias("order"), *[c for c in members.columns if c not in keys]))
+    pivots = common.weighed(members.groupBy(*keys).agg(pivot.alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1"), "pivots", "n")
+    met = common.stored(common.hot_join(members, pivots, keys, "n"), "met")
+    common.forget(pivots[0])
+    return met
 
-    Pairs whose tags are not `alike` are not compared.
+
+def connect(met: DataFrame, keys: list[str], things: DataFrame, ready: Callable, same: Callable, near: Callable, alike: Column | None = None, links: DataFrame | None = None, tags: DataFrame | None = None) -> DataFrame:
+    """node, root of all members that are linked to another: those of `links`, and those in a common place of `met` (of `pivoted`) that are `same`.
+
+    Members that are not `alike` their pivot are not compared with it, nor others unless `near`
+    their tags, which are in `met` or, by id, in `tags`.
     """
-    found, named = links, None
-
-    def rooted() -> DataFrame:
-        if named is None:
-            return met.withColumn("root", F.col("id"))
-        return met.join(named.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-
-    if found is not None:
-        named = common.stored(common.components(found), "named")
-    for turn in range(ROUNDS):
-        rows = common.stored(rooted(), "rooted")
-        chosen = F.min_by(F.struct("id", "tag", "root"), F.struct(F.xxhash64("id", F.lit(turn)), "id"))
-        pivots = common.stored(rows.groupBy(*keys).agg(chosen.alias("pivot"), F.count(F.lit(1)).alias("n"), (F.min("root") < F.max("root")).alias("open")).where("open").where(F.col("n") > (1 if not turn else 2)), "pivots")
-        pairs = common.hot_join(rows, pivots, keys, "n").where((F.col("root") != F.col("pivot.root")) & alike(F.col("tag"), F.col("pivot.tag")))
-        pairs = common.stored(pairs.select(F.col("id").alias("u"), F.col("pivot.id").alias("v")).distinct(), "pairs")
-        found = stars(pairs, things, ready, same)
-        found = common.stored(found if named is None else found.unionByName(named.select(F.col("node").alias("u"), F.col("root").alias("v"))), "links")
-        named = common.stored(common.components(found), "named")
-        common.forget(rows, pivots, pairs)
-    rows = common.stored(rooted(), "rooted")
-    last = tiles(rows, keys, things, ready, same, near)
+    pairs = met.where(F.col("id") != F.col("pivot.id"))
+    pairs = (pairs if alike is None else pairs.where(alike)).select(F.col("id").alias("u"), F.col("pivot.id").alias("v"))
+    pairs = common.stored(pairs.distinct(), "pairs")
+    found = stars(pairs, things, ready, same)
+    named = common.stored(common.components(found if links is None else found.union(links)), "named")
+    # A place of two has been compared whole.
+    rows = met.where("n > 2").drop("pivot", "n").join(named.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    rows = common.stored(rows if tags is None else rows.join(tags, "id"), "rooted")
+    last, seen = common.measured(tiles(rows, keys, things, ready, same, near), "links", n=F.count(F.lit(1)))
+    common.forget(pairs, rows)
+    if not seen["n"]:
+        return named
     return common.components(last.unionByName(named.select(F.col("node").alias("u"), F.col("root").alias("v"))))

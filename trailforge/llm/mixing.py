@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from trailforge.llm import common
 
 BLOCKS = 256
+#: Parts of a block's order that are summed apart before rows are.
+RANGES = 4096
 REPEATS = 2.0
 STEPS = 50
 SEED = "mix"
@@ -62,7 +64,9 @@ class Shares:
         """Sum of p**alpha and of p**alpha * ln p over the shares p."""
         if self.many:
             p = F.col("tokens") / F.lit(float(self.total))
-            return tuple(self.sizes.agg(F.sum(F.pow(p, F.lit(alpha))), F.sum(F.pow(p, F.lit(alpha)) * F.log(p))).first())
+            # Decimals, so that the sum does not hang on the order of rows.
+            exact = lambda x: F.sum(x.cast("decimal(38,24)"))
+            return tuple(map(float, self.sizes.agg(exact(F.pow(p, F.lit(alpha))), exact(F.pow(p, F.lit(alpha)) * F.log(p))).first()))
         shares = [t / self.total for t in self.tokens]
         return math.fsum(p**alpha for p in shares), math.fsum(p**alpha * math.log(p) for p in shares)
 
@@ -142,15 +146,16 @@ def plan(named: DataFrame, repeats: float | None = REPEATS, entropy: float | Non
         .select("__source", "block", "passes", F.col("order").alias("edge"), (F.col("rest") - F.col("before")).alias("left"))
     )
     edges = common.stored(edges, "edges")
+    # The cut block in RANGES of the order: whole ranges by their sums, and rows of the one in which the pass ends.
+    inside = _met(rows, edges, ["__source", "block"]).withColumn("doc_order", _doc_order(F.col("passes")))
+    inside = inside.select("__source", "__tokens", "left", "doc_order", F.floor(F.col("doc_order") / (1 << 60) * RANGES).cast("int").alias("range"))
+    ranged = inside.groupBy("__source", "range").agg(F.sum("__tokens").alias("tokens"), F.max("doc_order").alias("top"), F.first("left").alias("left"))
+    earlier = Window.partitionBy("__source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = common.stored(ranged.withColumn("before", F.coalesce(F.sum("tokens").over(earlier), F.lit(0))), "ranges")
+    last = ranged.where("before <= left and left < before + tokens").select("__source", "range", "before")
     so_far = Window.partitionBy("__source").orderBy("doc_order").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    cuts = (
-        _met(rows, edges, ["__source", "block"])
-        .withColumn("doc_order", _doc_order(F.col("passes")))
-        .withColumn("used", F.sum("__tokens").over(so_far))
-        .where("used <= left")
-        .groupBy("__source")
-        .agg(F.max("doc_order").alias("cut"))
-    )
+    partial = _met(inside, last, ["__source", "range"]).withColumn("used", F.col("before") + F.sum("__tokens").over(so_far)).where("used <= left")
+    cuts = partial.select("__source", F.col("doc_order").alias("top")).union(ranged.where("before + tokens <= left").select("__source", "top")).groupBy("__source").agg(F.max("top").alias("cut"))
     return common.stored(
         per_source.join(edges.select("__source", "edge"), "__source", "left")
         .join(cuts, "__source", "left")
@@ -165,7 +170,7 @@ def _met(left: DataFrame, sources: DataFrame, keys: list[str] | None = None) ->
     if sources.limit(SOURCES + 1).count() <= SOURCES:
         return left.join(F.broadcast(sources), keys)
     weights = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return common.hot_join(left, sources.join(weights, keys), keys, "__n").drop("__n")
+    return common.hot_join(left, common.weighed(sources.join(weights, keys), "weights", "__n"), keys, "__n").drop("__n")
 
 
 def mix(

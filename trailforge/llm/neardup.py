@@ -2,18 +2,17 @@
 
 A document is the weighted set of its SHINGLE-word shingles in lower case (a shorter text is
 one shingle of all its words). A shingle weighs its count in the document times its inverse
-document frequency. Frequencies are counted over all documents in FEATURES hashed features,
-so the table of them has a fixed size however large the corpus is, and chance sharers of a
-feature are the same fraction of any corpus. The root is taken of the logarithm, because a
-shingle that a large group of copies shares must not weigh so little that their few edits
-make them differ.
+document frequency. Frequencies are counted over all documents in signed sketches, whose size
+is fixed however large the corpus is and whose estimates are unbiased, so a frequent shingle
+is told from a rare one at any size. Shingles in less than a RARE part of the documents weigh
+the same, and the root is taken of the logarithm, because a shingle that a large group of
+copies shares must not weigh so little that their few edits make them differ.
 
 Each document gets BANDS * ROWS consistent samples; documents that agree on all samples of a
 band meet there. A pair at weighted Jaccard similarity 0.8 meets with probability over
-0.9998. Pairs that meet are verified by their exact weighted Jaccard similarity, under the
-first band on which they agree, unless they are known to be connected; large meeting places
-are cut into tiles of pairs of slices. Connected documents are one class, named by its least
-doc_id.
+0.9998. Pairs that meet are verified by their exact weighted Jaccard similarity, unless they
+are known to be connected (`meeting` says in what order). Connected documents are one class,
+named by its least doc_id.
 
 Documents with the same words are one member of all this, whatever their number. Only
 hashes are shuffled for all documents, texts for those alone that have a partner.
@@ -26,8 +25,8 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +34,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailforge.llm import common, kernel
-from trailforge.llm.linededup import Forest
+from trailforge.llm import common, kernel, meeting
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 12, 3
-FEATURES = 1 << 18
-SLICE = 512
+#: Counters of the sketches of frequencies. An estimate is off by about the root of the sum of squared frequencies over WIDTH.
+DEPTH, _BITS = 3, 16
+WIDTH = 1 << _BITS
+#: The part of all documents up to which a shingle is as rare as any.
+RARE = 0.02
 #: Bytes of text that are sketched at a time: arrays of their shingles stay in a core's cache.
 _PIECE = 512 << 10
 _STEPS = 1 << 16
@@ -114,31 +115,63 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return grams[first], of[first], count, high, low
 
 
+@dataclass(frozen=True)
+class Idf:
+    """What the frequencies of all shingles come to: DEPTH signed sketches of WIDTH counters (Charikar, Chen and Farach-Colton, 2002)."""
+
+    documents: int
+    counters: np.ndarray
+
+    def frequencies(self, grams: np.ndarray) -> np.ndarray:
+        """About how many documents have each shingle: the median of what the sketches say."""
+        said = [self.counters[d][_slot(grams, d)] * _sign(grams, d) for d in range(DEPTH)]
+        return np.maximum(np.minimum(said[0], said[1]), np.minimum(np.maximum(said[0], said[1]), said[2]))
+
+    def of(self, grams: np.ndarray) -> np.ndarray:
+        """1 + ln(documents / frequency) under a root; shingles of less than a RARE part of the documents count as equally rare."""
+        n, floor = 1 + self.documents, max(1.0, RARE * self.documents)
+        out = np.full(len(grams), np.sqrt(1 + np.log(n / floor)), np.float32)
+        often = self.frequencies(grams)
+        some = np.flatnonzero(often > floor)
+        out[some] = np.sqrt(1 + np.log(n / np.minimum(often[some], n)))
+        return out
+
+
+def _slot(grams: np.ndarray, d: int) -> np.ndarray:
+    return ((grams >> np.uint64(d * _BITS)) & np.uint64(WIDTH - 1)).astype(np.int64)
+
+
+def _sign(grams: np.ndarray, d: int) -> np.ndarray:
+    return ((grams >> np.uint64(60 + d)) & np.uint64(1)).astype(np.int64) * 2 - 1
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, documents = np.zeros(FEATURES, np.int64), 0
+    total, documents = np.zeros((DEPTH, WIDTH), np.int64), 0
     for batch in batches:
         for _, _, data, offsets in kernel.texts(pc.utf8_lower(batch.column(0)), _PIECE):
             grams, of, wordy = occurrences(data, offsets)
-            pairs = np.unique(of * FEATURES + (grams & np.uint64(FEATURES - 1)).astype(np.int64))
-            total += np.bincount(pairs & (FEATURES - 1), minlength=FEATURES)
+            # Each shingle once for each text.
+            grams = grams[np.unique(kernel.mix(grams + kernel.stream(of, 3)), return_index=True)[1]]
+            for d in range(DEPTH):
+                total[d] += np.bincount(_slot(grams, d), weights=_sign(grams, d), minlength=WIDTH).astype(np.int64)
             documents += int(wordy.sum())
+    total = total.ravel()
     seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1)), pa.array(np.append(total[seen], documents))], names=["feature", "n"])
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1)), pa.array(np.append(total[seen], documents))], names=["counter", "n"])
 
 
-def idf_table(documents: DataFrame, text: str = "text") -> np.ndarray:
-    """The weight of each hashed feature, from counts over all documents. FEATURES rows reach the driver, whatever the corpus."""
-    rows = documents.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).mapInArrow(_frequencies, "feature long, n long")
-    counted = rows.groupBy("feature").agg(F.sum("n").alias("n")).toPandas()
-    n = counted.loc[counted["feature"] < 0, "n"].sum()
-    df = np.zeros(FEATURES)
-    some = counted[counted["feature"] >= 0]
-    df[some["feature"].to_numpy()] = some["n"].to_numpy()
-    return np.sqrt(1 + np.log((1 + n) / (1 + df))).astype(np.float32)
+def idf_table(documents: DataFrame, text: str = "text") -> Idf:
+    """Counts over all documents. DEPTH * WIDTH rows reach the driver, whatever the corpus."""
+    rows = documents.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).mapInArrow(_frequencies, "counter long, n long")
+    counted = rows.groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
+    counters = np.zeros(DEPTH * WIDTH, np.int32 if counted["n"].abs().max() < 2**31 else np.int64)
+    some = counted[counted["counter"] >= 0]
+    counters[some["counter"].to_numpy()] = some["n"].to_numpy()
+    return Idf(int(counted.loc[counted["counter"] < 0, "n"].sum()), counters.reshape(DEPTH, WIDTH))
 
 
-def weights(grams: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return count.astype(np.float32) * idf[(grams & np.uint64(FEATURES - 1)).astype(np.int64)]
+def weights(grams: np.ndarray, count: np.ndarray, idf: Idf) -> np.ndarray:
+    return count.astype(np.float32) * idf.of(grams)
 
 
 def samples(grams: np.ndarray, of: np.ndarray, weight: np.ndarray, k: int = BANDS * ROWS) -> np.ndarray:
@@ -173,7 +206,7 @@ def band_keys(drawn: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _sketch(idf: np.ndarray):
+def _sketch(idf: Idf):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in kernel.texts(pc.utf8_lower(batch.column(2)), _PIECE):
@@ -190,94 +223,59 @@ def _sketch(idf: np.ndarray):
     return sketch
 
 
-def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by meeting place (band, key), those with a partner there that they meet nowhere earlier."""
-    held: pa.Table | None = None
-    for batch in itertools.chain(batches, [None]):
-        if batch is not None and not len(batch):
-            continue
-        rows = pa.Table.from_batches([batch]) if batch is not None else None
-        if held is not None:
-            rows = pa.concat_tables([held, rows]) if rows is not None else held
-        if rows is None:
-            return
-        band, key = (rows.column(c).to_numpy() for c in ("band", "key"))
-        new = np.flatnonzero((band[1:] != band[:-1]) | (key[1:] != key[:-1])) + 1
-        cut = (int(new[-1]) if len(new) else 0) if batch is not None else len(rows)
-        held = rows.slice(cut) if batch is not None else None
-        edges = np.concatenate([[0], new[new < cut], [cut]])
-        keep = np.zeros(cut, bool)
-        several = np.flatnonzero(np.diff(edges) > 1)
-        if len(several):
-            bands = rows.column("bands").slice(0, cut).combine_chunks().flatten().to_numpy().reshape(cut, BANDS)
-            for k in several:
-                keep[edges[k] : edges[k + 1]] = _first_met(bands[edges[k] : edges[k + 1]], int(band[edges[k]]))
-        yield from rows.select(["band", "key", "id", "bands"]).take(pa.array(np.flatnonzero(keep))).to_batches()
-
-
-def _first_met(bands: np.ndarray, band: int) -> np.ndarray:
-    """Which members of a place differ from another one in every earlier band. Places past SLICE are not thinned out."""
-    n = len(bands)
-    if n > SLICE or not band:
-        return np.ones(n, bool)
-    met = np.zeros((n, n), bool)
-    for b in range(band):
-        met |= bands[:, b, None] == bands[None, :, b]
-    return (~met).any(axis=1)
-
-
-def weighted_set(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    data = np.frombuffer(pc.utf8_lower(pa.scalar(text)).as_py().encode(), np.uint8)
-    grams, _, count, *_ = shingles(data, np.array([0, len(data)]))
-    order = np.argsort(grams)
-    return grams[order], weights(grams, count, idf)[order].astype(np.float64)
+def weighted_sets(data: np.ndarray, offsets: np.ndarray, idf: Idf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted shingles of each text with their weights, and where each text's begin (with the total at the end)."""
+    grams, of, count, *_ = shingles(data, offsets)
+    order = np.lexsort((grams, of))
+    grams, of, count = grams[order], of[order], count[order]
+    return grams, weights(grams, count, idf), np.searchsorted(of, np.arange(len(offsets)))
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity: the sum of the lesser weights over the sum of the greater ones."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = np.minimum(a[1][i], b[1][j]).sum()
+    """Weighted Jaccard similarity of two sorted sets: the sum of the lesser weights over the sum of the greater ones."""
+    small, large = (a, b) if len(a[0]) <= len(b[0]) else (b, a)
+    if not len(small[0]):
+        return 0.0
+    at = np.minimum(np.searchsorted(large[0], small[0]), len(large[0]) - 1)
+    both = np.minimum(small[1], np.where(large[0][at] == small[0], large[1][at], 0)).sum()
     return both / (a[1].sum() + b[1].sum() - both)
 
 
-def _verify(idf: np.ndarray):
-    def verify(key: tuple, rows: dict[str, list]) -> list[tuple[int, int]]:
-        """Edges between the members of a tile: enough of them to connect whatever its similar pairs connect."""
-        bands, band = np.array(rows["bands"], np.int64), key[0]
-        texts, parts, ids, out = rows["text"], np.array(rows["part"]), rows["id"], []
-        forest, sets = Forest(len(ids)), {}
-        for i in range(1, len(ids)):
-            close = ~(bands[:i, :band] == bands[i, :band]).any(axis=1)
-            if key[2] != key[3]:
-                close &= parts[:i] != parts[i]
-            for j in np.flatnonzero(close).tolist():
-                if forest.root(i) == forest.root(j):
-                    continue
-                for k in (i, j):
-                    if k not in sets:
-                        sets[k] = weighted_set(texts[k], idf)
-                if similarity(sets[i], sets[j]) >= SIMILARITY:
-                    forest.join(i, j)
-                    out.append((ids[j], ids[i]))
-        return out
+def _sets(idf: Idf):
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in kernel.texts(pc.utf8_lower(batch.column(1)), _PIECE):
+                grams, weight, at = weighted_sets(data, offsets, idf)
+                parts = [[x[at[i] : at[i + 1]].tobytes() for i in range(hi - lo)] for x in (grams, weight)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *(pa.array(x, pa.binary()) for x in parts)], names=["id", "grams", "weights"])
+            kernel.release()
+
+    return sets
+
+
+def _ready(grams: bytes, weight: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(grams, np.uint64), np.frombuffer(weight, np.float32).astype(np.float64)
 
-    return verify
 
+def _same(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> bool:
+    return similarity(a, b) >= SIMILARITY
 
-def _links(members: DataFrame, documents: DataFrame, idf: np.ndarray, key: str, text: str) -> DataFrame:
-    """u, v: ids of similar members, enough to connect each class. `members` has id, bands, first (a document with its words)."""
-    meet = members.select(F.posexplode("bands").alias("band", "key"), "id", "bands").repartition("band", "key").sortWithinPartitions("band", "key")
-    met = common.stored(meet.mapInArrow(_partners, "band int, key long, id long, bands array<long>"), "met")
-    wanted = met.select("id").distinct().join(members.select("id", "first"), "id").select("id", "first.*")
+
+def _near_before(key: tuple, bands: np.ndarray, i: int) -> np.ndarray:
+    """A pair is compared in the first band on which it agrees, and nowhere else."""
+    return ~(bands[:i, : key[0]] == bands[i, : key[0]]).any(axis=1)
+
+
+def _joined(members: DataFrame, documents: DataFrame, idf: Idf, key: str, text: str) -> DataFrame:
+    """node, root of the members that are similar to another. `members` has id, bands, first (a document with its words)."""
+    met = meeting.pivoted(members.select(F.posexplode("bands").alias("band", "key"), "id"), ["band", "key"])
+    wanted = common.stored(met.select("id").distinct().join(members, "id").select("id", "bands", "first.*"), "wanted")
     held = documents.select(*common.row_key(key, text), F.col(text).cast("string").alias("text"))
-    texts = common.stored(wanted.join(held, ["key_id", "key_text"]).select("id", "text").dropDuplicates(["id"]), "texts")
-    sizes = met.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).withColumn("parts", F.ceil(F.col("n") / SLICE).cast("int"))
-    placed = common.hot_join(met, sizes, ["band", "key"], "n").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    # A slice of a place takes part in a tile with every slice of it, itself included.
-    tiled = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "id", "bands", "band", "key", "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b")
-    )
-    return common.stored(common.per_run(tiled.join(texts, "id"), ["band", "key", "a", "b"], _verify(idf)), "links")
+    texts = wanted.drop("bands").join(held, ["key_id", "key_text"]).select("id", "text").dropDuplicates(["id"])
+    sets = common.stored(texts.mapInArrow(_sets(idf), "id long, grams binary, weights binary"), "sets")
+    joined = common.stored(meeting.connect(met, ["band", "key"], sets, _ready, _same, _near_before, tags=wanted.select("id", F.col("bands").alias("tag"))), "joined")
+    common.forget(met, wanted, sets)
+    return joined
 
 
 def _classed(documents: DataFrame, key: str, text: str) -> DataFrame:
@@ -287,16 +285,19 @@ def _classed(documents: DataFrame, key: str, text: str) -> DataFrame:
     seen = common.stored(rows.mapInArrow(_sketch(idf), "key_id long, key_text long, high long, low long, bands array<long>, wordy boolean"), "sketch")
     wordy = seen.where("wordy")
     members = common.stored(
-        wordy.groupBy("high", "low").agg(F.min(F.struct("key_id", "key_text")).alias("first"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies")).withColumn("id", F.col("high")),
+        wordy.groupBy("high", "low").agg(F.min(F.struct("key_id", "key_text")).alias("first"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies"))
+        # Written once, so the numbers stand, and no two members share one as they might share a hash.
+        .withColumn("id", F.monotonically_increasing_id()),
         "members",
     )
-    joined = common.components(_links(members.select("id", "bands", "first"), documents, idf, key, text))
+    joined = _joined(members.select("id", "bands", "first"), documents, idf, key, text)
     named = common.stored(members.select("high", "low", "id", "first", "copies").join(joined.withColumnRenamed("node", "id"), "id", "left"), "named")
     linked = named.where("root is not null")
-    classes = common.stored(linked.groupBy("root").agg(F.min("first").alias("kept"), F.sum("copies").alias("size"), F.count(F.lit(1)).alias("n")), "classes")
+    classes = common.weighed(linked.groupBy("root").agg(F.min("first").alias("kept"), F.sum("copies").alias("size"), F.count(F.lit(1)).alias("n")), "classes", "n")
     met = common.hot_join(linked, classes, ["root"], "n").select("high", "low", "copies", "kept", "size")
     alone = named.where("root is null").select("high", "low", "copies", F.col("first").alias("kept"), F.col("copies").alias("size"))
-    found = common.stored(met.unionByName(alone), "found")
+    found = common.weighed(met.unionByName(alone), "found", "copies")
+    common.forget(members, joined, named, classes[0])
     out = ["key_id", "key_text", "class_id", "class_text", "class_size"]
     classed = common.hot_join(wordy.select("key_id", "key_text", "high", "low"), found, ["high", "low"], "copies").select(
         "key_id", "key_text", F.col("kept.key_id").alias("class_id"), F.col("kept.key_text").alias("class_text"), F.col("size").alias("class_size")

@@ -5,12 +5,15 @@ occurs more than once, the page that keeps it. `write` gives every page a record
 headers: a response with the payload, or a revisit that names the response. Archives are
 written by Spark's text writer, whose commit survives lost executors and reaches any
 Hadoop file system; a record ends in CR LF CR LF, so records back to back are the file.
-`read` parses archives by Content-Length and `restore` joins revisits to their responses.
+`read` parses archives by Content-Length and `restore` joins revisits to their responses. Pages
+meet the list of revisits by page_id and digest; Spark broadcasts it where it measures it as
+small, and else each page is shuffled once.
 
 Defined cases: a null payload is empty; payloads under `least` bytes are never revisits;
 a null page_id is read back as null and is never referred to; rows that repeat the page_id
 of the page that keeps a payload are responses too; line breaks in a URL are percent-encoded,
-a null URL has no header; other columns are ignored; an empty table gives no records.
+a null URL has no header; a revisit whose response is not in the archives stays, with null
+payload_bytes and payload_digest; other columns are ignored; an empty table gives no records.
 """
 
 from __future__ import annotations
@@ -25,8 +28,6 @@ from pyspark.sql import functions as F
 from trailforge.llm import common
 
 LEAST = 100
-#: Originals up to this many rows (about 100 bytes each) are broadcast; more are joined by shuffle.
-BROADCAST_ROWS = 200_000
 #: Bytes of payload that an archive is meant to hold.
 ARCHIVE_BYTES = 32 << 20
 DATE = "2024-01-01T00:00:00Z"
@@ -56,18 +57,21 @@ def originals(headers: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def resolve(pages: DataFrame, least: int = LEAST, page: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """page_id, url, body, digest, bytes, original, record_type of every row of `pages`."""
+    """page_id, url, body, digest, bytes, original, record_type of every row of `pages`.
+
+    Headers find the rows that are revisits, whose list (page_id, digest, original) is what rows
+    are joined to. The joined list has one row for each page_id and digest, so no key of it is hot.
+    """
     rows = _with_digest(pages, page, url, html)
-    kept = common.stored(originals(rows.select("page_id", "digest", "bytes"), least), "originals")
-    if kept.count() <= BROADCAST_ROWS:
-        met = rows.join(F.broadcast(kept), ["digest", "bytes"], "left")
-    else:
-        met = common.hot_join(rows, kept, ["digest", "bytes"], "copies", "left")
-    revisit = F.col("original").isNotNull() & ~F.col("original").eqNullSafe(F.col("page_id"))
+    headers = common.stored(rows.select("page_id", "digest", "bytes"), "headers")
+    kept = common.weighed(originals(headers, least), "originals", "copies")
+    again = common.hot_join(headers, kept, ["digest", "bytes"], "copies").where("not original <=> page_id")
+    again = common.stored(again.select("page_id", "digest", "original").distinct(), "revisits")
+    common.forget(headers, kept[0])
+    met = rows.join(again, rows["page_id"].eqNullSafe(again["page_id"]) & (rows["digest"] == again["digest"]), "left")
     return met.select(
-        "page_id", "url", "body", "digest", "bytes",
-        F.when(revisit, F.col("original")).alias("original"),
-        F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")).alias("record_type"),
+        rows["page_id"], "url", "body", rows["digest"], "bytes", "original",
+        F.when(F.col("original").isNotNull(), F.lit("revisit")).otherwise(F.lit("response")).alias("record_type"),
     )
 
 
@@ -95,34 +99,66 @@ def record() -> Column:
 
 
 def write(pages: DataFrame, path: str, least: int = LEAST, archive_bytes: int = ARCHIVE_BYTES, **columns: str) -> None:
-    """Writes gzip-compressed archives of about `archive_bytes` of payload to the folder `path`; a record may be longer."""
+    """Writes gzip-compressed archives of about `archive_bytes` of payload to the folder `path`, none with over 32 times as much but for one record's sake.
+
+    Payloads of over a thirty-second of that go to archives of their own, so that a run of long ones stays bounded too.
+    """
     rows = resolve(pages, least, **columns)
-    n, total = pages.agg(F.count(F.lit(1)), F.sum(F.octet_length(columns.get("html", "html")).cast("long"))).first()
-    each = max(1, int(archive_bytes / ((total or 0) / max(n, 1) + 400)))
-    rows.select(record().alias("value")).write.option("maxRecordsPerFile", each).option("lineSep", "\n").option("compression", "gzip").text(path)
+    long_bytes = max(1, archive_bytes // 32)
+    size = F.octet_length(columns.get("html", "html")).cast("long")
+    short, long_ = (F.when(F.coalesce(size, F.lit(0)) <= long_bytes, 1), F.when(size > long_bytes, size))
+    n, total, most = pages.agg(F.count(short), F.sum(F.when(size <= long_bytes, size)), F.max(long_)).first()
+    each = min(1024, max(1, int(archive_bytes / ((total or 0) / max(n, 1) + 400))))
+    _archives(rows.where(F.col("bytes") <= long_bytes), path, each, "error")
+    if most:
+        _archives(rows.where(F.col("bytes") > long_bytes), path, max(1, archive_bytes // most), "append")
+
+
+def _archives(rows: DataFrame, path: str, each: int, mode: str) -> None:
+    rows.select(record().alias("value")).write.mode(mode).option("maxRecordsPerFile", each).option("lineSep", "\n").option("compression", "gzip").text(path)
+
+
+def _unpacked(content: bytes, step: int = 1 << 20) -> Iterator[bytes]:
+    """The bytes of an archive, compressed or not, a piece at a time."""
+    if content[:2] != b"\x1f\x8b":
+        yield content
+        return
+    while content:
+        one = zlib.decompressobj(31)
+        rest = content
+        while rest and not one.eof:
+            yield one.decompress(rest, step)
+            rest = one.unconsumed_tail
+        content = one.unused_data
 
 
 def parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and payload (without the HTTP head) of each record of an archive, compressed or not."""
-    if content[:2] == b"\x1f\x8b":
-        parts = []
-        while content:
-            one = zlib.decompressobj(31)
-            parts.append(one.decompress(content))
-            content = one.unused_data
-        content = b"".join(parts)
-    at = 0
-    while at < len(content):
-        head_end = content.index(b"\r\n\r\n", at)
-        version, *fields = content[at:head_end].decode("utf-8").split("\r\n")
+    """Headers and payload (without the HTTP head) of each record of an archive, compressed or not; a record is all that is held."""
+    pieces, held = _unpacked(content), bytearray()
+
+    def until(there) -> bool:
+        while not there():
+            piece = next(pieces, None)
+            if piece is None:
+                return False
+            held.extend(piece)
+        return True
+
+    while until(lambda: held):
+        if not until(lambda: b"\r\n\r\n" in held):
+            raise ValueError("an archive ends inside a record's head")
+        head_end = held.index(b"\r\n\r\n")
+        version, *fields = held[:head_end].decode("utf-8").split("\r\n")
         if not version.startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
+            raise ValueError("no record where one should begin")
         headers = dict(f.split(": ", 1) for f in fields)
         begin = head_end + 4
         end = begin + int(headers["Content-Length"])
-        body = content.index(b"\r\n\r\n", begin, end) + 4
-        yield headers, content[body:end]
-        at = end + 4
+        if not until(lambda: len(held) >= end + 4):
+            raise ValueError("an archive ends inside a record")
+        body = held.index(b"\r\n\r\n", begin, end) + 4
+        yield headers, bytes(held[body:end])
+        del held[: end + 4]
 
 
 _READ = "record_type string, page_id long, url string, digest string, refers_to long, payload binary"
@@ -173,9 +209,9 @@ def restore(records: DataFrame) -> DataFrame:
     revisits = seen.where("record_type = 'revisit'").select("record_type", "page_id", "refers_to", "named")
     asked = revisits.groupBy("refers_to", "named").agg(F.count(F.lit(1)).alias("n"))
     held = responses.select(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("named"), "payload_bytes", "payload_digest")
-    found = asked.join(held.dropDuplicates(["refers_to", "named"]), ["refers_to", "named"])
+    found = common.weighed(asked.join(held.dropDuplicates(["refers_to", "named"]), ["refers_to", "named"]), "found", "n")
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-    return responses.select(*columns).unionByName(common.hot_join(revisits, found, ["refers_to", "named"], "n").select(*columns))
+    return responses.select(*columns).unionByName(common.hot_join(revisits, found, ["refers_to", "named"], "n", "left").select(*columns))
 
 
 def deduplicate(pages: DataFrame, path: str, least: int = LEAST, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
