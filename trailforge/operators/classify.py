@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Values of a range that one row lists.
+STRETCH = 10_000
+
 
 def class_counts(df: DataFrame, cls: str = "class", value: str = "value") -> DataFrame:
     """class, value, count, and the totals of classes as rows without a value: one pass, one shuffle."""
@@ -23,7 +26,10 @@ def class_posterior(counts: DataFrame, positive: int = 1) -> DataFrame:
     totals = counts.where("value is null").agg(F.sum(F.when(~hit, F.col("count"))).alias("t0"), F.sum(F.when(hit, F.col("count"))).alias("t1"))
     per_value = detail.groupBy("value").agg(F.coalesce(F.sum(F.when(~hit, F.col("count"))), F.lit(0)).alias("n0"), F.coalesce(F.sum(F.when(hit, F.col("count"))), F.lit(0)).alias("n1"))
     span = per_value.agg(F.min("value").alias("lo"), F.max("value").alias("hi")).where("lo is not null")
-    every = span.select(F.explode(F.sequence("lo", "hi")).alias("value"))
+    # In two steps, so that no row holds a whole range however wide it is.
+    kind = counts.schema["value"].dataType
+    begins = span.select("hi", F.explode(F.sequence(F.col("lo").cast("long"), F.col("hi").cast("long"), F.lit(STRETCH))).alias("begin")).repartition("begin")
+    every = begins.select(F.explode(F.sequence("begin", F.least(F.col("begin") + (STRETCH - 1), F.col("hi").cast("long")))).alias("value")).select(F.col("value").cast(kind))
     filled = every.join(per_value, "value", "left").crossJoin(F.broadcast(totals))
     n0, n1 = F.coalesce("n0", F.lit(0)), F.coalesce("n1", F.lit(0))
     all_ = F.col("t0") + F.col("t1")

@@ -68,37 +68,48 @@ def rfm(df: DataFrame, reference: Column, unit: str = "day", recency_count: int
     )
 
 
-def rfm_stats(scored: DataFrame) -> DataFrame:
-    """One row over all customers: least and greatest mean gap and value, mean and population deviation of gaps."""
+def rfm_stats(scored: DataFrame, *more: Column) -> DataFrame:
+    """One row over all customers: least and greatest mean gap and value, mean and population deviation of gaps, and `more` aggregates."""
     return scored.agg(
         F.min("av_time_gap").alias("min_av_time_gap"), F.max("av_time_gap").alias("max_av_time_gap"), F.min("av_value").alias("min_av_value"),
-        F.max("av_value").alias("max_av_value"), F.round(F.avg("av_time_gap"), 3).alias("global_av_time_gap"), F.round(F.stddev_pop("av_time_gap"), 3).alias("global_std_dev_time_gap"),
+        F.max("av_value").alias("max_av_value"), F.round(F.avg("av_time_gap"), 3).alias("global_av_time_gap"), F.round(F.stddev_pop("av_time_gap"), 3).alias("global_std_dev_time_gap"), *more,
     )
 
 
+#: The statistics that each law of gaps needs.
+GAP_STATS = {"normal": ["global_av_time_gap", "global_std_dev_time_gap"], "exponential": ["global_av_time_gap"]}
+
+
 def recency_score(scored: DataFrame, stats: DataFrame, distribution: str = "normal", precision: int = 3) -> DataFrame:
     """`scored` with recency replaced by the probability of a longer gap, under a normal or an exponential law of gaps."""
-    met = scored.crossJoin(F.broadcast(stats.select("global_av_time_gap", "global_std_dev_time_gap")))
-    if distribution == "normal":
-        p = S.normal_cdf(F.col("recency"), F.col("global_av_time_gap"), F.col("global_std_dev_time_gap"))
-    elif distribution == "exponential":
-        p = S.exponential_cdf(F.col("recency"), F.col("global_av_time_gap"))
-    else:
+    if distribution not in GAP_STATS:
         raise ValueError("the distribution is normal or exponential")
-    return met.select("id", "av_time_gap", F.round(F.lit(1.0) - p, precision).alias("recency"), "av_value")
+    met = scored.crossJoin(F.broadcast(stats.select(*GAP_STATS[distribution])))
+    return met.select("id", "av_time_gap", longer_gap(F.col("recency"), distribution, precision).alias("recency"), "av_value")
+
+
+def longer_gap(recency: Column, distribution: str, precision: int = 3) -> Column:
+    """The probability of a gap over `recency`, from the statistics that GAP_STATS names, which are columns of the same row."""
+    mean = F.col("global_av_time_gap")
+    p = S.normal_cdf(recency, mean, F.col("global_std_dev_time_gap")) if distribution == "normal" else S.exponential_cdf(recency, mean)
+    return F.round(F.lit(1.0) - p, precision)
 
 
 def normalize(df: DataFrame, columns: list[str], inverted: tuple[str, ...] = (), scale: float = 100.0, precision: int = 3) -> DataFrame:
     """`columns` from least 0 to greatest `scale` (0 if all are alike), `inverted` ones the other way round. Two reads, one partial aggregate, no shuffle of rows."""
     bounds = df.agg(*[f(c).cast("double").alias(f"__{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))])
-    met = df.crossJoin(F.broadcast(bounds))
+    return scaled(df.crossJoin(F.broadcast(bounds)), columns, inverted, scale, precision).select(*df.columns)
+
+
+def scaled(met: DataFrame, columns: list[str], inverted: tuple[str, ...] = (), scale: float = 100.0, precision: int = 3) -> DataFrame:
+    """`normalize` of rows that hold their columns' bounds already, as __lo_ and __hi_."""
 
     def put(c: str) -> Column:
         low, high = F.col(f"__lo_{c}"), F.col(f"__hi_{c}")
         x = F.coalesce((F.col(c).cast("double") - low) / F.nullif(high - low, F.lit(0.0)), F.lit(0.0)) * scale
         return F.round(F.lit(scale) - x if c in inverted else x, precision)
 
-    return met.select(*[put(c).alias(c) if c in columns else F.col(c) for c in df.columns])
+    return met.withColumns({c: put(c) for c in columns})
 
 
 def weighted_average(df: DataFrame, weights: dict[str, float], key: str = "id", name: str = "score", as_int: bool = True) -> DataFrame:

@@ -68,32 +68,40 @@ def hits(clicks: DataFrame, found: list[Pattern], c: Clicks = CLICKS) -> DataFra
 
 
 def _fold(rows: Column) -> Column:
-    """The map item -> (event, value) after all hits in order.
+    """The (event, value) of one item after its own hits and its session's steps in order.
 
     A first hit is stored, with the seconds on the page if its pattern has no value; a later one
-    replaces it if its event is greater. A step promotes all items that stand one event below it.
+    replaces it if its event is greater. A step promotes an item that stands one event below it.
     """
-    nothing = F.create_map().cast("map<string, struct<event: int, value: bigint>>")
+    nothing = F.lit(None).cast("struct<event: int, value: bigint>")
 
-    def go(state: Column, hit: Column) -> Column:
+    def go(held: Column, hit: Column) -> Column:
         new = F.struct(hit["event"].alias("event"), hit["value"].alias("value"))
         first = F.struct(hit["event"].alias("event"), F.when(hit["value"] == 0, hit["spent"]).otherwise(hit["value"]).alias("value"))
-        held = F.try_element_at(state, hit["item"])
-        stored = F.when(held.isNull(), first).when(held["event"] < hit["event"], new).otherwise(held)
-        others = F.map_filter(state, lambda k, _: k != hit["item"])
-        promoted = F.transform_values(state, lambda _, v: F.when(v["event"] == hit["event"] - 1, new).otherwise(v))
-        return F.when(hit["item"].isNull(), promoted).otherwise(
-            F.map_concat(others, F.create_map(F.coalesce(hit["item"], F.lit("")), stored))
+        step = hit["item"].isNull()
+        return (
+            F.when(step & held.isNull(), held)
+            .when(held.isNull(), first)
+            .when((step & (held["event"] == hit["event"] - 1)) | (~step & (held["event"] < hit["event"])), new)
+            .otherwise(held)
         )
 
     return F.aggregate(rows, nothing, go)
 
 
 def engagement_events(clicks: DataFrame, found: list[Pattern], c: Clicks = CLICKS) -> DataFrame:
-    """session_id, user_id, item_id, event_id, value: where each item of a session ended up."""
+    """session_id, user_id, item_id, event_id, value: where each item of a session ended up.
+
+    An item meets its own hits and the steps of its session, and no other item's.
+    """
     hit = F.struct("ts", "tie", "pattern", "item", "event", "value", "spent")
-    per_session = hits(clicks, found, c).groupBy("session_id").agg(F.first("user_id").alias("user_id"), F.array_sort(F.collect_list(hit)).alias("hits"))
-    return per_session.select("session_id", "user_id", F.explode(_fold(F.col("hits"))).alias("item_id", "at")).select(
+    seen = hits(clicks, found, c)
+    own = seen.where("item is not null").groupBy("session_id", "item").agg(F.first("user_id").alias("user_id"), F.collect_list(hit).alias("hits"))
+    if any(not p.groups for p in found):
+        steps = seen.where("item is null").groupBy("session_id").agg(F.collect_list(hit).alias("steps"))
+        own = own.join(steps, "session_id", "left").withColumn("hits", F.concat("hits", F.coalesce("steps", F.array())))
+    at = _fold(F.array_sort("hits"))
+    return own.select("session_id", "user_id", F.col("item").alias("item_id"), at.alias("at")).select(
         "session_id", "user_id", "item_id", F.col("at.event").alias("event_id"), F.col("at.value").alias("value")
     )
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Buckets of positions that are summed up together.
+STRETCH = 10_000
+
 
 def pattern_list(config: dict[str, str], prefix: str = "event.pattern") -> list[tuple[str, str]]:
     """(name, regex) of prefix.1, prefix.2 and so on, up to the first number that is missing."""
@@ -44,14 +47,17 @@ def session_event_context(records: DataFrame, found: list[tuple[str, str]], befo
 
 
 def dense_positions(df: DataFrame, key: str, width: int = 100_000, name: str = "position") -> DataFrame:
-    """`df` with the place of each row, from 1, in the order of a unique number: counted inside buckets of `width` values, and over buckets.
+    """`df` with the place of each row, from 1, in the order of a unique number: counted inside buckets of `width` values, then over buckets.
 
-    No task sorts the whole table; the table of buckets, one row for each, is summed up in one.
+    No task sorts the whole table. Buckets are summed in stretches of STRETCH of them, and those, a row for each, at once.
     """
-    bucket = F.floor(F.col(key) / width).cast("long")
-    counted = df.groupBy(bucket.alias("__bucket")).agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counted.select("__bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    bucket, stretch = F.floor(F.col(key) / width).cast("long"), F.floor(F.col("__bucket") / STRETCH).cast("long")
+    counted = df.groupBy(bucket.alias("__bucket")).agg(F.count(F.lit(1)).alias("n")).withColumn("__stretch", stretch)
+    earlier = lambda *parts: Window.partitionBy(*parts).rowsBetween(Window.unboundedPreceding, -1)
+    stretches = counted.groupBy("__stretch").agg(F.sum("n").alias("n"))
+    stretches = stretches.select("__stretch", F.coalesce(F.sum("n").over(earlier().orderBy("__stretch")), F.lit(0)).alias("__before"))
+    inner = F.coalesce(F.sum("n").over(earlier("__stretch").orderBy("__bucket")), F.lit(0))
+    starts = counted.withColumn("__inner", inner).join(stretches, "__stretch").select("__bucket", (F.col("__before") + F.col("__inner")).alias("__start"))
     inside = Window.partitionBy("__bucket").orderBy(key)
     placed = df.withColumn("__bucket", bucket).withColumn("__n", F.row_number().over(inside)).join(starts, "__bucket")
     return placed.withColumn(name, F.col("__start") + F.col("__n")).drop("__bucket", "__start", "__n")

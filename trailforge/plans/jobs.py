@@ -71,22 +71,26 @@ def _parts(lines: DataFrame, regex: str) -> Callable[[int], Column]:
     return lambda at: F.get(F.split("value", regex), at)
 
 
-def _time(date: Column, time: Column) -> Column:
-    return F.try_to_timestamp(F.concat_ws(" ", date, time), F.lit("yyyy-MM-dd HH:mm:ss"))
+def _time(date: Column, time: Column, form: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    return F.try_to_timestamp(F.concat_ws(" ", date, time), F.lit(form))
 
 
 def _lines(spark: SparkSession, inputs: list[str]) -> DataFrame:
     return spark.read.text(inputs)
 
 
-def _clicks(spark: SparkSession, c: Config, inputs: list[str], prefix: str = "see") -> DataFrame:
-    lines = _lines(spark, inputs)
+def _clicks(spark: SparkSession, c: Config, inputs: list[str], prefix: str = "see", multi_line: bool = False) -> DataFrame:
+    """The visits of log lines; with `multi_line`, lines whose time can't be read belong to the record before them."""
+    lines = _lines(spark, inputs).withColumn("event_id", F.monotonically_increasing_id())
     part, at = _parts(lines, c.text("field.delim.regex", r"\s+")), c.places(f"{prefix}.field.meta")
     col = lambda name: part(at[name]) if name in at else F.lit(None).cast("string")
+    ts = _time(col("date"), col("time"), c.text(f"{prefix}.date.format.str", "yyyy-MM-dd HH:mm:ss"))
+    if multi_line:
+        numbered = L.read_lines_with_offsets(spark, *inputs)
+        lines = L.multi_line(numbered, ts.isNotNull()).select(F.col("record").alias("value"), F.struct("file", "line_no").alias("event_id"))
     rows = lines.select(
-        col("cookie").alias("cookie"), _time(col("date"), col("time")).alias("ts"), col("url").alias("url"), col("referrer").alias("referrer"),
-        F.monotonically_increasing_id().alias("event_id"), F.col("value").alias("record"),
-    )
+        col("cookie").alias("cookie"), ts.alias("ts"), col("url").alias("url"), col("referrer").alias("referrer"), "event_id", F.col("value").alias("record")
+    )
     return sessions.sessions_from_cookie(rows, c.need(f"{prefix}.session.id.name"), c.need(f"{prefix}.user.id.name"), "cookie", c.text(f"{prefix}.cookie.separator", r";\+"))
 
 
@@ -107,7 +111,17 @@ def user_session_summary(spark, c, inputs):
 
 
 def engagement_events(spark, c, inputs):
+    """Over the output of `session_extractor`, whose positions eeg.*.ord give, or over raw log lines as see.field.meta has them."""
     found = engagement.patterns(c.need("eeg.engagement.events"))
+    if c.text("eeg.url.ord"):
+        lines = _lines(spark, inputs)
+        part = _parts(lines, c.text("eeg.field.delim.regex", ","))
+        place = lambda name, default: part(c.whole(f"eeg.{name}.ord", default))
+        clicks = lines.select(
+            place("session.id", 0).alias("session_id"), place("user.id", 1).alias("user_id"), F.timestamp_millis(place("time.stamp", 3).try_cast("long")).alias("ts"),
+            place("url", 4).alias("url"), F.lit(None).cast("string").alias("referrer"), F.monotonically_increasing_id().alias("event_id"),
+        )
+        return engagement.engagement_events(clicks, found).select("user_id", "item_id", "event_id", "value")
     return engagement.engagement_events(_clicks(spark, c, inputs), found).select("user_id", "item_id", "event_id", "value")
 
 
@@ -121,7 +135,7 @@ def event_detector(spark, c, inputs):
     found = events.pattern_list(c) or events.pattern_list(c, "sed.event.pattern")
     before, after = c.whole("sed.before.match.context.size", 3), c.whole("sed.after.match.context.size", 2)
     if c.flag("with.session", True):
-        rows = _clicks(spark, c, inputs, "sed").where(events.between(F.col("ts"), c.text("sed.min.date.time"), c.text("sed.max.date.time")))
+        rows = _clicks(spark, c, inputs, "sed", multi_line=True).where(events.between(F.col("ts"), c.text("sed.min.date.time"), c.text("sed.max.date.time")))
         return events.session_event_context(rows, found, before, after)
     rows = _lines(spark, inputs).select(F.monotonically_increasing_id().alias("n"), F.col("value").alias("record"))
     return events.stream_event_context(events.dense_positions(rows, "n"), found, before, after)
@@ -180,7 +194,7 @@ def recency_score(spark, c, inputs):
     kinds = {"id": (0, "string"), "av_time_gap": (1, "long"), "recency": (2, "long"), "av_value": (3, "double")}
     rows = L.read_delimited(spark, inputs, kinds, c.text("trs.field.delim.regex", ","))
     law = c.text("trs.trans.gap.prob.distr", "normal")
-    stats = L.read_stats(spark, c.need("trs.xaction.stats.file.path"), ["global_av_time_gap", "global_std_dev_time_gap"])
+    stats = L.read_stats(spark, c.need("trs.xaction.stats.file.path"), customer.GAP_STATS.get(law, []))
     return customer.recency_score(rows, stats, law)
 
 
@@ -246,9 +260,15 @@ def parsed_session_average(spark, c, inputs):
     return sessions.session_average(sessions.session_elapsed(clicks))
 
 
+def _tick(c: Config, key: str) -> str | None:
+    """The trigger of a stream: every so many seconds, or once for all there is."""
+    return f"{c[key]} seconds" if c.text(key) else None
+
+
 def visit_stream(spark: SparkSession, c: Config, source: str, checkpoint: str, sink, event_time: bool = True, tick: str | None = None):
     """Visits and their depth statistics from a folder of visit lines: two queries, joined by the folder that `source`.visits names."""
     visits.use_rocks_db(spark)
+    tick = tick or _tick(c, "visit.session.tick.freq.sec")
     pages = visits.visit_pages(visits.read_lines(spark, source), c.need("session.regex"), c.whole("date.ordinal", 0), c.whole("time.ordinal", 1), c.whole("url.ordinal", 4))
     ended = visits.visits(pages, c.need("page.id.pattern"), c.need("logOut.pattern"), c.whole("session.timeOut", 30), event_time=event_time)
     handed = f"{source.rstrip('/')}.visits"
@@ -264,8 +284,19 @@ def visit_stream(spark: SparkSession, c: Config, source: str, checkpoint: str, s
 
 
 def visitor_stream(spark: SparkSession, c: Config, source: str, checkpoint: str, sink, tick: str | None = None):
-    """Totals of unique visitors from a folder of application lines."""
+    """Totals of unique visitors from a folder of application lines.
+
+    With command.store, a folder of lines `part,reset`, parts can be reset; `sink` then gets a
+    dictionary of the latest totals in the place of a table.
+    """
+    tick = tick or _tick(c, "unique.user.tick.freq.sec")
     found = visitors.app_events(visits.read_lines(spark, source), c.whole("partition.ordinal", 3), c.whole("user.id.ordinal", 4))
+    if c.text("command.store"):
+        visits.use_rocks_db(spark)
+        bits = c.whole("bucket.bit.count", 12)
+        commands = visitors.command_lines(visits.read_lines(spark, c["command.store"]))
+        counted = visitors.controlled_counts(found, commands, bits, c.whole("min.total.count", 0))
+        return visits.start(counted, "visitors", checkpoint, "update", tick, visitors.LatestTotals(sink, bits))
     counted = visitors.counts(found, c.whole("bucket.bit.count", 12), c.whole("min.total.count", 0))
     return visits.start(counted, "visitors", checkpoint, "complete", tick, visitors.totals_sink(sink))
 
@@ -280,10 +311,28 @@ JOBS: dict[str, Callable[[SparkSession, Config, list[str]], DataFrame]] = {
 }
 
 
+#: The prefix of each job's own number of output files.
+FILE_PREFIX = {
+    "session_extractor": "see", "session_summarizer": "ses", "user_session_summary": "uss", "engagement_events": "eeg", "rating_estimator": "res", "event_detector": "sed", "log_merger": "clm",
+    "log_partitioner": "lop", "log_tokenizer": "lot", "time_gap_sequence": "tgs", "frequency_recency_value": "trf", "recency_score": "trs", "life_cycle": "lcf", "retention_rate": "rer",
+    "class_histogram": "bs", "class_boundary": "bp",
+}
+
+
 def run(spark: SparkSession, job: str, config: Config, inputs: list[str], output: str) -> None:
-    """Runs a job and writes its rows as text."""
+    """Runs a job and writes its rows as text.
+
+    num.reducer, or the job's own form of it, is the number of files; save.output=false writes
+    none, and debug.on shows the first rows. field.delimOut and field.delim.out part the fields.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    L.write_lines(JOBS[job](spark, config, inputs), output, config.text("field.delim.out", ","))
+    rows = JOBS[job](spark, config, inputs)
+    if config.flag("debug.on"):
+        rows.show(20, False)
+    if not config.flag("save.output", True):
+        return
+    files = config.whole(f"{FILE_PREFIX.get(job, job)}.num.reducer", config.whole("num.reducer", 0))
+    L.write_lines(rows, output, config.text("field.delimOut", config.text("field.delim.out", ",")), files if files > 0 else None)
 
 
 if __name__ == "__main__":

@@ -26,10 +26,19 @@ def implicit_ratings(clicks: DataFrame, found: list[engagement.Pattern], mapping
 
 def lifetime_value(transactions: DataFrame, reference: Column, columns: Transactions = TRANSACTIONS, unit: str = "day", recency_count: int = 2, distribution: str = "normal") -> DataFrame:
     """id and score: recency, frequency and value, the recency scored, all put on 0 to 100 and averaged by weight."""
+    if distribution not in customer.GAP_STATS:
+        raise ValueError("the distribution is normal or exponential")
     scored = customer.rfm(transactions, reference, unit, recency_count, c=columns)
-    likely = customer.recency_score(scored, customer.rfm_stats(scored), distribution)
-    normed = customer.normalize(likely, list(VALUE_WEIGHTS), inverted=("av_time_gap",))
-    return customer.weighted_average(normed, VALUE_WEIGHTS)
+    # All statistics in one pass: the longest recency has the least probability of a longer gap, and the shortest the greatest.
+    stats = customer.rfm_stats(scored, F.min("recency").alias("min_recency"), F.max("recency").alias("max_recency"))
+    longer = lambda c: customer.longer_gap(F.col(c), distribution)
+    bounds = {"av_time_gap": ("min_av_time_gap", "max_av_time_gap"), "av_value": ("min_av_value", "max_av_value")}
+    known = stats.select(
+        *customer.GAP_STATS[distribution], longer("max_recency").alias("__lo_recency"), longer("min_recency").alias("__hi_recency"),
+        *[F.col(x).cast("double").alias(f"__{n}_{c}") for c, pair in bounds.items() for n, x in zip(("lo", "hi"), pair)],
+    )
+    likely = scored.crossJoin(F.broadcast(known)).withColumn("recency", longer("recency"))
+    return customer.weighted_average(customer.scaled(likely, list(VALUE_WEIGHTS), inverted=("av_time_gap",)), VALUE_WEIGHTS)
 
 
 def lifecycles(visits: DataFrame, start: Column, end: Column, mode: str = "complete", z: float = 3.0, columns: Transactions = TRANSACTIONS, use_horizon: bool = True) -> DataFrame:

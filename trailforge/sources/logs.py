@@ -25,15 +25,25 @@ def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def read_lines_with_offsets(spark: SparkSession, *paths: str) -> DataFrame:
-    """file, line_no (from 0), byte_offset, value. A file is one row until it is split, so files should be of moderate size."""
-    files = spark.read.format("binaryFile").load(list(paths)).select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), F.col("content").cast("string").alias("text")
+    """file, line_no (from 0), byte_offset, value of every line of text files, globs or folders.
+
+    Files are split as Spark splits them. Lines are counted and measured inside their split, and
+    a split begins where the earlier ones of its file end. A carriage return before a line feed
+    counts as a byte and is not part of the value.
+    """
+    lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), "value",
+    )
+    size = F.octet_length("value").cast("long") + 1
+    here = Window.partitionBy("path", "block").orderBy("at")
+    local = lines.withColumns({"n": F.row_number().over(here) - 1, "offset": F.coalesce(F.sum(size).over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    blocks = lines.groupBy("path", "block").agg(F.count(F.lit(1)).alias("lines"), F.sum(size).alias("bytes"))
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    begins = blocks.select("path", "block", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("lines", "bytes")])
+    return local.join(begins, ["path", "block"]).select(
+        "file", (F.col("lines_before") + F.col("n")).alias("line_no"), (F.col("bytes_before") + F.col("offset")).alias("byte_offset"), F.regexp_replace("value", r"\r\z", "").alias("value")
     )
-    lines = files.select("file", F.split(F.regexp_replace("text", r"\n\z", ""), "\n").alias("lines"), (F.length("text") > 0).alias("some")).where("some")
-    numbered = lines.select("file", F.posexplode("lines").alias("line_no", "value"))
-    before = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum(F.octet_length("value").cast("long") + 1).over(before), F.lit(0))
-    return numbered.select("file", "line_no", offset.alias("byte_offset"), "value")
 
 
 def source_prefix(file: Column, sep: str = "_") -> Column:
@@ -125,17 +135,22 @@ def parse_log(lines: DataFrame, fmt: str | Parser, fields: list[str], session_na
     return parsed.where("r.sessionId is not null and r.dateTimeEpoch is not null").select(*[F.col(f"r.{f}").alias(f) for f in fields])
 
 
-def multi_line(lines: DataFrame, regex: str, starts: bool = True, file: str = "file", order: str = "line_no", value: str = "value", sep: str = "\\n") -> DataFrame:
+def multi_line(lines: DataFrame, regex: str | Column, starts: bool = True, file: str = "file", order: str = "line_no", value: str = "value", sep: str = "\\n", width: int = 100_000) -> DataFrame:
     """file, line_no of the first line, and record: lines joined to records.
 
-    With `starts`, a line in which the regex is found begins a record; without, a line in which it
-    is not found does. Lines before the first record of a file are left out, and the last record
-    of a file is complete at its end.
+    With `starts`, a line in which the regex is found (or for which a condition holds) begins a
+    record; without, a line in which it is not does. Lines before the first record of a file are
+    left out, and the last record of a file is complete at its end. `order` is a whole number; a
+    file is taken in stretches of `width` of it, each of which is told the record that is open at its begin.
     """
-    begins = F.col(value).rlike(regex) if starts else ~F.col(value).rlike(regex)
-    so_far = Window.partitionBy(file).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marked = lines.withColumn("__record", F.sum(begins.cast("int")).over(so_far)).where("__record > 0")
+    found = F.col(value).rlike(regex) if isinstance(regex, str) else F.coalesce(regex, F.lit(False))
+    begin = F.when(found if starts else ~found, F.col(order))
+    marked = lines.select(F.col(file), F.col(order), F.col(value), begin.alias("__begin"), F.floor(F.col(order) / width).cast("long").alias("__stretch"))
+    here = Window.partitionBy(file, "__stretch").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy(file).orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
+    open_ = marked.groupBy(file, "__stretch").agg(F.max("__begin").alias("last")).select(file, "__stretch", F.max("last").over(earlier).alias("__open"))
+    placed = marked.withColumn("__own", F.max("__begin").over(here)).join(open_, [file, "__stretch"]).withColumn("__record", F.coalesce("__own", "__open"))
     parts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))))
-    return marked.groupBy(file, "__record").agg(F.min(order).alias(order), parts.alias("p")).select(
+    return placed.where("__record is not null").groupBy(file, F.col("__record").alias(order)).agg(parts.alias("p")).select(
         file, order, F.array_join(F.transform("p", lambda p: p["v"]), sep).alias("record")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from trailforge.functions.ship import ship
 from trailforge.streaming.state import Registers, frame
 
 RESET = "reset"
@@ -56,14 +57,39 @@ class _Controlled(StatefulProcessor):
         n += len(users)
         self.held.update((sketch.r.tobytes(), n))
         if n > self.least:
-            yield frame(part=[key[0]], users=[sketch.estimate()])
+            yield frame(part=[key[0]], users=[sketch.estimate()], registers=[sketch.r.tobytes()])
 
     def close(self) -> None:
         pass
 
 
 def controlled_counts(events: DataFrame, commands: DataFrame, bits: int = 12, least: int = 0) -> DataFrame:
-    """part, users of each part that a trigger brings events of; a command (part, 'reset') clears the part before the trigger's events count."""
+    """part, users, registers of each part that a trigger brings events of; a command (part, 'reset') clears the part before the trigger's events count."""
+    ship(events.sparkSession)
     said = commands.select("part", F.lit(0).cast("long").alias("hash"), "command")
     rows = events.select("part", F.xxhash64("user").alias("hash"), F.lit(None).cast("string").alias("command")).unionByName(said)
-    return rows.groupBy("part").transformWithStateInPandas(_Controlled(bits, least), "part string, users long", "update", "none")
+    return rows.groupBy("part").transformWithStateInPandas(_Controlled(bits, least), "part string, users long, registers binary", "update", "none")
+
+
+def command_lines(lines: DataFrame) -> DataFrame:
+    """part, command of each line `part,command`; other lines are dropped."""
+    pair = F.split("value", ",")
+    return lines.select(F.trim(F.get(pair, 0)).alias("part"), F.trim(F.get(pair, 1)).alias("command")).where("command is not null")
+
+
+class LatestTotals:
+    """A foreachBatch function over `controlled_counts`: keeps the latest row of each part, and hands `write` the total of all parts and the estimate of their union.
+
+    What it keeps is 2**bits bytes for each part; a part that is reset has the users since then.
+    """
+
+    def __init__(self, write: Callable[[dict, int], None], bits: int = 12) -> None:
+        self.write, self.bits, self.latest = write, bits, {}
+
+    def __call__(self, batch: DataFrame, number: int) -> None:
+        self.latest |= {r["part"]: (r["users"], bytes(r["registers"])) for r in batch.collect()}
+        union = np.zeros(1 << self.bits, np.uint8)
+        for _, registers in self.latest.values():
+            np.maximum(union, np.frombuffer(registers, np.uint8), out=union)
+        if self.latest:
+            self.write({"users": sum(u for u, _ in self.latest.values()), "union_users": Registers(self.bits, union.tobytes()).estimate()}, number)

@@ -1,7 +1,9 @@
 """Visits of sessions and the depth of visits to pages, over streams.
 
 A visit ends with a logout page, or when the watermark (or the clock) passes its last page by the
-timeout. The stream is dealt out by session for visits and by page for depths.
+timeout. The stream is dealt out by session for visits and by page for depths. A run that ends
+when all is read leaves the visits open that the watermark has not passed: the next run, or a
+later line of any session, closes them.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from trailforge.functions import scalars as S
+from trailforge.functions.ship import ship
 from trailforge.streaming.state import Reservoir, Visit, follow, frame
 
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -65,7 +68,9 @@ class _Visits(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # What one trigger brings for one session is put in the order of time.
-        came = sorted((int(r.ms), r.url, None if pd.isna(r.page) else r.page, bool(r.logout)) for part in rows for r in part.itertuples(index=False))
+        came = pd.concat(list(rows), ignore_index=True).sort_values(["ms", "url"], kind="stable")
+        page = came["page"].astype(object).where(came["page"].notna(), None)
+        came = list(zip(came["ms"].tolist(), came["url"], page, came["logout"].tolist()))
         visit, done = follow(self._load(), [(ms, page, out) for ms, _, page, out in came], self.timeout_ms)
         self._rest(visit, 0 if self.event_time else timerValues.getCurrentProcessingTimeInMs())
         if done:
@@ -83,6 +88,7 @@ class _Visits(StatefulProcessor):
 
 def visits(pages: DataFrame, page_regex: str, logout: str, timeout_s: int = 30, watermark: str = "30 seconds", event_time: bool = True) -> DataFrame:
     """session_id, page_id, depth of every visit that ended and has a page; `pages` is a stream of session_id, ts, url."""
+    ship(pages.sparkSession)
     rows = pages.select(
         "session_id", "ts", S.epoch_ms(F.col("ts")).alias("ms"), "url", S.group(F.col("url"), page_regex).alias("page"), F.col("url").contains(logout).alias("logout")
     )
@@ -115,6 +121,7 @@ class _Depths(StatefulProcessor):
 
 def depth_stats(ended: DataFrame, window: int = 20, least: int | None = None, seed: str = "depth") -> DataFrame:
     """page_id, bounce_rate, depth_distr, av_depth of each page that a trigger brings visits of, from a biased sample of `window` depths."""
+    ship(ended.sparkSession)
     least = window * 3 // 4 if least is None else least
     return ended.groupBy("page_id").transformWithStateInPandas(
         _Depths(window, least, seed), "page_id string, bounce_rate long, depth_distr string, av_depth long", "update", "none"
