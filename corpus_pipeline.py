@@ -2,37 +2,37 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and read back
 as the next stage's docs; all but the last keep the columns of documents.
+
+Defined cases, in every stage: a null text counts as empty and stays null, texts are taken
+whole however long they are, rows that repeat a doc_id and text are scored alike and count as
+copies of each other, ties go to the least doc_id (null first), columns that a stage does not
+know stay as they are whatever their names, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trailforge.functions.ship import shipped
 from trailforge.llm import bpe, common, linededup, mixing, neardup, quality
 
 
-def _as(df: DataFrame, docs: DataFrame) -> DataFrame:
-    return df.select(*[f"`{c}`" for c in docs.columns])
-
-
 @shipped
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the labels that are not held out, scores at 0.3 or more."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _as(quality.score(docs, model).where(f"score >= {quality.KEEP}"), docs)
+    return docs.where(quality.scored(model, F.col("text")) >= quality.KEEP)
 
 
 @shipped
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that stay elsewhere; those left without a word go. n_chars follows the text."""
-    left = linededup.deduplicate(docs, drop_emptied=True, radius=None)
+    (lost,) = common.free(docs, "lines_lost")
+    left = linededup.deduplicate(docs, drop_emptied=True, radius=None, count=lost)
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType.simpleString()
-        left = left.selectExpr(
-            *[f"IF(n_dropped > 0, CAST(char_length(text) AS {kind}), n_chars) AS n_chars" if c == "n_chars" else f"`{c}`" for c in docs.columns]
-        )
-    return _as(left, docs)
+        left = left.withColumn("n_chars", F.when(F.col(lost) > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return left.drop(lost)
 
 
 @shipped
@@ -44,7 +44,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 @shipped
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once or twice, so that no source is repeated more than twice and sources are as even as that allows."""
-    return _as(mixing.mix(docs), docs)
+    prefix = "visit_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return mixing.mix(docs, prefix=prefix).select(*[f"`{c}`" for c in docs.columns])
 
 
 @shipped
