@@ -85,14 +85,14 @@ def parse(formatted: Column) -> Column:
     return F.flatten(turns)
 
 
-def loss_text(pieces: Column) -> Column:
-    """The unescaped text under the loss mask."""
-    return F.array_join(F.transform(F.filter(pieces, lambda p: p["loss"]), lambda p: unescape(p["text"])), "")
+def loss_text(turns: Column) -> Column:
+    """The text under the loss mask: what the turns that `parse` found say in the role that is learned."""
+    return F.array_join(F.transform(F.filter(turns, lambda t: t["role"] == LOSS_ROLE), lambda t: t["text"]), "")
 
 
 def digests(formatted: DataFrame, conv: str = "conv_id") -> DataFrame:
-    """What `format_conversations` wrote, read back: counts and digests of turns and of the text under the loss mask."""
-    back = formatted.withColumn("turns", parse(F.col("formatted"))).withColumn("learned", loss_text(F.col("pieces")))
+    """What `format_conversations` wrote, read back from `formatted` alone: counts and digests of turns and of the text under the loss mask."""
+    back = formatted.withColumn("turns", parse(F.col("formatted"))).withColumn("learned", loss_text(F.col("turns")))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
         conv,

@@ -20,6 +20,8 @@ _MULTIPLIER_HIGH = 0x27BB2EE6
 _MULTIPLIER_LOW = 0x87B0B0FD
 #: Buckets of a shard whose rows are numbered together; 8 shards times this is the bound of the broadcast table.
 BUCKETS = 4096
+#: Jumps that every key is given before it is asked whether it needs more.
+JUMPS = 48
 
 
 def _product_low(x: Column, by: int) -> Column:
@@ -65,8 +67,13 @@ def jump_hash(key: Column, shards: int) -> Column:
             F.when(on, jump).otherwise(state["next"]).alias("next"),
         )
 
-    steps = F.sequence(F.lit(1), F.lit(shards))
-    return F.aggregate(steps, begin, go, lambda state: state["at"].cast("int"))
+    # A key takes about ln(shards) jumps; the few that need more than JUMPS walk on.
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(min(shards, JUMPS))), begin, go)
+    if shards > JUMPS:
+        walked = F.aggregate(
+            F.array(walked), begin, lambda _, state: F.when(state["next"] >= shards, state).otherwise(F.aggregate(F.sequence(F.lit(1), F.lit(shards - JUMPS)), state, go))
+        )
+    return walked["at"].cast("int")
 
 
 def stable_key(df: DataFrame, column: str) -> Column:

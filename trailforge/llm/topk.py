@@ -6,7 +6,7 @@ queries, segments are processed by descending impact, and every posting adds its
 product to its candidate's score. What is still to come is bounded by Cauchy-Schwarz: the
 norm of a candidate's unprocessed components times the norm of the query. Processing stops
 when the bounds prove that few enough candidates can still be among the best k; those are
-scored exactly. Queries meet all rows block by block; a block never leaves its task's memory.
+scored exactly. Queries pass every block of candidates; a block never leaves its task's memory.
 
 Defined cases: vectors that are null, or hold a null or a non-finite component, take no part,
 nor do rows without an id; missing components of shorter vectors count as 0; rows that repeat
@@ -141,35 +141,40 @@ def _cut(x: np.ndarray, at: int = 65_536) -> list[np.ndarray]:
 
 def _search(k: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, index = None, None
+        """Of rows sorted by part, candidates before queries: the best of each part's candidates for every query."""
+        part, held = None, []
         for batch in batches:
-            for pair in batch.to_pylist():
-                if held != pair["block"]:
-                    held, index = pair["block"], Index(*_unpack(pair["width"], pair["ids"], pair["parts"]))
-                names, queries = _unpack(pair["q_width"], pair["q_ids"], pair["q_parts"])
-                query, row, score = index.best(names, queries, k)
-                order = np.lexsort((index.ids[row], -score, query))
-                query, row, score = query[order], row[order], score[order]
-                first = np.searchsorted(query, query)
-                keep = np.arange(len(query)) - first < k
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names[query[keep]]), pa.array(index.ids[row[keep]]), pa.array(score[keep])], names=["query_id", "vec_id", "score"]
-                )
+            for row in batch.to_pylist():
+                if part != row["part"]:
+                    part, held = row["part"], []
+                if not row["turn"]:
+                    held.append(Index(*_unpack(row["width"], row["ids"], row["parts"])))
+                    continue
+                names, queries = _unpack(row["width"], row["ids"], row["parts"])
+                for index in held:
+                    query, at, score = index.best(names, queries, k)
+                    order = np.lexsort((index.ids[at], -score, query))
+                    query, at, score = query[order], at[order], score[order]
+                    keep = np.arange(len(query)) - np.searchsorted(query, query) < k
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(names[query[keep]]), pa.array(index.ids[at[keep]]), pa.array(score[keep])], names=["query_id", "vec_id", "score"]
+                    )
 
     return search
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score: for each row of `queries` its k best rows of `candidates`."""
+    """query_id, rank, vec_id, score: for each row of `queries` its k best rows of `candidates`.
+
+    A block of candidates is shuffled once and stands still while all blocks of queries pass it.
+    """
     n = candidates.count()
     groups = max(1, -(-n // CANDIDATES))
     asked = queries.count()
     packed = blocks(queries.repartition(max(1, -(-asked // QUERIES)), key), QUERIES, key, vector)
-    spread = packed.select(
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"), F.col("width").alias("q_width"), F.col("ids").alias("q_ids"), F.col("parts").alias("q_parts")
-    )
-    indexed = blocks(candidates, CANDIDATES, key, vector).withColumn("part", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
-    pairs = indexed.join(spread, "part").select("block", "width", "ids", "parts", "q_width", "q_ids", "q_parts")
-    found = pairs.mapInArrow(_search(k), _FOUND).distinct()
+    spread = packed.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"), F.lit(1).alias("turn"), "width", "ids", "parts")
+    indexed = blocks(candidates, CANDIDATES, key, vector).select(F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int").alias("part"), F.lit(0).alias("turn"), "width", "ids", "parts")
+    passed = indexed.unionByName(spread).repartition("part").sortWithinPartitions("part", "turn")
+    found = passed.mapInArrow(_search(k), _FOUND).distinct()
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
