@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from trailforge.llm import common
 
 #: Members that a pivot, or another slice, is compared with in one group of rows.
-SLICE = 512
+SLICE = 256
 
 
 def stars(pairs: DataFrame, things: DataFrame, ready: Callable, same: Callable) -> DataFrame:
