@@ -44,7 +44,7 @@ def partition_lines(lines: DataFrame, time_regex: str, time_format: str, unit: s
 
 def write_partitions(parts: DataFrame, path: str) -> None:
     """One folder for each partition, its lines in the order of time; a partition may be many files, so none is held by one task."""
-    parts.repartitionByRange("partition", "ts").sortWithinPartitions("partition", "ts").select("partition", F.col("line").alias("value")).write.partitionBy("partition").mode("overwrite").text(path)
+    parts.repartitionByRange("partition", "ts").sortWithinPartitions("partition", "ts", "line").select("partition", F.col("line").alias("value")).write.partitionBy("partition").mode("overwrite").text(path)
 
 
 def tokenize(lines: DataFrame, regex: str = r"\s+", out: str = " ", prefix: int = 8, offset_digits: int = 12, token_digits: int = 3) -> DataFrame:

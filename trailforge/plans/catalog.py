@@ -581,3 +581,6 @@ def scalar_helpers(spark, sf_dir):
         S.fixed(F.col("value"), 3).alias("fixed"), S.to_unit(S.epoch_ms(F.col("ts")), "hour").alias("hour"),
         S.map_str(S.str_map(F.concat("event_type", F.lit(":1,x:2")))).alias("mapped"),
     )
+
+
+from trailforge.plans import file_catalog  # noqa: E402, F401  its queries join these

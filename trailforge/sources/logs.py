@@ -25,7 +25,7 @@ def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def read_lines_with_offsets(spark: SparkSession, *paths: str) -> DataFrame:
-    """file, line_no (from 0), byte_offset, value of every line of text files, globs or folders.
+    """file, path, line_no (from 0), byte_offset, value of every line of text files, globs or folders.
 
     Files are split as Spark splits them. Lines are counted and measured inside their split, and
     a split begins where the earlier ones of its file end. A carriage return before a line feed
@@ -42,7 +42,7 @@ def read_lines_with_offsets(spark: SparkSession, *paths: str) -> DataFrame:
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     begins = blocks.select("path", "block", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("lines", "bytes")])
     return local.join(begins, ["path", "block"]).select(
-        "file", (F.col("lines_before") + F.col("n")).alias("line_no"), (F.col("bytes_before") + F.col("offset")).alias("byte_offset"), F.regexp_replace("value", r"\r\z", "").alias("value")
+        "file", "path", (F.col("lines_before") + F.col("n")).alias("line_no"), (F.col("bytes_before") + F.col("offset")).alias("byte_offset"), F.regexp_replace("value", r"\r\z", "").alias("value")
     )
 
 

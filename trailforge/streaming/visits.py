@@ -133,8 +133,9 @@ def result_lines(stats: DataFrame, result: str = "bounceRate") -> DataFrame:
     return stats.select(F.concat("page_id", F.lit(":"), F.col(RESULTS[result]).cast("string")).alias("value"))
 
 
-def start(df: DataFrame, name: str, checkpoint: str, mode: str = "append", tick: str | None = None, sink=None) -> StreamingQuery:
+def start(df: DataFrame, name: str | None, checkpoint: str, mode: str = "append", tick: str | None = None, sink=None) -> StreamingQuery:
     """Starts a stream into `sink` (called with each batch and its number) or a memory table; with no tick it ends when all is read."""
-    writer = df.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", checkpoint)
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    writer = writer.queryName(name) if name else writer
     writer = writer.trigger(processingTime=tick) if tick else writer.trigger(availableNow=True)
     return (writer.foreachBatch(sink) if sink else writer.format("memory")).start()
