@@ -27,8 +27,10 @@ can drop it (`drop_emptied`); all columns pass through; an empty table stays emp
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,6 +59,8 @@ OFTEN = 64
 _MORE = -1
 _FACTORS = (kernel.stream(np.arange(BANDS * ROWS + NIBBLES), 51) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _LENGTH_STEP, _LENGTH_APART = 1.08, 3
+#: Characters of lines past which a bound of their distance is tried first, and of stretches that are aligned in it.
+BLOCK = 4096
 _OCCURRENCE = "key_id long, key_text long, place int, high long, low long, sim long"
 
 
@@ -434,15 +438,63 @@ def _bound(a: list[str], b: list[str], most: float) -> bool:
 _AHEAD = sorted(((x, y) for x in range(6) for y in range(6) if x + y), key=lambda p: (p[0] + p[1], abs(p[0] - p[1])))
 
 
+def _rising(values: list[int]) -> list[int]:
+    """Places of a longest rising chain of different values."""
+    ends, tops, before = [], [], [-1] * len(values)
+    for i, v in enumerate(values):
+        at = bisect.bisect_left(tops, v)
+        before[i] = ends[at - 1] if at else -1
+        if at == len(tops):
+            tops.append(v)
+            ends.append(i)
+        else:
+            tops[at], ends[at] = v, i
+    chain, i = [], ends[-1] if ends else -1
+    while i >= 0:
+        chain.append(i)
+        i = before[i]
+    return chain[::-1]
+
+
+def _enough_edits(a: str, b: str) -> int:
+    """Edits that do: words that either text has once, in one order, stay, and the stretches between them are aligned (exchanged past BLOCK)."""
+    words = [text.split(" ") for text in (a, b)]
+    once = []
+    for some in words:
+        count = Counter(some)
+        once.append({w: i for i, w in enumerate(some) if count[w] == 1})
+    met = [(i, once[1][w]) for w, i in once[0].items() if w in once[1]]
+    cost, at, to = 0, 0, 0
+    for i, j in [*(met[k] for k in _rising([j for _, j in met])), (len(words[0]), len(words[1]))]:
+        one, other = " ".join(words[0][at:i]), " ".join(words[1][to:j])
+        longer = max(len(one), len(other))
+        # A stretch that only one text has brings its space along.
+        cost += (edit_distance(one, other) if longer <= BLOCK else longer) + (bool(one) != bool(other))
+        at, to = i + 1, j + 1
+    return cost
+
+
+def _limit(a: str, b: str, least: float = SIMILARITY) -> float:
+    return (1 - least) * max(len(a), len(b)) + 1e-9
+
+
+def _distance(a: str, b: str) -> float:
+    """The edit distance, or no number for long lines, whose exact distance takes too long to be a mere help."""
+    return edit_distance(a, b) if max(len(a), len(b)) <= BLOCK else float("nan")
+
+
 def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
     longest = max(len(a), len(b))
     if not longest:
         return True
-    most = (1 - least) * longest + 1e-9
+    most = _limit(a, b, least)
     if abs(len(a) - len(b)) > most:
         return False
     if _bound(a.split(" "), b.split(" "), most):
         return True
+    # The exact distance of two long lines takes time by the square; most of those that are alike are told by a bound.
+    if longest > BLOCK and _enough_edits(a, b) <= most:
+        return True
     return edit_distance(a, b, most) <= most
 
 
@@ -538,12 +590,14 @@ def links_alike(classes: DataFrame, documents: DataFrame, key: str, text: str) -
     pairs = common.stored(met.where("key is null").select("u", "v").distinct(), "pairs")
     near = common.stored(met.where("key is not null").select("key", F.col("u").alias("id"), F.col("v").alias("tag")).dropDuplicates(["key", "id"]), "near")
     placed = meeting.pivoted(near, ["key"])
+    # A line has 2 * BANDS places at most.
+    places = near.groupBy("id").agg(F.collect_set("key").alias("places"))
     asked = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).union(near.select("id")).distinct()
     members = classes.select("id", "low", "first").join(asked, "id").select("id", "low", "first.*")
     lines = common.stored(_lines_of(members, documents, key, text), "lines")
     texts = pairs.join(lines.select(F.col("id").alias("u"), F.col("line").alias("one")), "u").join(lines.select(F.col("id").alias("v"), F.col("line").alias("other")), "v")
     listed = common.stored(texts.select("u", "v", "one", "other").mapInArrow(_verify_pairs, "u long, v long"), "links")
-    joined = common.stored(meeting.connect(placed, ["key"], lines.select("id", "line"), str, similar, _near_before, _alike(F.col("tag"), F.col("pivot.tag")), listed), "joined")
+    joined = common.stored(meeting.connect(placed, ["key"], lines.select("id", "line"), str, similar, _near_before, _alike(F.col("tag"), F.col("pivot.tag")), listed, places, (_distance, _limit)), "joined")
     common.forget(met, pairs, near, placed, listed)
     lows = joined.select(F.col("node").alias("id")).join(lines.select("id", "low"), "id")
     return joined, lows

@@ -21,6 +21,8 @@ from trailforge.llm import common
 
 #: Members that a pivot, or another slice, is compared with in one group of rows.
 SLICE = 256
+#: Members that one is compared with in a tile before distances to a pivot are worth their while.
+FEW = 8
 
 
 def stars(pairs: DataFrame, things: DataFrame, ready: Callable, same: Callable) -> DataFrame:
@@ -47,10 +49,13 @@ def stars(pairs: DataFrame, things: DataFrame, ready: Callable, same: Callable)
     return rows.repartition(n, "v", "part").sortWithinPartitions("v", "part", "turn").mapInArrow(run, "u long, v long")
 
 
-def tiles(rows: DataFrame, keys: list[str], things: DataFrame, ready: Callable, same: Callable, near: Callable) -> DataFrame:
+def tiles(rows: DataFrame, keys: list[str], things: DataFrame, ready: Callable, same: Callable, near: Callable, metric: tuple[Callable, Callable] | None = None) -> DataFrame:
     """u, v: links between members of different components that meet in a place, enough to connect what is linked.
 
-    `rows` has the keys, id, root and tag; `near(key, tags, i)` says which of the members before i to compare with i.
+    `rows` has the keys, id, root, tag and perhaps `places`, all places of the member: a pair is
+    compared in the first that it shares. `near(key, tags, i)` says which of the members before i to
+    compare with i. `metric`, a distance and its limit for two things that are the same, saves
+    comparisons with components of many members by the triangle inequality.
     """
     counted = rows.groupBy(*keys, "root").agg(F.count(F.lit(1)).alias("n"))
     most = F.max(F.struct("n", "root"))
@@ -58,29 +63,51 @@ def tiles(rows: DataFrame, keys: list[str], things: DataFrame, ready: Callable,
     rest, whole = F.ceil((F.col("size") - F.col("large")) / SLICE).cast("int"), F.ceil(F.col("large") / SLICE).cast("int")
     outside = F.col("root") != F.col("main")
     part = F.when(outside, F.pmod(F.xxhash64("id"), rest)).otherwise(rest + F.pmod(F.xxhash64("id"), whole)).cast("int")
+    more = [c for c in rows.columns if c == "places"]
     tiled = (
         common.hot_join(rows, open_, keys, "size")
         .withColumns({"part": part, "other": F.explode(F.sequence(F.lit(0), F.when(outside, rest + whole).otherwise(rest) - 1))})
-        .select(*keys, "id", "root", "tag", "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"))
+        .select(*keys, "id", "root", "tag", *more, "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"))
     )
     names = things.columns[1:]
 
     def compare(key: tuple, held: dict[str, list]) -> list[tuple[int, int]]:
-        ids, parts = held["id"], np.array(held["part"])
-        root = np.unique(np.array(held["root"], np.int64), return_inverse=True)[1]
-        tags, things, out = np.array(held["tag"], np.int64), list(zip(*(held[c] for c in names))), []
-        made: dict[int, object] = {}
-        for i in range(1, len(ids)):
+        ids, parts, n = held["id"], np.array(held["part"]), len(held["id"])
+        group = np.unique(np.array(held["root"], np.int64), return_inverse=True)[1]
+        root, tags, rows_ = group.copy(), np.array(held["tag"], np.int64), list(zip(*(held[c] for c in names)))
+        places = [set(p) for p in held["places"]] if more else None
+        made: list = [None] * n
+        pivots: dict[int, int] = {}
+        known: dict[tuple[int, int], float] = {}
+
+        def thing(k: int):
+            if made[k] is None:
+                made[k] = ready(*rows_[k])
+            return made[k]
+
+        def apart(i: int, j: int) -> float:
+            pair = (i, j) if i < j else (j, i)
+            if pair not in known:
+                known[pair] = metric[0](thing(i), thing(j))
+            return known[pair]
+
+        out = []
+        for i in range(1, n):
             close = near(key, tags, i) & (root[:i] != root[i])
             if key[-2] != key[-1]:
                 close &= parts[:i] != parts[i]
-            for j in np.flatnonzero(close).tolist():
+            close = np.flatnonzero(close).tolist()
+            if places:
+                close = [j for j in close if min(places[i] & places[j]) == key[0]]
+            many = metric is not None and len(close) > FEW
+            for j in close:
                 if root[j] == root[i]:
                     continue
-                for k in (i, j):
-                    if k not in made:
-                        made[k] = ready(*things[k])
-                if same(made[i], made[j]):
+                if many:
+                    limit, pivot = metric[1](thing(i), thing(j)), pivots.setdefault(int(group[j]), j)
+                    if abs(apart(i, pivot) - (apart(pivot, j) if pivot != j else 0)) > limit:
+                        continue
+                if same(thing(i), thing(j)):
                     root[root == root[i]] = root[j]
                     out.append((ids[j], ids[i]))
         return out
@@ -97,11 +124,11 @@ def pivoted(members: DataFrame, keys: list[str]) -> DataFrame:
     return met
 
 
-def connect(met: DataFrame, keys: list[str], things: DataFrame, ready: Callable, same: Callable, near: Callable, alike: Column | None = None, links: DataFrame | None = None, tags: DataFrame | None = None) -> DataFrame:
+def connect(met: DataFrame, keys: list[str], things: DataFrame, ready: Callable, same: Callable, near: Callable, alike: Column | None = None, links: DataFrame | None = None, tags: DataFrame | None = None, metric: tuple[Callable, Callable] | None = None) -> DataFrame:
     """node, root of all members that are linked to another: those of `links`, and those in a common place of `met` (of `pivoted`) that are `same`.
 
     Members that are not `alike` their pivot are not compared with it, nor others unless `near`
-    their tags, which are in `met` or, by id, in `tags`.
+    their tags, which are in `met` or, by id, in `tags`; `tags` may have `places` too (see `tiles`).
     """
     pairs = met.where(F.col("id") != F.col("pivot.id"))
     pairs = (pairs if alike is None else pairs.where(alike)).select(F.col("id").alias("u"), F.col("pivot.id").alias("v"))
@@ -111,7 +138,7 @@ def connect(met: DataFrame, keys: list[str], things: DataFrame, ready: Callable,
     # A place of two has been compared whole.
     rows = met.where("n > 2").drop("pivot", "n").join(named.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     rows = common.stored(rows if tags is None else rows.join(tags, "id"), "rooted")
-    last, seen = common.measured(tiles(rows, keys, things, ready, same, near), "links", n=F.count(F.lit(1)))
+    last, seen = common.measured(tiles(rows, keys, things, ready, same, near, metric), "links", n=F.count(F.lit(1)))
     common.forget(pairs, rows)
     if not seen["n"]:
         return named

@@ -49,6 +49,26 @@ def op3_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(_table(spark, sf_dir, "documents"), 8)
 
 
+_JUMP_SQL = """{name}(doc_id, state, here, next) AS (
+  SELECT DISTINCT doc_id, CASE WHEN coalesce(doc_id, 0) < 0 THEN doc_id::HUGEINT + 18446744073709551616 ELSE coalesce(doc_id, 0)::HUGEINT END, -1::BIGINT, 0::BIGINT FROM documents
+  UNION ALL SELECT doc_id, s, next, floor((next + 1)::DOUBLE * (2147483648::DOUBLE / ((s // 8589934592) + 1)::DOUBLE))::BIGINT
+  FROM (SELECT doc_id, next, (state * 2862933555777941757 + 1) % 18446744073709551616 AS s FROM {name} WHERE next < {n})),
+{name}_last AS (SELECT doc_id, max(here)::INT AS shard FROM {name} GROUP BY doc_id)"""
+_OP3_SQL = f"""
+WITH RECURSIVE {_JUMP_SQL.format(name="eight", n=8)},
+{_JUMP_SQL.format(name="nine", n=9)},
+crcs AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM (SELECT unnest(range(256)) AS i)),
+d AS (SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT doc_id, strlen(text)::BIGINT + 1 AS size, list_transform(range(1, length(h), 2), lambda i: ('0x' || h[i:i + 1])::BIGINT) AS bytes FROM d),
+c AS (SELECT doc_id, size, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295)::BIGINT AS text_crc32 FROM b, crcs),
+r AS (
+  SELECT c.*, e.shard, n.shard AS grown_shard, ('0x' || substr(md5(coalesce(c.doc_id::VARCHAR, '') || '|' || size || '|' || text_crc32), 1, 3))::INT AS bucket
+  FROM c JOIN eight_last e ON c.doc_id IS NOT DISTINCT FROM e.doc_id JOIN nine_last n ON c.doc_id IS NOT DISTINCT FROM n.doc_id)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard FROM r
+"""
+
+
 def op4_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every visit of every document in a mixture that repeats no source more than twice and leaves none out."""
     return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
@@ -191,4 +211,4 @@ QUERIES = {
         op10_bpe,
     )
 }
-ORACLES = {"op1_warc_revisits": _OP1_SQL, "op2_impact_topk": _OP2_SQL, "op4_temperature_mix": _OP4_SQL, "op7_rule_ledger": _OP7_SQL, "op9_chat_format": _OP9_SQL}
+ORACLES = {"op1_warc_revisits": _OP1_SQL, "op2_impact_topk": _OP2_SQL, "op3_jump_sharding": _OP3_SQL, "op4_temperature_mix": _OP4_SQL, "op7_rule_ledger": _OP7_SQL, "op9_chat_format": _OP9_SQL}

@@ -18,7 +18,7 @@ _LOW = 0xFFFFFFFF
 #: Fixed values of the published generator: the multiplier in 32-bit halves.
 _MULTIPLIER_HIGH = 0x27BB2EE6
 _MULTIPLIER_LOW = 0x87B0B0FD
-#: Buckets of a shard whose rows are numbered together; 8 shards times this is the bound of the broadcast table.
+#: Buckets (three hexadecimal digits) of a shard whose rows are numbered together; 8 shards times this is the bound of the broadcast table.
 BUCKETS = 4096
 #: Jumps that every key is given before it is asked whether it needs more.
 JUMPS = 48
@@ -82,6 +82,12 @@ def stable_key(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("long") if kind in ("byte", "short", "integer", "long") else F.when(F.col(column).isNotNull(), F.xxhash64(column))
 
 
+def _bucket(key: Column) -> Column:
+    """One of BUCKETS by the first bits of an MD5, which other engines have too."""
+    said = F.concat_ws("|", F.coalesce(key.cast("string"), F.lit("")), F.col("size").cast("string"), F.col("text_crc32").cast("string"))
+    return F.conv(F.substring(F.md5(said), 1, 3), 16, 10).cast("int")
+
+
 def shards(df: DataFrame, n: int = 8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of `df`: key, size, text_crc32, law, shard, slot, grown_shard.
 
@@ -96,7 +102,7 @@ def shards(df: DataFrame, n: int = 8, key: str = "doc_id", text: str = "text") -
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
         jump_hash(number, n).alias("shard"),
         jump_hash(number, n + 1).alias("grown_shard"),
-    ).withColumn("bucket", F.pmod(F.xxhash64(key, "size", "text_crc32"), F.lit(BUCKETS)).cast("int"))
+    ).withColumn("bucket", _bucket(F.col(key)))
     kinds = rows.groupBy("shard", "bucket", key, "size", "text_crc32", "grown_shard").agg(F.count(F.lit(1)).alias("copies"))
     filled = rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("filled"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
