@@ -24,6 +24,18 @@ def jump(key, n):
 # --- sharding
 
 
+def test_many_shards(spark):
+    keys = [0, 1, -1, 2**63 - 1, -(2**63), *range(2, 60)]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    assert [r[0] for r in df.select(sharding.jump_hash(df.k, 300)).collect()] == [jump(k, 300) for k in keys]
+
+
+def test_keys_that_need_more_jumps_walk_on(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "JUMPS", 2)
+    df = spark.createDataFrame([(k,) for k in range(50)], "k long")
+    assert [r[0] for r in df.select(sharding.jump_hash(df.k, 100)).collect()] == [jump(k, 100) for k in range(50)]
+
+
 def test_jump_hash_is_the_published_one(spark):
     rng = random.Random(1)
     keys = [0, 1, -1, 2**63 - 1, -(2**63), *(rng.randrange(-(2**63), 2**63) for _ in range(200))]
@@ -57,12 +69,19 @@ def page_rows():
     ]
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_archives_round_trip(spark, tmp_path, monkeypatch, few):
-    if not few:
-        monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_archives_round_trip(spark, tmp_path, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        round_trip(spark, tmp_path)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def round_trip(spark, tmp_path):
     rows = page_rows()
-    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    # Columns of the user's own that are called as the steps call theirs.
+    df = spark.createDataFrame([(*r, "x", 1, "y", -5) for r in rows], "page_id long, url string, html string, digest string, bytes int, body string, original int")
     path = str(tmp_path / "arc")
     got = warc.deduplicate(df, path, archive_bytes=4000)
     first = {}
@@ -85,6 +104,22 @@ def test_archives_round_trip(spark, tmp_path, monkeypatch, few):
     assert any(h.get("WARC-Target-URI") == "http://a/%0D%0AX: 1" for h in seen)
 
 
+def test_long_pages_have_archives_of_their_own(spark, tmp_path):
+    rows = [(i, "u", "x" * 50 + str(i)) for i in range(200)] + [(1000 + i, "u", chr(97 + i) * 30_000) for i in range(8)] + [(2000, None, "z" * 3_000_000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = {r["page_id"]: r["payload_bytes"] for r in warc.deduplicate(df, str(tmp_path / "arc"), archive_bytes=100_000).collect()}
+    assert got == {i: len(h) for i, _, h in rows}
+    sizes = [sum(len(b) for _, b in warc.parse(f.read_bytes())) for f in (tmp_path / "arc").glob("part-*")]
+    assert max(sizes) == 3_000_000 and all(s <= 100_000 or s == 3_000_000 for s in sizes)
+
+
+def test_a_revisit_without_its_response_stays(spark):
+    records = [("response", 1, None, "d1", None, b"abc"), ("revisit", 2, None, hashlib.sha256(b"abc").hexdigest(), 1, b""), ("revisit", 3, None, "gone", 99, b"")]
+    df = spark.createDataFrame(records, "record_type string, page_id long, url string, digest string, refers_to long, payload binary")
+    got = {r["page_id"]: tuple(r)[1:] for r in warc.restore(df).collect()}
+    assert got[3] == (None, None, "revisit", 99) and got[2] == (3, hashlib.sha256(b"abc").hexdigest(), "revisit", 1)
+
+
 def test_no_pages(spark, tmp_path):
     assert warc.deduplicate(spark.createDataFrame([], "page_id long, url string, html string"), str(tmp_path / "arc")).collect() == []
 

@@ -45,11 +45,11 @@ RADIUS, SIMILARITY = 3, 0.8
 #: Members of a meeting place that one task compares; a larger place is cut into slices of this size.
 SLICE = 512
 #: Least hashes: BANDS places of ROWS hashes each, and NIBBLES further hashes that say which pairs are compared.
-BANDS, ROWS, NIBBLES = 16, 3, 14
+BANDS, ROWS, NIBBLES = 14, 3, 14
 #: Bytes of an n-gram; lines of up to SHORT bytes meet on n-grams of both lengths, since an edit spoils more of a short line.
 GRAM, SHORT_GRAM, SHORT = 6, 3, 64
 #: Nibbles that a pair has in common if it is compared, for n-grams of either length: short ones agree by chance more often.
-AGREE, SHORT_AGREE = 5, 7
+AGREE, SHORT_AGREE = 6, 6
 #: Members of a place whose pairs are listed one by one; more of them are connected by `meeting`.
 LISTED = 16
 #: A place of more members is not thinned out before it is compared.
@@ -483,6 +483,9 @@ def _distance(a: str, b: str) -> float:
     return edit_distance(a, b) if max(len(a), len(b)) <= BLOCK else float("nan")
 
 
+_METRIC = meeting.Metric(_distance, _limit)
+
+
 def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
     longest = max(len(a), len(b))
     if not longest:
@@ -597,7 +600,7 @@ def links_alike(classes: DataFrame, documents: DataFrame, key: str, text: str) -
     lines = common.stored(_lines_of(members, documents, key, text), "lines")
     texts = pairs.join(lines.select(F.col("id").alias("u"), F.col("line").alias("one")), "u").join(lines.select(F.col("id").alias("v"), F.col("line").alias("other")), "v")
     listed = common.stored(texts.select("u", "v", "one", "other").mapInArrow(_verify_pairs, "u long, v long"), "links")
-    joined = common.stored(meeting.connect(placed, ["key"], lines.select("id", "line"), str, similar, _near_before, _alike(F.col("tag"), F.col("pivot.tag")), listed, places, (_distance, _limit)), "joined")
+    joined = common.stored(meeting.connect(placed, ["key"], lines.select("id", "line"), str, similar, _near_before, _alike(F.col("tag"), F.col("pivot.tag")), listed, places, _METRIC), "joined")
     common.forget(met, pairs, near, placed, listed)
     lows = joined.select(F.col("node").alias("id")).join(lines.select("id", "low"), "id")
     return joined, lows

@@ -11,6 +11,7 @@ a cluster is never compared with itself, whatever its size.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +22,18 @@ from trailforge.llm import common
 
 #: Members that a pivot, or another slice, is compared with in one group of rows.
 SLICE = 256
-#: Members that one is compared with in a tile before distances to a pivot are worth their while.
+#: Members of a component that one is compared with in a tile before distances to a pivot are worth their while.
 FEW = 8
 
 
+@dataclass(frozen=True)
+class Metric:
+    """What `same` stands for: a distance of two things that is at most their limit."""
+
+    distance: Callable
+    limit: Callable
+
+
 def stars(pairs: DataFrame, things: DataFrame, ready: Callable, same: Callable) -> DataFrame:
     """The pairs (u, v), where many may have one v, whose things are `same`; `things` has id and what `ready` takes."""
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -49,13 +58,13 @@ def stars(pairs: DataFrame, things: DataFrame, ready: Callable, same: Callable)
     return rows.repartition(n, "v", "part").sortWithinPartitions("v", "part", "turn").mapInArrow(run, "u long, v long")
 
 
-def tiles(rows: DataFrame, keys: list[str], things: DataFrame, ready: Callable, same: Callable, near: Callable, metric: tuple[Callable, Callable] | None = None) -> DataFrame:
+def tiles(rows: DataFrame, keys: list[str], things: DataFrame, ready: Callable, same: Callable, near: Callable, metric: Metric | None = None) -> DataFrame:
     """u, v: links between members of different components that meet in a place, enough to connect what is linked.
 
     `rows` has the keys, id, root, tag and perhaps `places`, all places of the member: a pair is
     compared in the first that it shares. `near(key, tags, i)` says which of the members before i to
-    compare with i. `metric`, a distance and its limit for two things that are the same, saves
-    comparisons with components of many members by the triangle inequality.
+    compare with i. With a `metric`, pairs are ruled out by the triangle inequality where a
+    component has many members to compare with.
     """
     counted = rows.groupBy(*keys, "root").agg(F.count(F.lit(1)).alias("n"))
     most = F.max(F.struct("n", "root"))
@@ -88,7 +97,7 @@ def tiles(rows: DataFrame, keys: list[str], things: DataFrame, ready: Callable,
         def apart(i: int, j: int) -> float:
             pair = (i, j) if i < j else (j, i)
             if pair not in known:
-                known[pair] = metric[0](thing(i), thing(j))
+                known[pair] = metric.distance(thing(i), thing(j))
             return known[pair]
 
         out = []
@@ -96,16 +105,14 @@ def tiles(rows: DataFrame, keys: list[str], things: DataFrame, ready: Callable,
             close = near(key, tags, i) & (root[:i] != root[i])
             if key[-2] != key[-1]:
                 close &= parts[:i] != parts[i]
-            close = np.flatnonzero(close).tolist()
-            if places:
-                close = [j for j in close if min(places[i] & places[j]) == key[0]]
-            many = metric is not None and len(close) > FEW
-            for j in close:
-                if root[j] == root[i]:
+            close = np.flatnonzero(close)
+            often = np.bincount(group[close], minlength=1) > FEW
+            for j in close.tolist():
+                if root[j] == root[i] or (places and min(places[i] & places[j]) != key[0]):
                     continue
-                if many:
-                    limit, pivot = metric[1](thing(i), thing(j)), pivots.setdefault(int(group[j]), j)
-                    if abs(apart(i, pivot) - (apart(pivot, j) if pivot != j else 0)) > limit:
+                if metric and often[group[j]]:
+                    pivot = pivots.setdefault(int(group[j]), j)
+                    if pivot != j and abs(apart(i, pivot) - apart(pivot, j)) > metric.limit(thing(i), thing(j)):
                         continue
                 if same(thing(i), thing(j)):
                     root[root == root[i]] = root[j]
@@ -124,7 +131,7 @@ def pivoted(members: DataFrame, keys: list[str]) -> DataFrame:
     return met
 
 
-def connect(met: DataFrame, keys: list[str], things: DataFrame, ready: Callable, same: Callable, near: Callable, alike: Column | None = None, links: DataFrame | None = None, tags: DataFrame | None = None, metric: tuple[Callable, Callable] | None = None) -> DataFrame:
+def connect(met: DataFrame, keys: list[str], things: DataFrame, ready: Callable, same: Callable, near: Callable, alike: Column | None = None, links: DataFrame | None = None, tags: DataFrame | None = None, metric: Metric | None = None) -> DataFrame:
     """node, root of all members that are linked to another: those of `links`, and those in a common place of `met` (of `pivoted`) that are `same`.
 
     Members that are not `alike` their pivot are not compared with it, nor others unless `near`
