@@ -98,3 +98,53 @@ def test_streams_from_configuration(spark, tmp_path):
     seen = []
     query = jobs.visitor_stream(spark, Config({"min.total.count": "5"}), str(tmp_path / "app"), str(tmp_path / "ck2"), lambda df, n: seen.extend(df.collect()))
     assert query.awaitTermination(120) and seen[-1]["users"] == 50
+
+
+def test_continuation_lines_stay_with_their_record(spark, tmp_path):
+    log = put(tmp_path / "log", ["lost", "2015-05-15 10:00:00 USR=u1;+SES=s1 /a r", "2015-05-15 10:00:05 USR=u1;+SES=s1 /b r", "  at boom.one", "  at boom.two", "2015-05-15 10:00:09 USR=u1;+SES=s1 /c r"])
+    conf = {"sed.field.meta": "cookie:2,date:0,time:1,url:3,referrer:4", "sed.user.id.name": "USR", "sed.session.id.name": "SES", "sed.before.match.context.size": "1", "sed.after.match.context.size": "1"}
+    conf |= {"event.pattern.1.name": "crash", "event.pattern.1.regex": r"boom\.two"}
+    found = run(spark, "event_detector", conf, log, tmp_path)
+    assert len(found) == 3 and any(r"/b r\n  at boom.one\n  at boom.two" in x for x in found)
+    slashed = put(tmp_path / "slashed", ["15/05/2015 10:00:00 USR=u1;+SES=s1 /a boom.two"])
+    assert len(run(spark, "event_detector", conf | {"sed.date.format.str": "dd/MM/yyyy HH:mm:ss"}, slashed, tmp_path / "s")) == 1
+
+
+def test_engagement_over_session_pages(spark, tmp_path):
+    pages = put(tmp_path / "pages", ["s1,u1,x,1431684000000,/product/A", "s1,u1,x,1431684015000,/cart"])
+    conf = {"eeg.engagement.events": "/product/(\\w+):1,/cart:2:8", "eeg.user.id.ord": "1", "eeg.url.ord": "4", "eeg.time.stamp.ord": "3"}
+    assert run(spark, "engagement_events", conf, pages, tmp_path) == ["u1,A,2,8"]
+
+
+def test_output_switches(spark, tmp_path, capfd):
+    rows = put(tmp_path / "c", [f"{i},x,{i % 2}" for i in range(40)])
+    run(spark, "class_histogram", {"num.reducer": "3", "bs.num.reducer": "1", "field.delimOut": ";", "debug.on": "true"}, rows, tmp_path)
+    files = list((tmp_path / "class_histogram").glob("part-*"))
+    assert len(files) == 1 and ";" in files[0].read_text() and "+--" in capfd.readouterr().out
+    jobs.run(spark, "class_histogram", Config({"save.output": "false"}), rows, str(tmp_path / "none"))
+    assert not (tmp_path / "none").exists()
+
+
+def test_exponential_law_needs_the_mean_alone(spark, tmp_path):
+    put(tmp_path / "stats", ["global_av_time_gap=4.0"])
+    rows = put(tmp_path / "r", ["a,4,8,10.0"])
+    conf = {"trs.xaction.stats.file.path": str(tmp_path / "stats"), "trs.trans.gap.prob.distr": "exponential"}
+    assert run(spark, "recency_score", conf, rows, tmp_path) == ["a,4,0.135,10.0"]
+
+
+def test_visitor_stream_takes_commands(spark, tmp_path):
+    (tmp_path / "app").mkdir()
+    (tmp_path / "commands").mkdir()
+    conf = Config({"command.store": str(tmp_path / "commands"), "bucket.bit.count": "10"})
+
+    def once(name, users, commands):
+        put(tmp_path / "app" / name, [f"d t s p{i % 2} {u}" for i, u in enumerate(users)])
+        put(tmp_path / "commands" / name, commands)
+        seen = []
+        assert jobs.visitor_stream(spark, conf, str(tmp_path / "app"), str(tmp_path / "ck"), lambda row, n: seen.append(row)).awaitTermination(120)
+        return seen[-1]
+
+    first = once("a", [f"u{i}" for i in range(400)], ["no command"])
+    assert abs(first["users"] - 400) < 50 and abs(first["union_users"] - 400) < 50
+    again = once("b", [f"v{i}" for i in range(60)], ["p0,reset", "p1,reset"])
+    assert abs(again["users"] - 60) < 12

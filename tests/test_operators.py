@@ -288,3 +288,51 @@ def test_parsers_and_files(spark, tmp_path):
     L.write_lines(spark.createDataFrame([(1, "x"), (2, None)], "n int, s string"), str(tmp_path / "csv"), files=1)
     back = L.read_delimited(spark, str(tmp_path / "csv"), {"s": (1, "string"), "n": (0, "int")})
     assert sorted(tuple(r) for r in back.collect()) == [("", 2), ("x", 1)]
+
+
+def test_lines_of_a_file_in_many_tasks(spark, tmp_path):
+    rng = random.Random(2)
+    lines = [("2020-01-01 00:00:%02d %d " % (i % 60, i) if rng.random() < 0.5 else "  more ") + "é" * rng.randrange(40) + ("\r" if i % 50 == 0 else "") for i in range(4000)]
+    (tmp_path / "a_1.log").write_bytes("\n".join(lines).encode() + b"\n")
+    (tmp_path / "b_1.log").write_bytes(b"x\n\n2020-01-01 00:00:00 last")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.minPartitionNum", "20")
+    try:
+        read = L.read_lines_with_offsets(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+        found = sorted((r["file"], r["line_no"], r["byte_offset"], r["value"]) for r in read.collect())
+        records = {(r["file"], r["line_no"]): r["record"] for r in L.multi_line(read, r"^\d{4}-", width=64, sep="\n").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    want, at = [], 0
+    for i, x in enumerate(lines):
+        want.append(("a_1.log", i, at, x.rstrip("\r")))
+        at += len(x.encode()) + 1
+    assert found == [*want, ("b_1.log", 0, 0, "x"), ("b_1.log", 1, 2, ""), ("b_1.log", 2, 3, "2020-01-01 00:00:00 last")]
+    plain, begin = {}, None
+    for i, x in enumerate(lines):
+        x = x.rstrip("\r")
+        if x.startswith("2020-"):
+            begin = i
+            plain["a_1.log", i] = x
+        elif begin is not None:
+            plain["a_1.log", begin] += "\n" + x
+    assert records == plain | {("b_1.log", 2): "2020-01-01 00:00:00 last"}
+
+
+def test_wide_ranges_and_far_positions(spark, monkeypatch):
+    rows = spark.createDataFrame([(0, 0), (1, 30_000), (1, 30_000)], "class int, value int")
+    got = classify.class_posterior(classify.class_counts(rows))
+    assert got.count() == 30_001 and got.where("value = 30000").first()["posterior"] == 1.0
+    monkeypatch.setattr(events, "STRETCH", 3)
+    keys = sorted(random.Random(4).sample(range(10**6), 500))
+    placed = events.dense_positions(spark.createDataFrame([(k,) for k in keys], "k long"), "k", width=1000).collect()
+    assert {r["k"]: r["position"] for r in placed} == {k: i + 1 for i, k in enumerate(keys)}
+
+
+def test_steps_promote_each_item_alone(spark):
+    hits = [("/product/a", 0), ("/addToCart/b", 5), ("/product/a", 7), ("/checkOut", 9), ("/product/c", 12), ("/placeOrder", 20)]
+    clicks = click_table(spark, [("s", "u", sec, url, None) for url, sec in hits])
+    got = {r["item_id"]: (r["event_id"], r["value"]) for r in engagement.engagement_events(clicks, engagement.patterns(SHOP)).collect()}
+    assert got == {"a": (1, 5), "b": (4, 10), "c": (1, 8)}
