@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trailforge.functions.scratch import scratch_path
 from trailforge.functions.ship import shipped
-from trailforge.llm import bpe, chat, common, linededup, mixing, neardup, quality, rules, sharding, topk, warc
+from trailforge.llm import bpe, chat, linededup, mixing, neardup, quality, rules, sharding, topk, warc
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -16,7 +17,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A record for every page, written to archives in the shared folder, read back and resolved."""
-    return warc.deduplicate(_table(spark, sf_dir, "pages"), common.scratch_path(spark, "warc"))
+    return warc.deduplicate(_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
 
 
 _OP1_SQL = """
