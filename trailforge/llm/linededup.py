@@ -45,11 +45,11 @@ RADIUS, SIMILARITY = 3, 0.8
 #: Members of a meeting place that one task compares; a larger place is cut into slices of this size.
 SLICE = 512
 #: Least hashes: BANDS places of ROWS hashes each, and NIBBLES further hashes that say which pairs are compared.
-BANDS, ROWS, NIBBLES = 14, 3, 14
+BANDS, ROWS, NIBBLES = 16, 3, 14
 #: Bytes of an n-gram; lines of up to SHORT bytes meet on n-grams of both lengths, since an edit spoils more of a short line.
 GRAM, SHORT_GRAM, SHORT = 6, 3, 64
 #: Nibbles that a pair has in common if it is compared, for n-grams of either length: short ones agree by chance more often.
-AGREE, SHORT_AGREE = 6, 6
+AGREE, SHORT_AGREE = 5, 6
 #: Members of a place whose pairs are listed one by one; more of them are connected by `meeting`.
 LISTED = 16
 #: A place of more members is not thinned out before it is compared.
