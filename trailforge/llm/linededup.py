@@ -55,7 +55,7 @@ LISTED = 16
 #: A place of more members is not thinned out before it is compared.
 DENSE = 16_384
 #: Rows of one place in one task of the first pass after which the next part of the place begins.
-OFTEN = 64
+OFTEN = 256
 _MORE = -1
 _FACTORS = (kernel.stream(np.arange(BANDS * ROWS + NIBBLES), 51) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _LENGTH_STEP, _LENGTH_APART = 1.08, 3
