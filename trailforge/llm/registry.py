@@ -135,7 +135,7 @@ def op7_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_OP7_SQL = r"""
+_OP7_BITS = r"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM docs),
 grams AS (
@@ -155,12 +155,27 @@ b AS (
   SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
     + 8 * (2 * n_dup_lines > n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT + 32 * (word_chars > 25 * n_words)::INT
     + 64 * (100 * n_symbols > n_words)::INT)::BIGINT AS fail_bits FROM m)
+"""
+_OP7_SQL = f"""{_OP7_BITS}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, (fail_bits & 63) = 0 AS kept,
   fail_bits, 'standard-1' AS policy
 FROM b
 """
 
 
+def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each policy and each of its rules: documents, kept, kept without the rule, and rejected by the rule alone."""
+    return rules.ablations(rules.ledger(_table(spark, sf_dir, "documents")))
+
+
+_CASES = ", ".join(f"('{p.version}', '{r.name}', {rules.mask(p)}, {1 << r.bit})" for p in (rules.BASE, rules.STANDARD, rules.STRICT) for r in rules.RULES if r.name in p.rules)
+_ABLATIONS_SQL = f"""{_OP7_BITS}
+SELECT policy, rule, count(*)::BIGINT AS documents, count(*) FILTER (fail_bits & mask = 0)::BIGINT AS kept,
+  count(*) FILTER (fail_bits & mask & ~bit = 0)::BIGINT AS kept_without, count(*) FILTER (fail_bits & mask = bit)::BIGINT AS only_by_rule
+FROM b, (VALUES {_CASES}) AS c(policy, rule, mask, bit) GROUP BY policy, rule
+"""
+
+
 def op8_weighted_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every document, its size, and whether the document is the one that stays."""
     return neardup.classes(_table(spark, sf_dir, "documents"))
@@ -207,9 +222,10 @@ QUERIES = {
         op5_fuzzy_lines,
         op6_attention_quality,
         op7_rule_ledger,
+        rule_ablations,
         op8_weighted_neardup,
         op9_chat_format,
         op10_bpe,
     )
 }
-ORACLES = {"op1_warc_revisits": _OP1_SQL, "op2_impact_topk": _OP2_SQL, "op3_jump_sharding": _OP3_SQL, "op4_temperature_mix": _OP4_SQL, "op7_rule_ledger": _OP7_SQL, "op9_chat_format": _OP9_SQL}
+ORACLES = {"op1_warc_revisits": _OP1_SQL, "op2_impact_topk": _OP2_SQL, "op3_jump_sharding": _OP3_SQL, "op4_temperature_mix": _OP4_SQL, "op7_rule_ledger": _OP7_SQL, "rule_ablations": _ABLATIONS_SQL, "op9_chat_format": _OP9_SQL}
