@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from trailforge.llm import common
 
 #: Members that a pivot, or another slice, is compared with in one group of rows.
-SLICE = 256
+SLICE = 128
 #: Members of a component that one is compared with in a tile before distances to a pivot are worth their while.
 FEW = 8
 
