@@ -2,7 +2,7 @@
 
 A place is a key that several members have. `connect` finds links among them in two ways.
 In a few rounds, each unsettled place names one member its pivot, and every member that is not
-yet connected to it is compared with it; the pivot's thing is copied for each SLICE of them. A
+yet connected to it is compared with it; the pivot's thing is copied for each STAR of them. A
 place is settled once its members are connected. What is left is compared exactly: the
 members outside the place's largest component in slices, each with every slice of the place, so
 a cluster is never compared with itself, whatever its size.
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from trailforge.llm import common
 
-#: Members that a pivot, or another slice, is compared with in one group of rows.
-SLICE = 128
+#: Members that a pivot is compared with in one group of rows, and members of a slice.
+STAR, SLICE = 128, 256
 #: Members of a component that one is compared with in a tile before distances to a pivot are worth their while.
 FEW = 8
 
@@ -38,7 +38,7 @@ def stars(pairs: DataFrame, things: DataFrame, ready: Callable, same: Callable)
     """The pairs (u, v), where many may have one v, whose things are `same`; `things` has id and what `ready` takes."""
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sizes = common.weighed(pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "sizes", "n")
-    parts = F.ceil(F.col("n") / SLICE).cast("int")
+    parts = F.ceil(F.col("n") / STAR).cast("int")
     placed = common.hot_join(pairs, sizes, ["v"], "n").select(F.col("u").alias("id"), "v", F.pmod(F.xxhash64("u"), parts).cast("int").alias("part"), F.lit(1).alias("turn"))
     heads = sizes[0].select(F.col("v").alias("id"), "v", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("turn"))
     rows = heads.unionByName(placed).join(things, "id").select("id", "v", "turn", "part", *things.columns[1:])
