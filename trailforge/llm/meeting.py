@@ -1,11 +1,11 @@
 """Links between the members of meeting places, with no place whole in a task.
 
-A place is a key that several members have. `connect` finds links among them in two ways.
-In a few rounds, each unsettled place names one member its pivot, and every member that is not
-yet connected to it is compared with it; the pivot's thing is copied for each STAR of them. A
-place is settled once its members are connected. What is left is compared exactly: the
-members outside the place's largest component in slices, each with every slice of the place, so
-a cluster is never compared with itself, whatever its size.
+A place is a key that several members have. `connect` finds links among them in two steps.
+First each place names one member its pivot, and every other member is compared with it; the
+pivot's thing is copied for each STAR of them. A place is settled once its members are
+connected. What is left is compared exactly: the members outside the place's largest component
+in slices, each with every slice of the place, so a cluster is never compared with itself,
+whatever its size.
 """
 
 from __future__ import annotations
