@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 
 from trailforge.functions.scratch import scratch_path
 from trailforge.functions.ship import shipped
-from trailforge.llm import bpe, chat, linededup, mixing, neardup, quality, rules, sharding, topk, warc
+from trailforge.llm import bpe, chat, linededup, mixing, neardup, quality, rules, sharding, spelling, topk, warc
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -55,10 +57,11 @@ _JUMP_SQL = """{name}(doc_id, state, here, next) AS (
   UNION ALL SELECT doc_id, s, next, floor((next + 1)::DOUBLE * (2147483648::DOUBLE / ((s // 8589934592) + 1)::DOUBLE))::BIGINT
   FROM (SELECT doc_id, next, (state * 2862933555777941757 + 1) % 18446744073709551616 AS s FROM {name} WHERE next < {n})),
 {name}_last AS (SELECT doc_id, max(here)::INT AS shard FROM {name} GROUP BY doc_id)"""
+_CRC_SQL = "crcs AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM (SELECT unnest(range(256)) AS i))"
 _OP3_SQL = f"""
 WITH RECURSIVE {_JUMP_SQL.format(name="eight", n=8)},
 {_JUMP_SQL.format(name="nine", n=9)},
-crcs AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM (SELECT unnest(range(256)) AS i)),
+{_CRC_SQL},
 d AS (SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents),
 b AS (SELECT doc_id, strlen(text)::BIGINT + 1 AS size, list_transform(range(1, length(h), 2), lambda i: ('0x' || h[i:i + 1])::BIGINT) AS bytes FROM d),
 c AS (SELECT doc_id, size, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295)::BIGINT AS text_crc32 FROM b, crcs),
@@ -212,6 +215,34 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the vocabulary with the number of words near it, its form and its root."""
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+_UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
+_OP12_SQL = f"""
+WITH RECURSIVE {_CRC_SQL},
+o AS (SELECT coalesce(doc_id::VARCHAR, '') AS d, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{spelling.RUN}')) AS run FROM documents),
+p AS (SELECT run, count(*) AS c, hex(encode(d || ':' || run)) AS h FROM o GROUP BY d, run),
+b AS (SELECT run, c, list_transform(range(1, length(h), 2), lambda i: ('0x' || h[i:i + 1])::BIGINT) AS bytes FROM p),
+h AS (SELECT run, c, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295)::BIGINT AS h FROM b, crcs),
+w AS (SELECT CASE WHEN h % {spelling.DRAWN} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM h),
+v AS (SELECT word, sum(c)::BIGINT AS n FROM w WHERE length(word) >= {spelling.LENGTH} GROUP BY word HAVING sum(c) >= {spelling.TIMES}),
+m AS (SELECT word, i, substr(word, 1, i - 1) || chr(1) || substr(word, i + 1) AS masked, substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+e AS (
+  SELECT a.word, b.word AS other FROM m a JOIN m b ON a.masked = b.masked AND a.word <> b.word
+  UNION SELECT m.word, cut FROM m JOIN v ON m.cut = v.word UNION SELECT cut, m.word FROM m JOIN v ON m.cut = v.word),
+r AS (
+  SELECT e.word, other, v.n AS other_n, count(*) OVER (PARTITION BY e.word) AS n_near, row_number() OVER (PARTITION BY e.word ORDER BY v.n DESC, other) AS place
+  FROM e JOIN v ON v.word = other),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form, CASE WHEN other_n >= 2 * n THEN other_n END AS form_n FROM v LEFT JOIN r ON r.word = v.word AND place = 1),
+s AS (SELECT word, word AS here FROM f UNION ALL SELECT s.word, f.form FROM s JOIN f ON f.word = s.here WHERE f.form IS NOT NULL),
+k AS (SELECT s.word, here AS root FROM s JOIN f ON f.word = s.here WHERE f.form IS NULL)
+SELECT f.*, root FROM f JOIN k USING (word)
+"""
+
+
 QUERIES = {
     f.__name__: shipped(f)
     for f in (
@@ -226,6 +257,7 @@ QUERIES = {
         op8_weighted_neardup,
         op9_chat_format,
         op10_bpe,
+        op12_spelling_variants,
     )
 }
-ORACLES = {"op1_warc_revisits": _OP1_SQL, "op2_impact_topk": _OP2_SQL, "op3_jump_sharding": _OP3_SQL, "op4_temperature_mix": _OP4_SQL, "op7_rule_ledger": _OP7_SQL, "rule_ablations": _ABLATIONS_SQL, "op9_chat_format": _OP9_SQL}
+ORACLES = {"op1_warc_revisits": _OP1_SQL, "op2_impact_topk": _OP2_SQL, "op3_jump_sharding": _OP3_SQL, "op4_temperature_mix": _OP4_SQL, "op7_rule_ledger": _OP7_SQL, "rule_ablations": _ABLATIONS_SQL, "op9_chat_format": _OP9_SQL, "op12_spelling_variants": _OP12_SQL}
