@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trailforge.functions.scratch import scratch_path
 from trailforge.functions.ship import shipped
-from trailforge.llm import bpe, chat, linededup, mixing, neardup, quality, rules, sharding, spelling, topk, warc
+from trailforge.llm import bpe, chat, fuzzyhash, linededup, mixing, neardup, quality, rules, sharding, spelling, topk, warc
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -215,6 +215,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"))
 
 
+def op11_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every document and the least doc_id that its links lead to."""
+    return fuzzyhash.components(_table(spark, sf_dir, "documents"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of the vocabulary with the number of words near it, its form and its root."""
     return spelling.variants(_table(spark, sf_dir, "documents"))
@@ -257,6 +262,7 @@ QUERIES = {
         op8_weighted_neardup,
         op9_chat_format,
         op10_bpe,
+        op11_golay_simhash,
         op12_spelling_variants,
     )
 }
