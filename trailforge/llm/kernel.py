@@ -71,9 +71,9 @@ def _starts(size: int, offsets: np.ndarray) -> np.ndarray:
     return first
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First byte and end of each word, and for each text the index of its first word (with the total at the end)."""
-    space = SPACE[data]
+def words(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte and end of each word (run of bytes that are not `blank`), and for each text the index of its first word (with the total at the end)."""
+    space = blank[data]
     first = _starts(len(data), offsets)
     brink = np.ones(len(data) + 1, bool)
     brink[1:-1] = space[:-1] | first[1:-1]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trailforge.functions.scratch import scratch_path
 from trailforge.functions.ship import shipped
-from trailforge.llm import bpe, chat, fuzzyhash, linededup, mixing, neardup, quality, rules, sharding, spelling, topk, warc
+from trailforge.llm import bpe, chat, fuzzyhash, linededup, mixing, neardup, phrases, quality, rules, sharding, spelling, topk, warc
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -248,6 +248,32 @@ SELECT f.*, root FROM f JOIN k USING (word)
 """
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language."""
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+_OP13_SQL = rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
+p AS (SELECT lang, doc, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, k::INT AS k, ws[i:i + k - 1] AS p FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) AS v(k))),
+f AS (SELECT lang, k, p, count(*) AS f FROM g GROUP BY lang, k, p HAVING count(*) >= {phrases.LEAST}),
+n AS (SELECT lang, count(*)::BIGINT AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, p, f AS a FROM f WHERE k > 1),
+s AS (SELECT lang, p[1:k - 1] AS p, a FROM c WHERE k > 2 UNION ALL SELECT lang, p[2:k], a FROM c WHERE k > 2),
+m AS (SELECT lang, p, max(a) AS most FROM s GROUP BY lang, p),
+b AS (SELECT c.* FROM c LEFT JOIN m USING (lang, p) WHERE most IS NULL OR 100::HUGEINT * most < {phrases.SHARE}::HUGEINT * a),
+t AS (SELECT lang, k, p, a, unnest(range(1, k)) AS cut FROM b),
+u AS (
+  SELECT t.lang, t.p, t.a, cut, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f + y.f))::BIGINT AS score
+  FROM t JOIN f x ON x.lang = t.lang AND x.p = t.p[1:cut] JOIN f y ON y.lang = t.lang AND y.p = t.p[cut + 1:t.k]),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) AS low FROM u),
+o AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank FROM z WHERE low = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= {phrases.TOP}
+"""
+
+
 QUERIES = {
     f.__name__: shipped(f)
     for f in (
@@ -264,6 +290,7 @@ QUERIES = {
         op10_bpe,
         op11_golay_simhash,
         op12_spelling_variants,
+        op13_phrases,
     )
 }
-ORACLES = {"op1_warc_revisits": _OP1_SQL, "op2_impact_topk": _OP2_SQL, "op3_jump_sharding": _OP3_SQL, "op4_temperature_mix": _OP4_SQL, "op7_rule_ledger": _OP7_SQL, "rule_ablations": _ABLATIONS_SQL, "op9_chat_format": _OP9_SQL, "op12_spelling_variants": _OP12_SQL}
+ORACLES = {"op1_warc_revisits": _OP1_SQL, "op2_impact_topk": _OP2_SQL, "op3_jump_sharding": _OP3_SQL, "op4_temperature_mix": _OP4_SQL, "op7_rule_ledger": _OP7_SQL, "rule_ablations": _ABLATIONS_SQL, "op9_chat_format": _OP9_SQL, "op12_spelling_variants": _OP12_SQL, "op13_phrases": _OP13_SQL}
