@@ -107,6 +107,11 @@ def year_month0_day(ts: Column) -> tuple[Column, Column, Column]:
     return F.year(ts), F.month(ts) - 1, F.dayofmonth(ts)
 
 
+def sample_slot(size: int, *parts: str) -> Column:
+    """The slot of 0 to size - 1 that a row takes in a sample, by a hash of its parts."""
+    return F.pmod(F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(p).cast("string") for p in parts])), 1, 15), 16, 10).cast("long"), F.lit(size).cast("long"))
+
+
 def exponential_cdf(x: Column, mean: Column | float) -> Column:
     mean = mean if isinstance(mean, Column) else F.lit(float(mean))
     return F.lit(1.0) - F.exp(-x.cast("double") / F.nullif(mean.cast("double"), F.lit(0.0)))

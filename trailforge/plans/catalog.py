@@ -559,6 +559,16 @@ def av_depth(spark, sf_dir):
     return pipelines.depth_stats(_visits(spark, sf_dir), 200, 150).select("page_id", "av_depth")
 
 
+@query(f"""WITH {VISITS}, k AS (SELECT page_id, arg_max(depth, (end_ms, session_id::VARCHAR, depth)) AS depth FROM known
+  GROUP BY page_id, ('0x' || substr(md5(session_id || '|' || end_ms), 1, 15))::BIGINT % 100),
+c AS (SELECT page_id, depth, count(*) AS n FROM k GROUP BY page_id, depth)
+SELECT page_id, ((coalesce(sum(n) FILTER (depth = 1), 0) * 100) // sum(n))::BIGINT AS bounce_rate, string_agg(depth || ':' || n, ',' ORDER BY depth) AS depth_distr,
+  floor(sum(depth * n) / sum(n) + 0.5)::BIGINT AS av_depth FROM c GROUP BY page_id HAVING sum(n) >= 75""")
+def visits_biased(spark, sf_dir):
+    """Depth statistics of a recency-biased sample of 100 slots for each page."""
+    return pipelines.biased_depth_stats(_visits(spark, sf_dir), 100)
+
+
 @query()
 def unique_users(spark, sf_dir):
     return pipelines.unique_counts(table(spark, sf_dir, "events"), "event_type", "user_id", 12, 20)

@@ -116,7 +116,7 @@ STREAMED = """p AS (
   SELECT 'u' || user_id || 'w' || strftime(date_trunc('week', ts), '%Y%m%d') AS session_id, epoch_ms(date_trunc('second', ts)) AS ms, '/' || event_type AS url FROM events),
 s AS (SELECT *, CASE WHEN lag(ms) OVER w IS NULL OR ms - lag(ms) OVER w > 86400000 OR lag(url) OVER w LIKE '%purchase%' THEN 1 ELSE 0 END AS opens FROM p WINDOW w AS (PARTITION BY session_id ORDER BY ms, url)),
 n AS (SELECT *, sum(opens) OVER (PARTITION BY session_id ORDER BY ms, url ROWS UNBOUNDED PRECEDING) AS visit, nullif(regexp_extract(url, '^/(view|click|signup)', 1), '') AS page FROM s),
-v AS (SELECT session_id, visit, arg_max(page, (ms, url)) FILTER (page IS NOT NULL) AS page_id, count(*)::INT AS depth FROM n GROUP BY session_id, visit)"""
+v AS (SELECT session_id, visit, arg_max(page, (ms, url)) FILTER (page IS NOT NULL) AS page_id, count(*)::INT AS depth, max(ms) AS end_ms FROM n GROUP BY session_id, visit)"""
 
 
 @query(f"WITH {STREAMED} SELECT session_id, page_id, depth FROM v WHERE page_id IS NOT NULL")
@@ -125,33 +125,58 @@ def stream_visits(spark, sf_dir):
     return spark.read.schema("session_id string, page_id string, depth int").parquet(ended_visits(spark, sf_dir))
 
 
-@query(f"""WITH {STREAMED}, c AS (SELECT page_id, depth, count(*) AS n FROM v WHERE page_id IS NOT NULL GROUP BY page_id, depth)
+def _depths_sql(rows: str, least: int) -> str:
+    return f"""WITH {STREAMED}, k AS ({rows}), c AS (SELECT page_id, depth, count(*) AS n FROM k GROUP BY page_id, depth)
 SELECT page_id, ((coalesce(sum(n) FILTER (depth = 1), 0) * 100) // sum(n))::BIGINT AS bounce_rate, string_agg(depth || ':' || n, ',' ORDER BY depth) AS depth_distr,
-  floor(sum(depth * n) / sum(n) + 0.5)::BIGINT AS av_depth FROM c GROUP BY page_id""")
-def stream_depths(spark, sf_dir):
-    """Depth statistics that a second stream keeps of the first one's visits; the sample is so large that it holds them all."""
+  floor(sum(depth * n) / sum(n) + 0.5)::BIGINT AS av_depth FROM c GROUP BY page_id HAVING sum(n) >= {least}"""
+
+
+def streamed_depths(spark: SparkSession, sf_dir: str, window: int, least: int) -> DataFrame:
     kept = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     folder = ended_visits(spark, sf_dir)
     out = scratch_path(spark, "depths")
     visits.use_rocks_db(spark)
     try:
-        depths = spark.readStream.schema("session_id string, page_id string, depth int").parquet(folder)
-        stats = visits.depth_stats(depths, 10**9, 1)
+        depths = spark.readStream.schema(visits.VISIT).parquet(folder)
+        stats = visits.depth_stats(depths, window, least)
         visits.start(stats, None, scratch_path(spark, "stream"), "update", None, lambda df, n: df.write.mode("append").parquet(out)).awaitTermination()
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", kept)
     return spark.read.schema("page_id string, bounce_rate long, depth_distr string, av_depth long").parquet(out)
 
 
+#: Slots of a sample that no two visits share.
+ALL = 1 << 50
+
+
+@query(_depths_sql("SELECT page_id, depth FROM v WHERE page_id IS NOT NULL", 1))
+def stream_depths(spark, sf_dir):
+    """Depth statistics that a second stream keeps of the first one's visits; the sample is so large that it holds them all."""
+    return streamed_depths(spark, sf_dir, ALL, 1)
+
+
+def _sampled(visits_: str, window: int) -> str:
+    slot = f"('0x' || substr(md5(session_id || '|' || end_ms), 1, 15))::BIGINT % {window}"
+    return f"SELECT page_id, arg_max(depth, (end_ms, session_id, depth)) AS depth FROM {visits_} WHERE page_id IS NOT NULL GROUP BY page_id, {slot}"
+
+
+@query(_depths_sql(_sampled("v", 50), 30))
+def stream_depths_biased(spark, sf_dir):
+    """The same from a recency-biased sample of 50 slots for each page."""
+    return streamed_depths(spark, sf_dir, 50, 30)
+
+
 NEAR_SQL = "SELECT event_type AS part, true AS near FROM events GROUP BY event_type HAVING count(*) > 20"
 
 
-@query(NEAR_SQL)
+@query(f"{NEAR_SQL} UNION ALL SELECT unnest(['all', 'union']), true")
 def unique_users_near(spark, sf_dir):
-    """Whether each estimate of `unique_counts` is within 5 % of the exact count."""
+    """Whether each estimate of `unique_counts`, the sum of all and the estimate of the union are within 5 % of the exact counts."""
     from trailforge.plans.catalog import QUERIES
 
-    return _near(QUERIES["unique_users"](spark, sf_dir).where("part <> 'all'"), spark, sf_dir)
+    found = QUERIES["unique_users"](spark, sf_dir)
+    total = found.where("part = 'all'").select(F.lit("union").alias("part"), F.col("union_users").alias("users"))
+    return _near(found.select("part", "users").union(total), spark, sf_dir)
 
 
 @query(NEAR_SQL)
@@ -165,5 +190,9 @@ def stream_users_near(spark, sf_dir):
 
 
 def _near(estimates: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    exact = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("part")).agg(F.countDistinct("user_id").alias("n"))
+    events = table(spark, sf_dir, "events")
+    exact = events.groupBy(F.col("event_type").alias("part")).agg(F.countDistinct("user_id").alias("n"), F.count(F.lit(1)).alias("events")).where("events > 20")
+    parts = F.broadcast(exact.select("part"))
+    union = events.join(parts, events["event_type"] == parts["part"]).agg(F.lit("union").alias("part"), F.countDistinct("user_id").alias("n"))
+    exact = exact.select("part", "n").union(exact.agg(F.lit("all"), F.sum("n"))).union(union)
     return estimates.join(exact, "part").select("part", (F.abs(F.col("users") - F.col("n")) <= F.col("n") * 0.05 + 1).alias("near"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from trailforge.functions import scalars as S
 from trailforge.operators import classify, customer, engagement, events, logs, search, sessions
 from trailforge.plans import pipelines
-from trailforge.sources import logs as L
+from trailforge.sources import logs as L, queue as Q
 from trailforge.streaming import visitors, visits
 
 
@@ -265,39 +265,76 @@ def _tick(c: Config, key: str) -> str | None:
     return f"{c[key]} seconds" if c.text(key) else None
 
 
-def visit_stream(spark: SparkSession, c: Config, source: str, checkpoint: str, sink, event_time: bool = True, tick: str | None = None):
-    """Visits and their depth statistics from a folder of visit lines: two queries, joined by the folder that `source`.visits names."""
+def _server(c: Config) -> dict[str, object]:
+    return {"host": c.text("redis.server.host", "localhost"), "port": c.whole("redis.server.port", 6379)}
+
+
+def _stream(spark: SparkSession, c: Config, key: str, folder: str) -> DataFrame:
+    """Lines from the list that `key` names if there is a messaging.provider, else from a folder."""
+    if c.text("messaging.provider"):
+        return Q.read_queue(spark, c.need(key), partitions=c.whole("spout.threads", 1), **_server(c))
+    return visits.read_lines(spark, folder)
+
+
+def _queue(c: Config, key: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
+    """The sink of lines into the list that `key` names; batches are counted for each checkpoint."""
+    return Q.queue_sink(c.need(key), id=checkpoint, **_server(c))
+
+
+def _handed(rows: DataFrame, folder: str, checkpoint: str, tick: str | None):
+    """A query that writes a stream to a folder, whence a second one reads; without ticks it has ended on return."""
+    writer = rows.writeStream.format("parquet").option("path", folder).option("checkpointLocation", checkpoint)
+    query = (writer.trigger(processingTime=tick) if tick else writer.trigger(availableNow=True)).start()
+    if not tick:
+        query.awaitTermination()
+    return query
+
+
+def visit_stream(spark: SparkSession, c: Config, source: str, checkpoint: str, sink=None, event_time: bool = True, tick: str | None = None):
+    """Visits and their depth statistics: two queries, joined by the folder that `source`.visits names.
+
+    Lines come from the folder `source`, or with a messaging.provider from the list redis.log.queue. The
+    visits' query has ticks of visit.session.tick.freq.sec, the statistics' query of
+    visit.depth.tick.freq.sec, at each of which all pages report. `sink` gets result lines; by default
+    they go to the list visit.depth.stat.queue.
+    """
     visits.use_rocks_db(spark)
-    tick = tick or _tick(c, "visit.session.tick.freq.sec")
-    pages = visits.visit_pages(visits.read_lines(spark, source), c.need("session.regex"), c.whole("date.ordinal", 0), c.whole("time.ordinal", 1), c.whole("url.ordinal", 4))
+    lines = _stream(spark, c, "redis.log.queue", source)
+    pages = visits.visit_pages(lines, c.need("session.regex"), c.whole("date.ordinal", 0), c.whole("time.ordinal", 1), c.whole("url.ordinal", 4))
     ended = visits.visits(pages, c.need("page.id.pattern"), c.need("logOut.pattern"), c.whole("session.timeOut", 30), event_time=event_time)
     handed = f"{source.rstrip('/')}.visits"
-    first = ended.writeStream.format("parquet").option("path", handed).option("checkpointLocation", f"{checkpoint}/visits")
-    first = (first.trigger(processingTime=tick) if tick else first.trigger(availableNow=True)).start()
-    if not tick:
-        first.awaitTermination()
-    depths = spark.readStream.schema("session_id string, page_id string, depth int").parquet(handed)
-    window = c.whole("window.size", 20)
-    stats = visits.depth_stats(depths, window, c.whole("min.window.size.for.stat", window * 3 // 4))
-    second = visits.start(stats, "depths", f"{checkpoint}/depths", "update", tick, lambda df, n: sink(visits.result_lines(df, c.text("result.type", "bounceRate")), n))
+    first = _handed(ended, handed, f"{checkpoint}/visits", tick or _tick(c, "visit.session.tick.freq.sec"))
+    window, every = c.whole("window.size", 20), c.whole("visit.depth.tick.freq.sec", 0)
+    stats = visits.depth_stats(spark.readStream.schema(visits.VISIT).parquet(handed), window, c.whole("min.window.size.for.stat", window * 3 // 4), every or None)
+    sink = sink or _queue(c, "visit.depth.stat.queue", f"{checkpoint}/depths")
+    tell = lambda df, n: sink(visits.result_lines(df, c.text("result.type", "bounceRate")), n)
+    second = visits.start(stats, "depths", f"{checkpoint}/depths", "update", tick or (f"{every} seconds" if every else _tick(c, "visit.session.tick.freq.sec")), tell)
     return first, second
 
 
-def visitor_stream(spark: SparkSession, c: Config, source: str, checkpoint: str, sink, tick: str | None = None):
-    """Totals of unique visitors from a folder of application lines.
+def visitor_stream(spark: SparkSession, c: Config, source: str, checkpoint: str, sink=None, tick: str | None = None):
+    """Totals of unique visitors over all parts at each tick of unique.user.tick.freq.sec.
 
-    With command.store, a folder of lines `part,reset`, parts can be reset; `sink` then gets a
-    dictionary of the latest totals in the place of a table.
+    Lines come from the folder `source`, or with a messaging.provider from the list input.log.queue.
+    With command.store, a folder (or list) of lines `part,reset`, parts can be reset: a first query
+    numbers the times between resets and hands events on in the folder that `source`.epochs names.
+    `sink` gets a table of the totals; by default lines `<ms>  <total>` go to the list output.count.queue.
     """
+    every, bits, least = c.whole("unique.user.tick.freq.sec", 0), c.whole("bucket.bit.count", 12), c.whole("min.total.count", 0)
     tick = tick or _tick(c, "unique.user.tick.freq.sec")
-    found = visitors.app_events(visits.read_lines(spark, source), c.whole("partition.ordinal", 3), c.whole("user.id.ordinal", 4))
+    found = visitors.app_events(_stream(spark, c, "input.log.queue", source), c.whole("partition.ordinal", 3), c.whole("user.id.ordinal", 4))
+    if not sink:
+        push = _queue(c, "output.count.queue", checkpoint)
+        sink = lambda df, n: push(visitors.total_lines(df), n)
     if c.text("command.store"):
         visits.use_rocks_db(spark)
-        bits = c.whole("bucket.bit.count", 12)
-        commands = visitors.command_lines(visits.read_lines(spark, c["command.store"]))
-        counted = visitors.controlled_counts(found, commands, bits, c.whole("min.total.count", 0))
-        return visits.start(counted, "visitors", checkpoint, "update", tick, visitors.LatestTotals(sink, bits))
-    counted = visitors.counts(found, c.whole("bucket.bit.count", 12), c.whole("min.total.count", 0))
+        handed = f"{source.rstrip('/')}.epochs"
+        commands = visitors.command_lines(_stream(spark, c, "command.store", c["command.store"]))
+        _handed(visitors.epochs(found, commands), handed, f"{checkpoint}/epochs", tick)
+        numbered = spark.readStream.schema(visitors.EPOCHS).parquet(handed)
+        counted = visitors.epoch_counts(visitors.with_ticks(numbered, every) if every else numbered, bits)
+        return visits.start(counted, "visitors", f"{checkpoint}/counts", "complete", tick, visitors.epoch_totals_sink(sink, least))
+    counted = visitors.counts(visitors.with_ticks(found, every) if every else found, bits, least)
     return visits.start(counted, "visitors", checkpoint, "complete", tick, visitors.totals_sink(sink))
 
 

@@ -94,6 +94,18 @@ def depth_stats(visits: DataFrame, window: int, least: int | None = None) -> Dat
     return depths.select("page_id", *[f.alias(n) for n, f in depth_columns(F.col("d")).items()])
 
 
+def biased_depth_stats(visits: DataFrame, window: int, least: int | None = None) -> DataFrame:
+    """page_id, bounce_rate, depth_distr, av_depth over the biased sample that the stream keeps: each visit takes one of `window` slots by hash, the latest stays.
+
+    A latest row is a maximum, so partial samples merge and no page's visits meet in one task.
+    """
+    least = window * 3 // 4 if least is None else least
+    order = F.struct("end_ms", F.col("session_id").cast("string"), "depth")
+    slots = visits.groupBy("page_id", S.sample_slot(window, "session_id", "end_ms").alias("slot")).agg(F.max_by("depth", order).alias("depth"))
+    depths = slots.groupBy("page_id").agg(F.collect_list("depth").alias("d")).where(F.size("d") >= least)
+    return depths.select("page_id", *[f.alias(n) for n, f in depth_columns(F.col("d")).items()])
+
+
 def depth_columns(d: Column) -> dict[str, Column]:
     """The three statistics of an array of depths."""
     n = F.size(d)

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import random
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-import numpy as np
 import pandas as pd
 
 
@@ -17,12 +15,12 @@ class Visit:
     last_ms: int = 0
     page: str | None = None
 
-    def closed(self) -> tuple[str, int] | None:
-        return (self.page, self.depth) if self.page is not None and self.depth else None
+    def closed(self) -> tuple[str, int, int] | None:
+        return (self.page, self.depth, self.last_ms) if self.page is not None and self.depth else None
 
 
-def follow(visit: Visit, rows: list[tuple[int, str | None, bool]], timeout_ms: int) -> tuple[Visit, list[tuple[str, int]]]:
-    """The visit after rows (ms, page id or None, is a logout) in order, and (page, depth) of the visits that ended on the way."""
+def follow(visit: Visit, rows: list[tuple[int, str | None, bool]], timeout_ms: int) -> tuple[Visit, list[tuple[str, int, int]]]:
+    """The visit after rows (ms, page id or None, is a logout) in order, and (page, depth, last ms) of the visits that ended on the way."""
     done = []
     for ms, page, logout in rows:
         if visit.depth and ms - visit.last_ms > timeout_ms:
@@ -35,51 +33,32 @@ def follow(visit: Visit, rows: list[tuple[int, str | None, bool]], timeout_ms: i
     return visit, [d for d in done if d]
 
 
-@dataclass
-class Reservoir:
-    """A recency-biased sample of bounded size (Aggarwal, VLDB 2006): every value goes in, over a random one with the probability that the sample is full."""
-
-    size: int
-    values: list[int] = field(default_factory=list)
-    seen: int = 0
-
-    def add(self, value: int, seed: str) -> None:
-        self.seen += 1
-        rng = random.Random(f"{seed}/{self.seen}")
-        if rng.random() < len(self.values) / self.size:
-            self.values[rng.randrange(len(self.values))] = value
-        else:
-            self.values.append(value)
-
-    def stats(self) -> dict[str, object]:
-        n = len(self.values)
-        return {
-            "bounce_rate": self.values.count(1) * 100 // n,
-            "depth_distr": ",".join(f"{d}:{self.values.count(d)}" for d in sorted(set(self.values))),
-            "av_depth": int(sum(self.values) / n + 0.5),
-        }
-
-
-class Registers:
-    """A HyperLogLog sketch of 2**bits registers over 64-bit hashes."""
-
-    def __init__(self, bits: int, data: bytes | None = None) -> None:
-        self.bits = bits
-        self.r = np.frombuffer(data, np.uint8).copy() if data else np.zeros(1 << bits, np.uint8)
-
-    def add(self, hashes: np.ndarray) -> None:
-        h = hashes.astype(np.int64).view(np.uint64)
-        slot = (h >> np.uint64(64 - self.bits)).astype(np.int64)
-        rest = h << np.uint64(self.bits)
-        rank = np.where(rest == 0, 64 - self.bits + 1, 64 - np.floor(np.log2(np.maximum(rest, 1).astype(np.float64))).astype(np.int64))
-        np.maximum.at(self.r, slot, rank.astype(np.uint8))
-
-    def estimate(self) -> int:
-        m = len(self.r)
-        alpha = {16: 0.673, 32: 0.697, 64: 0.709}.get(m, 0.7213 / (1 + 1.079 / m))
-        raw = alpha * m * m / np.sum(2.0 ** -self.r.astype(np.float64))
-        empty = int((self.r == 0).sum())
-        return round(m * np.log(m / empty)) if raw <= 2.5 * m and empty else round(float(raw))
+#: Columns of a sample's rows: the slot, the order in which visits ended, and the depth.
+SAMPLE = ["slot", "end_ms", "session_id", "depth"]
+
+
+def latest(sample: pd.DataFrame) -> pd.DataFrame:
+    """The latest row of each slot.
+
+    A sample of n slots in which every value takes a slot by hash, over the earlier value there, is the
+    recency-biased reservoir of Aggarwal (VLDB 2006): a value stays with probability (1 - 1/n)
+    for each later one, and goes into a sample that is k/n full over one of the k with probability k/n.
+    """
+    return sample.sort_values(SAMPLE[1:], kind="stable").drop_duplicates("slot", keep="last")
+
+
+def depth_stats(depths: pd.Series) -> dict[str, object]:
+    counts = depths.value_counts().sort_index()
+    return {
+        "bounce_rate": int((depths == 1).sum()) * 100 // len(depths),
+        "depth_distr": ",".join(f"{d}:{n}" for d, n in counts.items()),
+        "av_depth": int(depths.sum() / len(depths) + 0.5),
+    }
+
+
+def next_tick(now_ms: int, tick_ms: int) -> int:
+    """The time of the first tick after now."""
+    return (now_ms // tick_ms + 1) * tick_ms
 
 
 def frame(**columns: list) -> pd.DataFrame:

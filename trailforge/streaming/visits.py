@@ -17,9 +17,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from trailforge.functions import scalars as S
 from trailforge.functions.ship import ship
-from trailforge.streaming.state import Reservoir, Visit, follow, frame
+from trailforge.streaming.state import SAMPLE, Visit, depth_stats as stats_of, follow, frame, latest, next_tick
 
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+VISIT = "session_id string, page_id string, depth int, end_ms long"
 RESULTS = {"bounceRate": "bounce_rate", "depthDistr": "depth_distr", "avDepth": "av_depth"}
 
 
@@ -74,20 +75,25 @@ class _Visits(StatefulProcessor):
         visit, done = follow(self._load(), [(ms, page, out) for ms, _, page, out in came], self.timeout_ms)
         self._rest(visit, 0 if self.event_time else timerValues.getCurrentProcessingTimeInMs())
         if done:
-            yield frame(session_id=[key[0]] * len(done), page_id=[p for p, _ in done], depth=[d for _, d in done])
+            yield self._told(key[0], done)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         done = self._load().closed()
         self.open.clear()
         if done:
-            yield frame(session_id=[key[0]], page_id=[done[0]], depth=[done[1]])
+            yield self._told(key[0], [done])
+
+    @staticmethod
+    def _told(session: str, done: list[tuple[str, int, int]]) -> pd.DataFrame:
+        pages, depths, ends = zip(*done)
+        return frame(session_id=[session] * len(done), page_id=list(pages), depth=list(depths), end_ms=list(ends))
 
     def close(self) -> None:
         pass
 
 
 def visits(pages: DataFrame, page_regex: str, logout: str, timeout_s: int = 30, watermark: str = "30 seconds", event_time: bool = True) -> DataFrame:
-    """session_id, page_id, depth of every visit that ended and has a page; `pages` is a stream of session_id, ts, url."""
+    """session_id, page_id, depth, end_ms of every visit that ended and has a page; `pages` is a stream of session_id, ts, url."""
     ship(pages.sparkSession)
     rows = pages.select(
         "session_id", "ts", S.epoch_ms(F.col("ts")).alias("ms"), "url", S.group(F.col("url"), page_regex).alias("page"), F.col("url").contains(logout).alias("logout")
@@ -95,36 +101,56 @@ def visits(pages: DataFrame, page_regex: str, logout: str, timeout_s: int = 30,
     if event_time:
         rows = rows.withWatermark("ts", watermark)
     return rows.groupBy("session_id").transformWithStateInPandas(
-        _Visits(timeout_s * 1000, event_time), "session_id string, page_id string, depth int", "append", "eventTime" if event_time else "processingTime"
+        _Visits(timeout_s * 1000, event_time), VISIT, "append", "eventTime" if event_time else "processingTime"
     )
 
 
 class _Depths(StatefulProcessor):
-    def __init__(self, size: int, least: int, seed: str) -> None:
-        self.size, self.least, self.seed = size, least, seed
+    """A sample of a page's depths. Without ticks it reports when visits come, with ticks at each of them, whether visits came or not."""
+
+    def __init__(self, least: int, tick_ms: int | None) -> None:
+        self.least, self.tick_ms = least, tick_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.held = handle.getValueState("depths", "depths array<int>, seen long")
+        self.handle = handle
+        self.held = handle.getValueState("sample", "slots array<long>, ends array<long>, sessions array<string>, depths array<int>")
+
+    def _sample(self) -> pd.DataFrame:
+        return pd.DataFrame(dict(zip(SAMPLE, map(list, self.held.get())))) if self.held.exists() else pd.DataFrame(columns=SAMPLE)
+
+    def _report(self, page: str, depths: pd.Series) -> Iterator[pd.DataFrame]:
+        if len(depths) >= max(self.least, 1):
+            yield frame(page_id=[page], **{k: [v] for k, v in stats_of(depths.astype(int)).items()})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        values, seen = self.held.get() if self.held.exists() else ([], 0)
-        sample = Reservoir(self.size, list(values), seen)
-        for depth in sorted(int(d) for part in rows for d in part["depth"]):
-            sample.add(depth, f"{self.seed}/{key[0]}")
-        self.held.update((sample.values, sample.seen))
-        if len(sample.values) >= self.least:
-            yield frame(page_id=[key[0]], **{k: [v] for k, v in sample.stats().items()})
+        held = self._sample()
+        came = pd.concat([*([held] if len(held) else []), *(part[SAMPLE] for part in rows)], ignore_index=True)
+        kept = latest(came)
+        self.held.update(tuple(kept[c].tolist() for c in SAMPLE))
+        if self.tick_ms is None:
+            yield from self._report(key[0], kept["depth"])
+        elif not list(self.handle.listTimers()):
+            self.handle.registerTimer(next_tick(timerValues.getCurrentProcessingTimeInMs(), self.tick_ms))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.handle.registerTimer(next_tick(timerValues.getCurrentProcessingTimeInMs(), self.tick_ms))
+        yield from self._report(key[0], self._sample()["depth"])
 
     def close(self) -> None:
         pass
 
 
-def depth_stats(ended: DataFrame, window: int = 20, least: int | None = None, seed: str = "depth") -> DataFrame:
-    """page_id, bounce_rate, depth_distr, av_depth of each page that a trigger brings visits of, from a biased sample of `window` depths."""
+def depth_stats(ended: DataFrame, window: int = 20, least: int | None = None, tick_s: int | None = None) -> DataFrame:
+    """page_id, bounce_rate, depth_distr, av_depth of pages with `least` depths in a biased sample of `window` slots.
+
+    `ended` is a stream of session_id, page_id, depth, end_ms. Pages report when a trigger brings visits
+    of theirs; with `tick_s`, all pages report at each tick of so many seconds instead, idle ones too.
+    """
     ship(ended.sparkSession)
     least = window * 3 // 4 if least is None else least
-    return ended.groupBy("page_id").transformWithStateInPandas(
-        _Depths(window, least, seed), "page_id string, bounce_rate long, depth_distr string, av_depth long", "update", "none"
+    rows = ended.select("page_id", S.sample_slot(window, "session_id", "end_ms").alias("slot"), "end_ms", "session_id", "depth")
+    return rows.groupBy("page_id").transformWithStateInPandas(
+        _Depths(least, tick_s and tick_s * 1000), "page_id string, bounce_rate long, depth_distr string, av_depth long", "update", "processingTime" if tick_s else "none"
     )
 
 
