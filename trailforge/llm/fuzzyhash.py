@@ -14,11 +14,12 @@ index in each of the three (a key of 36 bits), or two segments have one error in
 fingerprints share one of these exactly and an index in the other (34 bits). So linked fingerprints
 meet in a place, and hardly any others do.
 
-Places of two are verified at once. In others each member is compared with the place's least
-and greatest; what is then connected is contracted, and members outside a place's largest
-component are compared with all others in slices of SLICE, as arrays of bits. No place is whole in a
-task, and no link between components is lost. A place with very many members, none of which
-is linked to another, would take time by the square of their number.
+Each member is compared with its place's least and greatest: one shuffle and a window, in which
+a place is a run of sorted rows that Spark spills. A fingerprint is one row in each of about 180 places, so no
+place has more than that part of all rows. What is then connected is contracted, and
+members outside a place's largest component are compared with all others in slices of SLICE, as
+arrays of bits. No link between components is lost. A place with very many members, none of
+which is linked to another, would take time by the square of their number.
 
 Defined cases: a text that is null or has no word has fingerprint zero, linked like any other;
 fewer than SHINGLE words are one shingle; null doc_ids are passed over where a component is
@@ -35,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailforge.llm import common
@@ -171,12 +172,12 @@ def link(prints: DataFrame) -> DataFrame:
     """node, root of the distinct fingerprints (print) that are linked to another."""
     n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = prints.select("print").repartition(n).mapInArrow(_placed, "key long, print long")
-    met = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("print").alias("low"), F.max("print").alias("high")).where("n > 1")
-    met, limit = common.weighed(met, "places", "n")
-    many = common.stored(common.hot_join(placed, (met.where("n > 2"), limit), ["key"], "n"), "members")
-    pairs = met.select(F.col("low").alias("u"), F.col("high").alias("v")).union(many.select("print", "low")).union(many.select("print", "high"))
+    place = Window.partitionBy("key")
+    sized = placed.select("key", "print", F.count(F.lit(1)).over(place).alias("n"), F.min("print").over(place).alias("low"), F.max("print").over(place).alias("high"))
+    met = common.stored(sized.where("n > 1"), "places")
+    pairs = met.select(F.col("print").alias("u"), F.col("low").alias("v")).union(met.select("print", "high"))
     named = common.stored(common.components(pairs.where((F.col("u") != F.col("v")) & _near("u", "v"))), "named")
-    rows = many.join(named.withColumnRenamed("node", "print"), "print", "left").select("key", "print", F.coalesce("root", "print").alias("root"))
+    rows = met.where("n > 2").join(named.withColumnRenamed("node", "print"), "print", "left").select("key", "print", F.coalesce("root", "print").alias("root"))
     last, seen = common.measured(links_across(common.stored(rows, "rooted")), "links", n=F.count(F.lit(1)))
     if not seen["n"]:
         return named
