@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailforge.functions import scalars as S
+from trailforge.operators.stretches import neighbours
 
 
 @dataclass(frozen=True)
@@ -27,12 +28,20 @@ class Transactions:
 TRANSACTIONS = Transactions()
 
 
+#: The stretch of an id's rows: thirty days.
+WIDTH_MS = 2_592_000_000
+
+
+def _timed(df: DataFrame, c: Transactions, *more: Column) -> DataFrame:
+    """id, ts, tie, ms and `more` of the rows with an id and a time."""
+    known = df.where(F.col(c.id).isNotNull() & F.col(c.ts).isNotNull())
+    return known.select(F.col(c.id).alias("id"), F.col(c.ts).alias("ts"), F.col(c.tie).alias("tie"), S.epoch_ms(F.col(c.ts)).alias("ms"), *more)
+
+
 def time_gaps(df: DataFrame, unit: str = "day", c: Transactions = TRANSACTIONS, legacy_units: bool = False) -> DataFrame:
     """id, ts, gap to the id's next transaction in whole units; ids with one transaction have none."""
-    w = Window.partitionBy(c.id).orderBy(c.ts, c.tie)
-    ms = S.epoch_ms(F.col(c.ts))
-    gap = S.to_unit(ms - F.lag(ms).over(w), unit, legacy_units)
-    return df.where(F.col(c.id).isNotNull() & F.col(c.ts).isNotNull()).select(F.col(c.id).alias("id"), F.col(c.ts).alias("ts"), gap.alias("gap")).where("gap is not null")
+    met = neighbours(_timed(df, c), "id", ["ts", "tie"], lag={"before": "ms"}, width=WIDTH_MS)
+    return met.select("id", "ts", S.to_unit(F.col("ms") - F.col("before"), unit, legacy_units).alias("gap")).where("gap is not null")
 
 
 def rfm(df: DataFrame, reference: Column, unit: str = "day", recency_count: int = 1, fraction: float = 0.5, c: Transactions = TRANSACTIONS, legacy_units: bool = False) -> DataFrame:
@@ -41,18 +50,12 @@ def rfm(df: DataFrame, reference: Column, unit: str = "day", recency_count: int
     Gaps are cut to whole units before they are averaged. Recency is the time from the k-th last
     transaction to the reference time, over k, then cut to units; k is the least of `recency_count`
     and the given fraction of the transactions (1 at least). Values are summed as decimals, so the
-    mean does not hang on the order of rows. One shuffle and one sort, by id.
+    mean does not hang on the order of rows. Ids are taken in stretches (`stretches`), so none is whole in a task.
     """
-    w = Window.partitionBy(c.id).orderBy(F.desc(c.ts), F.desc(c.tie))
-    ms = S.epoch_ms(F.col(c.ts))
-    ranked = df.where(F.col(c.id).isNotNull() & F.col(c.ts).isNotNull()).select(
-        F.col(c.id).alias("id"),
-        ms.alias("ms"),
-        F.col(c.value).try_cast("decimal(28,4)").alias("value"),
-        S.to_unit(F.lag(ms).over(w) - ms, unit, legacy_units).alias("gap"),
-        F.row_number().over(w).alias("back"),
-        F.count(F.lit(1)).over(Window.partitionBy(c.id)).alias("n"),
-    )
+    one = F.lit(1).cast("long")
+    rows = _timed(df, c, F.col(c.value).try_cast("decimal(28,4)").alias("value"))
+    met = neighbours(rows, "id", ["ts", "tie"], lag={"before": "ms"}, running={"place": one}, total={"n": one}, width=WIDTH_MS)
+    ranked = met.select("id", "ms", "value", S.to_unit(F.col("ms") - F.col("before"), unit, legacy_units).alias("gap"), (F.col("n") - F.col("place") + 1).alias("back"), "n")
     k = F.least(F.lit(recency_count), F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(fraction)).cast("int")))
     since = S.to_unit(S.int_div(S.epoch_ms(reference) - F.max(F.when(F.col("back") == k, F.col("ms"))), F.max(k)), unit, legacy_units)
     return (
@@ -137,18 +140,15 @@ def clusters(visits: DataFrame, gap: DataFrame, start: Column, end: Column, c: T
 
     A bound is found if the horizon lies more than the gap beyond it.
     """
-    w = Window.partitionBy("id").orderBy("ms", "tie")
-    ms = S.epoch_ms(F.col(c.ts))
-    rows = visits.where(F.col(c.id).isNotNull() & F.col(c.ts).isNotNull()).select(F.col(c.id).alias("id"), ms.alias("ms"), F.col(c.tie).alias("tie"))
+    rows = neighbours(_timed(visits, c).drop("ts"), "id", ["ms", "tie"], lag={"before": "ms"}, last={"end_ms": "ms"}, width=WIDTH_MS)
     rows = rows.crossJoin(F.broadcast(gap.select("min_gap_ms")))
-    cut = F.when(F.col("ms") - F.lag("ms").over(w) > F.col("min_gap_ms"), 1).otherwise(0)
-    numbered = rows.withColumn("cut", cut).withColumn("cluster", F.sum("cut").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    runs = numbered.groupBy("id", "cluster").agg(F.min("ms").alias("first_ms"), F.max("ms").alias("last_ms"), F.max("min_gap_ms").alias("min_gap_ms"))
-    last = F.max("cluster").over(Window.partitionBy("id"))
+    # A run ends with the row before the next one's first, or with the id's last row.
+    firsts = rows.where("before is null or ms - before > min_gap_ms")
+    runs = neighbours(firsts, "id", ["ms", "tie"], lead={"next_before": "before"}, running={"number": F.lit(1)}, width=WIDTH_MS)
+    runs = runs.select("id", (F.col("number") - 1).alias("cluster"), F.col("ms").alias("first_ms"), F.coalesce("next_before", "end_ms").alias("last_ms"), "min_gap_ms", F.col("next_before").isNull().alias("is_last"))
     return runs.select(
         "id", "cluster", "first_ms", "last_ms",
-        (F.col("first_ms") - S.epoch_ms(start) > F.col("min_gap_ms")).alias("start_found"), (S.epoch_ms(end) - F.col("last_ms") > F.col("min_gap_ms")).alias("end_found"),
-        (F.col("cluster") == last).alias("is_last"),
+        (F.col("first_ms") - S.epoch_ms(start) > F.col("min_gap_ms")).alias("start_found"), (S.epoch_ms(end) - F.col("last_ms") > F.col("min_gap_ms")).alias("end_found"), "is_last",
     )
 
 

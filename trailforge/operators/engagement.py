@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailforge.functions import scalars as S
 from trailforge.operators.sessions import CLICKS, Clicks
+from trailforge.operators.stretches import neighbours, stretch
 
 BROWSE = 1
 
@@ -43,9 +44,7 @@ def time_mapping(spec: str) -> list[tuple[int, int]]:
 
 def hits(clicks: DataFrame, found: list[Pattern], c: Clicks = CLICKS) -> DataFrame:
     """A row for each pattern that a page matches: session, user, order, place of the pattern, item (null for a step), event, value, seconds on page."""
-    w = Window.partitionBy(c.session).orderBy(*c.order)
-    ms = S.epoch_ms(F.col(c.ts))
-    url = F.col(c.url)
+    url = F.col("url")
     each = F.array(
         *[
             F.when(
@@ -60,47 +59,75 @@ def hits(clicks: DataFrame, found: list[Pattern], c: Clicks = CLICKS) -> DataFra
             for i, p in enumerate(found)
         ]
     )
-    timed = c.known(clicks).withColumns({"__spent": F.coalesce(S.int_div(F.lead(ms).over(w) - ms, 1000), F.lit(0)), "__user": F.first(c.user).over(w)})
-    return timed.select(
-        F.col(c.session).alias("session_id"), F.col("__user").alias("user_id"), F.col(c.ts).alias("ts"), F.col(c.tie).alias("tie"),
-        F.col("__spent").alias("spent"), F.inline(F.array_compact(each)),
+    rows = c.known(clicks).select(
+        F.col(c.session).alias("session_id"), F.col(c.ts).alias("ts"), F.col(c.tie).alias("tie"), S.epoch_ms(F.col(c.ts)).alias("ms"), F.col(c.user).alias("user"), F.col(c.url).alias("url")
     )
+    met = neighbours(rows, "session_id", ["ts", "tie"], lead={"next_ms": "ms"}, first={"user_id": "user"})
+    spent = F.coalesce(S.int_div(F.col("next_ms") - F.col("ms"), 1000), F.lit(0))
+    return met.select("session_id", "user_id", "ts", "tie", spent.alias("spent"), F.inline(F.array_compact(each)))
 
 
-def _fold(rows: Column) -> Column:
-    """The (event, value) of one item after its own hits and its session's steps in order.
+#: Where an item stands: its event and value, both null before its first hit; `own` tells a value from that of the state before.
+_STATE = "struct<event: int, value: bigint, own: boolean>"
+
+
+def _states(event: Column, value: Column, own: bool) -> Column:
+    return F.struct(event.alias("event"), value.alias("value"), F.lit(own).alias("own")).cast(_STATE)
+
+
+def _after(rows: Column, state: Column) -> Column:
+    """The state of an item after its own hits and its session's steps in order.
 
     A first hit is stored, with the seconds on the page if its pattern has no value; a later one
     replaces it if its event is greater. A step promotes an item that stands one event below it.
     """
-    nothing = F.lit(None).cast("struct<event: int, value: bigint>")
 
     def go(held: Column, hit: Column) -> Column:
-        new = F.struct(hit["event"].alias("event"), hit["value"].alias("value"))
-        first = F.struct(hit["event"].alias("event"), F.when(hit["value"] == 0, hit["spent"]).otherwise(hit["value"]).alias("value"))
-        step = hit["item"].isNull()
-        return (
-            F.when(step & held.isNull(), held)
-            .when(held.isNull(), first)
-            .when((step & (held["event"] == hit["event"] - 1)) | (~step & (held["event"] < hit["event"])), new)
-            .otherwise(held)
-        )
+        step, none = hit["item"].isNull(), held["event"].isNull()
+        first = F.when(hit["value"] == 0, hit["spent"]).otherwise(hit["value"])
+        moves = F.when(none, ~step).when(step, held["event"] == hit["event"] - 1).otherwise(held["event"] < hit["event"])
+        return F.when(moves, _states(hit["event"], F.when(none, first).otherwise(hit["value"]), True)).otherwise(held)
 
-    return F.aggregate(rows, nothing, go)
+    return F.aggregate(rows, state, go)
+
+
+def _moves(rows: Column, levels: list[int]) -> Column:
+    """The state after `rows` for each that may be before: none, and each event of `levels` with a value that is not known here."""
+    before = [F.lit(None).cast("int"), *[F.lit(e) for e in levels]]
+    return F.array(*[_after(rows, _states(e, F.lit(None).cast("long"), False)) for e in before])
+
+
+def _through(held: Column, moves: Column, levels: list[int]) -> Column:
+    """The state `held` put through moves."""
+    place = F.coalesce(F.array_position(F.array(*[F.lit(e) for e in levels]), held["event"]), F.lit(0)).cast("int")
+    then = F.get(moves, place)
+    return F.when(then["own"], then).otherwise(held)
 
 
 def engagement_events(clicks: DataFrame, found: list[Pattern], c: Clicks = CLICKS) -> DataFrame:
     """session_id, user_id, item_id, event_id, value: where each item of a session ended up.
 
-    An item meets its own hits and the steps of its session, and no other item's.
+    Hits are functions of where an item stands, and functions compose: a stretch of a session's steps is one,
+    a stretch of an item's hits and the steps between them is one, and an item goes through those of its
+    session in order, its own where it has hits. So a row holds the hits of a stretch at most,
+    and an item meets a function for each stretch of its session, not its steps.
     """
     hit = F.struct("ts", "tie", "pattern", "item", "event", "value", "spent")
-    seen = hits(clicks, found, c)
-    own = seen.where("item is not null").groupBy("session_id", "item").agg(F.first("user_id").alias("user_id"), F.collect_list(hit).alias("hits"))
+    levels = sorted({p.event for p in found})
+    seen = hits(clicks, found, c).withColumn("stretch", stretch(S.epoch_ms(F.col("ts"))))
+    own = seen.where("item is not null").groupBy("session_id", "stretch", "item").agg(F.first("user_id").alias("user_id"), F.collect_list(hit).alias("hits"))
+    moves = lambda rows: F.struct("stretch", _moves(F.array_sort(rows), levels).alias("to")).alias("moves")
+    if any(not p.groups for p in found):
+        steps = seen.where("item is null").groupBy("session_id", "stretch").agg(F.collect_list(hit).alias("steps"))
+        own = own.join(steps, ["session_id", "stretch"], "left").withColumn("hits", F.concat("hits", F.coalesce("steps", F.array())))
+        between = steps.select("session_id", moves(F.col("steps"))).groupBy("session_id").agg(F.collect_list("moves").alias("between"))
+    own = own.select("session_id", "item", "user_id", moves(F.col("hits"))).groupBy("session_id", "item").agg(F.first("user_id").alias("user_id"), F.collect_list("moves").alias("all"))
     if any(not p.groups for p in found):
-        steps = seen.where("item is null").groupBy("session_id").agg(F.collect_list(hit).alias("steps"))
-        own = own.join(steps, "session_id", "left").withColumn("hits", F.concat("hits", F.coalesce("steps", F.array())))
-    at = _fold(F.array_sort("hits"))
+        stretches = F.transform("all", lambda m: m["stretch"])
+        others = F.filter(F.coalesce("between", F.array()), lambda m: ~F.array_contains(F.col("stretches"), m["stretch"]))
+        own = own.join(between, "session_id", "left").withColumn("stretches", stretches).withColumn("all", F.concat("all", others))
+    nothing = _states(F.lit(None).cast("int"), F.lit(None).cast("long"), False)
+    at = F.aggregate(F.array_sort("all", lambda a, b: F.signum(a["stretch"] - b["stretch"]).cast("int")), nothing, lambda held, m: _through(held, m["to"], levels))
     return own.select("session_id", "user_id", F.col("item").alias("item_id"), at.alias("at")).select(
         "session_id", "user_id", "item_id", F.col("at.event").alias("event_id"), F.col("at.value").alias("value")
     )
