@@ -39,7 +39,7 @@ from trailforge.operators.events import dense_positions
 #: Least occurrences of a phrase, most words of it, per cent of its occurrences that a longer one may take, phrases of a language.
 LEAST, LONGEST, SHARE, TOP = 30, 4, 80, 2000
 #: Words of a shard, and buckets in which a language's phrases are ranked first.
-WORDS, BUCKETS = 1 << 20, 64
+WORDS, BUCKETS = 1 << 19, 64
 
 _BREAK = np.zeros(256, bool)
 _BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -139,9 +139,8 @@ class Index:
     Side 0 is of the sequence, whose transform has the words to the left; side 1 is of its reverse, and has those to the right.
     """
 
-    def __init__(self, tokens: np.ndarray, depth: int):
-        self.sides = [self._transform(t, depth) for t in (tokens, tokens[::-1])]
-        self.first = np.append(0, np.cumsum(np.bincount(tokens)))
+    def __init__(self, tokens: np.ndarray, depth: int, sides: int = 2):
+        self.sides = [self._transform(t, depth) for t in (tokens, tokens[::-1])[:sides]]
 
     @staticmethod
     def _transform(tokens: np.ndarray, depth: int) -> np.ndarray:
@@ -160,11 +159,6 @@ class Index:
             rank[order] = np.cumsum(np.append(0, sorted_[1:] != sorted_[:-1]))
         return np.sort(tokens[order - 1].astype(np.int64) << 32 | np.arange(n))
 
-    def words(self) -> tuple[np.ndarray, np.ndarray]:
-        """Begins (a column a side) and sizes of the intervals of the words from 1."""
-        begin, size = self.first[1:-1], np.diff(self.first)[1:]
-        return np.stack([begin, begin], 1), size
-
     def extend(self, side: int, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """parent, word, begin, size of all extensions by one word of disjoint intervals, to the left on side 0 and to the right on side 1."""
         sorted_ = self.sides[side]
@@ -188,51 +182,62 @@ class Index:
         return parent[real], word[real], both[real], many[real]
 
 
+def intervals(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begins (a column a side) and sizes of the intervals of the words from 1, the same on both sides."""
+    size = np.bincount(tokens)
+    begin = np.cumsum(size) - size
+    return np.stack([begin[1:], begin[1:]], 1), size[1:]
+
+
 def _local(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The sequence in numbers from 0 without gaps, and what each stands for; 0 stands for itself."""
     names, tokens = np.unique(np.frombuffer(raw, np.int32), return_inverse=True)
     return tokens, names.astype(np.int64)
 
 
+def _pair_counts(shard: int, raw: bytes) -> pa.RecordBatch:
+    tokens, names = _local(raw)
+    second, first, _, size = Index(tokens, 2, sides=1).extend(0, *intervals(tokens))
+    pair = names[first] << 32 | names[second + 1]
+    return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(np.full(len(pair), shard)), pa.array(size)], names=["ab", "shard", "n"])
+
+
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for shard, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-            tokens, names = _local(raw.as_py())
-            if len(names) < 2:
-                continue
-            index = Index(tokens, 2)
-            second, first, _, size = index.extend(0, *index.words())
-            pair = names[first] << 32 | names[second + 1]
-            yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(np.full(len(pair), shard)), pa.array(size)], names=["ab", "shard", "n"])
+            yield _pair_counts(shard, raw.as_py())
         kernel.release()
 
 
+def _longer_counts(raw: bytes, frequent: np.ndarray) -> list[pa.RecordBatch]:
+    tokens, names = _local(raw)
+    frequent = np.sort(frequent)
+
+    def known(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pair = names[a] << 32 | names[b]
+        return frequent[np.minimum(np.searchsorted(frequent, pair), len(frequent) - 1)] == pair
+
+    index = Index(tokens, LONGEST)
+    b, a, begin, size = index.extend(0, *intervals(tokens))
+    b += 1
+    good = known(a, b)
+    a, b, begin, size = a[good], b[good], begin[good], size[good]
+    parent, c, begin, size = index.extend(1, begin, size)
+    good = known(b[parent], c)
+    parent, c, begin, size = parent[good], c[good], begin[good], size[good]
+    a, b = a[parent], b[parent]
+    three = [names[a] << 32 | names[b], names[c], size]
+    parent, z, _, size = index.extend(0, begin, size)
+    good = known(z, a[parent])
+    parent, z, size = parent[good], z[good], size[good]
+    four = [names[z] << 32 | names[a[parent]], names[b[parent]] << 32 | names[c[parent]], size]
+    return [pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["ab", "cd", "n"]) for columns in (three, four)]
+
+
 def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(len(batch)):
-            tokens, names = _local(batch.column(1)[i].as_py())
-            frequent = np.sort(pc.list_flatten(batch.column(2).slice(i, 1)).to_numpy())
-
-            def known(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-                pair = names[a] << 32 | names[b]
-                return frequent[np.minimum(np.searchsorted(frequent, pair), len(frequent) - 1)] == pair
-
-            index = Index(tokens, LONGEST)
-            b, a, begin, size = index.extend(0, *index.words())
-            b += 1
-            good = known(a, b)
-            a, b, begin, size = a[good], b[good], begin[good], size[good]
-            parent, c, begin, size = index.extend(1, begin, size)
-            good = known(b[parent], c)
-            parent, c, begin, size = parent[good], c[good], begin[good], size[good]
-            a, b = a[parent], b[parent]
-            three = [names[a] << 32 | names[b], names[c], size]
-            parent, z, _, size = index.extend(0, begin, size)
-            good = known(z, a[parent])
-            parent, z, size = parent[good], z[good], size[good]
-            four = [names[z] << 32 | names[a[parent]], names[b[parent]] << 32 | names[c[parent]], size]
-            for columns in (three, four):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["ab", "cd", "n"])
+            yield from _longer_counts(batch.column(1)[i].as_py(), pc.list_flatten(batch.column(2).slice(i, 1)).to_numpy())
         kernel.release()
 
 
