@@ -112,8 +112,19 @@ def test_continuation_lines_stay_with_their_record(spark, tmp_path):
 
 def test_engagement_over_session_pages(spark, tmp_path):
     pages = put(tmp_path / "pages", ["s1,u1,x,1431684000000,/product/A", "s1,u1,x,1431684015000,/cart"])
-    conf = {"eeg.engagement.events": "/product/(\\w+):1,/cart:2:8", "eeg.user.id.ord": "1", "eeg.url.ord": "4", "eeg.time.stamp.ord": "3"}
+    conf = {"eeg.engagement.events": "/product/(\\w+):1,/cart:2:8", "eeg.session.id.ord": "0", "eeg.user.id.ord": "1", "eeg.url.ord": "4", "eeg.time.stamp.ord": "3"}
     assert run(spark, "engagement_events", conf, pages, tmp_path) == ["u1,A,2,8"]
+    del conf["eeg.user.id.ord"], conf["eeg.url.ord"], conf["eeg.time.stamp.ord"]
+    assert run(spark, "engagement_events", conf, pages, tmp_path) == ["u1,A,2,8"]
+
+
+@pytest.mark.parametrize("written", [{}, {"eeg.user.id.ord": "0", "eeg.url.ord": "1", "eeg.time.stamp.ord": "2"}])
+def test_engagement_over_raw_lines_with_default_ordinals(spark, tmp_path, written):
+    log = put(tmp_path / "log", ["2015-05-15 10:00:00 USR=u1;+SES=s1 /product/A r", "2015-05-15 10:00:15 USR=u1;+SES=s1 /product/B r", "2015-05-15 10:00:20 USR=u1;+SES=s1 /cart r"])
+    conf = {"see.field.meta": "cookie:2,date:0,time:1,url:3,referrer:4", "see.user.id.name": "USR", "see.session.id.name": "SES", "eeg.engagement.events": "/product/(\\w+):1,/buy:2:8"}
+    assert sorted(run(spark, "engagement_events", conf | written, log, tmp_path)) == ["u1,A,1,15", "u1,B,1,5"]
+    with pytest.raises(ValueError, match="ord"):
+        run(spark, "engagement_events", conf | {"eeg.url.ord": "0"}, log, tmp_path / "x")
 
 
 def test_output_switches(spark, tmp_path, capfd):

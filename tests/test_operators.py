@@ -173,11 +173,13 @@ def test_recency_scores(spark):
     assert [r["recency"] for r in customer.recency_score(df, stats, "normal").orderBy("id").collect()] == [0.5, 0.159]
 
 
-def test_normal_cdf_is_close_to_the_error_function(spark):
-    df = spark.range(-60, 61).select((F.col("id") / 10).alias("z"))
-    for r in df.select("z", S.normal_cdf(F.col("z"), 0, 1).alias("a"), S.normal_cdf_exact("z").alias("b")).collect():
-        want = 0.5 * (1 + math.erf(r["z"] / math.sqrt(2)))
-        assert abs(r["a"] - want) < 2e-7 and abs(r["b"] - want) < 1e-12
+def test_normal_cdf_is_the_error_function(spark):
+    df = spark.range(-1000, 1001).select((F.col("id") / 97).alias("z"))
+    for r in df.select("z", S.normal_cdf(F.col("z"), 0, 1).alias("a"), S.normal_cdf(F.col("z") * 3 + 5, 5, 3).alias("b"), S.normal_cdf(F.col("z"), 0, 0).alias("none")).collect():
+        want = 0.5 * math.erfc(-r["z"] / math.sqrt(2))
+        assert abs(r["a"] - want) < 1e-14 and abs(r["b"] - want) < 1e-14 and r["none"] is None
+        # The lower tail is right in proportion too.
+        assert r["z"] > 0 or abs(r["a"] / want - 1) < 1e-8
 
 
 def test_lifecycles(spark):

@@ -1,14 +1,12 @@
-"""Scalar helpers over columns; all of them are built-in expressions but `normal_cdf_exact`."""
+"""Scalar helpers over columns; all of them are built-in expressions."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Milliseconds of each unit.
 UNIT_MS = {"ms": 1, "sec": 1_000, "min": 60_000, "hour": 3_600_000, "day": 86_400_000, "week": 604_800_000}
@@ -117,29 +115,28 @@ def exponential_cdf(x: Column, mean: Column | float) -> Column:
     return F.lit(1.0) - F.exp(-x.cast("double") / F.nullif(mean.cast("double"), F.lit(0.0)))
 
 
-#: Coefficients of approximation 7.1.26 of Abramowitz and Stegun; its error is under 1.5e-7.
-ERF_P = 0.3275911
-ERF_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+#: Terms of the error function's series, and of the continued fraction that takes its place from SERIES_END on.
+ERF_TERMS, SERIES_END = 70, 2.5
 
 
 def normal_cdf(x: Column, mean: Column | float, std: Column | float) -> Column:
-    """The normal distribution function in built-in expressions, to 1.5e-7."""
+    """The normal distribution function in built-in expressions, to double precision (1e-14).
+
+    Near the mean by the series of positive terms x * (2 x^2)^n / (1 * 3 * ... * (2n + 1)), in the tails by
+    the continued fraction of the complementary error function.
+    """
     mean, std = (c if isinstance(c, Column) else F.lit(float(c)) for c in (mean, std))
     z = (x.cast("double") - mean) / F.nullif(std.cast("double"), F.lit(0.0)) / math.sqrt(2)
-    t = F.lit(1.0) / (F.lit(1.0) + F.lit(ERF_P) * F.abs(z))
-    poly = F.lit(0.0)
-    for a in reversed(ERF_A):
-        poly = (poly + F.lit(a)) * t
-    erf = F.lit(1.0) - poly * F.exp(-z * z)
-    return F.when(z >= 0, (F.lit(1.0) + erf) / 2).otherwise((F.lit(1.0) - erf) / 2)
-
-
-@F.pandas_udf(T.DoubleType())
-def normal_cdf_exact(z: pd.Series) -> pd.Series:
-    """The standard normal distribution function by the error function."""
-    return z.map(lambda v: None if pd.isna(v) else 0.5 * (1 + math.erf(v / math.sqrt(2))))
-
-
-def register_sql(spark) -> None:
-    """Makes the functions that SQL lacks callable from SQL."""
-    spark.udf.register("normal_cdf_exact", normal_cdf_exact)
+    a = F.abs(z)
+    terms = F.sequence(F.lit(1), F.lit(ERF_TERMS))
+
+    def add(s: Column, n: Column) -> Column:
+        term = s["term"] * (a * a * 2.0) / (n * 2 + 1)
+        return F.struct(term.alias("term"), (s["sum"] + term).alias("sum"))
+
+    series = F.aggregate(terms, F.struct(a.alias("term"), a.alias("sum")), add, lambda s: s["sum"])
+    fraction = F.aggregate(F.reverse(terms), a, lambda f, k: a + k / 2.0 / f)
+    shape = F.exp(-a * a) / math.sqrt(math.pi)
+    inside = shape * series
+    outside = shape / fraction / 2
+    return F.when(a < SERIES_END, F.when(z >= 0, F.lit(0.5) + inside).otherwise(F.lit(0.5) - inside)).when(z > 0, F.lit(1.0) - outside).otherwise(outside)

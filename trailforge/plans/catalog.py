@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailforge.functions import scalars as S
+from trailforge.functions import scalars as S, sql
 from trailforge.operators import classify, customer, engagement, events, logs, search, sessions
 from trailforge.plans import pipelines
 from trailforge.sources import logs as L
@@ -313,11 +313,12 @@ def recency_exp(spark, sf_dir):
     return customer.recency_score(scored, customer.rfm_stats(scored), "exponential")
 
 
-_POLY = f"(({S.ERF_A[4]!r}*t{S.ERF_A[3]:+})*t{S.ERF_A[2]:+})*t"
+#: The integral of the error function by Simpson's rule over 1,000 steps, past 6 as good as 1.
+_ERF = "2 / sqrt(pi()) * x / 3000 * list_sum(list_transform(range(1001), lambda i: CASE WHEN i IN (0, 1000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * exp(-(x * i / 1000) * (x * i / 1000))))"
 NORMAL = f"""{RFM},
 z AS (SELECT id, av_time_gap, av_value, (recency - global_av_time_gap) / global_std_dev_time_gap / sqrt(2) AS z FROM rfm, stats),
-t AS (SELECT *, 1 / (1 + {S.ERF_P!r} * abs(z)) AS t FROM z),
-e AS (SELECT *, 1 - ((({_POLY}{S.ERF_A[1]:+})*t{S.ERF_A[0]:+})*t) * exp(-z * z) AS erf FROM t),
+t AS (SELECT *, least(abs(z), 6) AS x FROM z),
+e AS (SELECT *, {_ERF} AS erf FROM t),
 scored AS (SELECT id, av_time_gap, round(1 - CASE WHEN z >= 0 THEN (1 + erf) / 2 ELSE (1 - erf) / 2 END, 3) AS recency, av_value FROM e)"""
 
 
@@ -492,27 +493,69 @@ def cookie_parse(spark, sf_dir):
 W3C_FIELDS = ["dateTime", "dateTimeEpoch", "cIp", "url", "status", "scNumBytes", "referrer", "sessionId", "userId"]
 
 
-@query("""SELECT date_trunc('second', ts) AS "dateTime", epoch_ms(date_trunc('second', ts)) AS "dateTimeEpoch", '10.0.0.' || user_id % 250 AS "cIp", '/' || event_type AS url, '200' AS status,
-  event_id::INT AS "scNumBytes", 'ref' || user_id AS referrer, 's' || user_id AS "sessionId", 'u' || user_id AS "userId" FROM events WHERE event_type <> 'error'""")
-def w3c_parse(spark, sf_dir):
+W3C_SQL = """SELECT date_trunc('second', ts) AS "dateTime", epoch_ms(date_trunc('second', ts)) AS "dateTimeEpoch", '10.0.0.' || user_id % 250 AS "cIp", '/' || event_type AS url, '200' AS status,
+  event_id::INT AS "scNumBytes", 'ref' || user_id AS referrer, 's' || user_id AS "sessionId", 'u' || user_id AS "userId" FROM events WHERE event_type <> 'error'"""
+
+
+def w3c_lines(spark, sf_dir):
+    """An extended log line for each event; errors have no session."""
     u, e = F.col("user_id").cast("string"), F.col("event_id").cast("string")
     cookie = F.when(F.col("event_type") == "error", F.lit("x=1")).otherwise(F.concat(F.lit("a=1;sid=s"), u, F.lit(";uid=u"), u))
     line = F.concat_ws(
         " ", F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm:ss"), F.concat(F.lit("10.0.0."), (F.col("user_id") % 250).cast("string")), F.lit("-"), F.lit("10.1.1.1"), F.lit("GET"),
         F.concat(F.lit("/"), "event_type"), F.lit("q=1"), F.lit("200"), e, F.lit("17"), F.lit("5"), F.lit("HTTP/1.1"), F.lit("agent"), cookie, F.concat(F.lit("ref"), u),
     )
-    return L.parse_log(table(spark, sf_dir, "events").select(line.alias("value")), L.W3C, W3C_FIELDS, "sid", "uid")
+    return table(spark, sf_dir, "events").select(line.alias("value"))
 
 
-@query("""SELECT date_trunc('second', ts) AS "dateTime", '10.0.0.' || user_id % 250 AS "cIp", 'GET' AS method, '/' || event_type AS url, '404' AS status, event_id::INT AS "csNumBytes",
-  'Mozilla 5.0 (X11; a b)' AS "userAgent", 's' || user_id AS "sessionId" FROM events""")
-def ncsa_parse(spark, sf_dir):
+@query(W3C_SQL)
+def w3c_parse(spark, sf_dir):
+    return L.parse_log(w3c_lines(spark, sf_dir), L.W3C, W3C_FIELDS, "sid", "uid")
+
+
+@query(W3C_SQL)
+def w3c_parse_sql(spark, sf_dir):
+    """The same by the table function of SQL."""
+    sql.register(spark)
+    return spark.sql(f"SELECT {', '.join(W3C_FIELDS)} FROM {{lines}} AS l, LATERAL w3c_log(l.value, 'sid', 'uid')", lines=w3c_lines(spark, sf_dir))
+
+
+NCSA_SQL = """SELECT date_trunc('second', ts) AS "dateTime", '10.0.0.' || user_id % 250 AS "cIp", 'GET' AS method, '/' || event_type AS url, '404' AS status, event_id::INT AS "csNumBytes",
+  'Mozilla 5.0 (X11; a b)' AS "userAgent", 's' || user_id AS "sessionId" FROM events"""
+NCSA_FIELDS = ["dateTime", "cIp", "method", "url", "status", "csNumBytes", "userAgent", "sessionId"]
+
+
+def ncsa_lines(spark, sf_dir):
+    """A combined log line for each event."""
     u, e = F.col("user_id").cast("string"), F.col("event_id").cast("string")
     line = F.concat(
         F.lit("10.0.0."), (F.col("user_id") % 250).cast("string"), F.lit(" - me ["), F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"), F.lit(' +0000] "GET /'), F.col("event_type"), F.lit(' HTTP/1.1" 404 '), e,
         F.lit(' "http://x/" "Mozilla 5.0 (X11; a b)" "a=1;sid=s'), u, F.lit('"'),
     )
-    return L.parse_log(table(spark, sf_dir, "events").select(line.alias("value")), L.NCSA, ["dateTime", "cIp", "method", "url", "status", "csNumBytes", "userAgent", "sessionId"], "sid")
+    return table(spark, sf_dir, "events").select(line.alias("value"))
+
+
+@query(NCSA_SQL)
+def ncsa_parse(spark, sf_dir):
+    return L.parse_log(ncsa_lines(spark, sf_dir), L.NCSA, NCSA_FIELDS, "sid")
+
+
+@query(NCSA_SQL)
+def ncsa_parse_sql(spark, sf_dir):
+    """The same by the table function of SQL."""
+    sql.register(spark)
+    return spark.sql(f"SELECT {', '.join(NCSA_FIELDS)} FROM {{lines}} AS l, LATERAL ncsa_log(l.value, 'sid', NULL)", lines=ncsa_lines(spark, sf_dir))
+
+
+@query("""SELECT event_id, 's' || user_id AS session_id, epoch_ms(ts) // 3600000 AS hour, round(1 - exp(-event_id / 1000), 9) AS p FROM events""")
+def sql_functions(spark, sf_dir):
+    """Scalar functions of SQL over every event."""
+    sql.register(spark)
+    return spark.sql(
+        """SELECT event_id, cookie_value('x=1;+sid=s' || user_id || ';y', 'sid') AS session_id, to_unit(unix_millis(CAST(ts AS TIMESTAMP)), 'hour') AS hour, round(exponential_cdf(event_id, 1000), 9) AS p
+        FROM {events}""",
+        events=table(spark, sf_dir, "events"),
+    )
 
 
 @query(r"""SELECT page_id, regexp_extract(url, '^(\w+)://', 1) AS scheme, regexp_extract(url, '^\w+://([^/?]+)', 1) AS host, regexp_extract(url, '^\w+://[^/?]+([^?]*)', 1) AS path,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trailforge.functions.scratch import scratch_path
-from trailforge.operators import customer, logs
+from trailforge.operators import customer, events, logs
 from trailforge.plans.catalog import FIRST_LINE, FORMAT, RFM, TIME, _rfm, log_lines, query, table
 from trailforge.sources import logs as L
 from trailforge.streaming import visitors, visits
@@ -55,8 +55,10 @@ o AS (SELECT split_part(file, '_', 1) AS source, line_no, record, regexp_extract
 SELECT row_number() OVER (ORDER BY ts, source, line_no) AS position, source, line_no, source || ' ' || replace(record, '\\n', '\\n' || source || ' ') AS record FROM o""")
 def file_merge_order(spark, sf_dir):
     """The records of all files with their place in the order of time."""
-    merged = logs.merge_logs(read_back(spark, written_logs(spark, sf_dir))).withColumn("__at", F.monotonically_increasing_id())
-    return merged.select(F.row_number().over(Window.orderBy("__at")).cast("long").alias("position"), "source", "line_no", "record")
+    path = scratch_path(spark, "merged")
+    # Written in order, so that numbers that grow with the place are counted without a sort of the whole log in one task.
+    logs.merge_logs(read_back(spark, written_logs(spark, sf_dir))).withColumn("at", F.monotonically_increasing_id()).write.parquet(path)
+    return events.dense_positions(spark.read.parquet(path), "at").select("position", "source", "line_no", "record")
 
 
 @query(f"""WITH {LINES}, m AS (SELECT *, count(*) FILTER (value NOT LIKE ' %') OVER (PARTITION BY file ORDER BY line_no) AS r FROM files)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from trailforge.functions import scalars as S
 from trailforge.operators import classify, customer, engagement, events, logs, search, sessions
+from trailforge.operators.stretches import neighbours
 from trailforge.plans import pipelines
 from trailforge.sources import logs as L, queue as Q
 from trailforge.streaming import visitors, visits
@@ -111,9 +112,12 @@ def user_session_summary(spark, c, inputs):
 
 
 def engagement_events(spark, c, inputs):
-    """Over the output of `session_extractor`, whose positions eeg.*.ord give, or over raw log lines as see.field.meta has them."""
+    """Over raw log lines as see.field.meta has them, or, with eeg.session.id.ord, over lines of which eeg.*.ord give positions, such as `session_extractor` writes.
+
+    Over raw lines eeg.*.ord are the places of a hit's user, URL and time among these three, by default 0, 1 and 2.
+    """
     found = engagement.patterns(c.need("eeg.engagement.events"))
-    if c.text("eeg.url.ord"):
+    if c.text("eeg.session.id.ord"):
         lines = _lines(spark, inputs)
         part = _parts(lines, c.text("eeg.field.delim.regex", ","))
         place = lambda name, default: part(c.whole(f"eeg.{name}.ord", default))
@@ -121,8 +125,12 @@ def engagement_events(spark, c, inputs):
             place("session.id", 0).alias("session_id"), place("user.id", 1).alias("user_id"), F.timestamp_millis(place("time.stamp", 3).try_cast("long")).alias("ts"),
             place("url", 4).alias("url"), F.lit(None).cast("string").alias("referrer"), F.monotonically_increasing_id().alias("event_id"),
         )
-        return engagement.engagement_events(clicks, found).select("user_id", "item_id", "event_id", "value")
-    return engagement.engagement_events(_clicks(spark, c, inputs), found).select("user_id", "item_id", "event_id", "value")
+    else:
+        places = [c.whole(f"eeg.{name}.ord", i) for i, name in enumerate(("user.id", "url", "time.stamp"))]
+        if places != [0, 1, 2]:
+            raise ValueError(f"eeg.*.ord are {places}, but a hit of a raw line has its user, URL and time at 0, 1 and 2")
+        clicks = _clicks(spark, c, inputs)
+    return engagement.engagement_events(clicks, found).select("user_id", "item_id", "event_id", "value")
 
 
 def rating_estimator(spark, c, inputs):
@@ -246,8 +254,8 @@ def parsed_sessions(spark, c, inputs):
     rows = L.parse_log(_lines(spark, inputs), c.text("log.formatStd", L.NCSA), wanted, c.need("session.idName"), c.text("user.idName"))
     if not c.flag("comp.elapasedTime"):
         return rows.select(*fields)
-    w = sessions.Window.partitionBy("sessionId").orderBy("dateTimeEpoch")
-    return rows.withColumn("timeOnPage", F.coalesce(F.lead("dateTimeEpoch").over(w) - F.col("dateTimeEpoch"), F.lit(0))).select(*fields, "timeOnPage")
+    met = neighbours(rows, "sessionId", ["dateTimeEpoch"], "dateTimeEpoch", lead={"next_ms": "dateTimeEpoch"})
+    return met.select(*fields, F.coalesce(F.col("next_ms") - F.col("dateTimeEpoch"), F.lit(0)).alias("timeOnPage"))
 
 
 def parsed_session_average(spark, c, inputs):
