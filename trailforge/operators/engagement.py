@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailforge.functions import scalars as S
+from trailforge.operators.patterns import matches as patterns_in
 from trailforge.operators.sessions import CLICKS, Clicks
 from trailforge.operators.stretches import neighbours, stretch
 
@@ -44,27 +45,16 @@ def time_mapping(spec: str) -> list[tuple[int, int]]:
 
 def hits(clicks: DataFrame, found: list[Pattern], c: Clicks = CLICKS) -> DataFrame:
     """A row for each pattern that a page matches: session, user, order, place of the pattern, item (null for a step), event, value, seconds on page."""
-    url = F.col("url")
-    each = F.array(
-        *[
-            F.when(
-                url.rlike(p.regex),
-                F.struct(
-                    F.lit(i).alias("pattern"),
-                    (F.regexp_extract(url, p.regex, p.groups) if p.groups else F.lit(None).cast("string")).alias("item"),
-                    F.lit(p.event).alias("event"),
-                    F.lit(p.value).cast("long").alias("value"),
-                ),
-            )
-            for i, p in enumerate(found)
-        ]
-    )
     rows = c.known(clicks).select(
         F.col(c.session).alias("session_id"), F.col(c.ts).alias("ts"), F.col(c.tie).alias("tie"), S.epoch_ms(F.col(c.ts)).alias("ms"), F.col(c.user).alias("user"), F.col(c.url).alias("url")
     )
     met = neighbours(rows, "session_id", ["ts", "tie"], lead={"next_ms": "ms"}, first={"user_id": "user"})
     spent = F.coalesce(S.int_div(F.col("next_ms") - F.col("ms"), 1000), F.lit(0))
-    return met.select("session_id", "user_id", "ts", "tie", spent.alias("spent"), F.inline(F.array_compact(each)))
+    fields = [{"pattern": i, "regex": p.regex, "group": p.groups, "event": p.event, "value": p.value} for i, p in enumerate(found)]
+    item = F.when(F.col("group") > 0, F.call_function("regexp_extract", F.col("url"), F.col("regex"), F.col("group").cast("int")))
+    return patterns_in(met.select("session_id", "user_id", "ts", "tie", spent.alias("spent"), "url"), "url", fields).select(
+        "session_id", "user_id", "ts", "tie", "spent", F.col("pattern").cast("int").alias("pattern"), item.alias("item"), F.col("event").cast("int").alias("event"), "value"
+    )
 
 
 #: Where an item stands: its event and value, both null before its first hit; `own` tells a value from that of the state before.

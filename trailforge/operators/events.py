@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trailforge.operators.patterns import FEW, matches
+
 #: Buckets of positions that are summed up together.
 STRETCH = 10_000
 
@@ -36,16 +38,26 @@ def session_event_context(records: DataFrame, found: list[tuple[str, str]], befo
     w = Window.partitionBy(session).orderBy(*order)
     here = F.row_number().over(w)
     frame = F.collect_list(F.struct(F.col(record).alias("line"))).over(w.rowsBetween(-before, after))
-    names = F.array_compact(F.array(*[F.when(F.col(record).rlike(regex), F.struct(F.lit(i).alias("i"), F.lit(name).alias("event"))) for i, (name, regex) in enumerate(found)]))
-    matched = records.select(F.col(session), here.alias("at"), frame.alias("around"), names.alias("names")).where(F.size("names") > 0)
+    if len(found) <= FEW:
+        names = F.array_compact(F.array(*[F.when(F.col(record).rlike(regex), F.lit(name)) for name, regex in found]))
+        placed = records.withColumn("names", names)
+    else:
+        # What the patterns find is put back beside its record, in the partitions that the windows need.
+        hits = matches(records.select(session, *order, record), record, _fields(found)).groupBy(session, *order).agg(F.array_sort(F.collect_list(F.struct("i", "event"))).alias("hits"))
+        placed = records.join(hits, [session, *order], "left").withColumn("names", F.coalesce(F.transform("hits", lambda h: h["event"]), F.array()))
+    matched = placed.select(F.col(session), here.alias("at"), frame.alias("around"), "names").where(F.size("names") > 0)
     first = F.least(F.col("at") - 1, F.lit(before))
     return (
-        matched.select(session, "at", "around", F.explode("names").alias("n"))
-        .select(session, F.col("n.event").alias("event"), F.col("at").alias("match_no"), first.alias("lead"), F.posexplode("around").alias("p", "r"))
+        matched.select(session, "at", "around", F.explode("names").alias("event"))
+        .select(session, "event", F.col("at").alias("match_no"), first.alias("lead"), F.posexplode("around").alias("p", "r"))
         .select(session, "event", "match_no", (F.col("p") - F.col("lead")).alias("context_offset"), F.col("r.line").alias("line"))
     )
 
 
+def _fields(found: list[tuple[str, str]]) -> list[dict[str, object]]:
+    return [{"i": i, "event": name, "regex": regex} for i, (name, regex) in enumerate(found)]
+
+
 def dense_positions(df: DataFrame, key: str, width: int = 100_000, name: str = "position") -> DataFrame:
     """`df` with the place of each row, from 1, in the order of a unique number: counted inside buckets of `width` values, then over buckets.
 
@@ -69,8 +81,7 @@ def stream_event_context(records: DataFrame, found: list[tuple[str, str]], befor
     `position` counts the records without a gap. Matches are joined to their neighbours by position, so that
     no task sees the whole log.
     """
-    names = F.array_compact(F.array(*[F.when(F.col(record).rlike(f"^(?:{regex})$"), F.lit(name)) for name, regex in found]))
-    matched = records.select(F.col(position).alias("match_no"), F.explode(names).alias("event"))
+    matched = matches(records.select(position, record), record, _fields(found), whole=True).select(F.col(position).alias("match_no"), "event")
     wanted = matched.withColumn("context_offset", F.explode(F.sequence(F.lit(-before), F.lit(after)))).withColumn(position, F.col("match_no") + F.col("context_offset"))
     around = wanted.join(records.select(position, F.col(record).alias("line")), position)
     # A context is full if both its ends are there.
