@@ -13,7 +13,7 @@ from trailforge.llm import kernel, linededup, meeting, neardup, quality
 from trailforge.llm.linededup import Forest
 
 #: Names that steps give to columns of theirs.
-OWN = ["score", "tokens", "epoch", "block", "doc_order", "progress", "n_dropped", "high", "low", "key_id", "key_text", "ids", "decoded", "places", "__id", "__source", "__tokens", "lines_lost", "visit_epoch"]
+OWN = ["score", "tokens", "epoch", "block", "doc_order", "progress", "n_dropped", "high", "low", "key_id", "key_text", "__key_id", "__key_text", "ids", "decoded", "places", "__id", "__source", "__tokens", "lines_lost", "visit_epoch"]
 
 
 def words(rng, n):

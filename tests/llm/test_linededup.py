@@ -154,3 +154,14 @@ def test_similar_is_the_edit_distance_under_its_bound():
         b = [w for w in a if rng.random() < 0.9] + ["b"] * rng.randrange(2)
         a, b = " ".join(a), " ".join(b)
         assert ld.similar(a, b) == (levenshtein(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9)
+
+
+def test_a_pair_is_compared_where_its_gates_agree(spark):
+    """Two equal texts and a stranger meet in a place of long n-grams, whose gates are alike, and in an earlier one of short n-grams, whose gates are not."""
+    like, one, other = 5 << 56, 5 << 56 | 0x11111111111111, 5 << 56 | 0x22222222222222
+    rows = [(2, 1, 1, like, [2, -1]), (2, 2, 2, like, [2, -1]), (2, 3, 3, like, [2, -1]), (-1, 1, 1, one, [2, -1]), (-1, 2, 2, other, [2, -1]), (-1, 3, 3, like, [2, -1])]
+    things = spark.createDataFrame([(1, "same"), (2, "same"), (3, "stranger")], "id long, line string")
+    df = spark.createDataFrame(rows, "key int, id long, root long, tag long, places array<int>")
+    assert not ld._near_before((-1,), np.array([one, other]), 1).any() and ld._near_before((2,), np.array([like, like]), 1).all()
+    got = meeting.tiles(df, ["key"], things, str, str.__eq__, ld._near_before, gate=ld._kind).collect()
+    assert [sorted(r) for r in got] == [[1, 2]]

@@ -253,6 +253,11 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kernel.release()
 
 
+def _kind(key: int) -> int:
+    """Of which n-grams a place is: a line has a gate for each kind."""
+    return key & 1
+
+
 def _agree(key: np.ndarray) -> np.ndarray:
     return np.where(key & 1, SHORT_AGREE, AGREE)
 
@@ -600,7 +605,7 @@ def links_alike(classes: DataFrame, documents: DataFrame, key: str, text: str) -
     lines = common.stored(_lines_of(members, documents, key, text), "lines")
     texts = pairs.join(lines.select(F.col("id").alias("u"), F.col("line").alias("one")), "u").join(lines.select(F.col("id").alias("v"), F.col("line").alias("other")), "v")
     listed = common.stored(texts.select("u", "v", "one", "other").mapInArrow(_verify_pairs, "u long, v long"), "links")
-    joined = common.stored(meeting.connect(placed, ["key"], lines.select("id", "line"), str, similar, _near_before, _alike(F.col("tag"), F.col("pivot.tag")), listed, places, _METRIC), "joined")
+    joined = common.stored(meeting.connect(placed, ["key"], lines.select("id", "line"), str, similar, _near_before, _alike(F.col("tag"), F.col("pivot.tag")), listed, places, _METRIC, _kind), "joined")
     common.forget(met, pairs, near, placed, listed)
     lows = joined.select(F.col("node").alias("id")).join(lines.select("id", "low"), "id")
     return joined, lows

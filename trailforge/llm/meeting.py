@@ -58,12 +58,12 @@ def stars(pairs: DataFrame, things: DataFrame, ready: Callable, same: Callable)
     return rows.repartition(n, "v", "part").sortWithinPartitions("v", "part", "turn").mapInArrow(run, "u long, v long")
 
 
-def tiles(rows: DataFrame, keys: list[str], things: DataFrame, ready: Callable, same: Callable, near: Callable, metric: Metric | None = None) -> DataFrame:
+def tiles(rows: DataFrame, keys: list[str], things: DataFrame, ready: Callable, same: Callable, near: Callable, metric: Metric | None = None, gate: Callable = lambda place: 0) -> DataFrame:
     """u, v: links between members of different components that meet in a place, enough to connect what is linked.
 
     `rows` has the keys, id, root, tag and perhaps `places`, all places of the member: a pair is
-    compared in the first that it shares. `near(key, tags, i)` says which of the members before i to
-    compare with i. With a `metric`, pairs are ruled out by the triangle inequality where a
+    compared in the first that it shares of those with one `gate`, by which `near` decides alike.
+    `near(key, tags, i)` says which of the members before i to compare with i. With a `metric`, pairs are ruled out by the triangle inequality where a
     component has many members to compare with.
     """
     counted = rows.groupBy(*keys, "root").agg(F.count(F.lit(1)).alias("n"))
@@ -108,7 +108,7 @@ def tiles(rows: DataFrame, keys: list[str], things: DataFrame, ready: Callable,
             close = np.flatnonzero(close)
             often = np.bincount(group[close], minlength=1) > FEW
             for j in close.tolist():
-                if root[j] == root[i] or (places and min(places[i] & places[j]) != key[0]):
+                if root[j] == root[i] or (places and min(p for p in places[i] & places[j] if gate(p) == gate(key[0])) != key[0]):
                     continue
                 if metric and often[group[j]]:
                     pivot = pivots.setdefault(int(group[j]), j)
@@ -131,7 +131,7 @@ def pivoted(members: DataFrame, keys: list[str]) -> DataFrame:
     return met
 
 
-def connect(met: DataFrame, keys: list[str], things: DataFrame, ready: Callable, same: Callable, near: Callable, alike: Column | None = None, links: DataFrame | None = None, tags: DataFrame | None = None, metric: Metric | None = None) -> DataFrame:
+def connect(met: DataFrame, keys: list[str], things: DataFrame, ready: Callable, same: Callable, near: Callable, alike: Column | None = None, links: DataFrame | None = None, tags: DataFrame | None = None, metric: Metric | None = None, gate: Callable = lambda place: 0) -> DataFrame:
     """node, root of all members that are linked to another: those of `links`, and those in a common place of `met` (of `pivoted`) that are `same`.
 
     Members that are not `alike` their pivot are not compared with it, nor others unless `near`
@@ -145,7 +145,7 @@ def connect(met: DataFrame, keys: list[str], things: DataFrame, ready: Callable,
     # A place of two has been compared whole.
     rows = met.where("n > 2").drop("pivot", "n").join(named.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     rows = common.stored(rows if tags is None else rows.join(tags, "id"), "rooted")
-    last, seen = common.measured(tiles(rows, keys, things, ready, same, near, metric), "links", n=F.count(F.lit(1)))
+    last, seen = common.measured(tiles(rows, keys, things, ready, same, near, metric, gate), "links", n=F.count(F.lit(1)))
     common.forget(pairs, rows)
     if not seen["n"]:
         return named

@@ -18,7 +18,7 @@ Documents with the same words are one member of all this, whatever their number.
 hashes are shuffled for all documents, texts for those alone that have a partner.
 
 Defined cases: a document without a word is a class of its own; null doc_ids sort first, and
-such a class's name is null; rows that repeat a doc_id and text are one document to
+such a class's name is null (the least long counts as null); rows that repeat a doc_id and text are one document to
 `deduplicate` and a row each to `classes`; other columns pass through `deduplicate`; an
 empty table gives an empty result.
 """
@@ -321,6 +321,6 @@ def classes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 def deduplicate(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`documents` with one row for each class: the one with the least key."""
     kept = common.stored(_classed(documents, key, text).where("key_id = class_id and key_text = class_text").select("key_id", "key_text").distinct(), "kept")
-    keyed = documents.withColumns({f"__{c}": e for c, e in zip(("key_id", "key_text"), common.row_key(key, text))})
-    marks = kept.select(F.col("key_id").alias("__key_id"), F.col("key_text").alias("__key_text"))
-    return keyed.join(marks, ["__key_id", "__key_text"]).dropDuplicates(["__key_id", "__key_text"]).select(*[F.col(f"`{c}`") for c in documents.columns])
+    names = common.free(documents, "key_id", "key_text")
+    keyed = documents.withColumns(dict(zip(names, common.row_key(key, text))))
+    return keyed.join(kept.toDF(*names), names).dropDuplicates(names).select(*[F.col(f"`{c}`") for c in documents.columns])
