@@ -165,3 +165,13 @@ def test_visitor_stream_takes_commands_and_keeps_totals_over_restarts(spark, tmp
     assert abs(third["users"] - 200) < 10 and abs(third["union_users"] - 200) < 10
     again = once("d", both("w", 60), ["p0,reset", "p1,reset"])
     assert abs(again["users"] - 60) < 3 and abs(again["union_users"] - 60) < 3
+
+
+def test_counters_of_a_pass(spark, tmp_path):
+    log = put(tmp_path / "log", ["2015-05-15 10:00:00 USR=u1;+SES=s1 /a r", "2015-05-15 10:00:05 USR=u1 /b r", "no time USR=u1;+SES=s1 /c r", "2015-05-15 10:00:09 USR=u1;+SES=s2 /c r"])
+    for job in ("session_extractor", "session_summarizer", "engagement_events"):
+        assert jobs.run(spark, job, Config(WEB), log, str(tmp_path / job)) == {"records": 4, "records_without_time": 1, "records_with_session": 3}, job
+    rows = put(tmp_path / "x", [f"x,{who},2015-05-{day:02d} 10:00:00,5.0" for who, days in (("a", (1, 3, 8)), ("b", (1, 2)), ("c", (4,)), ("d", (1, 2, 3, 4))) for day in days])
+    conf = {"trf.id.field.ordinals": "1", "trf.quant.attr.list": "3", "trf.time.gap.unit": "day", "trf.recency.ref.date": "2015-06-01 00:00:00", "debug.on": "true"}
+    assert jobs.run(spark, "frequency_recency_value", Config(conf), rows, str(tmp_path / "rfm")) == {"ids": 4, "short_histories": 2}
+    assert jobs.run(spark, "frequency_recency_value", Config(conf | {"save.output": "false"}), rows, str(tmp_path / "none")) == {}

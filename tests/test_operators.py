@@ -4,6 +4,7 @@ import datetime as dt
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -338,3 +339,33 @@ def test_steps_promote_each_item_alone(spark):
     clicks = click_table(spark, [("s", "u", sec, url, None) for url, sec in hits])
     got = {r["item_id"]: (r["event_id"], r["value"]) for r in engagement.engagement_events(clicks, engagement.patterns(SHOP)).collect()}
     assert got == {"a": (1, 5), "b": (4, 10), "c": (1, 8)}
+
+
+def plain_logit(x, y, ridge=0.0):
+    """Newton steps with numpy over all rows at once."""
+    x = np.column_stack([np.ones(len(x)), x])
+    w, held = np.zeros(x.shape[1]), np.diag([0.0, *[ridge] * (x.shape[1] - 1)])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-x @ w))
+        w = w + np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + held, x.T @ (y - p) - held @ w)
+    return w
+
+
+def test_logit_against_a_plain_fit(spark):
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.normal(0, 1, 3000), rng.exponential(20, 3000), rng.integers(0, 2, 3000)])
+    y = (rng.random(3000) < 1 / (1 + np.exp(-(0.7 * x[:, 0] - 0.1 * x[:, 1] + 2 * x[:, 2] + 0.3)))).astype(int)
+    rows = [(float(a), float(b), int(c), int(k)) for (a, b, c), k in zip(x, y)]
+    df = spark.createDataFrame([*rows, (None, 1.0, 1, 1), (1.0, 1.0, 1, None)], "a double, b double, c int, class int")
+    for ridge in (0.0, 5.0):
+        fitted = classify.logit_fit(df, ["a", "b", "c"], ridge=ridge)
+        got = [r["weight"] for r in fitted.collect()]
+        assert [r["term"] for r in fitted.collect()] == ["(intercept)", "a", "b", "c"]
+        assert np.abs(np.array(got) - plain_logit(x, y, ridge)).max() < 1e-8
+    scored = classify.logit_score(df, fitted, ["a", "b", "c"])
+    assert scored.where("probability is null").count() == 1
+    right = scored.dropna().where("(probability > 0.5) = (class = 1)").count()
+    assert right > 0.7 * len(rows)
+    one = classify.logit_fit(spark.createDataFrame([(1.0, 0), (2.0, 1), (3.0, 0), (2.0, 1)], "a double, class int"), ["a"])
+    assert np.abs(np.array([r["weight"] for r in one.collect()]) - plain_logit(np.array([1.0, 2, 3, 2]), np.array([0, 1, 0, 1]))).max() < 1e-8
+    assert [r["weight"] for r in classify.logit_fit(df.limit(0), ["a"]).collect()] == [0.0, 0.0]

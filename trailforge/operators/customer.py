@@ -6,6 +6,7 @@ averages, numeric statistics, and when the bound of a temporal cluster counts as
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -44,8 +45,8 @@ def time_gaps(df: DataFrame, unit: str = "day", c: Transactions = TRANSACTIONS,
     return met.select("id", "ts", S.to_unit(F.col("ms") - F.col("before"), unit, legacy_units).alias("gap")).where("gap is not null")
 
 
-def rfm(df: DataFrame, reference: Column, unit: str = "day", recency_count: int = 1, fraction: float = 0.5, c: Transactions = TRANSACTIONS, legacy_units: bool = False) -> DataFrame:
-    """id, av_time_gap, recency, av_value of every id with at least two gaps.
+def rfm(df: DataFrame, reference: Column, unit: str = "day", recency_count: int = 1, fraction: float = 0.5, c: Transactions = TRANSACTIONS, legacy_units: bool = False, watch: Callable[..., DataFrame] = lambda df, **counts: df) -> DataFrame:
+    """id, av_time_gap, recency, av_value of every id with at least two gaps; `watch` is told the ids and those with fewer (`ids`, `short_histories`).
 
     Gaps are cut to whole units before they are averaged. Recency is the time from the k-th last
     transaction to the reference time, over k, then cut to units; k is the least of `recency_count`
@@ -58,17 +59,13 @@ def rfm(df: DataFrame, reference: Column, unit: str = "day", recency_count: int
     ranked = met.select("id", "ms", "value", S.to_unit(F.col("ms") - F.col("before"), unit, legacy_units).alias("gap"), (F.col("n") - F.col("place") + 1).alias("back"), "n")
     k = F.least(F.lit(recency_count), F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(fraction)).cast("int")))
     since = S.to_unit(S.int_div(S.epoch_ms(reference) - F.max(F.when(F.col("back") == k, F.col("ms"))), F.max(k)), unit, legacy_units)
-    return (
-        ranked.groupBy("id")
-        .agg(
-            S.int_div(F.sum("gap"), F.count("gap")).alias("av_time_gap"),
-            since.alias("recency"),
-            F.round(F.avg("value"), 2).cast("double").alias("av_value"),
-            F.count("gap").alias("__gaps"),
-        )
-        .where("__gaps >= 2")
-        .drop("__gaps")
+    scored = ranked.groupBy("id").agg(
+        S.int_div(F.sum("gap"), F.count("gap")).alias("av_time_gap"),
+        since.alias("recency"),
+        F.round(F.avg("value"), 2).cast("double").alias("av_value"),
+        F.count("gap").alias("__gaps"),
     )
+    return watch(scored, ids=F.count(F.lit(1)), short_histories=F.count_if(F.col("__gaps") < 2)).where("__gaps >= 2").drop("__gaps")
 
 
 def rfm_stats(scored: DataFrame, *more: Column) -> DataFrame:

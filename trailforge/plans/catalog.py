@@ -450,6 +450,19 @@ def class_posterior(spark, sf_dir):
     return classify.class_posterior(classify.class_counts(_labelled(spark, sf_dir)))
 
 
+@query("""WITH RECURSIVE x AS (SELECT value / 100 AS x, (event_type IN ('purchase', 'signup'))::INT AS y FROM events WHERE value IS NOT NULL),
+fit(i, a, b) AS (
+  SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE
+  UNION ALL SELECT i + 1, a + (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01), b + (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01)
+  FROM (SELECT i, a, b, sum(y - p) AS g0, sum((y - p) * x) AS g1, sum(p * (1 - p)) AS h00, sum(p * (1 - p) * x) AS h01, sum(p * (1 - p) * x * x) AS h11
+    FROM (SELECT i, a, b, x, y, 1 / (1 + exp(-(a + b * x))) AS p FROM fit, x WHERE i < 12) GROUP BY i, a, b))
+SELECT unnest(['(intercept)', 'x']) AS term, round(unnest([a, b]), 8) AS weight FROM fit WHERE i = 12""")
+def logit_weights(spark, sf_dir):
+    """A logistic model of whether an event is a purchase or a signup, by its value."""
+    rows = table(spark, sf_dir, "events").select((F.col("value") / 100).alias("x"), F.col("event_type").isin("purchase", "signup").cast("int").alias("class"))
+    return classify.logit_fit(rows, ["x"]).select("term", F.round("weight", 8).alias("weight"))
+
+
 def _ranked(spark, sf_dir, regularizer):
     scores = table(spark, sf_dir, "documents").select(F.col("source").alias("query_id"), "doc_id", F.col("n_chars").cast("double").alias("score"))
     known = scores.join(table(spark, sf_dir, "labels"), "doc_id").select("query_id", "doc_id", (F.col("quality") * 3 + F.col("toxic")).alias("relevance"))

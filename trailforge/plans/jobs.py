@@ -20,12 +20,17 @@ from trailforge.functions import scalars as S
 from trailforge.operators import classify, customer, engagement, events, logs, search, sessions
 from trailforge.operators.stretches import neighbours
 from trailforge.plans import pipelines
+from trailforge.plans.counters import Counters
 from trailforge.sources import logs as L, queue as Q
 from trailforge.streaming import visitors, visits
 
 
 class Config(dict):
-    """Keys and values as text, with typed reading."""
+    """Keys and values as text, with typed reading, and the counters of the job that they are for."""
+
+    def __init__(self, *pairs: object, **more: str) -> None:
+        super().__init__(*pairs, **more)
+        self.counters = Counters()
 
     def need(self, key: str) -> str:
         if key not in self:
@@ -92,7 +97,9 @@ def _clicks(spark: SparkSession, c: Config, inputs: list[str], prefix: str = "se
     rows = lines.select(
         col("cookie").alias("cookie"), ts.alias("ts"), col("url").alias("url"), col("referrer").alias("referrer"), "event_id", F.col("value").alias("record")
     )
-    return sessions.sessions_from_cookie(rows, c.need(f"{prefix}.session.id.name"), c.need(f"{prefix}.user.id.name"), "cookie", c.text(f"{prefix}.cookie.separator", r";\+"))
+    rows = c.counters.watch(rows, records=F.count(F.lit(1)), records_without_time=F.count_if(F.col("ts").isNull()))
+    found = sessions.sessions_from_cookie(rows, c.need(f"{prefix}.session.id.name"), c.need(f"{prefix}.user.id.name"), "cookie", c.text(f"{prefix}.cookie.separator", r";\+"))
+    return c.counters.watch(found, records_with_session=F.count(F.lit(1)))
 
 
 def session_extractor(spark, c, inputs):
@@ -192,7 +199,7 @@ def time_gap_sequence(spark, c, inputs):
 def frequency_recency_value(spark, c, inputs):
     when, fmt = c.text("trf.recency.ref.date"), c.text("trf.recency.ref.date.format.str", "yyyy-MM-dd HH:mm:ss")
     reference = F.to_timestamp(F.lit(when), fmt) if when else F.current_timestamp()
-    found = customer.rfm(_transactions(spark, c, inputs, "trf"), reference, c.need("trf.time.gap.unit"), c.whole("trf.recency.count", 1), c.number("trf.recency.upper.bound.fraction", 0.5))
+    found = customer.rfm(_transactions(spark, c, inputs, "trf"), reference, c.need("trf.time.gap.unit"), c.whole("trf.recency.count", 1), c.number("trf.recency.upper.bound.fraction", 0.5), watch=c.counters.watch)
     if c.text("trf.xaction.stats.file.path"):
         L.write_stats(customer.rfm_stats(found), c["trf.xaction.stats.file.path"])
     return found
@@ -364,22 +371,27 @@ FILE_PREFIX = {
 }
 
 
-def run(spark: SparkSession, job: str, config: Config, inputs: list[str], output: str) -> None:
-    """Runs a job and writes its rows as text.
+def run(spark: SparkSession, job: str, config: Config, inputs: list[str], output: str) -> dict[str, int]:
+    """Runs a job, writes its rows as text, and returns its counters, which are taken in the same pass.
 
     num.reducer, or the job's own form of it, is the number of files; save.output=false writes
-    none, and debug.on shows the first rows. field.delimOut and field.delim.out part the fields.
+    none (and counts nothing), and debug.on shows the first rows. field.delimOut and field.delim.out part the fields.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    config.counters = Counters()
     rows = JOBS[job](spark, config, inputs)
+    told: dict[str, int] = {}
+    if config.flag("save.output", True):
+        files = config.whole(f"{FILE_PREFIX.get(job, job)}.num.reducer", config.whole("num.reducer", 0))
+        with config.counters.counting(spark):
+            L.write_lines(rows, output, config.text("field.delimOut", config.text("field.delim.out", ",")), files if files > 0 else None)
+        told = config.counters.read()
     if config.flag("debug.on"):
         rows.show(20, False)
-    if not config.flag("save.output", True):
-        return
-    files = config.whole(f"{FILE_PREFIX.get(job, job)}.num.reducer", config.whole("num.reducer", 0))
-    L.write_lines(rows, output, config.text("field.delimOut", config.text("field.delim.out", ",")), files if files > 0 else None)
+    return told
 
 
 if __name__ == "__main__":
     name, conf, sources, target = sys.argv[1:5]
-    run(SparkSession.builder.appName(name).getOrCreate(), name, load_config(conf, name), sources.split(","), target)
+    for counter, value in run(SparkSession.builder.appName(name).getOrCreate(), name, load_config(conf, name), sources.split(","), target).items():
+        print(f"{counter}={value}", file=sys.stderr)
