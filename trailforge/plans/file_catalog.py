@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trailforge.functions import scalars as S
 from trailforge.functions.scratch import scratch_path
 from trailforge.operators import customer, events, logs
 from trailforge.plans.catalog import FIRST_LINE, FORMAT, RFM, TIME, _rfm, log_lines, query, table
@@ -87,6 +88,65 @@ def file_stats(spark, sf_dir):
     return L.read_stats(spark, path, customer.GAP_STATS["normal"])
 
 
+@query("SELECT event_id, event_type, user_id::INT AS user_id, round(value * 100)::BIGINT AS cents FROM events")
+def file_delimited(spark, sf_dir):
+    """Events written as separated text in three files, and typed columns read back from positions."""
+    path, cents = scratch_path(spark, "delimited"), F.round(F.col("value") * 100).cast("long")
+    L.write_lines(table(spark, sf_dir, "events").select("user_id", "event_id", F.lit("x"), "event_type", cents.alias("cents")), path, " ; ", 3)
+    return L.read_delimited(spark, path, {"event_id": (1, "long"), "event_type": (3, "string"), "user_id": (0, "int"), "cents": (4, "long")}, ";")
+
+
+def session_lines(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of log lines with cookies; an error goes on in a second line."""
+    path, week = scratch_path(spark, "clicks"), F.date_format(F.date_trunc("week", "ts"), "yyyyMMdd")
+    cookie = F.concat(F.lit("SES=u"), F.col("user_id").cast("string"), F.lit("w"), week, F.lit(";+USR=u"), F.col("user_id").cast("string"))
+    line = F.concat_ws(" ", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), cookie, F.concat(F.lit("/"), "event_type"), F.lit("-"))
+    more = F.when(F.col("event_type") == "error", F.concat(F.lit("\n  caused by event "), F.col("event_id").cast("string"))).otherwise(F.lit(""))
+    table(spark, sf_dir, "events").select(F.concat(line, more).alias("value")).write.text(path)
+    return path
+
+
+LOG_CONFIG = {
+    f"{prefix}.{key}": value for prefix in ("see", "sed") for key, value in {
+        "field.meta": "date:0,time:1,cookie:2,url:3,referrer:4", "session.id.name": "SES", "user.id.name": "USR", "date.format.str": "yyyy-MM-dd HH:mm:ss.SSSSSS"}.items()
+}
+CLICKED = """c AS (SELECT 'u' || user_id || 'w' || strftime(date_trunc('week', ts), '%Y%m%d') AS session_id, 'u' || user_id AS user_id, ts, epoch_us(ts) // 1000 AS ms, '/' || event_type AS url, event_id, event_type FROM events)"""
+
+
+@query(f"""WITH {CLICKED} SELECT session_id || ',' || user_id || ',' || min(ms) OVER (PARTITION BY session_id) || ',' || strftime(ts, '%H:%M:%S') || ',' || url || ','
+  || coalesce((lead(ms) OVER (PARTITION BY session_id ORDER BY ts) - ms) // 1000, 0) AS value FROM c""")
+def job_sessions(spark, sf_dir):
+    """The lines that the session job writes, in four files, from a configuration."""
+    from trailforge.plans import jobs
+
+    out = scratch_path(spark, "sessions")
+    jobs.run(spark, "session_extractor", jobs.Config(LOG_CONFIG | {"see.num.reducer": "4"}), [session_lines(spark, sf_dir)], out)
+    return L.read_lines(spark, out).select("value")
+
+
+@query(f"""WITH {CLICKED},
+r AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY ts) AS n, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || ' SES=' || session_id || ';+USR=' || user_id || ' ' || url || ' -'
+  || CASE WHEN event_type = 'error' THEN '\\n  caused by event ' || event_id ELSE '' END AS line FROM c),
+m AS (SELECT session_id, n, 'failed' AS event FROM r WHERE event_type = 'error' AND event_id % 10 = 7 UNION ALL SELECT session_id, n, 'bought' FROM r WHERE event_type = 'purchase')
+SELECT session_id, event, m.n::INT AS match_no, (r.n - m.n)::INT AS context_offset, line FROM m JOIN r USING (session_id) WHERE r.n BETWEEN m.n - 2 AND m.n + 1""")
+def job_event_context(spark, sf_dir):
+    """Events of a configured list of patterns, found in records of several lines, with the records around them."""
+    from trailforge.plans import jobs
+
+    conf = {"sed.before.match.context.size": "2", "sed.after.match.context.size": "1", "event.pattern.1.name": "failed", "event.pattern.1.regex": r"caused by event \d*7$"}
+    conf |= {"event.pattern.2.name": "bought", "event.pattern.2.regex": "/purchase "}
+    return jobs.event_detector(spark, jobs.Config(LOG_CONFIG | conf), [session_lines(spark, sf_dir)])
+
+
+@query("""WITH t AS (SELECT event_id, [event_type, user_id::VARCHAR, 'c', event_id::VARCHAR] AS ts FROM events)
+SELECT event_id, ts[2:3] AS inner_part, []::VARCHAR[] AS past_end, [ts[3], ts[1]] AS picked, event_id AS number, NULL::BIGINT AS no_number FROM t""")
+def token_lists(spark, sf_dir):
+    """Ranges and places of split tokens, and typed fields of them."""
+    tokens = S.split_tokens(F.concat_ws(" , ", "event_type", F.col("user_id").cast("string"), F.lit(" c "), F.col("event_id").cast("string")), ",")
+    rows = table(spark, sf_dir, "events").select("event_id", tokens.alias("t"))
+    return rows.select("event_id", S.sublist(F.col("t"), 1, 3).alias("inner_part"), S.sublist(F.col("t"), 2, 9).alias("past_end"), S.pick(F.col("t"), [2, 0]).alias("picked"), F.get("t", 3).try_cast("long").alias("number"), F.get("t", 0).try_cast("long").alias("no_number"))
+
+
 # --- streams over files, run until all is read
 
 
@@ -191,6 +251,29 @@ def stream_users_near(spark, sf_dir):
     return _near(spark.read.schema("part string, users long").parquet(out), spark, sf_dir)
 
 
+@query("SELECT 'users' AS total, true AS near UNION ALL SELECT 'union_users', true")
+def stream_total_near(spark, sf_dir):
+    """Whether the totals of the visitor job, with parts that can be reset, are within 5 % of the exact counts."""
+    from trailforge.plans import jobs
+
+    path, commands, out = scratch_path(spark, "app"), scratch_path(spark, "commands"), scratch_path(spark, "totals")
+    table(spark, sf_dir, "events").select(F.concat_ws(" ", F.date_format("ts", FORMAT), F.lit("open"), "event_type", F.col("user_id").cast("string")).alias("value")).write.text(path)
+    spark.createDataFrame([("view, reset",), ("no command",)], "value string").write.text(commands)
+    kept = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    try:
+        conf = jobs.Config({"command.store": commands, "min.total.count": "20"})
+        jobs.visitor_stream(spark, conf, path, scratch_path(spark, "stream"), lambda df, n: df.write.mode("overwrite").parquet(out)).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", kept)
+    found = spark.read.schema("ms long, users long, union_users long").parquet(out)
+    events_ = table(spark, sf_dir, "events")
+    parts = events_.groupBy("event_type").agg(F.countDistinct("user_id").alias("n")).agg(F.sum("n").alias("users_n"))
+    exact = parts.crossJoin(events_.agg(F.countDistinct("user_id").alias("union_users_n")))
+    near = lambda c: (F.abs(F.col(c) - F.col(f"{c}_n")) <= F.col(f"{c}_n") * 0.05 + 1).alias("near")
+    pairs = [F.struct(F.lit(c).alias("total"), near(c)) for c in ("users", "union_users")]
+    return found.crossJoin(F.broadcast(exact)).select(F.inline(F.array(*pairs)))
+
+
 def _near(estimates: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     exact = events.groupBy(F.col("event_type").alias("part")).agg(F.countDistinct("user_id").alias("n"), F.count(F.lit(1)).alias("events")).where("events > 20")
