@@ -175,3 +175,16 @@ def test_counters_of_a_pass(spark, tmp_path):
     conf = {"trf.id.field.ordinals": "1", "trf.quant.attr.list": "3", "trf.time.gap.unit": "day", "trf.recency.ref.date": "2015-06-01 00:00:00", "debug.on": "true"}
     assert jobs.run(spark, "frequency_recency_value", Config(conf), rows, str(tmp_path / "rfm")) == {"ids": 4, "short_histories": 2}
     assert jobs.run(spark, "frequency_recency_value", Config(conf | {"save.output": "false"}), rows, str(tmp_path / "none")) == {}
+
+
+def test_standard_sessions_are_summed_up_from_what_was_written(spark, tmp_path):
+    line = lambda s, sid, url: f'1.1.1.1 - me [01/Jan/2024:10:00:{s:02d} +0000] "GET {url} HTTP/1.1" 200 1 "r" "a" "sid={sid}"'
+    log = put(tmp_path / "log", [line(5, "s1", "/b"), line(0, "s1", "/a"), line(20, "s1", "/c"), line(7, "s2", "/z")])
+    conf = {"session.idName": "sid", "log.fieldList": "sessionId,dateTimeEpoch,url,dateTime", "comp.elapasedTime": "true", "field.delimOut": ";", "date.format": "HH:mm:ss"}
+    got = run(spark, "parsed_sessions", conf, log, tmp_path)
+    ms = 1_704_103_200_000
+    assert got == [f"s1;{ms};/a;10:00:00;5000", f"s1;{ms + 5000};/b;10:00:05;15000", f"s1;{ms + 20000};/c;10:00:20;0", f"s2;{ms + 7000};/z;10:00:07;0"]
+    summary = {"log.fieldList": "sessionId,dateTimeEpoch,url,userId,timeOnPage", "field.delimIn": ";"}
+    found = run(spark, "parsed_session_summary", summary, [str(tmp_path / "parsed_sessions")], tmp_path)
+    assert found == [f"s1,{ms},/a,10:00:00,20000,3,10000", f"s2,{ms + 7000},/z,10:00:07,0,1,"]
+    assert run(spark, "parsed_sessions", conf | {"date.format": "epochTime", "comp.elapasedTime": "false"}, log, tmp_path / "x")[0] == f"s1;{ms};/a;{ms}"

@@ -369,3 +369,10 @@ def test_logit_against_a_plain_fit(spark):
     one = classify.logit_fit(spark.createDataFrame([(1.0, 0), (2.0, 1), (3.0, 0), (2.0, 1)], "a double, class int"), ["a"])
     assert np.abs(np.array([r["weight"] for r in one.collect()]) - plain_logit(np.array([1.0, 2, 3, 2]), np.array([0, 1, 0, 1]))).max() < 1e-8
     assert [r["weight"] for r in classify.logit_fit(df.limit(0), ["a"]).collect()] == [0.0, 0.0]
+
+
+def test_a_byte_order_mark_counts(spark, tmp_path):
+    for name, data, want in (("a", b"\xef\xbb\xbfab\ncd\n", [0, 6]), ("b", b"\xef\xbb\xbfab\r\ncd", [0, 7]), ("c", b"ab\ncd", [0, 3]), ("d", b"ab\n\n\n", [0, 3, 4])):
+        (tmp_path / name).write_bytes(data)
+        got = L.read_lines_with_offsets(spark, str(tmp_path / name)).orderBy("line_no").collect()
+        assert [r["byte_offset"] for r in got] == want and [r["line_no"] for r in got] == list(range(len(want))), name

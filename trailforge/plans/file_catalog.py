@@ -13,10 +13,14 @@ from trailforge.sources import logs as L
 from trailforge.streaming import visitors, visits
 
 
+#: Line numbers of one log file; even, so that an event's lines stay together.
+CHUNK = 200_000
+
+
 def written_logs(spark: SparkSession, sf_dir: str) -> str:
-    """A folder with a log file for each event type, named by folders type=..."""
+    """A folder with log files of each event type, of CHUNK lines at most and so of bounded tasks, in folders with their names."""
     path = scratch_path(spark, "logs")
-    lines = log_lines(spark, sf_dir)
+    lines = log_lines(spark, sf_dir).withColumn("file", F.concat("file", F.lit("."), F.floor(F.col("line_no") / CHUNK).cast("string")))
     lines.repartition("file").sortWithinPartitions("file", "line_no").select("file", "value").write.partitionBy("file").text(path)
     return path
 
@@ -28,8 +32,8 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
 
 
 LINES = f"""lines AS (
-  SELECT event_type || '_log' AS file, event_id, 0 AS i, {FIRST_LINE} AS value FROM events
-  UNION ALL SELECT 'error_log', event_id, 1, '  caused by event ' || event_id FROM events WHERE event_type = 'error'),
+  SELECT event_type || '_log.' || (2 * event_id // {CHUNK}) AS file, event_id, 0 AS i, {FIRST_LINE} AS value FROM events
+  UNION ALL SELECT 'error_log.' || (2 * event_id // {CHUNK}), event_id, 1, '  caused by event ' || event_id FROM events WHERE event_type = 'error'),
 files AS (
   SELECT file, row_number() OVER w - 1 AS line_no, coalesce(sum(strlen(value) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS byte_offset, value
   FROM lines WINDOW w AS (PARTITION BY file ORDER BY event_id, i))"""

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,10 @@ from trailforge.sources import logs as L, queue as Q
 from trailforge.streaming import visitors, visits
 
 
+#: Fixed value: the date format that stands for milliseconds.
+EPOCH = "epochTime"
+
+
 class Config(dict):
     """Keys and values as text, with typed reading, and the counters of the job that they are for."""
 
@@ -246,12 +251,13 @@ def class_boundary(spark, c, inputs):
 
 def search_gain(spark, c, inputs):
     """NDCG from click files (query, document, relevance) and the score file that the configuration names."""
-    clicks = L.read_delimited(spark, inputs, {"query_id": (0, "string"), "doc_id": (1, "string"), "relevance": (2, "double")})
+    delim = c.text("field.delimIn", ",")
+    clicks = L.read_delimited(spark, inputs, {"query_id": (0, "string"), "doc_id": (1, "string"), "relevance": (2, "double")}, delim)
     places = {"query_id": (c.whole("score.queryIdOrd", 0), "string"), "doc_id": (c.whole("score.docIdOrd", 1), "string"), "score": (c.whole("score.valueOrd", 2), "double")}
     rel = search.relevance(clicks)
     if c.flag("output.relAggr"):
         L.write_lines(rel, c.need("rel.aggrOutPath"))
-    return search.ndcg(L.read_delimited(spark, c.need("score.filePath"), places), rel, c.text("rel.regularizer", "none"), c.whole("output.precision", 3))
+    return search.ndcg(L.read_delimited(spark, c.need("score.filePath"), places, delim), rel, c.text("rel.regularizer", "none"), c.whole("output.precision", 3))
 
 
 def parsed_sessions(spark, c, inputs):
@@ -259,12 +265,26 @@ def parsed_sessions(spark, c, inputs):
     fields = c.need("log.fieldList").split(",")
     wanted = list(dict.fromkeys([*fields, "sessionId", "dateTimeEpoch"]))
     rows = L.parse_log(_lines(spark, inputs), c.text("log.formatStd", L.NCSA), wanted, c.need("session.idName"), c.text("user.idName"))
+    if "dateTime" in fields and c.text("date.format"):
+        form = c["date.format"]
+        rows = rows.withColumn("dateTime", F.col("dateTimeEpoch") if form == EPOCH else F.date_format("dateTime", form))
     if not c.flag("comp.elapasedTime"):
         return rows.select(*fields)
     met = neighbours(rows, "sessionId", ["dateTimeEpoch"], "dateTimeEpoch", lead={"next_ms": "dateTimeEpoch"})
     return met.select(*fields, F.coalesce(F.col("next_ms") - F.col("dateTimeEpoch"), F.lit(0)).alias("timeOnPage"))
 
 
+def parsed_session_summary(spark, c, inputs):
+    """Over rows that `parsed_sessions` wrote, whose fields log.fieldList has: each session's first row with the total time on its pages, their number and the mean time between them."""
+    fields = c.need("log.fieldList").split(",")
+    rows = L.typed(L.read_delimited(spark, inputs, {f: (i, "string") for i, f in enumerate(fields)}, c.text("field.delimIn", ",")))
+    rows = rows.where("sessionId is not null and dateTimeEpoch is not null")
+    total, pages = F.sum("timeOnPage"), F.count(F.lit(1))
+    first = rows.groupBy("sessionId").agg(F.min(F.struct("dateTimeEpoch", *[f for f in fields if f not in ("dateTimeEpoch", "timeOnPage")])).alias("first"), total.alias("timeOnPage"), pages.alias("pages"))
+    told = [F.col(f) if f == "timeOnPage" else F.col(f"first.{f}").alias(f) for f in fields]
+    return first.select(*told, "pages", S.int_div(F.col("timeOnPage"), F.col("pages") - 1).alias("meanTime"))
+
+
 def parsed_session_average(spark, c, inputs):
     """Pages, total and mean time of each session of a standard log."""
     rows = L.parse_log(_lines(spark, inputs), c.text("log.formatStd", L.NCSA), ["sessionId", "dateTimeEpoch", "url"], c.need("session.idName"), c.text("user.idName"))
@@ -291,6 +311,18 @@ def _stream(spark: SparkSession, c: Config, key: str, folder: str) -> DataFrame:
     return visits.read_lines(spark, folder)
 
 
+@contextmanager
+def _threads(spark: SparkSession, c: Config, key: str) -> Iterator[None]:
+    """A query that is started in here deals its state into as many parts as `key` says; a checkpoint keeps the number it began with."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    if c.text(key):
+        spark.conf.set("spark.sql.shuffle.partitions", c[key])
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def _queue(c: Config, key: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
     """The sink of lines into the list that `key` names; batches are counted for each checkpoint."""
     return Q.queue_sink(c.need(key), id=checkpoint, **_server(c))
@@ -318,12 +350,14 @@ def visit_stream(spark: SparkSession, c: Config, source: str, checkpoint: str, s
     pages = visits.visit_pages(lines, c.need("session.regex"), c.whole("date.ordinal", 0), c.whole("time.ordinal", 1), c.whole("url.ordinal", 4))
     ended = visits.visits(pages, c.need("page.id.pattern"), c.need("logOut.pattern"), c.whole("session.timeOut", 30), event_time=event_time)
     handed = f"{source.rstrip('/')}.visits"
-    first = _handed(ended, handed, f"{checkpoint}/visits", tick or _tick(c, "visit.session.tick.freq.sec"))
+    with _threads(spark, c, "visit.session.bolt.threads"):
+        first = _handed(ended, handed, f"{checkpoint}/visits", tick or _tick(c, "visit.session.tick.freq.sec"))
     window, every = c.whole("window.size", 20), c.whole("visit.depth.tick.freq.sec", 0)
     stats = visits.depth_stats(spark.readStream.schema(visits.VISIT).parquet(handed), window, c.whole("min.window.size.for.stat", window * 3 // 4), every or None)
     sink = sink or _queue(c, "visit.depth.stat.queue", f"{checkpoint}/depths")
     tell = lambda df, n: sink(visits.result_lines(df, c.text("result.type", "bounceRate")), n)
-    second = visits.start(stats, "depths", f"{checkpoint}/depths", "update", tick or (f"{every} seconds" if every else _tick(c, "visit.session.tick.freq.sec")), tell)
+    with _threads(spark, c, "visit.depth.bolt.threads"):
+        second = visits.start(stats, "depths", f"{checkpoint}/depths", "update", tick or (f"{every} seconds" if every else _tick(c, "visit.session.tick.freq.sec")), tell)
     return first, second
 
 
@@ -348,9 +382,11 @@ def visitor_stream(spark: SparkSession, c: Config, source: str, checkpoint: str,
         _handed(visitors.epochs(found, commands), handed, f"{checkpoint}/epochs", tick)
         numbered = spark.readStream.schema(visitors.EPOCHS).parquet(handed)
         counted = visitors.epoch_counts(visitors.with_ticks(numbered, every) if every else numbered, bits)
-        return visits.start(counted, "visitors", f"{checkpoint}/counts", "complete", tick, visitors.epoch_totals_sink(sink, least))
+        with _threads(spark, c, "unique.count.bolt.threads"):
+            return visits.start(counted, "visitors", f"{checkpoint}/counts", "complete", tick, visitors.epoch_totals_sink(sink, least))
     counted = visitors.counts(visitors.with_ticks(found, every) if every else found, bits, least)
-    return visits.start(counted, "visitors", checkpoint, "complete", tick, visitors.totals_sink(sink))
+    with _threads(spark, c, "unique.count.bolt.threads"):
+        return visits.start(counted, "visitors", checkpoint, "complete", tick, visitors.totals_sink(sink))
 
 
 JOBS: dict[str, Callable[[SparkSession, Config, list[str]], DataFrame]] = {
@@ -358,7 +394,7 @@ JOBS: dict[str, Callable[[SparkSession, Config, list[str]], DataFrame]] = {
     for f in (
         session_extractor, session_summarizer, user_session_summary, engagement_events, rating_estimator, event_detector, log_merger, log_partitioner, log_tokenizer,
         time_gap_sequence, frequency_recency_value, recency_score, lifetime_value, life_cycle, retention_rate, class_histogram, class_boundary, search_gain,
-        parsed_sessions, parsed_session_average,
+        parsed_sessions, parsed_session_summary, parsed_session_average,
     )
 }
 
