@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from trailforge.llm import phrases
@@ -62,6 +63,19 @@ def test_cases(spark):
     assert [r[2] for r in found if r[0] == "tie"] == ["a b", "c d"] and ("und", 1, "null too", 3, 3, 3, 6, 1_000_000) in found
 
 
+@pytest.mark.parametrize("run", [1, 7, 40])
+def test_long_texts_in_parts(monkeypatch, run):
+    rng = random.Random(run)
+    texts = ["".join(rng.choice("aB é .,\n\t") for _ in range(rng.randrange(200))) for _ in range(20)] + ["", None, "x" * 300, "a b " * 50, "." * 90, "a b. " * 60]
+
+    def told():
+        return [(w, bool(b)) for words, begins in phrases.words_of(pa.array(texts)) for w, b in zip(words.to_pylist(), begins)]
+
+    whole = told()
+    monkeypatch.setattr(phrases, "RUN", run)
+    assert told() == whole and len(whole) > 300
+
+
 def test_empty_tables(spark):
     for rows in ([], [("en", None)], [("en", "nothing occurs twice here")]):
         assert phrases.collocations(spark.createDataFrame(rows, "lang string, text string")).collect() == []

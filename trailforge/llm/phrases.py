@@ -18,8 +18,8 @@ Counts of a shard are one row for each phrase, so a phrase has at most as many r
 shards. Products are decimals, so that no score depends on 64 bits.
 
 Defined cases: a null text has no words; a null language is `und`; repeated rows count as
-often as they occur; texts are taken whole, and a piece is never cut, so a shard can be as
-large as its longest piece; an empty table gives an empty result; other columns are ignored.
+often as they occur; texts are taken whole, in parts that end
+where pieces do, so a shard can be as large as its longest piece; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ from trailforge.operators.events import dense_positions
 LEAST, LONGEST, SHARE, TOP = 30, 4, 80, 2000
 #: Words of a shard, and buckets in which a language's phrases are ranked first.
 WORDS, BUCKETS = 1 << 19, 64
+#: Bytes of texts that are read at once.
+RUN = 2 << 20
 
 _BREAK = np.zeros(256, bool)
 _BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -47,14 +49,28 @@ _APART = _BREAK.copy()
 _APART[[9, 32]] = True
 
 
+def _cut(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Texts as they are, but one of more than RUN bytes in parts that end where a piece does."""
+    at = 0
+    while len(offsets) == 2 and len(data) - at > RUN:
+        end = at + RUN
+        while end < len(data) and not len(found := np.flatnonzero(_BREAK[data[end : end + RUN]])):
+            end += RUN
+        end = end + int(found[0]) + 1 if end < len(data) else len(data)
+        yield data[at:end], np.array([0, end - at])
+        at = end
+    if at < len(data):
+        yield data[at:], offsets if not at else np.array([0, len(data) - at])
+
+
 def words_of(column: pa.Array) -> Iterator[tuple[pa.DictionaryArray, np.ndarray]]:
     """The words of texts, A-Z in lower case, and which of them begin a piece."""
-    for _, _, data, offsets in kernel.texts(column):
+    for data, offsets in (part for _, _, *run in kernel.texts(column, RUN) for part in _cut(*run)):
         data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
         begin, end, first = kernel.words(data, offsets, _APART)
         if not len(begin):
             continue
-        breaks = np.cumsum(_BREAK[data])[begin]
+        breaks = np.cumsum(_BREAK[data], dtype=np.int32)[begin]
         begins = np.append(True, breaks[1:] != breaks[:-1])
         begins[first[:-1][first[:-1] < len(begin)]] = True
         spans = np.append(0, np.cumsum(end - begin)).astype(np.int64)
