@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from trailforge.llm import kernel, linededup as ld, meeting
@@ -165,3 +166,40 @@ def test_a_pair_is_compared_where_its_gates_agree(spark):
     assert not ld._near_before((-1,), np.array([one, other]), 1).any() and ld._near_before((2,), np.array([like, like]), 1).all()
     got = meeting.tiles(df, ["key"], things, str, str.__eq__, ld._near_before, gate=ld._kind).collect()
     assert [sorted(r) for r in got] == [[1, 2]]
+
+
+def test_letters_never_rule_out_a_similar_pair():
+    rng = random.Random(8)
+    lines = ["".join(rng.choice("abcdé đ漢") for _ in range(rng.randrange(40))) for _ in range(800)] + ["a" * 900, "ab" * 700]
+    others = []
+    for line in lines:
+        new = list(line)
+        for _ in range(rng.randrange(len(line) // 4 + 2)):
+            at = rng.randrange(len(new) + 1)
+            new[at : at + rng.randrange(2)] = rng.choice(["", "a", "é", "漢"])
+        others.append("".join(new))
+    fit = ld.letters_allow(ld.letters(pa.array(lines)), ld.letters(pa.array(others)))
+    alike = np.array([ld.similar(a, b) for a, b in zip(lines, others)])
+    assert alike.sum() > 400 and not (alike & ~fit).any()
+    rng.shuffle(others)
+    assert ld.letters_allow(ld.letters(pa.array(lines[:800])), ld.letters(pa.array(others[:800]))).sum() < 200
+
+
+@pytest.mark.parametrize("slice_", [2048, 32])
+def test_unlike_members_of_a_place_are_not_taken_to_its_texts(spark, monkeypatch, slice_):
+    monkeypatch.setattr(ld, "THINNED", slice_)
+    rng = random.Random(5)
+    lines = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(50)) for _ in range(150)]
+    lines += [lines[0][:i] + "-" + lines[0][i + 1 :] for i in range(45)] + [lines[i][:-2] for i in range(1, 6)]
+    # One gate for all: nothing but letters tells them apart.
+    near = spark.createDataFrame([(key, i, 7 << 56) for key in (2, 3) for i in range(len(lines))], "key int, id long, tag long")
+    counted = spark.createDataFrame([(i, bytearray(row.tobytes())) for i, row in enumerate(ld.letters(pa.array(lines)))], "id long, letters binary")
+    got = ld.thinned(near, counted).collect()
+    linked = {(i, j) for j in range(len(lines)) for i in range(j) if ld.similar(lines[i], lines[j])}
+    assert len(linked) == 46 * 45 // 2 + 5
+    listed = {(r["u"], r["v"]) for r in got if r["key"] is None}
+    for key in (2, 3):
+        members = {r["u"] for r in got if r["key"] == key}
+        assert all(p in listed or members.issuperset(p) for p in linked)
+        assert len(members) <= 46
+    assert len(listed) < 46 * 46 and {(i, i + 194) for i in range(1, 6)} <= listed

@@ -77,8 +77,8 @@ def hot_join(left: DataFrame, right: tuple[DataFrame, int], keys: list[str], wei
     return met.unionByName(rest)
 
 
-def per_run(df: DataFrame, keys: list[str], each: Callable[[tuple, dict[str, list]], list[tuple[int, int]]]) -> DataFrame:
-    """u, v from `each` (key, columns as lists) over the rows of every key: a group is all that is held.
+def per_run(df: DataFrame, keys: list[str], each: Callable[[tuple, dict[str, list]], list[tuple[int, ...]]], out: tuple[str, ...] = ("u", "v")) -> DataFrame:
+    """The longs `out` from `each` (key, columns as lists) over the rows of every key: a group is all that is held.
 
     Groups are runs of sorted Arrow batches, which costs far less for many small groups than a data
     frame for each. The number of partitions is the session's, since work does not follow bytes.
@@ -88,10 +88,10 @@ def per_run(df: DataFrame, keys: list[str], each: Callable[[tuple, dict[str, lis
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, rows in _runs(batches, names, keys):
             if found := each(key, rows):
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["u", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=list(out))
 
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(run, "u long, v long")
+    return df.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(run, ", ".join(f"{name} long" for name in out))
 
 
 def _runs(batches: Iterator[pa.RecordBatch], names: list[str], keys: list[str]) -> Iterator[tuple[tuple, dict[str, list]]]:

@@ -15,7 +15,10 @@ of blocks grows with the number of classes, so that chance meetings stay few. Li
 are joined to connected groups and the first line of each group, by doc_id and place, stays.
 
 Only hashes are shuffled. Texts of classes are fetched for those alone that have a partner
-by their hashes. Within a meeting place, pairs already known to be connected are not
+by their hashes. In places with many members, pairs whose letters do not allow the similarity
+are left out, which is a bound of the edit distance and so loses no link (`letters`); the pairs
+of members with few partners are listed, and only the others of a place meet with their texts.
+Within a meeting place, pairs already known to be connected are not
 compared again; large places are cut into tiles of pairs of slices.
 
 Defined cases: lines without a word are no lines to this operator and stay; a null text
@@ -54,6 +57,12 @@ AGREE, SHORT_AGREE = 6, 6
 LISTED = 16
 #: A place of more members is not thinned out before it is compared.
 DENSE = 16_384
+#: Members of a slice of a place whose letters are compared, which takes no text.
+THINNED = 2048
+#: Partners by gates and letters of a member in a tile that are listed one by one, for n-grams of either length: with short ones chance gives more.
+FEW, SHORT_FEW = 8, 32
+#: Kinds of letters that are counted in a line, and what a count stops at.
+LETTERS, MOST_LETTERS = 32, 255
 #: Rows of one place in one task of the first pass after which the next part of the place begins.
 OFTEN = 256
 _MORE = -1
@@ -249,7 +258,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 # The place's other part must not be taken for the whole.
                 key, ids, gate = np.append(key, key[full]), np.append(ids, ids[full]), np.append(gate, np.full(full.sum(), _MORE))
                 part = np.append(part, np.zeros(full.sum(), np.int16))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key, part, ids, gate)], names=["key", "part", "id", "gate"])
+            # One long to sort by: Spark sorts by radix then.
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key.astype(np.int64) << 16 | part, ids, gate)], names=["place", "id", "gate"])
         kernel.release()
 
 
@@ -278,7 +288,7 @@ def _near_before(key: tuple, gates: np.ndarray, i: int) -> np.ndarray:
 
 
 def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key and part, the pairs (null, u, v) of small places and rows (key, id, gate) of the members of others.
+    """Of rows sorted by key and part (place: both in one), the pairs (null, u, v) of small places and rows (key, id, gate) of the members of others.
 
     A place in parts, or of more than DENSE rows, is not thinned out, and never held.
     """
@@ -292,8 +302,9 @@ def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = pa.concat_tables([held, rows]) if rows is not None else held
         if rows is None:
             return
-        key, part, ids, gate = (rows.column(c).to_numpy() for c in ("key", "part", "id", "gate"))
-        edges = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1, [len(rows)]])
+        place, ids, gate = (rows.column(c).to_numpy() for c in ("place", "id", "gate"))
+        key, part = (place >> 16).astype(np.int32), place & 0xFFFF
+        edges = np.concatenate([[0], np.flatnonzero(place[1:] != place[:-1]) + 1, [len(rows)]])
         size = np.diff(edges)
         whole = part[edges[:-1]] == 0
         if passing == (key[0], part[0]):
@@ -506,6 +517,58 @@ def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
     return edit_distance(a, b, most) <= most
 
 
+def letters(lines: pa.Array) -> np.ndarray:
+    """How often each line has each kind of letter, up to MOST_LETTERS; a kind is what the first byte of a code point leaves modulo LETTERS."""
+    out = [np.zeros((0, LETTERS), np.uint8)]
+    for lo, hi, data, offsets in kernel.texts(lines, 1 << 20):
+        of = np.repeat(np.arange(hi - lo) * LETTERS, np.diff(offsets))
+        first = (data & 0xC0) != 0x80
+        counts = np.bincount(of[first] + data[first] % LETTERS, minlength=(hi - lo) * LETTERS)
+        out.append(np.minimum(counts, MOST_LETTERS).astype(np.uint8).reshape(-1, LETTERS))
+    return np.concatenate(out)
+
+
+def letters_allow(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """False for pairs of `letters` that no lines with the similarity have: an edit adds one letter at most and takes one away at most."""
+    size_a, size_b = a.sum(axis=1, dtype=np.int64), b.sum(axis=1, dtype=np.int64)
+    apart = (np.maximum(a, b) - np.minimum(a, b)).sum(axis=1, dtype=np.int64)
+    full = ((a == MOST_LETTERS) | (b == MOST_LETTERS)).any(axis=1)
+    return full | ((apart + np.abs(size_a - size_b)) / 2 <= (1 - SIMILARITY) * np.maximum(size_a, size_b) + 1e-9)
+
+
+def _partners_by_letters(key: tuple, held: dict[str, list]) -> list[tuple[int | None, int, int]]:
+    """Of a tile's pairs that gates and letters allow, (None, u, v) of those of a member with few; (key, id, gate) of the other members of pairs."""
+    ids, gates = np.array(held["id"], np.int64), np.array(held["tag"], np.int64)
+    counts, parts = np.frombuffer(b"".join(held["letters"]), np.uint8).reshape(-1, LETTERS), np.array(held["part"])
+    short, at_once, left, right = int(key[0]) & 1, 64, [], []
+    for at in range(0, len(ids), at_once):
+        rows = slice(at, at + at_once)
+        close = np.triu(alike(gates[rows, None].view(np.uint64), gates[None, at:].view(np.uint64), SHORT_AGREE if short else AGREE), 1) & (ids[rows, None] != ids[None, at:])
+        if key[1] != key[2]:
+            close &= parts[rows, None] != parts[None, at:]
+        i, j = (x + at for x in np.nonzero(close))
+        fit = letters_allow(counts[i], counts[j])
+        left.append(i[fit])
+        right.append(j[fit])
+    i, j = np.concatenate(left), np.concatenate(right)
+    often = np.bincount(np.concatenate([i, j]), minlength=len(ids)) > (SHORT_FEW if short else FEW)
+    many = often[i] & often[j]
+    rest = np.unique(np.concatenate([i[many], j[many]]))
+    u, v = ids[i[~many]], ids[j[~many]]
+    return [*((None, *pair) for pair in zip(np.minimum(u, v).tolist(), np.maximum(u, v).tolist())), *((key[0], *row) for row in zip(ids[rest].tolist(), gates[rest].tolist()))]
+
+
+def thinned(near: DataFrame, counted: DataFrame) -> DataFrame:
+    """What `_partners` gives, for `near` (key, id, tag: a gate) and by letters as well; `counted` has id and letters."""
+    sizes = common.weighed(near.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes", "size")
+    parts = F.ceil(F.col("size") / THINNED).cast("int")
+    placed = common.hot_join(near, sizes, ["key"], "size").withColumns({"part": F.pmod(F.xxhash64("id"), parts).cast("int"), "other": F.explode(F.sequence(F.lit(0), parts - 1))})
+    tiled = placed.select("key", "id", "tag", "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b")).join(counted, "id")
+    left = common.stored(common.per_run(tiled, ["key", "a", "b"], _partners_by_letters, ("key", "u", "v")), "thinned")
+    common.forget(sizes[0])
+    return left
+
+
 class Forest:
     """Union-find over positions."""
 
@@ -552,6 +615,7 @@ def _verify(masks: list[int]):
 
 def _verify_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        batch = batch.filter(pa.array(letters_allow(letters(batch.column(2)), letters(batch.column(3)))))
         keep = [similar(a, b) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
         yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
@@ -593,20 +657,25 @@ def links_alike(classes: DataFrame, documents: DataFrame, key: str, text: str) -
 
     `classes` has id (the first hash of the class), low and first.
     """
-    meet = documents.select(F.col(text).cast("string").alias("text")).mapInArrow(_meet, "key int, part short, id long, gate long")
-    met = common.stored(meet.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(_partners, "key int, u long, v long"), "met")
-    pairs = common.stored(met.where("key is null").select("u", "v").distinct(), "pairs")
-    near = common.stored(met.where("key is not null").select("key", F.col("u").alias("id"), F.col("v").alias("tag")).dropDuplicates(["key", "id"]), "near")
-    placed = meeting.pivoted(near, ["key"])
-    # A line has 2 * BANDS places at most.
-    places = near.groupBy("id").agg(F.collect_set("key").alias("places"))
+    meet = documents.select(F.col(text).cast("string").alias("text")).mapInArrow(_meet, "place long, id long, gate long")
+    met = common.stored(meet.repartition("place").sortWithinPartitions("place").mapInArrow(_partners, "key int, u long, v long"), "met")
+    pairs, near = met.where("key is null").select("u", "v").distinct(), met.where("key is not null").select("key", F.col("u").alias("id"), F.col("v").alias("tag")).dropDuplicates(["key", "id"])
+    pairs, near = common.stored(pairs, "pairs"), common.stored(near, "near")
+    common.forget(met)
     asked = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).union(near.select("id")).distinct()
     members = classes.select("id", "low", "first").join(asked, "id").select("id", "low", "first.*")
     lines = common.stored(_lines_of(members, documents, key, text), "lines")
-    texts = pairs.join(lines.select(F.col("id").alias("u"), F.col("line").alias("one")), "u").join(lines.select(F.col("id").alias("v"), F.col("line").alias("other")), "v")
+    met = thinned(near, lines.select("id", "letters"))
+    every = common.stored(pairs.union(met.where("key is null").select("u", "v")).distinct(), "pairs")
+    left = common.stored(met.where("key is not null").select(F.col("key").cast("int").alias("key"), F.col("u").alias("id"), F.col("v").alias("tag")).distinct(), "near")
+    common.forget(pairs, near, met)
+    texts = every.join(lines.select(F.col("id").alias("u"), F.col("line").alias("one")), "u").join(lines.select(F.col("id").alias("v"), F.col("line").alias("other")), "v")
     listed = common.stored(texts.select("u", "v", "one", "other").mapInArrow(_verify_pairs, "u long, v long"), "links")
+    placed = meeting.pivoted(left, ["key"])
+    # A line has 2 * BANDS places at most.
+    places = left.groupBy("id").agg(F.collect_set("key").alias("places"))
     joined = common.stored(meeting.connect(placed, ["key"], lines.select("id", "line"), str, similar, _near_before, _alike(F.col("tag"), F.col("pivot.tag")), listed, places, _METRIC, _kind), "joined")
-    common.forget(met, pairs, near, placed, listed)
+    common.forget(every, left, placed, listed)
     lows = joined.select(F.col("node").alias("id")).join(lines.select("id", "low"), "id")
     return joined, lows
 
@@ -616,7 +685,7 @@ def _signed(mask: int) -> int:
 
 
 def _lines_of(wanted: DataFrame, documents: DataFrame, key: str, text: str) -> DataFrame:
-    """id, low and normalised text of one line of each wanted id; of classes that share an id by chance, one stands for it."""
+    """id, low, normalised text and letters of one line of each wanted id; of classes that share an id by chance, one stands for it."""
     asked = wanted.groupBy("key_id", "key_text").agg(F.collect_list(F.struct("place", "id", "low")).alias("asked"))
     held = documents.select(*common.row_key(key, text), F.col(text).cast("string").alias("text"))
     # By merge at any size: what is small in a test is not small on a cluster.
@@ -631,9 +700,11 @@ def _lines_of(wanted: DataFrame, documents: DataFrame, key: str, text: str) -> D
                     ids.append(one["id"])
                     lows.append(one["low"])
                     lines.append(_normal(parts[one["place"]]))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lows, pa.int64()), pa.array(lines, pa.string())], names=["id", "low", "line"])
+            lines = pa.array(lines, pa.string())
+            counted = pa.FixedSizeBinaryArray.from_buffers(pa.binary(LETTERS), len(lines), [None, pa.py_buffer(letters(lines).tobytes())]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lows, pa.int64()), lines, counted], names=["id", "low", "line", "letters"])
 
-    return met.mapInArrow(run, "id long, low long, line string").dropDuplicates(["id"])
+    return met.mapInArrow(run, "id long, low long, line string, letters binary").dropDuplicates(["id"])
 
 
 def groups(documents: DataFrame, key: str = "doc_id", text: str = "text", radius: int | None = RADIUS) -> tuple[DataFrame, tuple[DataFrame, int]]:
