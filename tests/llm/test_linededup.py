@@ -1,9 +1,11 @@
+import os
 import random
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
+from trailforge.functions.scratch import shared_dir
 from trailforge.llm import kernel, linededup as ld, meeting
 
 
@@ -203,3 +205,15 @@ def test_unlike_members_of_a_place_are_not_taken_to_its_texts(spark, monkeypatch
         assert all(p in listed or members.issuperset(p) for p in linked)
         assert len(members) <= 46
     assert len(listed) < 46 * 46 and {(i, i + 194) for i in range(1, 6)} <= listed
+
+
+def test_tables_that_the_result_does_not_read_are_freed(spark):
+    words = [f"w{i}" for i in range(90)]
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.sample(words, 20)) + "\none and the same line") for i in range(30)] + [(30 + i, " ".join(words[:40]) + f" {i}") for i in range(30)]
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    got = ld.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"), radius=None)
+    left = {name.rpartition("-")[0] for name in set(os.listdir(folder)) - before}
+    assert "dropped" in left and not left & {"occurrences", "classes", "lines", "joined", "keepers", "kept", "near", "thinned", "met", "pairs"}
+    assert sum(r["n_dropped"] for r in got.collect()) == 29 + 29

@@ -729,6 +729,7 @@ def groups(documents: DataFrame, key: str = "doc_id", text: str = "text", radius
         joined = common.components(links(classes, documents, key, text))
         named = classes.join(joined.withColumnRenamed("node", "id"), "id", "left")
     named = common.stored(named.withColumn("group", F.coalesce("root", "id")), "named")
+    common.forget(classes, joined)
     linked = named.where("root is not null")
     keepers = common.weighed(linked.groupBy("group").agg(F.min("first").alias("kept"), F.count(F.lit(1)).alias("n")), "keepers", "n")
     met = common.hot_join(linked, keepers, ["group"], "n").select("high", "low", "copies", "kept")
@@ -736,7 +737,9 @@ def groups(documents: DataFrame, key: str = "doc_id", text: str = "text", radius
     kept = met.unionByName(alone).select(
         "high", "low", "copies", F.col("kept.key_id").alias("kept_id"), F.col("kept.key_text").alias("kept_text"), F.col("kept.place").alias("kept_place")
     )
-    return seen, common.weighed(kept, "kept", "copies")
+    kept = common.weighed(kept, "kept", "copies")
+    common.forget(named, keepers[0])
+    return seen, kept
 
 
 def dropped(documents: DataFrame, key: str = "doc_id", text: str = "text", radius: int | None = RADIUS) -> DataFrame:
@@ -762,7 +765,9 @@ def deduplicate(documents: DataFrame, key: str = "doc_id", text: str = "text", d
 
     `radius=None` links lines on their edit similarity alone. A column of the name `count` gives way to it.
     """
-    places = common.stored(dropped(documents, key, text, radius), "dropped")
+    gone = dropped(documents, key, text, radius)
+    places = common.stored(gone, "dropped")
+    common.forget(gone)
     names = common.free(documents, "key_id", "key_text", "places", "left", "touched")
     key_id, key_text, gone, left, touched = names
     met = (
