@@ -217,3 +217,56 @@ def test_tables_that_the_result_does_not_read_are_freed(spark):
     left = {name.rpartition("-")[0] for name in set(os.listdir(folder)) - before}
     assert "dropped" in left and not left & {"occurrences", "classes", "lines", "joined", "keepers", "kept", "near", "thinned", "met", "pairs"}
     assert sum(r["n_dropped"] for r in got.collect()) == 29 + 29
+
+
+def test_many_pairs_are_as_similar_as_one_by_one():
+    rng = random.Random(11)
+    lines = []
+    for alphabet, longest, n in (("ab ", 12, 600), ("abcdefghij é", 70, 600), ("abcdefgh 漢", 200, 300), ("abcd", 700, 20), ("".join(map(chr, range(0x4E00, 0x5200))), 90, 200)):
+        for _ in range(n):
+            one = [rng.choice(alphabet) for _ in range(rng.randrange(longest))]
+            other = list(one)
+            for _ in range(int(rng.random() * 0.4 * (len(one) + 1))):
+                at = rng.randrange(len(other) + 1)
+                other[at : at + rng.randrange(2)] = rng.choice(["", rng.choice(alphabet)])
+            lines += ["".join(one), "".join(other)]
+    i = np.arange(0, len(lines), 2)
+    want = np.array([ld.similar(lines[k], lines[k + 1]) for k in i.tolist()])
+    assert 0.2 < want.mean() < 0.95
+    assert (ld.similar_pairs(lines, i, i + 1) == want).all() and (ld.similar_pairs(lines, i + 1, i) == want).all()
+
+
+def test_short_listed_pairs_are_not_compared_one_by_one(monkeypatch):
+    """Chance pairs of short lines grow faster than the input: each took 85 us."""
+    rng = random.Random(12)
+    base = "the quick brown fox jumps over the lazy dog again"
+    ones = ["".join(rng.sample(base, len(base))) for _ in range(300)]
+    others = ["".join(rng.sample(x, len(x))) for x in ones[:250]] + [x[:20] + "-" + x[21:] for x in ones[250:]]
+    want = [i for i, pair in enumerate(zip(ones, others)) if ld.similar(*pair)]
+
+    def one_by_one(*_):
+        raise AssertionError
+
+    monkeypatch.setattr(ld, "similar", one_by_one)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(range(300)), pa.array(ones), pa.array(others)], names=["u", "v", "one", "other"])
+    (got,) = ld._verify_pairs(iter([batch]))
+    assert got.column(0).to_pylist() == want and set(range(250, 300)) <= set(want)
+
+
+@pytest.mark.parametrize("gathered", [1 << 19, 40])
+def test_places_meet_in_buckets(monkeypatch, gathered):
+    """A line's 14 or 28 places are no rows of their own on the way, and each place meets whole."""
+    monkeypatch.setattr(ld, "GATHERED", gathered)
+    rng = random.Random(13)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+    lines = [" ".join(rng.choice(words) for _ in range(rng.randrange(3, 30))) for _ in range(60)]
+    lines += [line[:-1] + "x" for line in lines]
+    texts = pa.array(["\n".join(lines[k : k + 7]) for k in range(0, len(lines), 7)] + [None, "", " \n"])
+    dealt = pa.Table.from_batches(ld._meet(5)(iter([pa.RecordBatch.from_arrays([texts], names=["text"])]))).sort_by("bucket")
+    assert dealt["bucket"].to_pylist() == sorted(dealt["bucket"].to_pylist()) and set(dealt["bucket"].to_pylist()) <= set(range(5))
+    rows = np.frombuffer(b"".join(dealt["rows"].to_pylist()), np.int64).reshape(-1, 3)
+    assert len(rows) == ld.BANDS * sum(2 if len(line) < ld.SHORT else 1 for line in lines)
+    met = pa.Table.from_batches(ld._met(iter(dealt.to_batches(max_chunksize=3)))).to_pydict()
+    ids = [int(x) for x in ld._classes([line.encode() for line in lines])[:, 0].view(np.int64)]
+    found = {(u, v) for key, u, v in zip(met["key"], met["u"], met["v"]) if key is None}
+    assert sum((min(p), max(p)) in found for p in zip(ids[:60], ids[60:])) >= 57

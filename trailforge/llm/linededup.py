@@ -14,7 +14,7 @@ bits are cut into, so classes meet on the bits of every choice of the other bloc
 of blocks grows with the number of classes, so that chance meetings stay few. Linked classes
 are joined to connected groups and the first line of each group, by doc_id and place, stays.
 
-Only hashes are shuffled. Texts of classes are fetched for those alone that have a partner
+Only hashes are shuffled, those of places as bytes in buckets. Texts of classes are fetched for those alone that have a partner
 by their hashes. In places with many members, pairs whose letters do not allow the similarity
 are left out, which is a bound of the edit distance and so loses no link (`letters`); the pairs
 of members with few partners are listed, and only the others of a place meet with their texts.
@@ -34,11 +34,12 @@ import bisect
 import itertools
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,11 +66,15 @@ FEW, SHORT_FEW = 8, 32
 LETTERS, MOST_LETTERS = 32, 255
 #: Rows of one place in one task of the first pass after which the next part of the place begins.
 OFTEN = 256
+#: Rows of places that go through one bucket, about, and that a task gathers before it deals them out.
+BUCKET, GATHERED = 1 << 18, 1 << 19
 _MORE = -1
 _FACTORS = (kernel.stream(np.arange(BANDS * ROWS + NIBBLES), 51) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _LENGTH_STEP, _LENGTH_APART = 1.08, 3
 #: Characters of lines past which a bound of their distance is tried first, and of stretches that are aligned in it.
 BLOCK = 4096
+#: Lines of up to WIDE characters are compared many pairs at once: PAIRS, of MANY at least for each of up to COLUMNS words of 64 characters; KINDS of code points are told apart, in MATCHES numbers.
+WIDE, COLUMNS, PAIRS, MANY, KINDS, MATCHES = 512, 4, 32_768, 24, 192, 1 << 20
 _OCCURRENCE = "key_id long, key_text long, place int, high long, low long, sim long"
 
 
@@ -131,6 +136,26 @@ def simhash(words: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+_BLANK, _BLANKS = bytes.maketrans(b"\t\v\f\r", b"    "), re.compile(rb" {2,}")
+
+
+def _lines(text: bytes) -> list[bytes]:
+    """The lines of a text with one space between words and none around them; a line without a word is empty."""
+    text = text.translate(_BLANK)
+    if b"  " in text:
+        text = _BLANKS.sub(b" ", text)
+    return [line.strip(b" ") for line in text.split(b"\n")]
+
+
+def _lowered(column: pa.Array) -> Iterator[bytes | None]:
+    return (text.as_py() for text in pc.utf8_lower(column).cast(pa.large_string()).cast(pa.large_binary()))
+
+
+def _classes(lines: list[bytes]) -> np.ndarray:
+    """Both hashes of each line, a row each."""
+    return np.frombuffer(b"".join([xxhash.xxh3_128_digest(line) for line in lines]), np.uint64).reshape(-1, 2)
+
+
 def occurrences(documents: DataFrame, key: str, text: str, simhashed: bool = True) -> DataFrame:
     """One row for each line with a word: its document, place, class and SimHash (0 if not asked for)."""
 
@@ -145,16 +170,25 @@ def occurrences(documents: DataFrame, key: str, text: str, simhashed: bool = Tru
                 )
             kernel.release()
 
-    return documents.select(*common.row_key(key, text), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).mapInArrow(run, _OCCURRENCE)
-
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            of, place, lines, size = [], [], [], 0
+            for i, text in enumerate(_lowered(batch.column(2))):
+                for k, line in enumerate(_lines(text)):
+                    if line:
+                        of.append(i)
+                        place.append(k)
+                        lines.append(line)
+                size += len(text)
+                if lines and (size >= 2 << 20 or i == len(batch) - 1):
+                    high, low = np.ascontiguousarray(_classes(lines).T).view(np.int64)
+                    columns = ids[of], keys[of], np.array(place, np.int32), high, low, np.zeros(len(of), np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key_id", "key_text", "place", "high", "low", "sim"])
+                    of, place, lines, size = [], [], [], 0
+            kernel.release()
 
-def _spaced(data: np.ndarray, begin: np.ndarray, end: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all words with a space after each, and the first byte of each line in them."""
-    size = end - begin + 1
-    at = np.cumsum(size) - size
-    out = data[np.minimum(np.arange(int(size.sum())) + np.repeat(begin - at, size), len(data) - 1)]
-    out[at + size - 1] = 32
-    return out, at[first]
+    return documents.select(*common.row_key(key, text), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).mapInArrow(run if simhashed else hashed, _OCCURRENCE)
 
 
 def _least(data: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
@@ -200,38 +234,49 @@ def alike(a: np.ndarray, b: np.ndarray, agree: np.ndarray | int = AGREE) -> np.n
     return (same >= agree) & (np.abs(length) <= _LENGTH_APART)
 
 
-def meetings(data: np.ndarray, offsets: np.ndarray, seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """key, id and gate for every place of every class; `data` is in lower case already.
+def meetings(lines: list[bytes], seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """key, id and gate for every place of every class; `lines` are of `_lines`, in lower case and none empty.
 
     `seen` remembers classes of earlier calls, as many as it is long, so that frequent lines are not repeated.
     """
-    begin, end, _ = kernel.words(data, offsets)
-    line_begin, line_end, _ = kernel.lines(data, offsets)
-    first = np.searchsorted(begin, line_begin)
-    first = first[np.searchsorted(begin, line_end) > first]
-    if not len(first):
+    if not lines:
         return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    ids = kernel.sequence_hashes(kernel.span_hashes(data, begin, end), first, 21)
+    ids = np.ascontiguousarray(_classes(lines)[:, 0])
     new = np.zeros(len(ids), bool)
     new[np.unique(ids, return_index=True)[1]] = True
     if seen is not None:
         slot = (ids & np.uint64(len(seen) - 1)).astype(np.int64)
         new &= seen[slot] != ids
         seen[slot] = ids
-    text, at = _spaced(data, begin, end, first)
-    size = np.diff(np.append(at, len(text)))
-    chars = np.add.reduceat((text & 0xC0) != 0x80, at, dtype=np.int64) - 1
+    new = np.flatnonzero(new)
+    ids = ids[new]
     found = []
-    for n, some in ((GRAM, new), (SHORT_GRAM, new & (size <= SHORT))):
-        some = np.flatnonzero(some)
-        if len(some):
-            of = np.repeat(at[some] - np.cumsum(size[some]) + size[some], size[some])
-            least = _least(text[of + np.arange(len(of))], np.cumsum(size[some]) - size[some], n)
-            places, gate = _meetings(least, chars[some], int(n == SHORT_GRAM))
+    for n in (GRAM, SHORT_GRAM):
+        some = [k for k, i in enumerate(new.tolist()) if n == GRAM or len(lines[i]) < SHORT]
+        if some:
+            # Each line ends in a space, its last word like the others.
+            text = np.frombuffer(b" ".join([lines[i] for i in new[some].tolist()]) + b" ", np.uint8)
+            size = np.fromiter((len(lines[i]) + 1 for i in new[some].tolist()), np.int64, len(some))
+            at = np.cumsum(size) - size
+            chars = np.add.reduceat((text & 0xC0) != 0x80, at, dtype=np.int64) - 1
+            places, gate = _meetings(_least(text, at, n), chars, int(n == SHORT_GRAM))
             found.append((places.ravel(), np.repeat(ids[some].view(np.int64), BANDS), np.repeat(gate, BANDS)))
     return tuple(np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
+def _held(texts: Iterator[bytes | None], most: int) -> Iterator[list[bytes]]:
+    """The lines with a word of texts in turn, some `most` bytes of text at once."""
+    held, size = [], 0
+    for text in texts:
+        if text:
+            held += filter(None, _lines(text))
+            size += len(text)
+        if size >= most:
+            yield held
+            held, size = [], 0
+    yield held
+
+
 def salted(key: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A part for each row: 0 for the first OFTEN rows of a key in a task, then 1, 2 ...; and which rows are the first past OFTEN.
 
@@ -248,19 +293,56 @@ def salted(key: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.minimum(at // OFTEN, 0x7FFF).astype(np.int16), at == OFTEN
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen, met = np.zeros(1 << 16, np.uint64), np.zeros(1 << 20, np.int64)
-    for batch in batches:
-        for _, _, data, offsets in kernel.texts(pc.utf8_lower(batch.column(0)), 256 << 10):
-            key, ids, gate = meetings(data, offsets, seen)
-            part, full = salted(key, met)
-            if full.any():
-                # The place's other part must not be taken for the whole.
-                key, ids, gate = np.append(key, key[full]), np.append(ids, ids[full]), np.append(gate, np.full(full.sum(), _MORE))
-                part = np.append(part, np.zeros(full.sum(), np.int16))
-            # One long to sort by: Spark sorts by radix then.
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key.astype(np.int64) << 16 | part, ids, gate)], names=["place", "id", "gate"])
-        kernel.release()
+def _meet(buckets: int):
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (place and part, id, gate) as bytes, all those of a place and part in one bucket."""
+        seen, met = np.zeros(1 << 16, np.uint64), np.zeros(1 << 20, np.int64)
+        held, n = [], 0
+        for batch in itertools.chain(batches, [None]):
+            for lines in _held(_lowered(batch.column(0)), 256 << 10) if batch is not None else ():
+                key, ids, gate = meetings(lines, seen)
+                part, full = salted(key, met)
+                if full.any():
+                    # The place's other part must not be taken for the whole.
+                    key, ids, gate = np.append(key, key[full]), np.append(ids, ids[full]), np.append(gate, np.full(full.sum(), _MORE))
+                    part = np.append(part, np.zeros(full.sum(), np.int16))
+                held.append(np.stack([key.astype(np.int64) << 16 | part, ids, gate], axis=1))
+                n += len(key)
+                if n >= GATHERED:
+                    yield _dealt(np.concatenate(held), buckets)
+                    held, n = [], 0
+            if batch is None and n:
+                yield _dealt(np.concatenate(held), buckets)
+            kernel.release()
+
+    return meet
+
+
+def _dealt(rows: np.ndarray, buckets: int) -> pa.RecordBatch:
+    bucket = (kernel.mix(rows[:, 0].view(np.uint64)) % np.uint64(buckets)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
+    order = np.argsort(bucket, kind="stable")
+    rows, bucket = rows[order], bucket[order]
+    first = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1))
+    edges = np.append(first, len(rows)) * (8 * rows.shape[1])
+    packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(rows)])
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int32)), packed.cast(pa.binary())], names=["bucket", "rows"])
+
+
+def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of `_meet`, sorted by place inside each bucket; a bucket's rows follow one another."""
+    last, held = None, []
+    for bucket, packed in itertools.chain(((b, p) for batch in batches for b, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())), [(None, b"")]):
+        if held and bucket != last:
+            rows = np.frombuffer(b"".join(held), np.int64).reshape(-1, 3)
+            rows = rows[np.argsort(rows[:, 0])]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in rows.T], names=["place", "id", "gate"])
+            held = []
+        last = bucket
+        held.append(packed)
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _partners(_sorted_buckets(batches))
 
 
 def _kind(key: int) -> int:
@@ -569,6 +651,162 @@ def thinned(near: DataFrame, counted: DataFrame) -> DataFrame:
     return left
 
 
+def _packed(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of all lines in a row, and the place of each line in it with the end."""
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return codes, np.concatenate([[0], np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)))])
+
+
+def _grid(codes: np.ndarray, begin: np.ndarray, size: np.ndarray, width: int, step: int = 1) -> np.ndarray:
+    """A row for each stretch of `codes`, read on from `begin` by `step`; what lies past its size is of no meaning."""
+    at = begin[:, None] + step * np.arange(width)
+    at[np.arange(width) >= size[:, None]] = 0
+    return codes[at]
+
+
+def _equal_ends(codes: np.ndarray, a: np.ndarray, b: np.ndarray, least: np.ndarray, step: int) -> np.ndarray:
+    """How many code points are equal from the places a and b on by `step`, `least` of them at most."""
+    width = int(least.max(initial=0))
+    if not width:
+        return np.zeros(len(a), np.int64)
+    apart = (_grid(codes, a, least, width, step) != _grid(codes, b, least, width, step)) & (np.arange(width) < least[:, None])
+    return np.where(apart.any(axis=1), apart.argmax(axis=1), least)
+
+
+def _bit_columns(codes: np.ndarray, kinds: int, a: np.ndarray, m: np.ndarray, b: np.ndarray, n: np.ndarray, most: int) -> np.ndarray:
+    """Edit distances of the stretches of sizes m and n at a and b, where they are `most` or less; else some number past it.
+
+    Myers' columns of 64 rows for all pairs at once, those alone that lie within `most` of the diagonal.
+    What is left out counts as a rise, which no path of at most `most` edits passes. n does not rise.
+    """
+    words, every = (int(m.max()) + 63) // 64, np.uint64(0xFFFFFFFFFFFFFFFF)
+    one, top = np.uint64(1), np.uint64(63)
+    rows = np.arange(len(a))
+    match = np.zeros(len(a) * kinds * words, np.uint64)
+    pattern, text = _grid(codes, a, m, words * 64).T, np.ascontiguousarray(_grid(codes, b, n, int(n[0])).T)
+    for i in range(int(m.max())):
+        live = rows if i < int(m.min()) else rows[m > i]
+        match[(live * kinds + pattern[i, live]) * words + i // 64] |= one << np.uint64(i % 64)
+    up, down = np.full((words, len(a)), every), np.zeros((words, len(a)), np.uint64)
+    last = min(words - 1, most // 64)
+    score, found = np.full(len(a), 64 * (last + 1), np.int64), np.zeros(len(a), np.int64)
+    longer = np.searchsorted(-n, -np.arange(int(n[0]) + 1), "left").tolist()
+    at = rows * (kinds * words)
+    past = np.where(m - 64 * (words - 1) >= 64, np.uint64(0), every << (m - 64 * (words - 1)).clip(0, 63).astype(np.uint64))
+    for j in range(int(n[0])):
+        live = slice(0, longer[j])
+        if last < min(words - 1, (j + 1 + most) // 64):
+            last += 1
+            score[live] += 64
+        base = at[live] + text[j, live] * words
+        rise, fall = np.full(live.stop, one), np.zeros(live.stop, np.uint64)
+        for w in range(max(0, (j - most) // 64), last + 1):
+            p, d, eq = up[w, live], down[w, live], match[base + w]
+            still = eq | d
+            eq |= fall
+            x = eq & p
+            x += p
+            x ^= p
+            x |= eq
+            h = x | p
+            np.invert(h, out=h)
+            h |= d
+            x &= p
+            rise_out, fall_out = h >> top, x >> top
+            h <<= one
+            h |= rise
+            x <<= one
+            x |= fall
+            np.bitwise_and(h, still, out=d)
+            still |= h
+            np.invert(still, out=still)
+            np.bitwise_or(still, x, out=p)
+            rise, fall = rise_out, fall_out
+        score[live] += rise.astype(np.int64) - fall.astype(np.int64)
+        done = slice(longer[j + 1], live.stop)
+        if done.start < done.stop:
+            below = past[done]
+            found[done] = score[done] - np.bitwise_count(up[-1, done] & below).astype(np.int64) + np.bitwise_count(down[-1, done] & below) if last == words - 1 else most + 1
+    return found
+
+
+def similar_pairs(lines: list[str], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """`similar` for the pairs lines[i], lines[j], many at once."""
+    out = np.zeros(len(i), bool)
+    for lo in range(0, len(i), PAIRS):
+        some = slice(lo, lo + PAIRS)
+        ids, where = np.unique(np.concatenate([i[some], j[some]]), return_inverse=True)
+        out[some] = _similar_pairs([lines[k] for k in ids.tolist()], *where.reshape(2, -1))
+    return out
+
+
+def _similar_pairs(lines: list[str], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    size = np.fromiter(map(len, lines), np.int64, len(lines))
+    longer = size[j] > size[i]
+    i, j = np.where(longer, j, i), np.where(longer, i, j)
+    most = np.floor((1 - SIMILARITY) * size[i] + 1e-9).astype(np.int64)
+    out = np.zeros(len(i), bool)
+    open_ = size[i] - size[j] <= most
+    for k in np.flatnonzero(open_ & (size[i] > WIDE)).tolist():
+        out[k] = similar(lines[i[k]], lines[j[k]])
+    open_ = np.flatnonzero(open_ & (size[i] <= WIDE))
+    if not len(open_):
+        return out
+    codes, at = _packed([line if len(line) <= WIDE else "" for line in lines])
+    # Kinds of code points in these lines; past KINDS some share a number, and what then seems alike is compared once more.
+    present = np.zeros(0x110000, bool)
+    present[codes] = True
+    kinds = np.flatnonzero(present)
+    number = np.zeros(0x110000, np.int32)
+    number[kinds] = np.arange(len(kinds)) % KINDS
+    codes, shared = number[codes], len(kinds) > KINDS
+    kinds = min(len(kinds), KINDS)
+    open_ = open_[np.argsort(size[i[open_]], kind="stable")]
+    a, b, m, n, limit = at[i[open_]], at[j[open_]], size[i[open_]], size[j[open_]], most[open_]
+    for lo in range(0, len(open_), 1024):
+        lot = slice(lo, lo + 1024)
+        head = _equal_ends(codes, a[lot], b[lot], n[lot], 1)
+        tail = _equal_ends(codes, a[lot] + m[lot] - 1, b[lot] + n[lot] - 1, n[lot] - head, -1)
+        a[lot], b[lot], m[lot], n[lot] = a[lot] + head, b[lot] + head, m[lot] - head - tail, n[lot] - head - tail
+    near = m <= limit  # as many edits do
+    left = np.flatnonzero(~near & (n > 0))
+    words = (m[left] + 63) // 64
+    for w in np.unique(words).tolist():
+        of = left[words == w]
+        for part in np.array_split(of, -(-len(of) * kinds * w // MATCHES)):
+            if w > COLUMNS or len(part) < MANY * w:
+                near[part] = [similar(lines[i[k]], lines[j[k]]) for k in open_[part].tolist()]
+            else:
+                part = part[np.argsort(-n[part], kind="stable")]
+                near[part] = _bit_columns(codes, kinds, a[part], m[part], b[part], n[part], int(limit[part].max())) <= limit[part]
+    out[open_] = near
+    if shared:
+        for k in open_[out[open_]].tolist():
+            out[k] = similar(lines[i[k]], lines[j[k]])
+    return out
+
+
+def _letters_fit(things: list[tuple]) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """For `meeting`: which pairs of things, lines alone, have letters that allow the similarity."""
+    counts = letters(pa.array([line for line, in things], pa.string()))
+    return lambda i, j: letters_allow(counts[i], counts[j])
+
+
+def _same_pairs(things: list[tuple]) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """For `meeting`: which pairs of things, lines alone, are `similar`, first by their letters."""
+    lines, fits = [line for line, in things], _letters_fit(things)
+
+    def same(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(i), bool)
+        for lo in range(0, len(i), 65_536):
+            out[lo : lo + 65_536] = fits(i[lo : lo + 65_536], j[lo : lo + 65_536])
+        fit = np.flatnonzero(out)
+        out[fit] = similar_pairs(lines, i[fit], j[fit])
+        return out
+
+    return same
+
+
 class Forest:
     """Union-find over positions."""
 
@@ -615,9 +853,10 @@ def _verify(masks: list[int]):
 
 def _verify_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        batch = batch.filter(pa.array(letters_allow(letters(batch.column(2)), letters(batch.column(3)))))
-        keep = [similar(a, b) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-        yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+        one, other = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+        at = np.arange(len(batch))
+        keep = _same_pairs([(line,) for line in one + other])(at, at + len(batch))
+        yield batch.select(["u", "v"]).filter(pa.array(keep))
 
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -657,8 +896,10 @@ def links_alike(classes: DataFrame, documents: DataFrame, key: str, text: str) -
 
     `classes` has id (the first hash of the class), low and first.
     """
-    meet = documents.select(F.col(text).cast("string").alias("text")).mapInArrow(_meet, "place long, id long, gate long")
-    met = common.stored(meet.repartition("place").sortWithinPartitions("place").mapInArrow(_partners, "key int, u long, v long"), "met")
+    n = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(2 * n, classes.count() * 2 * BANDS // BUCKET)
+    meet = documents.select(F.col(text).cast("string").alias("text")).mapInArrow(_meet(buckets), "bucket int, rows binary")
+    met = common.stored(meet.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_met, "key int, u long, v long"), "met")
     pairs, near = met.where("key is null").select("u", "v").distinct(), met.where("key is not null").select("key", F.col("u").alias("id"), F.col("v").alias("tag")).dropDuplicates(["key", "id"])
     pairs, near = common.stored(pairs, "pairs"), common.stored(near, "near")
     common.forget(met)
@@ -674,7 +915,7 @@ def links_alike(classes: DataFrame, documents: DataFrame, key: str, text: str) -
     placed = meeting.pivoted(left, ["key"])
     # A line has 2 * BANDS places at most.
     places = left.groupBy("id").agg(F.collect_set("key").alias("places"))
-    joined = common.stored(meeting.connect(placed, ["key"], lines.select("id", "line"), str, similar, _near_before, _alike(F.col("tag"), F.col("pivot.tag")), listed, places, _METRIC, _kind), "joined")
+    joined = common.stored(meeting.connect(placed, ["key"], lines.select("id", "line"), str, similar, _near_before, _alike(F.col("tag"), F.col("pivot.tag")), listed, places, _METRIC, _kind, _same_pairs, _letters_fit), "joined")
     common.forget(every, left, placed, listed)
     lows = joined.select(F.col("node").alias("id")).join(lines.select("id", "low"), "id")
     return joined, lows

@@ -10,6 +10,7 @@ whatever its size.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -34,8 +35,11 @@ class Metric:
     limit: Callable
 
 
-def stars(pairs: DataFrame, things: DataFrame, ready: Callable, same: Callable) -> DataFrame:
-    """The pairs (u, v), where many may have one v, whose things are `same`; `things` has id and what `ready` takes."""
+def stars(pairs: DataFrame, things: DataFrame, ready: Callable, same: Callable, many: Callable | None = None) -> DataFrame:
+    """The pairs (u, v), where many may have one v, whose things are `same`; `things` has id and what `ready` takes.
+
+    `many(things)`, if given, is asked for many pairs of places in a list at once instead of `same`.
+    """
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sizes = common.weighed(pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "sizes", "n")
     parts = F.ceil(F.col("n") / STAR).cast("int")
@@ -46,25 +50,37 @@ def stars(pairs: DataFrame, things: DataFrame, ready: Callable, same: Callable)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot = None
         for batch in batches:
-            u, v = [], []
+            u, v, left, held = [], [], [], []
             for i, of, turn, _, *thing in zip(*(c.to_pylist() for c in batch.columns)):
-                if not turn:
+                if many:
+                    if not turn:
+                        pivot = tuple(thing)
+                    else:
+                        u.append(i)
+                        v.append(of)
+                        left.append(pivot)
+                        held.append(tuple(thing))
+                elif not turn:
                     pivot = ready(*thing)
                 elif same(pivot, ready(*thing)):
                     u.append(i)
                     v.append(of)
+            if u and many:
+                alike = many(left + held)(np.arange(len(u)), np.arange(len(u)) + len(u))
+                u, v = (list(itertools.compress(x, alike.tolist())) for x in (u, v))
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     return rows.repartition(n, "v", "part").sortWithinPartitions("v", "part", "turn").mapInArrow(run, "u long, v long")
 
 
-def tiles(rows: DataFrame, keys: list[str], things: DataFrame, ready: Callable, same: Callable, near: Callable, metric: Metric | None = None, gate: Callable = lambda place: 0) -> DataFrame:
+def tiles(rows: DataFrame, keys: list[str], things: DataFrame, ready: Callable, same: Callable, near: Callable, metric: Metric | None = None, gate: Callable = lambda place: 0, allow: Callable | None = None) -> DataFrame:
     """u, v: links between members of different components that meet in a place, enough to connect what is linked.
 
     `rows` has the keys, id, root, tag and perhaps `places`, all places of the member: a pair is
     compared in the first that it shares of those with one `gate`, by which `near` decides alike.
     `near(key, tags, i)` says which of the members before i to compare with i. With a `metric`, pairs are ruled out by the triangle inequality where a
-    component has many members to compare with.
+    component has many members to compare with. `allow(things)` says of many pairs of places in the list of
+    things at once which may be the same; the others are not compared.
     """
     counted = rows.groupBy(*keys, "root").agg(F.count(F.lit(1)).alias("n"))
     most = F.max(F.struct("n", "root"))
@@ -89,6 +105,8 @@ def tiles(rows: DataFrame, keys: list[str], things: DataFrame, ready: Callable,
         pivots: dict[int, int] = {}
         known: dict[tuple[int, int], float] = {}
 
+        may = allow(rows_) if allow else None
+
         def thing(k: int):
             if made[k] is None:
                 made[k] = ready(*rows_[k])
@@ -106,6 +124,8 @@ def tiles(rows: DataFrame, keys: list[str], things: DataFrame, ready: Callable,
             if key[-2] != key[-1]:
                 close &= parts[:i] != parts[i]
             close = np.flatnonzero(close)
+            if may and len(close):
+                close = close[may(np.full(len(close), i), close)]
             often = np.bincount(group[close], minlength=1) > FEW
             for j in close.tolist():
                 if root[j] == root[i] or (places and min(p for p in places[i] & places[j] if gate(p) == gate(key[0])) != key[0]):
@@ -131,7 +151,7 @@ def pivoted(members: DataFrame, keys: list[str]) -> DataFrame:
     return met
 
 
-def connect(met: DataFrame, keys: list[str], things: DataFrame, ready: Callable, same: Callable, near: Callable, alike: Column | None = None, links: DataFrame | None = None, tags: DataFrame | None = None, metric: Metric | None = None, gate: Callable = lambda place: 0) -> DataFrame:
+def connect(met: DataFrame, keys: list[str], things: DataFrame, ready: Callable, same: Callable, near: Callable, alike: Column | None = None, links: DataFrame | None = None, tags: DataFrame | None = None, metric: Metric | None = None, gate: Callable = lambda place: 0, many: Callable | None = None, allow: Callable | None = None) -> DataFrame:
     """node, root of all members that are linked to another: those of `links`, and those in a common place of `met` (of `pivoted`) that are `same`.
 
     Members that are not `alike` their pivot are not compared with it, nor others unless `near`
@@ -140,13 +160,21 @@ def connect(met: DataFrame, keys: list[str], things: DataFrame, ready: Callable,
     pairs = met.where(F.col("id") != F.col("pivot.id"))
     pairs = (pairs if alike is None else pairs.where(alike)).select(F.col("id").alias("u"), F.col("pivot.id").alias("v"))
     pairs = common.stored(pairs.distinct(), "pairs")
-    found = stars(pairs, things, ready, same)
+    found = stars(pairs, things, ready, same, many)
     named = common.stored(common.components(found if links is None else found.union(links)), "named")
     # A place of two has been compared whole.
     rows = met.where("n > 2").drop("pivot", "n").join(named.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     rows = common.stored(rows if tags is None else rows.join(tags, "id"), "rooted")
-    last, seen = common.measured(tiles(rows, keys, things, ready, same, near, metric, gate), "links", n=F.count(F.lit(1)))
+    last, seen = common.measured(tiles(rows, keys, things, ready, same, near, metric, gate, allow), "links", n=F.count(F.lit(1)))
     common.forget(pairs, rows)
     if not seen["n"]:
         return named
-    return common.components(last.unionByName(named.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+    # Links that are found last join whole components, so their roots alone are connected.
+    roots = named.withColumnRenamed("node", "of")
+    ends = last
+    for end in ("u", "v"):
+        ends = ends.join(roots.select(F.col("of").alias(end), F.col("root").alias(f"root_{end}")), end, "left").withColumn(end, F.coalesce(f"root_{end}", end)).drop(f"root_{end}")
+    onto = common.stored(common.components(ends.select("u", "v")).select(F.col("node").alias("root"), F.col("root").alias("onto")), "onto")
+    joined = named.join(onto, "root", "left").select("node", F.coalesce("onto", "root").alias("root"))
+    fresh = onto.join(named.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("onto").alias("root"))
+    return joined.unionByName(fresh)
